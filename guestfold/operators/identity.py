@@ -43,3 +43,52 @@ def loyalty_pick(df: DataFrame, key: str, ts: str, value: str, tie: str, floor:
 def member_number(c, offset: int) -> Column:
     """New member number = offset + cluster id."""
     return (col(c) + F.lit(offset)).cast("bigint")
+
+
+#: Id prefix (first three characters) -> entity type.
+ID_PREFIX_TYPES = {"001": "Account", "003": "Contact", "00Q": "Lead"}
+
+
+def party_type(c) -> Column:
+    """Entity type from the three-character id prefix; unknown prefix -> NULL."""
+    from ..functions.columns import literal_map
+    return F.try_element_at(literal_map(ID_PREFIX_TYPES), F.substring(col(c), 1, 3))
+
+
+def match_rules(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
+                rules: Sequence[tuple[Sequence[str], Sequence[str]]], match_col: str = "match_key",
+                rule_col: str = "rule") -> DataFrame:
+    """Match rows of ``a`` to ``b`` by an ordered list of key rules.
+
+    Each rule is an equi join on its own (possibly computed) keys; candidates
+    of all rules are unioned with their rule number and the first rule (then
+    the smallest ``b`` id) wins per ``a`` row.  This equals running the rules in
+    order on the still unmatched rows, in one shuffle per rule."""
+    cands = None
+    for i, (ak, bk) in enumerate(rules, start=1):
+        bb = b.select(*[F.col(k).alias(f"__b{j}") for j, k in enumerate(bk)], F.col(b_id).alias(match_col))
+        cond = [a[k] == bb[f"__b{j}"] for j, k in enumerate(ak)]
+        c = a.join(bb, cond, "inner").select(F.col(a_id), F.col(match_col), F.lit(i).alias(rule_col))
+        cands = c if cands is None else cands.unionByName(c)
+    return pick_one(cands, [a_id], [rule_col, match_col])
+
+
+def backfill_unique(df: DataFrame, links: DataFrame, key: tuple[str, str] | str, val: str, out: str) -> DataFrame:
+    """Fill ``out`` from the linked rows only when all of them agree on one
+    value (D3): ``max`` and ``count(DISTINCT)`` per key, keep ``n = 1``, then
+    fill only where ``out`` is still NULL (M4)."""
+    lk, rk = (key, key) if isinstance(key, str) else key
+    agg = (links.where(F.col(val).isNotNull()).groupBy(F.col(rk).alias(lk))
+           .agg(F.max(val).alias("__v"), F.count_distinct(val).alias("__n"))
+           .where(F.col("__n") == 1).drop("__n"))
+    j = df.join(agg, lk, "left")
+    return j.withColumn(out, F.coalesce(F.col(out), F.col("__v"))).drop("__v")
+
+
+def relate(df: DataFrame, id_map: DataFrame, key: tuple[str, str], id_col: str) -> DataFrame:
+    """Relate rows to the target id of their cluster through the id table.
+
+    Rows without an id are dropped (inner join), never written with NULL."""
+    lk, rk = key
+    m = id_map.select(F.col(rk).alias(lk), id_col).dropDuplicates([lk])
+    return df.join(m, lk, "inner")

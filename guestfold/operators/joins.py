@@ -100,3 +100,19 @@ def left_merge(a: DataFrame, b: DataFrame, left_on: str, right_on: str, suffix:
     rk = right_on + suffix if right_on in clash else right_on
     cond = a[left_on].eqNullSafe(rb[rk]) if null_keys_match else (a[left_on] == rb[rk])
     return a.join(rb, cond, "left")
+
+
+def flag_in_window(df: DataFrame, windows: DataFrame, key: str | tuple[str, str], ts: str, lo: str,
+                   hi: str | None, out: str) -> DataFrame:
+    """``out`` = 1 when the row's time falls inside any window of its key.
+
+    A left-semi and a left-anti join with the same range condition split the
+    rows, so overlapping windows can never multiply a row and no row id is
+    needed."""
+    lk, rk = (key, key) if isinstance(key, str) else key
+    w = windows.select(F.col(rk).alias("__wk"), F.col(lo).alias("__lo"),
+                       (F.col(hi) if hi else F.lit(None)).alias("__hi"))
+    cond = [df[lk] == w["__wk"], df[ts] >= w["__lo"], w["__hi"].isNull() | (df[ts] <= w["__hi"])]
+    inside = df.join(w, cond, "left_semi").withColumn(out, F.lit(1))
+    outside = df.join(w, cond, "left_anti").withColumn(out, F.lit(0))
+    return inside.unionByName(outside)

@@ -85,3 +85,38 @@ def object_counts(parts: Mapping[str, DataFrame]) -> DataFrame:
         c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("object"), "n")
         out = c if out is None else out.union(c)
     return out.distinct()
+
+
+def star_join(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Star join: one fact, six dimensions, ``nation`` under two roles.
+
+    Dimensions are joined by key; AQE broadcasts those whose measured size is
+    below the threshold (nation/region/supplier), the rest sort-merge."""
+    li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    o = t["orders"].select("o_orderkey", "o_custkey")
+    c = t["customer"].select("c_custkey", "c_name", "c_nationkey")
+    cn = t["nation"].select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cust_nation"),
+                            F.col("n_regionkey").alias("cn_region"))
+    r = t["region"].select(F.col("r_regionkey").alias("cn_region"), F.col("r_name").alias("cust_region"))
+    p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    s = t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey")
+    sn = t["nation"].select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("supp_nation"))
+    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+         .join(c, F.col("o_custkey") == c["c_custkey"])
+         .join(cn, F.col("c_nationkey") == cn["cn_key"])
+         .join(r, "cn_region")
+         .join(p, "l_partkey")
+         .join(s, "l_suppkey")
+         .join(sn, "s_nationkey"))
+    return j.select("l_orderkey", "l_linenumber", "c_name", "cust_nation", "cust_region", "p_name", "s_name",
+                    "supp_nation")
+
+
+def unmapped(fact: DataFrame, dim: DataFrame, key: str, amount: str, scale: int = 2) -> DataFrame:
+    """Fact rows whose key is missing from the dimension, with counts and
+    amounts (K6: anti join + aggregation).  Amounts are summed as decimals so
+    the result does not depend on the order of addition."""
+    miss = fact.join(dim.select(key).distinct(), key, "left_anti")
+    return miss.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.col(amount).cast(f"decimal(18,{scale})")).cast("double").alias("amount"))
