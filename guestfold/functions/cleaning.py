@@ -288,13 +288,19 @@ def bound_birthdate(c: ColumnOrName, as_of: str, oldest: str = "1900-01-02",
     return F.when(bad, F.lit(None).cast("date")).otherwise(d)
 
 
-def repair_encoding(c: ColumnOrName, markers: str = MOJIBAKE_MARKERS) -> Column:
-    """Undo a Latin-1 mis-decoding where marker characters betray it (N20),
-    keeping the original when the round trip does not give clean text."""
+def repair_encoding(c: ColumnOrName, markers: str = MOJIBAKE_MARKERS,
+                    wrong: str = "ISO-8859-1", right: str = "UTF-8") -> Column:
+    """Undo a mis-decoding where marker characters betray it.
+
+    Only text that fits the wrongly applied charset is re-encoded, and only
+    bytes that form valid ``right`` text are decoded, so malformed input is
+    kept as is instead of failing the query (Spark 4 raises on bad coding)."""
     c = col(c)
-    fixed = F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")
-    ok = F.encode(c, "ISO-8859-1").isNotNull() & ~fixed.contains("�")
-    return F.when(c.rlike("[" + markers + "]") & ok, fixed).otherwise(c)
+    fits = c.rlike(r"^[\x00-\xFF]*$") if wrong.upper() in ("ISO-8859-1", "LATIN1") else F.lit(True)
+    raw = F.encode(c, wrong)
+    fixed = F.when(F.is_valid_utf8(raw), F.decode(raw, right)) if right.upper() in ("UTF-8", "UTF8") \
+        else F.decode(raw, right)
+    return F.when(c.rlike("[" + markers + "]") & fits, F.coalesce(fixed, c)).otherwise(c)
 
 
 def normalise_language(c: ColumnOrName, allowed: Iterable[str] = LANGUAGES_ALLOWED,

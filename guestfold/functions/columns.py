@@ -106,7 +106,7 @@ def nights(arrival: ColumnOrName, departure: ColumnOrName) -> Column:
 
 def parse_date(c: ColumnOrName, fmt: str) -> Column:
     """``STR_TO_DATE``: invalid text gives NULL instead of an error (F16)."""
-    return F.try_to_date(col(c), F.lit(fmt))
+    return F.try_to_date(col(c), fmt)
 
 
 def age_years(birth: ColumnOrName, as_of) -> Column:

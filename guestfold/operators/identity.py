@@ -92,3 +92,12 @@ def relate(df: DataFrame, id_map: DataFrame, key: tuple[str, str], id_col: str)
     lk, rk = key
     m = id_map.select(F.col(rk).alias(lk), id_col).dropDuplicates([lk])
     return df.join(m, lk, "inner")
+
+
+def name_in_email(df: DataFrame, email: str, last_name: str) -> DataFrame:
+    """Rows whose last name occurs in the e-mail local part (D15).  A plain
+    substring test, so ``%``/``_`` in names cannot act as wildcards; blank
+    names never match."""
+    local = F.substring_index(F.lower(F.trim(F.col(email))), "@", 1)
+    ln = F.lower(F.trim(F.col(last_name)))
+    return df.where(F.col(last_name).isNotNull() & (F.trim(F.col(last_name)) != "") & local.contains(ln))

@@ -120,3 +120,18 @@ def unmapped(fact: DataFrame, dim: DataFrame, key: str, amount: str, scale: int
     return miss.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.col(amount).cast(f"decimal(18,{scale})")).cast("double").alias("amount"))
+
+
+def cleaning_report(df: DataFrame) -> DataFrame:
+    """Cleaning report in a single aggregate pass."""
+    from ..functions.cleaning import BOUNCE_VALUES
+    f = F.col("fname")
+    return df.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(f.isNull()).alias("null_fname"),
+        F.count_if(F.col("lname").isNull() | (F.trim("lname") == "")).alias("blank_lname"),
+        F.count_if(F.col("email").isNull() | (F.trim("email") == "")).alias("blank_email"),
+        F.count_if((f == F.upper(f)) & (f != F.lower(f))).alias("all_caps_fname"),
+        F.count_if(F.lower(F.trim("bounce")).isin(BOUNCE_VALUES)).alias("bounced"),
+        F.sum((F.col("current_opt_in") == "Yes").cast("int")).cast("bigint").alias("opted_in"),
+        F.count("current_opt_in").alias("opt_in_known"))
