@@ -101,3 +101,13 @@ def name_in_email(df: DataFrame, email: str, last_name: str) -> DataFrame:
     local = F.substring_index(F.lower(F.trim(F.col(email))), "@", 1)
     ln = F.lower(F.trim(F.col(last_name)))
     return df.where(F.col(last_name).isNotNull() & (F.trim(F.col(last_name)) != "") & local.contains(ln))
+
+
+def high_value(df: DataFrame, active: DataFrame, key: str, currency: str, amount: str, minimum: float) -> DataFrame:
+    """High-value guests (D17): revenue per key *and currency* (amounts in
+    different currencies are never added) over ``minimum``, restricted to keys
+    that are active (semi join)."""
+    act = active.select(key).distinct()
+    rev = (df.join(act, key, "left_semi").groupBy(key, currency)
+           .agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("__rev")))
+    return rev.where(F.col("__rev") > F.lit(minimum)).select(key, currency, F.col("__rev").cast("double").alias("revenue"))

@@ -135,3 +135,45 @@ def cleaning_report(df: DataFrame) -> DataFrame:
         F.count_if(F.lower(F.trim("bounce")).isin(BOUNCE_VALUES)).alias("bounced"),
         F.sum((F.col("current_opt_in") == "Yes").cast("int")).cast("bigint").alias("opted_in"),
         F.count("current_opt_in").alias("opt_in_known"))
+
+
+def commercial_report(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Monthly commercial report over two source systems.
+
+    Each system is aggregated by month and dimensions, then the partial
+    results are tagged and unioned; revenue is exact decimal arithmetic."""
+    rev = F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    f = (lineitem.select("l_orderkey", rev.alias("rev"))
+         .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+         .join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+         .withColumn("month", F.date_format("o_orderdate", "yyyy-MM")))
+    dims = ["month", "n_name", "c_mktsegment"]
+    parts = {}
+    for tag, cond in (("system_a", F.col("o_orderkey") % 2 == 0), ("system_b", F.col("o_orderkey") % 2 != 0)):
+        parts[tag] = f.where(cond).groupBy(*dims).agg(F.sum("rev").cast("double").alias("revenue"),
+                                                      F.count(F.lit(1)).alias("n_lines"))
+    return union_tagged(parts).select("source", *dims, "revenue", "n_lines")
+
+
+def occupancy_daily(lineitem: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Daily occupancy from two systems (K1): room nights, bed nights, adults,
+    children per day; stays count only for finished bookings (semi join)."""
+    done = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
+    pms = (lineitem.join(done, "l_orderkey", "left_semi")
+           .groupBy(F.to_date("l_shipdate").alias("day"))
+           .agg(F.count(F.lit(1)).alias("room_nights"), F.sum("l_quantity").cast("bigint").alias("bed_nights"),
+                F.count_distinct("l_orderkey").alias("adults"), F.count_if(F.col("l_quantity") < 5).alias("children")))
+    web = (events.groupBy(F.to_date("ts").alias("day"))
+           .agg(F.count_if(F.col("event_type") == "purchase").alias("room_nights"),
+                F.count(F.lit(1)).alias("bed_nights"), F.count_distinct("user_id").alias("adults"),
+                F.count_if(F.col("event_type") == "signup").alias("children")))
+    return union_tagged({"pms": pms, "web": web}).select("source", "day", "room_nights", "bed_nights", "adults",
+                                                          "children")
+
+
+def occupancy_kpis(lineitem: DataFrame, orders: DataFrame, events: DataFrame, day: str) -> DataFrame:
+    """Parameterised one-day KPI report (K3): K1 for ``day`` in long form (K2)."""
+    occ = occupancy_daily(lineitem.where(F.to_date("l_shipdate") == F.lit(day).cast("date")), orders,
+                          events.where(F.to_date("ts") == F.lit(day).cast("date")))
+    return kpi_long(occ, ["source", "day"], ["room_nights", "bed_nights", "adults", "children"], "source")

@@ -146,3 +146,21 @@ def room_nights(status, category, is_sharer, nights) -> Column:
             .when(col(category).isin("PARKING", "OTHER"), F.lit(0))
             .when(F.coalesce(col(is_sharer), F.lit(False)), F.lit(0))
             .otherwise(col(nights)))
+
+
+def import_sets(df: DataFrame, new: DataFrame, key: str, ts: str, status: str, as_of: str, since: str,
+                history_status: str) -> DataFrame:
+    """Import sets (R10): history, future, future without a match in the new
+    extract (anti join), and rows changed since a date (join + null-safe
+    difference).  A row can belong to several sets; the result is
+    ``key, import_set``."""
+    cut = F.to_timestamp_ntz(F.lit(as_of))
+    hist = df.where((F.col(ts) <= cut) & (F.col(status) == history_status)).select(key, F.lit("history").alias("import_set"))
+    fut = df.where(F.col(ts) > cut)
+    future = fut.select(key, F.lit("future").alias("import_set"))
+    unmatched = fut.join(new.select(key), key, "left_anti").select(key, F.lit("future_unmatched").alias("import_set"))
+    n2 = new.select(F.col(key), F.col(status).alias("__new_status"))
+    changed = (df.where(F.col(ts) >= F.to_timestamp_ntz(F.lit(since))).join(n2, key)
+               .where(~F.col(status).eqNullSafe(F.col("__new_status")))
+               .select(key, F.lit("changed_since").alias("import_set")))
+    return hist.unionByName(future).unionByName(unmatched).unionByName(changed)
