@@ -111,3 +111,35 @@ def high_value(df: DataFrame, active: DataFrame, key: str, currency: str, amount
     rev = (df.join(act, key, "left_semi").groupBy(key, currency)
            .agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("__rev")))
     return rev.where(F.col("__rev") > F.lit(minimum)).select(key, currency, F.col("__rev").cast("double").alias("revenue"))
+
+
+def classify_import(df: DataFrame, target: DataFrame, key: tuple[str, str], name: tuple[str, str],
+                    op_col: str = "operation", reason_col: str = "conflict_reason") -> DataFrame:
+    """Import operation per row (D11): ``create`` without a target match,
+    ``update`` when the match carries the same name, ``none`` with a reason
+    when the names conflict (J14).  The target is reduced to one row per key."""
+    lk, rk = key
+    ln, rn = name
+    t = target.select(F.col(rk).alias("__tk"), F.col(rn).alias("__tn")).dropDuplicates(["__tk"])
+    j = df.join(t, df[lk] == t["__tk"], "left")
+    op = (F.when(F.col("__tk").isNull(), F.lit("create"))
+          .when(F.col("__tn").eqNullSafe(F.col(ln)), F.lit("update"))
+          .otherwise(F.lit("none")))
+    reason = F.when(F.col("__tk").isNotNull() & ~F.col("__tn").eqNullSafe(F.col(ln)), F.lit("name_conflict"))
+    return j.withColumn(op_col, op).withColumn(reason_col, reason).drop("__tk", "__tn")
+
+
+def attach_ids(df: DataFrame, accounts: DataFrame, key: tuple[str, str], cols: Sequence[str],
+               id_col: str, person_only: bool = True, order: Sequence[Column | str] | None = None) -> DataFrame:
+    """Attach target ids by a matching key (D10, D20).  Accounts are reduced to
+    one row per key (``order``, default the id) before the left join; with
+    ``person_only`` ids are attached only when the id prefix marks a person
+    account (F27)."""
+    lk, rk = key
+    acc = pick_one(accounts, [rk], order or [id_col])
+    acc = acc.select(F.col(rk).alias("__k"), *[F.col(c) for c in cols])
+    j = df.join(acc, df[lk] == acc["__k"], "left").drop("__k")
+    if person_only:
+        ok = party_type(F.col(id_col)) == "Account"
+        j = j.withColumns({c: F.when(ok, F.col(c)) for c in cols})
+    return j
