@@ -206,3 +206,14 @@ def any_of(conds: Iterable[Column]) -> Column:
 def first_reason(rules: Iterable[tuple[str, Column]]) -> Column:
     """Ordered rule list -> the first matching reason, NULL when none."""
     return F.coalesce(*[F.when(cond, F.lit(reason)) for reason, cond in rules])
+
+
+def money_sum(c: ColumnOrName, scale: int = 4) -> Column:
+    """Exact sum of money amounts with ``scale`` decimals.
+
+    Amounts are summed as unscaled longs (``amount * 10^scale``), which keeps
+    the aggregation buffer a primitive long instead of a wide ``decimal`` (about
+    twice as fast), and converted back to ``decimal(38, scale)``.  Overflow
+    raises under ANSI mode instead of wrapping."""
+    unscaled = (col(c).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
+    return (F.sum(unscaled).cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")

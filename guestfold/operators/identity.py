@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col
+from ..functions.columns import col, money_sum
 from .keys import pick_one
 from .report import string_agg
 
@@ -60,13 +60,17 @@ def match_rules(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
                 rule_col: str = "rule") -> DataFrame:
     """Match rows of ``a`` to ``b`` by an ordered list of key rules.
 
-    Each rule is an equi join on its own (possibly computed) keys; candidates
-    of all rules are unioned with their rule number and the first rule (then
-    the smallest ``b`` id) wins per ``a`` row.  This equals running the rules in
-    order on the still unmatched rows, in one shuffle per rule."""
+    The first rule that finds a partner wins, and within a rule the smallest
+    ``b`` id.  So each rule only needs ``min(b_id)`` per rule key: ``b`` is
+    aggregated to one row per key (partial aggregation, safe for hot keys)
+    before the join, and the join is many-to-one; no key group ever emits all
+    of its pairs.  Candidates of all rules are unioned and the lowest rule
+    number is picked per ``a`` row.  Equal to running the rules in order on
+    the still unmatched rows."""
     cands = None
     for i, (ak, bk) in enumerate(rules, start=1):
-        bb = b.select(*[F.col(k).alias(f"__b{j}") for j, k in enumerate(bk)], F.col(b_id).alias(match_col))
+        bb = (b.groupBy(*[F.col(k).alias(f"__b{j}") for j, k in enumerate(bk)])
+              .agg(F.min(b_id).alias(match_col)))
         cond = [a[k] == bb[f"__b{j}"] for j, k in enumerate(ak)]
         c = a.join(bb, cond, "inner").select(F.col(a_id), F.col(match_col), F.lit(i).alias(rule_col))
         cands = c if cands is None else cands.unionByName(c)
@@ -109,7 +113,7 @@ def high_value(df: DataFrame, active: DataFrame, key: str, currency: str, amount
     that are active (semi join)."""
     act = active.select(key).distinct()
     rev = (df.join(act, key, "left_semi").groupBy(key, currency)
-           .agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("__rev")))
+           .agg(money_sum(amount, 2).alias("__rev")))
     return rev.where(F.col("__rev") > F.lit(minimum)).select(key, currency, F.col("__rev").cast("double").alias("revenue"))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col
+from ..functions.columns import col, money_sum
 
 
 def string_agg(c, sep: str = ",", distinct: bool = True) -> Column:
@@ -119,7 +119,7 @@ def unmapped(fact: DataFrame, dim: DataFrame, key: str, amount: str, scale: int
     miss = fact.join(dim.select(key).distinct(), key, "left_anti")
     return miss.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col(amount).cast(f"decimal(18,{scale})")).cast("double").alias("amount"))
+        money_sum(amount, scale).cast("double").alias("amount"))
 
 
 def cleaning_report(df: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def commercial_report(lineitem: DataFrame, orders: DataFrame, customer: DataFram
     dims = ["month", "n_name", "c_mktsegment"]
     parts = {}
     for tag, cond in (("system_a", F.col("o_orderkey") % 2 == 0), ("system_b", F.col("o_orderkey") % 2 != 0)):
-        parts[tag] = f.where(cond).groupBy(*dims).agg(F.sum("rev").cast("double").alias("revenue"),
+        parts[tag] = f.where(cond).groupBy(*dims).agg(money_sum("rev", 4).cast("double").alias("revenue"),
                                                       F.count(F.lit(1)).alias("n_lines"))
     return union_tagged(parts).select("source", *dims, "revenue", "n_lines")
 

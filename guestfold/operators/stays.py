@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, first_reason, literal_map
+from ..functions.columns import col, first_reason, literal_map, money_sum
 
 # =============================================================================
 # Fixed values (must equal the reference's maps for equal results).
@@ -82,13 +82,13 @@ def folio_revenue(charges: DataFrame, allowances: DataFrame, charge_keys: Sequen
     without charges stays NULL (``SUM(CASE .. END)`` without ELSE); the total
     is never NULL.  Money is summed as ``decimal(18,4)``."""
     classes = classes or {"room": "revenue_room", "fnb": "revenue_fnb", "extra": "revenue_extra"}
-    alw = allowances.groupBy(*charge_keys).agg(F.sum(F.col(amount).cast("decimal(18,4)")).alias("__alw"))
+    alw = allowances.groupBy(*charge_keys).agg(money_sum(amount).alias("__alw"))
     net = (charges.join(alw, list(charge_keys), "left")
            .withColumn("__net", F.col(amount).cast("decimal(18,4)") - F.coalesce("__alw", F.lit(0)))
            .withColumn("__cls", cls))
-    aggs = [F.sum(F.when(F.col("__cls") == k, F.col("__net"))).cast("decimal(18,4)").alias(v)
+    aggs = [money_sum(F.when(F.col("__cls") == k, F.col("__net"))).cast("decimal(18,4)").alias(v)
             for k, v in classes.items()]
-    aggs.append(F.sum("__net").cast("decimal(18,4)").alias(total))
+    aggs.append(money_sum("__net").cast("decimal(18,4)").alias(total))
     return net.groupBy(res_key).agg(*aggs)
 
 

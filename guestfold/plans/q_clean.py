@@ -72,15 +72,14 @@ def email_flags(spark, sf):
                     invalid.alias("email_invalid"), reason.alias("invalid_reason"))
 
 
-EMAIL_IN_TEXT = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+EMAIL_IN_TEXT = N.EMAIL_IN_TEXT
 
 
 @register("document_emails", f"""
 WITH x AS (SELECT doc_id, unnest(regexp_extract_all(text, {q(EMAIL_IN_TEXT)})) AS email FROM documents)
 SELECT doc_id, email, {_invalid_reason_sql("strict")} AS invalid_reason FROM x""")
 def document_emails(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    x = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL_IN_TEXT), 0)).alias("email"))
+    x = N.extract_emails(table(spark, sf, "documents"), "text", keep=["doc_id"])
     _, reason = N.email_invalid("email", "strict")
     return x.select("doc_id", "email", reason.alias("invalid_reason"))
 
