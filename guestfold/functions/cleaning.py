@@ -14,7 +14,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .columns import any_of, blank_to_null, col, is_blank, literal_map
+from .columns import any_of, blank_to_null, col, is_blank, let, literal_map
 
 # =============================================================================
 # Fixed values.  These must equal the reference's lists for equal results;
@@ -184,16 +184,20 @@ SALUTATION_PASSES = [salutation_pass1, salutation_pass2, salutation_dear, saluta
 
 
 def normalise_salutation(df: DataFrame, c: str = "salutation", out: str | None = None) -> DataFrame:
-    """Salutation canonicaliser (N4): the four passes of the cleaning script
-    run in order (dot-stripped match, multilingual exact map, "Dear ..." and
-    German openers, re-dotting).  Each pass is its own projection so the
-    expression tree stays linear in the number of passes."""
+    """Salutation canonicaliser (N4): the passes of the cleaning script run in
+    order (dot-stripped match, multilingual exact map, "Dear ..." and German
+    openers, re-dotting)."""
     out = out or c
-    tmp = "__sal"
-    df = df.withColumn(tmp, F.col(c))
+    return df.withColumn(out, salutation_expr(F.col(c)))
+
+
+def salutation_expr(c: Column) -> Column:
+    """The salutation passes as one column expression; each pass binds its
+    input once (:func:`~guestfold.functions.columns.let`), so the expression
+    stays linear in the number of passes however it is inlined later."""
     for p in SALUTATION_PASSES:
-        df = df.withColumn(tmp, p(F.col(tmp)))
-    return df.withColumn(out, F.col(tmp)).drop(tmp) if out != tmp else df
+        c = let(c, p)
+    return c
 
 
 def gender_from_salutation(df: DataFrame, salutation: str = "salutation", gender: str = "gender") -> DataFrame:
@@ -368,3 +372,19 @@ def quality_bucket(last_name: ColumnOrName, email: ColumnOrName, first_name: Col
 
 
 ColumnOrName = Column | str
+
+
+def infer_from_name(df: DataFrame, name: str, attr: str, min_n: int, min_ratio: float,
+                    out: str | None = None) -> DataFrame:
+    """Infer an attribute (gender, salutation) from the first name (N6): per
+    normalised name the dominant known value with at least ``min_n`` rows and
+    ``min_ratio`` share (W4), applied only where the attribute is empty (M2)."""
+    from ..operators.keys import dominant
+    out = out or attr
+    key = F.lower(F.trim(F.col(name)))
+    known = df.select(key.alias("__name"), F.col(attr).alias("__val")).where(F.col("__val").isNotNull()
+                                                                              & (F.col("__val") != ""))
+    dom = dominant(known, "__name", "__val", min_n, min_ratio).select("__name", F.col("__val").alias("__dom"))
+    j = df.join(dom, key == dom["__name"], "left")
+    empty = F.col(attr).isNull() | (F.col(attr) == "")
+    return j.withColumn(out, F.when(empty, F.col("__dom")).otherwise(F.col(attr))).drop("__name", "__dom")

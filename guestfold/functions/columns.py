@@ -195,6 +195,17 @@ def sparse(m: ColumnOrName) -> Column:
     return F.map_filter(col(m), lambda k, v: v.isNotNull())
 
 
+def let(c: ColumnOrName, body) -> Column:
+    """Evaluate ``body(x)`` with ``x`` bound to ``c`` once.
+
+    A rule that tests its input many times, applied on top of another such
+    rule, makes the expression tree grow multiplicatively when Catalyst inlines
+    aliases (e.g. while pushing a filter down through the projections).  Binding
+    the input to a lambda variable keeps every stage one reference deep, so a
+    chain of stages stays linear in size."""
+    return F.element_at(F.transform(F.array(col(c)), body), 1)
+
+
 def any_of(conds: Iterable[Column]) -> Column:
     out = None
     for cnd in conds:

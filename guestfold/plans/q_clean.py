@@ -405,3 +405,25 @@ def filters_text(spark, sf):
     cond = ((F.col("lname").endswith("GmbH") | F.col("email").contains("_") | F.col("email").like("u%@%")
              | F.col("lname").rlike("^[a-z]+ [a-z]+")) & ~X.is_blank("fname"))
     return d.where(cond)
+
+
+INFER_MIN_N, INFER_MIN_RATIO = 10, 0.45
+
+
+@register("infer_gender", oracle_with("dirty") + f"""
+, g AS (SELECT n.c_custkey, d.fname,
+          CASE WHEN s = 'Mr.' THEN 'Male' WHEN s IN ('Mrs.', 'Ms.', 'Miss.') THEN 'Female' END AS gender
+        FROM ({_salutation_sql()}) n JOIN dirty d ON d.c_custkey = n.c_custkey),
+known AS (SELECT lower(trim(fname)) AS nm, gender AS val FROM g
+          WHERE gender IS NOT NULL AND gender <> '' AND lower(trim(fname)) IS NOT NULL),
+v AS (SELECT nm, val, count(*) AS n_val FROM known GROUP BY 1, 2),
+k AS (SELECT nm, sum(n_val) AS n_key FROM v GROUP BY 1),
+top AS (SELECT v.*, row_number() OVER (PARTITION BY nm ORDER BY n_val DESC, val) AS rn FROM v),
+dom AS (SELECT top.nm, top.val AS dom FROM top JOIN k ON k.nm = top.nm
+        WHERE rn = 1 AND n_val >= {INFER_MIN_N} AND round(n_val / n_key, 4) >= {INFER_MIN_RATIO})
+SELECT g.c_custkey, g.fname, CASE WHEN g.gender IS NULL OR g.gender = '' THEN dom.dom ELSE g.gender END AS gender
+FROM g LEFT JOIN dom ON dom.nm = lower(trim(g.fname))""")
+def infer_gender(spark, sf):
+    d = dirty(spark, sf).select("c_custkey", "fname", "salutation").withColumn("gender", F.lit(None).cast("string"))
+    d = N.gender_from_salutation(N.normalise_salutation(d, "salutation"))
+    return N.infer_from_name(d, "fname", "gender", INFER_MIN_N, INFER_MIN_RATIO).select("c_custkey", "fname", "gender")

@@ -271,3 +271,78 @@ def length_profile(spark, sf):
     d = REP.length_profile(table(spark, sf, "documents"), {"text": [10, 255, 1000]})
     return p.select("column", "max_len", "over_10", F.lit(None).cast("bigint").alias("over_255"),
                     F.lit(None).cast("bigint").alias("over_1000")).unionByName(d)
+
+
+RAW_SQL = """WITH l AS (SELECT l_orderkey, max(l_shipdate) AS last_ship, count(*) AS n_lines FROM lineitem GROUP BY 1),
+raw AS (SELECT concat('R', o_orderkey) AS id, concat('P', c_nationkey) AS property__id, concat('B', o_custkey) AS booking_id,
+    o_orderstatus AS status, CASE WHEN o_orderkey % 10 = 0 THEN concat('Group ', o_custkey) END AS group_name,
+    o_orderdate AS arrival, l.last_ship AS departure, c_nationkey % 5 AS company__id,
+    CAST(coalesce(l.n_lines, 0) AS BIGINT) AS adults, c_mktsegment AS market_segment__code,
+    CASE WHEN o_orderpriority = '5-LOW' THEN 'Parking' ELSE 'BedRoom' END AS unit_group__type
+  FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN l ON l.l_orderkey = o_orderkey),
+props AS (SELECT concat('P', n_nationkey) AS code, concat('F', n_nationkey) AS fmtg, CAST(n_nationkey * 7 AS BIGINT) AS protel,
+    n_regionkey <> 4 AS active FROM nation)"""
+STD_PROPERTIES = [f"P{i}" for i in range(20)]
+
+
+@register("standardise_reservations", RAW_SQL + f"""
+SELECT id AS reservation_id, 'pms' AS source, property__id AS property_id, booking_id, status AS reservation_status,
+  CASE WHEN group_name IS NOT NULL THEN concat(booking_id, ' | ', group_name) END AS group_name,
+  arrival AS arrival_at, departure AS departure_at, r_name AS booker_company_id, adults AS adults_num,
+  CAST(CASE WHEN departure > arrival THEN date_diff('day', CAST(arrival AS DATE), CAST(departure AS DATE)) ELSE 0 END
+       AS BIGINT) AS room_nights,
+  market_segment__code AS market_segment, 'PRIMARY' AS guest_role, 'reservation' AS _ptable,
+  CASE WHEN p.active THEN p.fmtg END AS property_fmtg_id, CASE WHEN p.active THEN p.protel END AS property_protel_id
+FROM raw LEFT JOIN region ON r_regionkey = company__id LEFT JOIN props p ON p.code = property__id
+WHERE unit_group__type = 'BedRoom' AND property__id IN ({", ".join(f"'{p}'" for p in STD_PROPERTIES)})""")
+def standardise_reservations(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("departure"),
+                                                                   F.count(F.lit(1)).alias("n_lines"))
+    k = F.col("o_orderkey")
+    raw = (o.join(c, o["o_custkey"] == c["c_custkey"]).join(lines, k == F.col("l_orderkey"), "left")
+           .select(F.concat(F.lit("R"), k).alias("id"), F.concat(F.lit("P"), F.col("c_nationkey")).alias("property__id"),
+                   F.concat(F.lit("B"), F.col("o_custkey")).alias("booking_id"), F.col("o_orderstatus").alias("status"),
+                   F.when(k % 10 == 0, F.concat(F.lit("Group "), F.col("o_custkey"))).alias("group_name"),
+                   F.col("o_orderdate").alias("arrival"), "departure", (F.col("c_nationkey") % 5).alias("company__id"),
+                   F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("adults"),
+                   F.col("c_mktsegment").alias("market_segment__code"),
+                   F.when(F.col("o_orderpriority") == "5-LOW", "Parking").otherwise("BedRoom").alias("unit_group__type")))
+    companies = table(spark, sf, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("code"))
+    std = S.standardise_reservations(raw, companies, "pms", STD_PROPERTIES)
+    n = table(spark, sf, "nation")
+    props = n.select(F.concat(F.lit("P"), F.col("n_nationkey")).alias("PAS_code3"),
+                     F.concat(F.lit("F"), F.col("n_nationkey")).alias("PAS_FMTG_ID"),
+                     (F.col("n_nationkey") * 7).cast("bigint").alias("PAS_Protel_ID"),
+                     F.lit(None).cast("string").alias("PAS_GMS_ID"), (F.col("n_regionkey") != 4).alias("is_active"))
+    std = S.attach_property(std, props)
+    return std.select("reservation_id", "source", "property_id", "booking_id", "reservation_status", "group_name",
+                      "arrival_at", "departure_at", "booker_company_id", "adults_num", "room_nights", "market_segment",
+                      "guest_role", "_ptable", "property_fmtg_id", "property_protel_id")
+
+
+RELAY = ["guest.booking.com", "m.expediapartnercentral.com"]
+
+
+@register("recover_email", oracle_with("dirty") + f"""
+, w AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN concat('g', c_custkey, '@guest.booking.com')
+                          ELSE lower(trim(email)) END AS email FROM dirty),
+raw AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN concat('h', c_custkey, '@m.expediapartnercentral.com')
+                          ELSE concat('sample.', c_custkey, '@example.org') END AS raw_email
+        FROM customer WHERE c_custkey % 3 <> 0),
+ok AS (SELECT * FROM raw WHERE contains(raw_email, '@')
+         AND lower(split_part(raw_email, '@', -1)) NOT IN ('guest.booking.com', 'm.expediapartnercentral.com'))
+SELECT w.c_custkey,
+  CASE WHEN ok.c_custkey IS NOT NULL AND lower(split_part(w.email, '@', -1)) IN ('guest.booking.com', 'm.expediapartnercentral.com')
+       THEN ok.raw_email ELSE w.email END AS email
+FROM w LEFT JOIN ok ON ok.c_custkey = w.c_custkey""")
+def recover_email(spark, sf):
+    from .tables import dirty
+    k = F.col("c_custkey")
+    w = dirty(spark, sf).select("c_custkey", F.when(k % 5 == 0, F.concat(F.lit("g"), k, F.lit("@guest.booking.com")))
+                                .otherwise(F.lower(F.trim("email"))).alias("email"))
+    raw = table(spark, sf, "customer").where(k % 3 != 0).select(
+        "c_custkey", F.when(k % 10 == 0, F.concat(F.lit("h"), k, F.lit("@m.expediapartnercentral.com")))
+        .otherwise(F.concat(F.lit("sample."), k, F.lit("@example.org"))).alias("email"))
+    return S.recover_email(w, raw, "c_custkey", "email", RELAY)
