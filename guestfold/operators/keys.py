@@ -36,37 +36,46 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Order, rn_col: str | Non
     return out if rn_col else out.drop(rn)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int, limit: int = 1000) -> DataFrame:
-    """Keys holding more than ``threshold`` rows, at most ``limit`` of them (the
-    hottest first).  The result has a proven size bound (``limit`` rows), so it
-    may be broadcast; keys beyond the limit are merely not split."""
-    return (key_counts(df, keys, "__n").where(F.col("__n") > threshold)
-            .orderBy(F.col("__n").desc()).limit(limit).select(*keys))
+def hot_key_hashes(df: DataFrame, keys: Sequence[str], threshold: int, limit: int = 1000) -> list[int]:
+    """Hashes of the keys that hold more than ``threshold`` rows, hottest first,
+    at most ``limit`` of them.
+
+    Counting runs on the executors (partial aggregation on a 64-bit hash of
+    the key, which is NULL-safe, so a hot NULL key is found too); only the
+    bounded list comes back to the driver.  Two keys sharing a hash can only
+    make a cold key count as hot, which costs a little splitting and never
+    changes a result."""
+    kh = F.xxhash64(*[F.col(k) for k in keys])
+    rows = (df.groupBy(kh.alias("__kh")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > threshold)
+            .orderBy(F.col("__n").desc()).limit(limit).collect())
+    return [r["__kh"] for r in rows]
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Order, flag_col: str = "is_duplicate",
                     hot_threshold: int = 1_000_000, salt_buckets: int = 32) -> DataFrame:
     """Mark duplicates instead of removing them: the winner gets 0, the others 1.
 
-    ``order`` must be total within a key.  Skew: keys with more than
-    ``hot_threshold`` rows are split into ``salt_buckets`` sub-groups by a hash
-    of the whole row; each sub-group is ranked on its own and only the
-    sub-group heads of hot keys (at most ``1000 * salt_buckets`` rows) are
-    compared to find the winner.  Both side tables are size-bounded and
-    broadcast, so the rows are shuffled once, as for a plain window."""
-    hot = F.broadcast(hot_keys(df, keys, hot_threshold).withColumn("__hot", F.lit(True)))
-    d = df.join(hot, [df[k].eqNullSafe(hot[k]) for k in keys], "left").select(df["*"], hot["__hot"])
-    d = d.withColumn("__hot", F.coalesce("__hot", F.lit(False)))
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    d = d.withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)))
-    w = Window.partitionBy(*keys, "__salt").orderBy(*_cols(order))
-    d = d.withColumn("__rn", F.row_number().over(w))
-    heads = d.where(F.col("__hot") & (F.col("__rn") == 1))
-    win = pick_one(heads, keys, list(order) + ["__salt"]).select(
-        *[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.col("__salt").alias("__wsalt"))
-    win = F.broadcast(win)
+    ``order`` must be total within a key.  Without hot keys this is one
+    window.  Keys with more than ``hot_threshold`` rows (see
+    :func:`hot_key_hashes`) are split into ``salt_buckets`` sub-groups by a
+    hash of the whole row, so no task holds a hot key alone; the winner of a
+    hot key is found on a separate path over the hot rows only (a top-1 that
+    Spark pre-reduces in every map task), one row per hot key, and broadcast
+    back.  The rows are shuffled once in both cases."""
+    w_order = _cols(order)
+    hot = hot_key_hashes(df, keys, hot_threshold)
+    if not hot:
+        w = Window.partitionBy(*keys).orderBy(*w_order)
+        return df.withColumn(flag_col, F.when(F.row_number().over(w) == 1, 0).otherwise(1))
+    is_hot = F.xxhash64(*[F.col(k) for k in keys]).isin(hot)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    d = df.withColumn("__salt", F.when(is_hot, salt).otherwise(F.lit(-1)))
+    d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, "__salt").orderBy(*w_order)))
+    hot_rows = df.where(is_hot).withColumn("__salt", salt)
+    win = F.broadcast(pick_one(hot_rows, keys, list(order) + ["__salt"]).select(
+        *[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.col("__salt").alias("__wsalt")))
     j = d.join(win, [d[k].eqNullSafe(win[f"__w{i}"]) for i, k in enumerate(keys)], "left")
-    is_first = (F.col("__rn") == 1) & (~F.col("__hot") | (F.col("__salt") == F.col("__wsalt")))
+    is_first = (F.col("__rn") == 1) & ((F.col("__salt") == -1) | (F.col("__salt") == F.col("__wsalt")))
     return j.select(*[F.col(c) for c in df.columns],
                     F.when(F.coalesce(is_first, F.lit(False)), 0).otherwise(1).alias(flag_col))
 

@@ -18,8 +18,21 @@ AS_OF_ORDERS = "1998-08-02"
 AS_OF_EVENTS = "2024-01-15"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table ``name`` of a scale-factor folder.
+
+    The DataFrame (a plan with its file index, not data) is kept per session
+    and path: the input tables are read-only, so listing the files and reading
+    the parquet footers once is enough for every query that uses them."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 DIRTY_SQL = """SELECT c_custkey,
