@@ -188,7 +188,19 @@ def normalise_salutation(df: DataFrame, c: str = "salutation", out: str | None =
     order (dot-stripped match, multilingual exact map, "Dear ..." and German
     openers, re-dotting)."""
     out = out or c
-    return df.withColumn(out, salutation_expr(F.col(c)))
+    return df.withColumn(out, _salutation_for(df.sparkSession, c))
+
+
+_SALUTATION_CACHE: dict = {}
+
+
+def _salutation_for(spark: SparkSession, name: str) -> Column:
+    # building the rule expression costs a few hundred JVM calls; it is a pure
+    # expression over one column, so it is built once per context and name
+    key = (id(spark.sparkContext), name)
+    if key not in _SALUTATION_CACHE:
+        _SALUTATION_CACHE[key] = salutation_expr(F.col(name))
+    return _SALUTATION_CACHE[key]
 
 
 def salutation_expr(c: Column) -> Column:
