@@ -64,20 +64,21 @@ def flag_exists(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tu
                 out: str, src_filter: Column | None = None) -> DataFrame:
     """Set ``out`` = 1 when a match exists in ``src``, else 0.
 
-    ``src`` is reduced to its distinct keys first, then left-joined: no row
-    multiplication.  (AQE broadcasts the distinct keys when they are small.)"""
+    An ``EXISTS`` subquery, planned as one existence join: no distinct step,
+    no row multiplication, NULL keys never match."""
+    from .joins import exists_flag
     if src_filter is not None:
         src = src.where(src_filter)
-    if keys and isinstance(keys[0], tuple):
-        pairs = list(keys)
-    else:
-        pairs = [(k, k) for k in keys]
-    s = src.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(pairs)]).distinct() \
-        .withColumn("__hit", F.lit(1))
-    cond = [df[l_] == s[f"__k{i}"] for i, (l_, _) in enumerate(pairs)]
-    return (df.join(s, cond, "left")
-            .withColumn(out, F.coalesce(F.col("__hit"), F.lit(0)))
-            .drop("__hit", *[f"__k{i}" for i in range(len(pairs))]))
+    pairs = list(keys) if keys and isinstance(keys[0], tuple) else [(k, k) for k in keys]
+
+    def cond(o, s):
+        c = None
+        for l_, r in pairs:
+            e = s(r) == o(l_)
+            c = e if c is None else c & e
+        return c
+
+    return exists_flag(df, src, cond, out).withColumn(out, F.col(out).cast("int"))
 
 
 def replace_slice(target: DataFrame, new: DataFrame, cond: Column) -> DataFrame:

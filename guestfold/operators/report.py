@@ -137,23 +137,27 @@ def cleaning_report(df: DataFrame) -> DataFrame:
         F.count("current_opt_in").alias("opt_in_known"))
 
 
-def commercial_report(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Monthly commercial report over two source systems.
-
-    Each system is aggregated by month and dimensions, then the partial
-    results are tagged and unioned; revenue is exact decimal arithmetic."""
+def revenue_fact(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Daily revenue rows with their dimensions (the input of K4): exact decimal
+    revenue per line, order date, customer nation and segment."""
     rev = F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
-    f = (lineitem.select("l_orderkey", rev.alias("rev"))
-         .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
-         .join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
-         .withColumn("month", F.date_format("o_orderdate", "yyyy-MM")))
-    dims = ["month", "n_name", "c_mktsegment"]
-    parts = {}
-    for tag, cond in (("system_a", F.col("o_orderkey") % 2 == 0), ("system_b", F.col("o_orderkey") % 2 != 0)):
-        parts[tag] = f.where(cond).groupBy(*dims).agg(money_sum("rev", 4).cast("double").alias("revenue"),
+    return (lineitem.select("l_orderkey", rev.alias("rev"))
+            .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey")))
+
+
+def commercial_report(fact: DataFrame, date_col: str, dims: Sequence[str], rev_col: str = "rev",
+                      source_col: str = "source") -> DataFrame:
+    """Monthly commercial report over the source systems.
+
+    ``fact`` holds the revenue rows of all systems, tagged in ``source_col``
+    (``union_tagged`` builds it from separate sources).  One aggregation by
+    source, month and dimensions: one shuffle of partial aggregates, however
+    many systems there are.  Revenue is summed exactly."""
+    month = F.date_format(date_col, "yyyy-MM").alias("month")
+    return fact.groupBy(source_col, month, *dims).agg(money_sum(rev_col, 4).cast("double").alias("revenue"),
                                                       F.count(F.lit(1)).alias("n_lines"))
-    return union_tagged(parts).select("source", *dims, "revenue", "n_lines")
 
 
 def occupancy_daily(lineitem: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:

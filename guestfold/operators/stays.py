@@ -151,91 +151,20 @@ def room_nights(status, category, is_sharer, nights) -> Column:
 def import_sets(df: DataFrame, new: DataFrame, key: str, ts: str, status: str, as_of: str, since: str,
                 history_status: str) -> DataFrame:
     """Import sets (R10): history, future, future without a match in the new
-    extract (anti join), and rows changed since a date (join + null-safe
-    difference).  A row can belong to several sets; the result is
-    ``key, import_set``."""
-    cut = F.to_timestamp_ntz(F.lit(as_of))
-    hist = df.where((F.col(ts) <= cut) & (F.col(status) == history_status)).select(key, F.lit("history").alias("import_set"))
-    fut = df.where(F.col(ts) > cut)
-    future = fut.select(key, F.lit("future").alias("import_set"))
-    unmatched = fut.join(new.select(key), key, "left_anti").select(key, F.lit("future_unmatched").alias("import_set"))
-    n2 = new.select(F.col(key), F.col(status).alias("__new_status"))
-    changed = (df.where(F.col(ts) >= F.to_timestamp_ntz(F.lit(since))).join(n2, key)
-               .where(~F.col(status).eqNullSafe(F.col("__new_status")))
-               .select(key, F.lit("changed_since").alias("import_set")))
-    return hist.unionByName(future).unionByName(unmatched).unionByName(changed)
-
-
-#: Raw reservation field -> standard reservation column.
-RAW_RESERVATION_FIELDS = {
-    "id": "reservation_id", "property__id": "property_id", "booking_id": "booking_id",
-    "status": "reservation_status", "arrival": "arrival_at", "departure": "departure_at", "created": "booking_at",
-    "check_in_time": "checkin_at", "check_out_time": "checkout_at", "cancellation_time": "cancelled_at",
-    "no_show_time": "noshow_at", "market_segment__code": "market_segment", "channel_code": "market_channel",
-    "rate_plan__code": "rate_plan_code", "adults": "adults_num", "children": "children_num",
-    "unit_group__code": "unit_group_code", "travel_purpose": "travel_purpose", "external_code": "external_code",
-    "primary_guest__first_name": "first_name", "primary_guest__middle_initial": "middle_name",
-    "primary_guest__last_name": "last_name", "primary_guest__email": "email", "primary_guest__title": "salutation",
-    "primary_guest__gender": "gender", "primary_guest__preferred_language": "preferred_language",
-    "primary_guest__address__address_line1": "address", "primary_guest__address__city": "city",
-    "primary_guest__address__postal_code": "postal_code", "primary_guest__address__country_code": "country",
-    "primary_guest__phone": "phone", "primary_guest__birth_place": "birth_place",
-    "primary_guest__nationality_country_code": "nationality",
-}
+    extract, and rows changed since a date (null-safe status difference).
 
-
-def standardise_reservations(raw: DataFrame, companies: DataFrame, source: str,
-                             properties: Sequence[str] | None = None, unit_type: str = "BedRoom") -> DataFrame:
-    """Reservations from a raw PMS extract in the standard shape.
-
-    Only rows of the room unit type (and of the listed properties, when given)
-    are taken; the booker company code comes from a left join; the group label
-    joins booking id and group name; nights are calendar days, 0 unless the
-    departure is after the arrival.  Raw fields that the extract lacks become
-    typed NULLs, and the target-only columns start as NULL."""
-    from ..functions.columns import nights
-    df = raw.where(F.col("unit_group__type") == unit_type)
-    if properties is not None:
-        df = df.where(F.col("property__id").isin(list(properties)))
-    com = companies.select(F.col("id").alias("__cid"), F.col("code").alias("booker_company_id"))
-    df = df.join(com, df["company__id"] == com["__cid"], "left")
-    present = set(raw.columns)
-    cols = [(F.col(r) if r in present else F.lit(None).cast("string")).alias(s)
-            for r, s in RAW_RESERVATION_FIELDS.items()]
-    out = df.select(*cols, "booker_company_id",
-                    F.when(F.col("group_name").isNotNull(),
-                           F.concat(F.col("booking_id"), F.lit(" | "), F.col("group_name"))).alias("group_name"),
-                    (F.to_date("primary_guest__birth_date") if "primary_guest__birth_date" in present
-                     else F.lit(None).cast("date")).alias("birth_date"))
-    return out.select(
-        "*", F.lit("reservation").alias("_ptable"), F.lit(source).alias("source"), F.lit("PRIMARY").alias("guest_role"),
-        nights("arrival_at", "departure_at").cast("long").alias("room_nights"),
-        *[F.lit(None).cast(t).alias(c) for c, t in [
-            ("row_id", "long"), ("cluster_id", "long"), ("property_fmtg_id", "string"), ("property_protel_id", "long"),
-            ("revenue_room", "decimal(18,4)"), ("revenue_fnb", "decimal(18,4)"), ("revenue_extra", "decimal(18,4)"),
-            ("revenue_total", "decimal(18,4)"), ("sf_property_id", "string")]])
-
-
-def attach_property(df: DataFrame, props: DataFrame, key: str = "property_id", code_col: str = "PAS_code3",
-                    sets: dict | None = None, active_col: str = "is_active") -> DataFrame:
-    """Property attributes and target property id from the property table
-    (R5): a keyed update from active properties only (M2).  The property table
-    is a dimension (one row per property) and is reduced to one row per code."""
-    from .change import update_from
-    sets = sets or {"property_fmtg_id": "PAS_FMTG_ID", "property_protel_id": "PAS_Protel_ID",
-                    "sf_property_id": "PAS_GMS_ID"}
-    p = props.withColumnRenamed(code_col, key)
-    return update_from(df, p, [key], {t: F.col("src_" + s).cast(df.schema[t].dataType) for t, s in sets.items()},
-                       where=F.coalesce(F.col("src_" + active_col), F.lit(False)))
-
-
-def recover_email(df: DataFrame, raw: DataFrame, key: str, email: str, relay_domains: Sequence[str]) -> DataFrame:
-    """Replace relay addresses of booking channels with the guest's own address
-    from the raw copy (R7), when the raw copy has one that is not a relay."""
-    from .change import update_from
-
-    def relay(c):
-        return F.lower(F.substring_index(F.col(c), "@", -1)).isin([d.lower() for d in relay_domains])
-
-    r = raw.select(key, F.col(email).alias("__raw_email")).where(F.col("__raw_email").contains("@") & ~relay("__raw_email"))
-    return update_from(df, r, [key], {email: "src___raw_email"}, where=relay(email))
+    One left join with the new extract and one pass: every row gets the array
+    of the sets it belongs to, exploded to ``key, import_set`` (a row can be in
+    several sets)."""
+    cut = F.to_timestamp_ntz(F.lit(as_of))
+    n2 = new.select(F.col(key), F.col(status).alias("__new_status"), F.lit(True).alias("__in_new"))
+    j = df.join(n2, key, "left")
+    in_new = F.coalesce(F.col("__in_new"), F.lit(False))
+    fut = F.col(ts) > cut
+    sets = F.array(
+        F.when((F.col(ts) <= cut) & (F.col(status) == history_status), F.lit("history")),
+        F.when(fut, F.lit("future")),
+        F.when(fut & ~in_new, F.lit("future_unmatched")),
+        F.when((F.col(ts) >= F.to_timestamp_ntz(F.lit(since))) & in_new
+               & ~F.col(status).eqNullSafe(F.col("__new_status")), F.lit("changed_since")))
+    return j.select(key, F.explode(F.filter(sets, lambda x: x.isNotNull())).alias("import_set"))

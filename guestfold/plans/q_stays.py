@@ -165,7 +165,10 @@ SELECT source, month, n_name, c_mktsegment, CAST(sum(rev) AS DOUBLE) AS revenue,
 FROM f GROUP BY 1, 2, 3, 4""")
 def commercial_report(spark, sf):
     t = {n: table(spark, sf, n) for n in ["lineitem", "orders", "customer", "nation"]}
-    return REP.commercial_report(t["lineitem"], t["orders"], t["customer"], t["nation"])
+    fact = REP.revenue_fact(t["lineitem"], t["orders"], t["customer"], t["nation"])
+    # proxy for two systems: the two halves of the orders, tagged in one pass
+    fact = fact.withColumn("source", F.when(F.col("o_orderkey") % 2 == 0, "system_a").otherwise("system_b"))
+    return REP.commercial_report(fact, "o_orderdate", ["n_name", "c_mktsegment"])
 
 
 OCC_SQL = """SELECT 'pms' AS source, CAST(l_shipdate AS DATE) AS day, count(*) AS room_nights,
