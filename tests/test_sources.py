@@ -93,3 +93,47 @@ def test_segment_and_purpose_maps(spark):
     df = spark.createDataFrame([("Agent/FIT", "Repeater"), ("Account", None), ("odd", "Other")], "s string, p string")
     got = [(r.a, r.b) for r in df.select(S.normalise_segment("s").alias("a"), S.normalise_purpose("p").alias("b")).collect()]
     assert got == [("FIT", "Leisure"), ("OTHERS", "Other"), ("odd", None)]
+
+
+def test_standardise_and_attach_property(spark):
+    raw = spark.createDataFrame(
+        [("r1", "P1", "b1", "G", "2024-01-01 00:00:00", "2024-01-04 10:00:00", 0, "BedRoom"),
+         ("r2", "P2", "b2", None, "2024-01-05 00:00:00", "2024-01-04 00:00:00", 9, "BedRoom"),
+         ("r3", "P1", "b3", None, "2024-01-05 00:00:00", None, 0, "Parking")],
+        "id string, property__id string, booking_id string, group_name string, arrival string, departure string, "
+        "company__id int, unit_group__type string") \
+        .withColumn("arrival", F.to_timestamp_ntz("arrival")).withColumn("departure", F.to_timestamp_ntz("departure"))
+    comp = spark.createDataFrame([(0, "ACME")], "id int, code string")
+    std = S.standardise_reservations(raw, comp, "pms")
+    got = {r.reservation_id: (r.group_name, r.room_nights, r.booker_company_id) for r in std.collect()}
+    assert got == {"r1": ("b1 | G", 3, "ACME"), "r2": (None, 0, None)}
+    props = spark.createDataFrame([("P1", "F1", 7, "a01", True), ("P2", "F2", 8, "a02", False)],
+                                  "PAS_code3 string, PAS_FMTG_ID string, PAS_Protel_ID long, PAS_GMS_ID string, is_active boolean")
+    att = {r.reservation_id: (r.property_fmtg_id, r.property_protel_id, r.sf_property_id)
+           for r in S.attach_property(std, props).collect()}
+    assert att == {"r1": ("F1", 7, "a01"), "r2": (None, None, None)}
+
+
+def test_recover_email_only_relay(spark):
+    df = spark.createDataFrame([(1, "x@guest.booking.com"), (2, "own@mail.org"), (3, "y@guest.booking.com")],
+                               "k int, email string")
+    raw = spark.createDataFrame([(1, "real@mail.org"), (2, "other@mail.org"), (3, "z@m.expediapartnercentral.com")],
+                                "k int, email string")
+    got = {r.k: r.email for r in S.recover_email(df, raw, "k", "email", ["guest.booking.com",
+                                                                          "m.expediapartnercentral.com"]).collect()}
+    assert got == {1: "real@mail.org", 2: "own@mail.org", 3: "y@guest.booking.com"}
+
+
+def test_infer_from_name(spark):
+    from guestfold.functions.cleaning import infer_from_name
+    rows = [(i, "Anna", "Female") for i in range(9)] + [(9, "Anna", "Male"), (10, " anna ", None), (11, "Kim", None)]
+    df = spark.createDataFrame(rows, "id int, fname string, gender string")
+    got = {r.id: r.gender for r in infer_from_name(df, "fname", "gender", 5, 0.8).collect()}
+    assert got[10] == "Female" and got[11] is None and got[9] == "Male"
+
+
+def test_flag_in_window_overlapping_windows(spark):
+    df = spark.createDataFrame([(1, 5), (1, 50), (2, 7), (3, 1)], "k int, ts int")
+    w = spark.createDataFrame([(1, 0, 10), (1, 3, 8), (2, 8, None)], "k int, lo int, hi int")
+    got = sorted(tuple(r) for r in J.flag_in_window(df, w, "k", "ts", "lo", "hi", "inside").collect())
+    assert got == [(1, 5, 1), (1, 50, 0), (2, 7, 0), (3, 1, 0)]
