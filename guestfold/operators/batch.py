@@ -167,3 +167,20 @@ def archive(work: DataFrame, batch_id: str, as_of: str, change_type: str, change
             .withColumn("version_at", F.to_timestamp_ntz(F.lit(as_of))))
     rest = work.where(~F.coalesce(done, F.lit(False)))
     return hist, rest
+
+
+def composite_request(df: DataFrame, key: str, parts: Sequence[tuple[str, str, str, Mapping[str, Column | str]]],
+                      all_or_none: bool = True) -> DataFrame:
+    """Composite request payload per row (S17): ``{"allOrNone": .., "compositeRequest": [sub, ...]}``
+    where each sub-request is ``(method, url, referenceId, body)``.
+
+    Sub-request bodies have different shapes, so each is rendered with
+    ``to_json`` on its own (NULL fields left out) and the array is assembled
+    as text; the result is valid JSON."""
+    subs = []
+    for method, url, ref, body in parts:
+        b = F.struct(*[col(v).alias(k) for k, v in body.items()])
+        subs.append(F.to_json(F.struct(F.lit(method).alias("method"), F.lit(url).alias("url"),
+                                       F.lit(ref).alias("referenceId"), b.alias("body"))))
+    head = '{"allOrNone":' + ("true" if all_or_none else "false") + ',"compositeRequest":['
+    return df.select(F.col(key), F.concat(F.lit(head), F.concat_ws(",", *subs), F.lit("]}")).alias("payload"))

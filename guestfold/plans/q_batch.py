@@ -162,3 +162,32 @@ def claim_mark_archive(spark, sf):
     work2 = B.mark_processed(work, ok, "row_id", AS_OF_ORDERS)
     hist, _rest = B.archive(work2, "B1", AS_OF_ORDERS, "update", "bulk")
     return hist.select("row_id", "_processed_at", "change_type", "change_source", "version_at")
+
+
+PREF_URL = "/services/data/v60.0/sobjects/Preferences__c"
+
+
+@register("composite_payload", """
+WITH f AS (SELECT o.o_custkey, o.o_orderpriority, o.o_totalprice, l.max_qty FROM orders o
+           JOIN (SELECT l_orderkey, max(l_quantity) AS max_qty FROM lineitem GROUP BY 1) l ON l.l_orderkey = o.o_orderkey),
+t AS (SELECT DISTINCT o_custkey, 'Urgent Booker' AS preference_name, 'Booking Style' AS preference_category,
+        'PREF001' AS external_id FROM f WHERE o_orderpriority = '1-URGENT'
+      UNION SELECT DISTINCT o_custkey, 'Large Party', 'Family', 'PREF002' FROM f WHERE max_qty >= 45)
+SELECT concat(o_custkey, '-', external_id) AS pref_key,
+  '{"allOrNone":true,"compositeRequest":[{"method":"POST","url":' || to_json('""" + PREF_URL + """')
+  || ',"referenceId":"refPreferences","body":{"Name":' || to_json(preference_name)
+  || ',"Category__c":' || to_json(preference_category) || ',"Contact__c":' || to_json(concat('003', o_custkey))
+  || ',"ExternalID__c":' || to_json(external_id) || ',"IsActive__c":true,"SourceSystem__c":"tpch"}}]}' AS payload
+FROM t""")
+def composite_payload(spark, sf):
+    from ..operators.stays import preference_tags
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("max_qty"))
+    f = o.join(li, o["o_orderkey"] == li["l_orderkey"])
+    tags = preference_tags(f, "o_custkey", [("Urgent Booker", "Booking Style", "PREF001", F.col("o_orderpriority") == "1-URGENT"),
+                                            ("Large Party", "Family", "PREF002", F.col("max_qty") >= 45)], "tpch")
+    tags = tags.withColumn("pref_key", F.concat_ws("-", "o_custkey", "external_id"))
+    body = {"Name": "preference_name", "Category__c": "preference_category",
+            "Contact__c": F.concat(F.lit("003"), F.col("o_custkey")), "ExternalID__c": "external_id",
+            "IsActive__c": F.lit(True), "SourceSystem__c": "source_system"}
+    return B.composite_request(tags, "pref_key", [("POST", PREF_URL, "refPreferences", body)])
