@@ -197,10 +197,11 @@ _SALUTATION_CACHE: dict = {}
 def _salutation_for(spark: SparkSession, name: str) -> Column:
     # building the rule expression costs a few hundred JVM calls; it is a pure
     # expression over one column, so it is built once per context and name
-    key = (id(spark.sparkContext), name)
-    if key not in _SALUTATION_CACHE:
-        _SALUTATION_CACHE[key] = salutation_expr(F.col(name))
-    return _SALUTATION_CACHE[key]
+    sc = spark.sparkContext
+    hit = _SALUTATION_CACHE.get(name)
+    if hit is None or hit[0] is not sc:
+        hit = _SALUTATION_CACHE[name] = (sc, salutation_expr(F.col(name)))
+    return hit[1]
 
 
 def salutation_expr(c: Column) -> Column:
