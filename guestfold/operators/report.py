@@ -27,22 +27,24 @@ def ratio_pct(cond: Column, scale: int = 2) -> Column:
 
 
 def length_profile(df: DataFrame, limits: Mapping[str, Sequence[int]]) -> DataFrame:
-    """Max character length and over-limit counts per column, one pass.
+    """Max length in characters and in bytes (MySQL ``CHAR_LENGTH`` vs
+    ``LENGTH``) and over-limit counts per column, one pass (G17, F8).
 
-    Result: one row per column: ``column, max_len, over_<n>...`` via ``stack``."""
+    Result: one row per column: ``column, max_len, max_bytes, over_<n>...``."""
     aggs = []
     for c, lims in limits.items():
         aggs.append(F.max(F.char_length(c)).alias(f"{c}__max"))
+        aggs.append(F.max(F.octet_length(c)).alias(f"{c}__bytes"))
         for n in lims:
             aggs.append(F.count_if(F.char_length(c) > n).alias(f"{c}__over_{n}"))
     wide = df.agg(*aggs)
     all_lims = sorted({n for lims in limits.values() for n in lims})
     rows = []
     for c, lims in limits.items():
-        vals = [F.lit(c), F.col(f"{c}__max").cast("bigint")]
+        vals = [F.lit(c), F.col(f"{c}__max").cast("bigint"), F.col(f"{c}__bytes").cast("bigint")]
         vals += [F.col(f"{c}__over_{n}").cast("bigint") if n in lims else F.lit(None).cast("bigint") for n in all_lims]
         rows.append(vals)
-    names = ["column", "max_len"] + [f"over_{n}" for n in all_lims]
+    names = ["column", "max_len", "max_bytes"] + [f"over_{n}" for n in all_lims]
     return wide.select(F.inline(F.array(*[F.struct(*[v.alias(nm) for v, nm in zip(r, names)]) for r in rows])))
 
 

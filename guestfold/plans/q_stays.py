@@ -264,15 +264,17 @@ def fill_rates(spark, sf):
 
 
 @register("length_profile", """
-SELECT 'p_name' AS "column", CAST(max(length(p_name)) AS BIGINT) AS max_len, count_if(length(p_name) > 10) AS over_10,
+SELECT 'p_name' AS "column", CAST(max(length(p_name)) AS BIGINT) AS max_len,
+  CAST(max(strlen(p_name)) AS BIGINT) AS max_bytes, count_if(length(p_name) > 10) AS over_10,
   CAST(NULL AS BIGINT) AS over_255, CAST(NULL AS BIGINT) AS over_1000 FROM part
 UNION ALL
-SELECT 'text', CAST(max(length(text)) AS BIGINT), count_if(length(text) > 10), count_if(length(text) > 255),
+SELECT 'text', CAST(max(length(text)) AS BIGINT), CAST(max(strlen(text)) AS BIGINT), count_if(length(text) > 10),
+  count_if(length(text) > 255),
   count_if(length(text) > 1000) FROM documents""")
 def length_profile(spark, sf):
     p = REP.length_profile(table(spark, sf, "part"), {"p_name": [10]})
     d = REP.length_profile(table(spark, sf, "documents"), {"text": [10, 255, 1000]})
-    return p.select("column", "max_len", "over_10", F.lit(None).cast("bigint").alias("over_255"),
+    return p.select("column", "max_len", "max_bytes", "over_10", F.lit(None).cast("bigint").alias("over_255"),
                     F.lit(None).cast("bigint").alias("over_1000")).unionByName(d)
 
 
