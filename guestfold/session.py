@@ -24,6 +24,26 @@ DEFAULT_CONF = {
 }
 
 
+#: Settings for a large cluster (about 100 TB of input, 1000 executors); pass
+#: them as ``extra`` or in the submit configuration.  Shuffles start with many
+#: partitions and AQE coalesces them to about ``advisoryPartitionSizeInBytes``
+#: each, so a partition never has to hold more than a few hundred MB; skewed
+#: join partitions above 5x the median (and 512 MB) are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "50000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "guestfold", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with :data:`DEFAULT_CONF` applied.
