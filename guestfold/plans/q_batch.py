@@ -100,8 +100,8 @@ def batch_outcome(spark, sf):
 
 
 @register("batch_summary", OUTCOME_SQL + """
-SELECT batch_no, count(*) AS n_sent, count_if(failure_reason IS NULL) AS n_ok,
-  count_if(failure_reason IS NOT NULL) AS n_failed FROM r GROUP BY batch_no""")
+SELECT batch_no, count(*) AS n_sent, count(*) FILTER (WHERE failure_reason IS NULL) AS n_ok,
+  count(*) FILTER (WHERE failure_reason IS NOT NULL) AS n_failed FROM r GROUP BY batch_no""")
 def batch_summary(spark, sf):
     return B.batch_summary(_outcomes(spark, sf), "batch_no")
 

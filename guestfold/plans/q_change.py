@@ -38,8 +38,8 @@ def upsert_actions(spark, sf):
 
 
 @register("change_counts", oracle_with("orders_new") + f"""
-SELECT {", ".join(f"CAST(count_if(t.{c} IS DISTINCT FROM s.{c}) AS BIGINT) AS changed_{c}" for c in UPSERT_COLS)},
-  CAST(count_if({_differs_sql(UPSERT_COLS)}) AS BIGINT) AS changed_rows
+SELECT {", ".join(f"CAST(count(*) FILTER (WHERE t.{c} IS DISTINCT FROM s.{c}) AS BIGINT) AS changed_{c}" for c in UPSERT_COLS)},
+  CAST(count(*) FILTER (WHERE {_differs_sql(UPSERT_COLS)}) AS BIGINT) AS changed_rows
 FROM orders t JOIN orders_new s ON s.o_orderkey = t.o_orderkey""")
 def change_counts(spark, sf):
     return C.change_counts(_orders(spark, sf), orders_new(spark, sf), UPSERT_KEYS, UPSERT_COLS)

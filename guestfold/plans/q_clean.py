@@ -295,11 +295,11 @@ def name_in_email(spark, sf):
 
 @register("cleaning_report", oracle_with("dirty") + """
 SELECT count(*) AS total,
-  count_if(fname IS NULL) AS null_fname,
-  count_if(lname IS NULL OR trim(lname) = '') AS blank_lname,
-  count_if(email IS NULL OR trim(email) = '') AS blank_email,
-  count_if(fname = upper(fname) AND fname <> lower(fname)) AS all_caps_fname,
-  count_if(lower(trim(bounce)) IN ('1', 'true', 'yes', 'y', 'hard', 'soft', 'bounce')) AS bounced,
+  count(*) FILTER (WHERE fname IS NULL) AS null_fname,
+  count(*) FILTER (WHERE lname IS NULL OR trim(lname) = '') AS blank_lname,
+  count(*) FILTER (WHERE email IS NULL OR trim(email) = '') AS blank_email,
+  count(*) FILTER (WHERE fname = upper(fname) AND fname <> lower(fname)) AS all_caps_fname,
+  count(*) FILTER (WHERE lower(trim(bounce)) IN ('1', 'true', 'yes', 'y', 'hard', 'soft', 'bounce')) AS bounced,
   CAST(sum(CAST(current_opt_in = 'Yes' AS INTEGER)) AS BIGINT) AS opted_in,
   count(current_opt_in) AS opt_in_known
 FROM dirty""")

@@ -90,7 +90,7 @@ def object_pages(spark, sf):
 
 
 @register("save_modes", """
-SELECT count(*) AS n_rows, count_if(value IS NULL) AS n_null_value, count(props) AS n_props_json,
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null_value, count(props) AS n_props_json,
   count(*) AS rows_first_write, 'error' AS second_fail_write, count(*) AS rows_append, count(*) AS rows_replace,
   'error' AS empty_write
 FROM (SELECT CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value, props FROM events) t""")

@@ -127,7 +127,7 @@ def import_sets(spark, sf):
 
 
 @register("conditional_nights", """
-WITH l AS (SELECT l_orderkey, count_if(l_quantity < 5) AS kids, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
+WITH l AS (SELECT l_orderkey, count(*) FILTER (WHERE l_quantity < 5) AS kids, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
 b AS (SELECT o.o_orderkey, coalesce(l.kids, 0) AS children_num,
         CASE WHEN l.last_ship > o.o_orderdate THEN date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.last_ship AS DATE))
              ELSE 0 END AS nights,
@@ -173,11 +173,11 @@ def commercial_report(spark, sf):
 
 OCC_SQL = """SELECT 'pms' AS source, CAST(l_shipdate AS DATE) AS day, count(*) AS room_nights,
     CAST(sum(l_quantity) AS BIGINT) AS bed_nights, count(DISTINCT l_orderkey) AS adults,
-    count_if(l_quantity < 5) AS children
+    count(*) FILTER (WHERE l_quantity < 5) AS children
   FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1, 2
 UNION ALL
-SELECT 'web', CAST(ts AS DATE), count_if(event_type = 'purchase'), count(*), count(DISTINCT user_id),
-    count_if(event_type = 'signup')
+SELECT 'web', CAST(ts AS DATE), count(*) FILTER (WHERE event_type = 'purchase'), count(*), count(DISTINCT user_id),
+    count(*) FILTER (WHERE event_type = 'signup')
   FROM events GROUP BY 1, 2"""
 
 
@@ -223,8 +223,8 @@ def two_system_codes(spark, sf):
 
 
 @register("ratio_by_period", """
-SELECT year(o_orderdate) AS year, count(*) AS n,
-  round(CAST(count_if(o_orderstatus = 'F') AS DOUBLE) * 100.0 / count(*), 2) AS pct_finished
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n,
+  round(CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) * 100.0 / count(*), 2) AS pct_finished
 FROM orders GROUP BY 1""")
 def ratio_by_period(spark, sf):
     o = table(spark, sf, "orders")
@@ -233,7 +233,8 @@ def ratio_by_period(spark, sf):
 
 
 @register("year_month_counts", """
-SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1, 2""")
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n
+FROM orders GROUP BY 1, 2""")
 def year_month_counts(spark, sf):
     o = table(spark, sf, "orders")
     return o.groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")) \
@@ -250,12 +251,12 @@ def object_counts(spark, sf):
 @register("fill_rates", oracle_with("dirty") + """
 SELECT field, filled, total, round(CAST(filled AS DOUBLE) * 100.0 / total, 2) AS pct FROM (
   SELECT count(*) AS total,
-    count_if(fname IS NOT NULL AND trim(fname) <> '') AS fname,
-    count_if(lname IS NOT NULL AND trim(lname) <> '') AS lname,
-    count_if(email IS NOT NULL AND trim(email) <> '') AS email,
-    count_if(cell_phone IS NOT NULL AND trim(cell_phone) <> '') AS cell_phone,
-    count_if(birth_text IS NOT NULL AND trim(birth_text) <> '') AS birth_text,
-    count_if(country IS NOT NULL AND trim(country) <> '') AS country
+    count(*) FILTER (WHERE fname IS NOT NULL AND trim(fname) <> '') AS fname,
+    count(*) FILTER (WHERE lname IS NOT NULL AND trim(lname) <> '') AS lname,
+    count(*) FILTER (WHERE email IS NOT NULL AND trim(email) <> '') AS email,
+    count(*) FILTER (WHERE cell_phone IS NOT NULL AND trim(cell_phone) <> '') AS cell_phone,
+    count(*) FILTER (WHERE birth_text IS NOT NULL AND trim(birth_text) <> '') AS birth_text,
+    count(*) FILTER (WHERE country IS NOT NULL AND trim(country) <> '') AS country
   FROM dirty) t
 UNPIVOT (filled FOR field IN (fname, lname, email, cell_phone, birth_text, country))""")
 def fill_rates(spark, sf):
@@ -265,12 +266,12 @@ def fill_rates(spark, sf):
 
 @register("length_profile", """
 SELECT 'p_name' AS "column", CAST(max(length(p_name)) AS BIGINT) AS max_len,
-  CAST(max(strlen(p_name)) AS BIGINT) AS max_bytes, count_if(length(p_name) > 10) AS over_10,
+  CAST(max(strlen(p_name)) AS BIGINT) AS max_bytes, count(*) FILTER (WHERE length(p_name) > 10) AS over_10,
   CAST(NULL AS BIGINT) AS over_255, CAST(NULL AS BIGINT) AS over_1000 FROM part
 UNION ALL
-SELECT 'text', CAST(max(length(text)) AS BIGINT), CAST(max(strlen(text)) AS BIGINT), count_if(length(text) > 10),
-  count_if(length(text) > 255),
-  count_if(length(text) > 1000) FROM documents""")
+SELECT 'text', CAST(max(length(text)) AS BIGINT), CAST(max(strlen(text)) AS BIGINT), count(*) FILTER (WHERE length(text) > 10),
+  count(*) FILTER (WHERE length(text) > 255),
+  count(*) FILTER (WHERE length(text) > 1000) FROM documents""")
 def length_profile(spark, sf):
     p = REP.length_profile(table(spark, sf, "part"), {"p_name": [10]})
     d = REP.length_profile(table(spark, sf, "documents"), {"text": [10, 255, 1000]})

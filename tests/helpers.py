@@ -43,3 +43,21 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
+
+
+def spark_family(t: str) -> str:
+    t = t.lower()
+    if t.startswith("decimal"):
+        return "decimal"
+    return {"int": "int32", "bigint": "int64", "smallint": "int16", "tinyint": "int8", "double": "float64",
+            "float": "float32", "string": "string", "boolean": "bool", "date": "date",
+            "timestamp_ntz": "timestamp", "timestamp": "timestamp_tz"}.get(t, t)
+
+
+def duck_family(t) -> str:
+    t = str(t).upper()
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    return {"INTEGER": "int32", "BIGINT": "int64", "HUGEINT": "int128", "SMALLINT": "int16", "TINYINT": "int8",
+            "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date",
+            "TIMESTAMP": "timestamp", "TIMESTAMP WITH TIME ZONE": "timestamp_tz"}.get(t, t)

@@ -4,7 +4,7 @@
 import pytest
 
 import __spark_entry__ as E
-from helpers import canon, duck
+from helpers import canon, duck, duck_family, spark_family
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
@@ -35,3 +35,6 @@ def test_query_matches_oracle(spark, sf_dir, con, key):
     assert sorted(sdf.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert canon(sdf.columns, s_rows) == canon(d_cols, d_rows)
+    s_types = {f.name: spark_family(f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {n: duck_family(t) for n, t in zip(d_cols, con.sql(ORACLES[key]).types)}
+    assert s_types == d_types
