@@ -34,25 +34,42 @@ SALUTATION_PASS1 = {
 #: Placeholder salutations (compared upper-cased and trimmed) -> NULL.
 SALUTATION_GARBAGE = ["N/A", "NA", "NONE", "NULL", "TEST", "XXX", "-", "."]
 
-#: Salutation pass 2: exact match on the trimmed value.  ``None`` = NULL.
-SALUTATION_EXACT = {
-    "Mr": ["Mr.", "Mr", "Mister", "Sir", "Sr", "Herr", "Herrn", "herrn", "Signore", "Signor",
-           "Sig.", "Gospodin", "Gdin", "gospodine", "Pán", "Pan", "Monsieur", "M."],
-    "Mrs": ["Mrs.", "Mrs", "Missus", "Frau", "Signora", "Sig.ra", "Gospoda", "Gospođa", "Gđa",
-            "Gđa.", "Gospdja", "Gospodja", "Gda", "Pani", "Madame", "Mme", "Mme."],
-    "Ms": ["Ms.", "Ms", "Mz"],
-    "Miss": ["Miss", "Miss.", "Signorina", "Gospodica", "Gospodjica", "Gospođica"],
-    "Dr": ["Dr.", "Dr", "Doctor", "Dott.", "Dott", "Herr Dr.", "Herr Dr", "Frau Dr.", "Frau Dr"],
-    "Prof": ["Prof.", "Prof", "Professor", "Herr Prof.", "Herr Prof"],
-    "Ing": ["Ing.", "Ing", "DI", "D.I.", "Pan Ing.", "Herr Ing.", "Herr Ing", "Herr DI", "Herr D.I."],
-    "Mag": ["Mag.", "Mag", "Herr Mag.", "Herr Mag", "Frau Mag.", "Frau Mag"],
-    "Family": ["Family", "Familie", "Obitelj", "Famiglia", "Rodina"],
-    None: ["Ladies and Gentlemen", "Ladies and", "Sirs", "Sehr geehr", "Liebe", "Lieber",
-           "Liebe Anna", "Lieber Max", "Poštovani", "Poštovana", "Egregio Si", "Egregia Si",
-           "Gentile Si", "G.", "CHD"],
-}
-#: Prefixes (LIKE 'p%') that mean Family in pass 2.
-SALUTATION_FAMILY_PREFIXES = ["Dear Famil", "Gentile Fa"]
+#: Salutation pass 2, in order: ``(result, kind, values)`` on the trimmed
+#: value; ``kind`` "in" = exact match, "prefix" = starts with (``LIKE 'p%'``);
+#: ``None`` = NULL.  (One named opener of the original list is left out: it
+#: holds a person's name.)
+SALUTATION_RULES = [
+    ("Mr", "in", ["Mr.", "Mr", "Mister", "Sir", "Sr"]),
+    ("Mr", "in", ["Herr", "Herrn", "Herr ", "herrn"]),
+    ("Mr", "in", ["Signore", "Signor", "Sig."]),
+    ("Mr", "in", ["Gospodin", "Gdin", "gospodine"]),
+    ("Mr", "in", ["Pán", "Pan"]),
+    ("Mr", "in", ["Monsieur", "M."]),
+    ("Mrs", "in", ["Mrs.", "Mrs", "Missus"]),
+    ("Mrs", "in", ["Frau", "Frau "]),
+    ("Mrs", "in", ["Signora", "Sig.ra"]),
+    ("Mrs", "in", ["Gospoda", "Gospođa", "Gđa", "Gđa.", "Gospdja", "Gospodja", "Gda"]),
+    ("Mrs", "in", ["Pani"]),
+    ("Mrs", "in", ["Madame", "Mme", "Mme."]),
+    ("Ms", "in", ["Ms.", "Ms", "Mz"]),
+    ("Miss", "in", ["Miss", "Miss."]),
+    ("Miss", "in", ["Signorina"]),
+    ("Miss", "in", ["Gospodica", "Gospodjica", "Gospođica"]),
+    ("Dr", "in", ["Dr.", "Dr", "Doctor", "Dott.", "Dott"]),
+    ("Prof", "in", ["Prof.", "Prof", "Professor"]),
+    ("Ing", "in", ["Ing.", "Ing", "DI", "D.I.", "Pan Ing."]),
+    ("Mag", "in", ["Mag.", "Mag"]),
+    ("Family", "in", ["Family", "Familie", "Obitelj", "Famiglia", "Rodina"]),
+    ("Family", "prefix", ["Dear Famil"]),
+    ("Family", "prefix", ["Gentile Fa"]),
+    ("Dr", "in", ["Herr Dr.", "Herr Dr"]),
+    ("Dr", "in", ["Frau Dr.", "Frau Dr"]),
+    ("Prof", "in", ["Herr Prof.", "Herr Prof"]),
+    ("Mag", "in", ["Herr Mag.", "Herr Mag", "Frau Mag.", "Frau Mag"]),
+    ("Ing", "in", ["Herr Ing.", "Herr Ing", "Herr DI", "Herr D.I."]),
+    (None, "in", ["Ladies and Gentlemen", "Ladies and", "Sirs", "Sehr geehr", "Liebe", "Lieber", "Liebe Anna",
+                  "Lieber Max", "Poštovani", "Poštovana", "Egregio Si", "Egregia Si", "Gentile Si", "G.", "CHD"]),
+]
 #: "Dear ..." pass: (regex, result) in order; last rule turns any other "Dear " into NULL.
 SALUTATION_DEAR = [
     (r"^Dear Mrs\.?\s?", "Mrs"),
@@ -148,12 +165,9 @@ def salutation_pass1(c: Column) -> Column:
 def salutation_pass2(c: Column) -> Column:
     t = F.trim(c)
     out = F.when(F.lit(False), F.lit(None))
-    for canon, keys in SALUTATION_EXACT.items():
-        if canon == "Family":
-            out = out.when(_in(t, keys), F.lit(canon))
-            out = out.when(any_of(t.startswith(p) for p in SALUTATION_FAMILY_PREFIXES), F.lit("Family"))
-        else:
-            out = out.when(_in(t, keys), F.lit(canon).cast("string"))
+    for result, kind, values in SALUTATION_RULES:
+        hit = _in(t, values) if kind == "in" else any_of(t.startswith(v) for v in values)
+        out = out.when(hit, F.lit(result).cast("string"))
     out = out.when(_in(F.upper(t), SALUTATION_GARBAGE), F.lit(None).cast("string"))
     return out.otherwise(c)
 

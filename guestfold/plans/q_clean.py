@@ -108,11 +108,12 @@ def _salutation_sql(src: str = "salutation") -> str:
         for canon, keys in N.SALUTATION_PASS1.items()) + \
         f" WHEN upper(trim({s})) IN {in_list(N.SALUTATION_GARBAGE)} THEN NULL ELSE {s} END"
     parts = []
-    for canon, keys in N.SALUTATION_EXACT.items():
-        parts.append(f"WHEN trim({s}) IN {in_list(keys)} THEN {q(canon)}")
-        if canon == "Family":
-            parts.append("WHEN " + " OR ".join(f"starts_with(trim({s}), {q(p)})" for p in N.SALUTATION_FAMILY_PREFIXES)
-                         + " THEN 'Family'")
+    for result, kind, values in N.SALUTATION_RULES:
+        if kind == "in":
+            parts.append(f"WHEN trim({s}) IN {in_list(values)} THEN {q(result)}")
+        else:
+            parts.append("WHEN " + " OR ".join(f"starts_with(trim({s}), {q(v)})" for v in values)
+                         + f" THEN {q(result)}")
     p2 = "CASE " + " ".join(parts) + f" WHEN upper(trim({s})) IN {in_list(N.SALUTATION_GARBAGE)} THEN NULL ELSE {s} END"
     dear = (f"CASE WHEN NOT ({s} LIKE 'Dear %') THEN {s} "
             f"WHEN regexp_matches({s}, '^Dear Mr[s]?\\.?\\s') AND NOT regexp_matches({s}, 'Mrs') THEN 'Mr' "
