@@ -14,7 +14,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .columns import any_of, blank_to_null, col, is_blank, let, literal_map
+from .columns import any_of, blank_to_null, col, is_blank, let
 
 # =============================================================================
 # Fixed values.  These must equal the reference's lists for equal results;

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import joins as J
 from ..operators.change import flag_exists as flag_exists_op, update_from
 from ..operators.identity import backfill_unique as backfill_op, match_rules as match_op, party_type
-from ..operators.keys import key_counts, pick_one
+from ..operators.keys import key_counts
 from .registry import register
 from .tables import allowances, oracle_with, orders_new, table
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..operators import report as REP
 from ..operators import stays as S
-from ..operators.joins import keep_matching, keep_missing
 from .registry import register
 from .tables import AS_OF_ORDERS, allowances, oracle_with, orders_new, table
 
