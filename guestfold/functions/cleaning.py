@@ -365,18 +365,21 @@ def normalise_country(df: DataFrame, c: str = "country", variants: DataFrame | N
                       out: str | None = None) -> DataFrame:
     """Country to ISO-2 (N7, and N8 with a citizenship table).
 
-    ``variants`` (``variant``, ``code``) is joined on the trimmed value with a
-    broadcast: its size is the size of the code list, not of the data.  A
+    ``variants`` (``variant``, ``code``) is joined on the trimmed value; the
+    first row per variant counts, so the join never multiplies rows.  A
     listed variant gives its code (NULL = unresolvable); otherwise a trimmed
     two-letter upper-case value passes; anything else is kept for review.
     """
     out = out or c
-    if variants is None:
+    builtin = variants is None
+    if builtin:
         variants = code_table(df.sparkSession, COUNTRY_VARIANTS)
     v = variants.select(F.col("variant").alias("__v"), F.col("code").alias("__code"),
-                        F.lit(True).alias("__hit"))
+                        F.lit(True).alias("__hit")).dropDuplicates(["__v"])
+    # the built-in list has a size fixed by this module: broadcast it; a table
+    # passed in is sized by AQE at run time (broadcast only under the threshold)
     t = F.trim(F.col(c))
-    j = df.join(F.broadcast(v), t == F.col("__v"), "left")
+    j = df.join(F.broadcast(v) if builtin else v, t == F.col("__v"), "left")
     res = (F.when(F.col("__hit"), F.col("__code"))
            .when(t.rlike("^[A-Z]{2}$"), t)
            .otherwise(F.col(c)))
