@@ -365,8 +365,9 @@ def normalise_country(df: DataFrame, c: str = "country", variants: DataFrame | N
                       out: str | None = None) -> DataFrame:
     """Country to ISO-2 (N7, and N8 with a citizenship table).
 
-    ``variants`` (``variant``, ``code``) is joined on the trimmed value; the
-    first row per variant counts, so the join never multiplies rows.  A
+    ``variants`` (``variant``, ``code``, optional ``rank``) is joined on the
+    trimmed value; one row per variant is kept (the lowest ``rank``, i.e. the
+    first rule, when given), so the join never multiplies rows.  A
     listed variant gives its code (NULL = unresolvable); otherwise a trimmed
     two-letter upper-case value passes; anything else is kept for review.
     """
@@ -374,8 +375,12 @@ def normalise_country(df: DataFrame, c: str = "country", variants: DataFrame | N
     builtin = variants is None
     if builtin:
         variants = code_table(df.sparkSession, COUNTRY_VARIANTS)
-    v = variants.select(F.col("variant").alias("__v"), F.col("code").alias("__code"),
-                        F.lit(True).alias("__hit")).dropDuplicates(["__v"])
+    if "rank" in variants.columns:
+        from ..operators.keys import pick_one
+        variants = pick_one(variants, ["variant"], ["rank"])
+    else:
+        variants = variants.dropDuplicates(["variant"])
+    v = variants.select(F.col("variant").alias("__v"), F.col("code").alias("__code"), F.lit(True).alias("__hit"))
     # the built-in list has a size fixed by this module: broadcast it; a table
     # passed in is sized by AQE at run time (broadcast only under the threshold)
     t = F.trim(F.col(c))
@@ -418,3 +423,11 @@ def infer_from_name(df: DataFrame, name: str, attr: str, min_n: int, min_ratio:
     j = df.join(dom, key == dom["__name"], "left")
     empty = F.col(attr).isNull() | (F.col(attr) == "")
     return j.withColumn(out, F.when(empty, F.col("__dom")).otherwise(F.col(attr))).drop("__name", "__dom")
+
+
+def normalise_citizenship(df: DataFrame, table: DataFrame, c: str = "citizenship", out: str | None = None) -> DataFrame:
+    """Citizenship to ISO-2 (N8): the country rule with the citizenship code
+    list (``variant``, ``code``, ``rank``): the lowest rank per variant wins,
+    so a key listed twice keeps its first mapping (SURVEY §8 Q8).  The list is
+    a parameter: its ~370 entries are data, not code."""
+    return normalise_country(df, c, variants=table, out=out)

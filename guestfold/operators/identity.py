@@ -147,3 +147,9 @@ def attach_ids(df: DataFrame, accounts: DataFrame, key: tuple[str, str], cols: S
         ok = party_type(F.col(id_col)) == "Account"
         j = j.withColumns({c: F.when(ok, F.col(c)) for c in cols})
     return j
+
+
+def enrolment_date(*candidates) -> Column:
+    """Enrolment date fallback (D6): the first known of the candidates, e.g.
+    programme start, first transaction, record creation."""
+    return F.coalesce(*[F.to_date(col(c)) for c in candidates])

@@ -135,3 +135,14 @@ def test_flag_duplicates_hot_null_key(spark):
     assert winners == [(1, 1), (2, 1)]
     nulls = out.where("k IS NULL")
     assert nulls.where("is_duplicate = 0").count() == 1 and nulls.where("is_duplicate = 0").first().v == 0
+
+
+def test_citizenship_and_enrolment_fallback(spark):
+    from guestfold.functions.cleaning import normalise_citizenship
+    df = spark.createDataFrame([("Austrian",), ("HR",), ("Bri",)], "citizenship string")
+    tbl = spark.createDataFrame([("Austrian", "AT", 1), ("Bri", "GB", 2), ("Bri", "BR", 3)],
+                                "variant string, code string, rank int")
+    got = sorted(r.citizenship for r in normalise_citizenship(df, tbl).collect())
+    assert got == ["AT", "GB", "HR"]
+    d = spark.createDataFrame([(None, "2024-01-03", "2023-05-01")], "s string, t string, c string")
+    assert str(d.select(I.enrolment_date("s", "t", "c").alias("e")).first().e) == "2024-01-03"
