@@ -75,3 +75,13 @@ def test_clean_columns_collision(spark):
     with pytest.raises(ValueError):
         IO.clean_columns(df)
     assert IO.clean_column_name("  First  Name ") == "first_name"
+
+
+def test_write_batch_files(spark):
+    df = spark.createDataFrame([(1, "a", 1, 1), (2, None, 2, 1), (3, "c", 3, 2)],
+                               "Id long, Name string, seq long, batch_no long")
+    lines = B.bulk_csv_lines(df, "Id", "batch_no", "seq", 2)
+    path = IO.scratch_dir(spark, "t-batches")
+    B.write_batch_files(lines, path)
+    b1 = [r.value for r in spark.read.text(f"{path}/batch_no=1").collect()]
+    assert b1 == ["Id,Name", "1,a", "2,"]
