@@ -67,26 +67,30 @@ def csv_load(spark, sf):
 
 
 @register("object_pages", """
-SELECT CAST(n_nationkey AS VARCHAR) AS Id, n_name AS Name, CAST(n_regionkey AS VARCHAR) AS RegionId,
-  (SELECT count(*) FROM nation) AS total_size
-FROM nation WHERE n_nationkey % 10 <> 9""")
+SELECT CAST(c_custkey AS VARCHAR) AS Id, c_name AS Name, CAST(c_nationkey AS VARCHAR) AS NationId,
+  (SELECT count(*) FROM customer) AS total_size
+FROM customer WHERE c_custkey % 10 <> 9""")
 def object_pages(spark, sf):
+    """Customers landed as object-API pages of 10 records (the shape a paging
+    client writes: ``totalSize``, ``done``, ``records`` with ``attributes``),
+    read back with a declared schema, flattened and filtered by the extract
+    spec (deleted records dropped)."""
     d = IO.scratch_dir(spark, "pages")
-    n = table(spark, sf, "nation")
-    rec = F.struct(F.struct(F.lit("Nation").alias("type"),
-                            F.concat(F.lit("/obj/"), F.col("n_nationkey")).alias("url")).alias("attributes"),
-                   F.col("n_nationkey").cast("string").alias("Id"), F.col("n_name").alias("Name"),
-                   F.col("n_regionkey").cast("string").alias("RegionId"),
-                   (F.col("n_nationkey") % 10 == 9).alias("IsDeleted"))
-    total = n.select(F.count(F.lit(1))).scalar()
-    # pages hold at most 10 records each: the grouping key bounds every group
-    pages = n.groupBy((F.col("n_nationkey") / 10).cast("int").alias("page")).agg(
+    c = table(spark, sf, "customer")
+    rec = F.struct(F.struct(F.lit("Account").alias("type"),
+                            F.concat(F.lit("/obj/"), F.col("c_custkey")).alias("url")).alias("attributes"),
+                   F.col("c_custkey").cast("string").alias("Id"), F.col("c_name").alias("Name"),
+                   F.col("c_nationkey").cast("string").alias("NationId"),
+                   (F.col("c_custkey") % 10 == 9).alias("IsDeleted"))
+    total = c.select(F.count(F.lit(1))).scalar()
+    # a page holds at most 10 records: the grouping key bounds every group
+    pages = c.groupBy(F.floor(F.col("c_custkey") / 10).alias("page")).agg(
         F.collect_list(rec).alias("records")).select(total.alias("totalSize"), F.lit(True).alias("done"), "records")
     pages.write.mode("overwrite").json(f"{d}/pages")
-    record = T.StructType([T.StructField(c, t) for c, t in [("Id", T.StringType()), ("Name", T.StringType()),
-                                                            ("RegionId", T.StringType()), ("IsDeleted", T.BooleanType())]])
+    record = T.StructType([T.StructField(n, t) for n, t in [("Id", T.StringType()), ("Name", T.StringType()),
+                                                            ("NationId", T.StringType()), ("IsDeleted", T.BooleanType())]])
     flat = OBJ.flatten_object_pages(OBJ.read_object_pages(spark, f"{d}/pages", record))
-    return OBJ.select_spec(flat, "Account", columns=["Id", "Name", "RegionId", "total_size"])
+    return OBJ.select_spec(flat, "Account", columns=["Id", "Name", "NationId", "total_size"])
 
 
 @register("save_modes", """
