@@ -228,3 +228,9 @@ def money_sum(c: ColumnOrName, scale: int = 4) -> Column:
     raises under ANSI mode instead of wrapping."""
     unscaled = (col(c).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
     return (F.sum(unscaled).cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
+
+
+def utc_wall_clock(c: ColumnOrName) -> Column:
+    """An instant (``timestamp``) as its UTC wall-clock time (``timestamp_ntz``),
+    the same whatever the session time zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(c).cast("timestamp_ntz"))

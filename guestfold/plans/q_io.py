@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import utc_wall_clock
 from ..operators import batch as B
 from ..operators.report import object_counts
 from ..sources import files as IO
@@ -63,7 +64,7 @@ def csv_load(spark, sf):
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{d}/in"))
     df = IO.clean_columns(IO.read_delimited(spark, f"{d}/in", sep=";"))
     df = IO.cast_on_load(df, ["modified"])
-    return df.withColumn("modified", F.col("modified").cast("timestamp_ntz"))
+    return df.withColumn("modified", utc_wall_clock("modified"))
 
 
 @register("object_pages", """
