@@ -1,8 +1,8 @@
 """Cleaning and normalisation of people data.
 
-Column-level rules are plain expressions; the larger code lists are small
-DataFrames joined with ``broadcast`` (their size is bounded by this module,
-never by the data).  Comparisons use *intent mode*: explicit ``lower(trim())``
+Column-level rules are plain expressions.  Longer code lists are small
+DataFrames joined on the value: the built-in lists are broadcast (their size
+is fixed by this module), lists passed in as parameters are sized by AQE.  Comparisons use *intent mode*: explicit ``lower(trim())``
 and binary equality (see SURVEY §1.4); pass ``collation`` where an operator
 offers it to get the case/accent-insensitive behaviour instead.
 """

@@ -5,7 +5,10 @@ Skew policy: a single key may hold a third of all rows.  Counting per key is
 always a ``groupBy`` (partial aggregation before the shuffle), joined back to
 the rows instead of a window over the whole group, so no task ever buffers a
 hot group.  ``pick_one`` uses ``row_number() == 1`` which Spark turns into a
-``WindowGroupLimit`` that keeps one row per key *before* the shuffle.
+``WindowGroupLimit`` that keeps one row per key *before* the shuffle.  The one
+operator that must rank every row of a group, ``flag_duplicates``, splits hot
+keys into salted sub-groups.  ``assign_sequence`` numbers rows globally
+without a single-partition step.
 """
 
 from __future__ import annotations
