@@ -2,9 +2,12 @@
 
 Column-level rules are plain expressions.  Longer code lists are small
 DataFrames joined on the value: the built-in lists are broadcast (their size
-is fixed by this module), lists passed in as parameters are sized by AQE.  Comparisons use *intent mode*: explicit ``lower(trim())``
-and binary equality (see SURVEY §1.4); pass ``collation`` where an operator
-offers it to get the case/accent-insensitive behaviour instead.
+is fixed by this module), lists passed in as parameters are sized by AQE.
+
+Comparisons use *intent mode*: explicit ``lower(trim())`` and binary equality
+(SURVEY §1.4).  The key operators (joins, semi/anti joins, grouping, pick-one,
+duplicates, flags) take ``collation="UTF8_LCASE"`` or ``"UNICODE_CI_AI"`` for
+the case/accent-insensitive comparison of the original tables instead.
 """
 
 from __future__ import annotations

@@ -234,3 +234,15 @@ def utc_wall_clock(c: ColumnOrName) -> Column:
     """An instant (``timestamp``) as its UTC wall-clock time (``timestamp_ntz``),
     the same whatever the session time zone is."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(c).cast("timestamp_ntz"))
+
+
+def key_col(df, name: str, collation: str | None = None) -> Column:
+    """A comparison key of ``df``: the column itself (intent mode), or, for a
+    string column, the column under a collation such as ``UTF8_LCASE`` or
+    ``UNICODE_CI_AI`` (fidelity mode: case/accent-insensitive equality,
+    grouping and joins, SURVEY §1.4)."""
+    from pyspark.sql.types import StringType
+    c = df[name]
+    if collation and isinstance(df.schema[name].dataType, StringType):
+        return F.collate(c, collation)
+    return c

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import not_true
 from .keys import pick_one
@@ -61,7 +62,7 @@ def fill_from(df: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence
 
 
 def flag_exists(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
-                out: str, src_filter: Column | None = None) -> DataFrame:
+                out: str, src_filter: Column | None = None, collation: str | None = None) -> DataFrame:
     """Set ``out`` = 1 when a match exists in ``src``, else 0.
 
     An ``EXISTS`` subquery, planned as one existence join: no distinct step,
@@ -71,10 +72,15 @@ def flag_exists(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tu
         src = src.where(src_filter)
     pairs = list(keys) if keys and isinstance(keys[0], tuple) else [(k, k) for k in keys]
 
+    def coll(c, name, side):
+        if collation and isinstance(side.schema[name].dataType, StringType):
+            return F.collate(c, collation)
+        return c
+
     def cond(o, s):
         c = None
         for l_, r in pairs:
-            e = s(r) == o(l_)
+            e = coll(s(r), r, src) == coll(o(l_), l_, df)
             c = e if c is None else c & e
         return c
 

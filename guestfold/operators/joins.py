@@ -14,40 +14,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import key_col
 from .keys import pick_one
 
 
 def join_on(a: DataFrame, b: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]], how: str = "inner",
-            extra: Column | None = None) -> DataFrame:
+            extra: Column | None = None, collation: str | None = None) -> DataFrame:
     """Equi join on one or more keys, optionally with a residual predicate.
 
     ``keys`` are shared column names, or ``(left, right)`` pairs for differing
     names.  A residual such as ``a.x <> b.x`` stays a join condition, so the
-    physical join is still keyed."""
-    if keys and isinstance(keys[0], tuple):
-        cond = [a[l_] == b[r] for l_, r in keys]
-        if extra is not None:
-            cond.append(extra)
-        return a.join(b, cond, how)
-    if extra is None:
+    physical join is still keyed.  ``collation`` compares string keys
+    case/accent-insensitively (shared key columns then come from ``a``)."""
+    pairs = list(keys) if keys and isinstance(keys[0], tuple) else None
+    if pairs is None and extra is None and collation is None:
         return a.join(b, list(keys), how)
-    cond = [a[k] == b[k] for k in keys] + [extra]
-    return a.join(b, cond, how)
-
-
-def keep_matching(a: DataFrame, b: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]]) -> DataFrame:
+    pairs = pairs or [(k, k) for k in keys]
+    cond = [key_col(a, l_, collation) == key_col(b, r, collation) for l_, r in pairs]
+    if extra is not None:
+        cond.append(extra)
+    out = a.join(b, cond, how)
+    shared = [r for l_, r in pairs if l_ == r]
+    if shared and how not in ("left_semi", "semi", "left_anti", "anti"):
+        out = out.select(*[a[c] for c in a.columns], *[b[c] for c in b.columns if c not in shared])
+    return out
+
+
+def keep_matching(a: DataFrame, b: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
+                  collation: str | None = None) -> DataFrame:
     """Rows of ``a`` with at least one match in ``b`` (EXISTS / IN, J6 J7): a
     left-semi join, so matches never multiply rows."""
-    return join_on(a, b, keys, "left_semi")
+    return join_on(a, b, keys, "left_semi", collation=collation)
 
 
 def keep_missing(a: DataFrame, b: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
-                 b_filter: Column | None = None) -> DataFrame:
+                 b_filter: Column | None = None, collation: str | None = None) -> DataFrame:
     """Rows of ``a`` without a match in ``b`` (NOT EXISTS, LEFT JOIN .. IS NULL,
     J8-J10).  ``b_filter`` restricts the right side first (J10)."""
     if b_filter is not None:
         b = b.where(b_filter)
-    return join_on(a, b, keys, "left_anti")
+    return join_on(a, b, keys, "left_anti", collation=collation)
 
 
 def interval_join(df: DataFrame, windows: DataFrame, key: str | tuple[str, str], ts: str, lo: str,

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import key_col
 from ..session import checkpoint_dir
 
 Order = Sequence[Column | str]
@@ -27,13 +28,14 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def pick_one(df: DataFrame, keys: Sequence[str], order: Order, rn_col: str | None = None) -> DataFrame:
+def pick_one(df: DataFrame, keys: Sequence[str], order: Order, rn_col: str | None = None,
+             collation: str | None = None) -> DataFrame:
     """One row per key by a multi-level priority order.
 
     ``order`` must be total within a key (end it with a unique column) so the
     result is deterministic.  NULL keys form their own group, as in SQL.
-    """
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
+    ``collation`` groups string keys case/accent-insensitively."""
+    w = Window.partitionBy(*[key_col(df, k, collation) for k in keys]).orderBy(*_cols(order))
     rn = rn_col or "__rn"
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1)
     return out if rn_col else out.drop(rn)
@@ -83,28 +85,30 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Order, flag_col:
                     F.when(F.coalesce(is_first, F.lit(False)), 0).otherwise(1).alias(flag_col))
 
 
-def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n", collation: str | None = None) -> DataFrame:
     """Rows per key (partial aggregation, skew-safe)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(*[key_col(df, k, collation).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias(name))
 
 
-def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
+def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size",
+                    collation: str | None = None) -> DataFrame:
     """Attach the number of rows sharing the key (J16) without a window over the
     group: counts are aggregated first and joined back.  NULL keys are counted
     as one group and joined null-safely."""
-    counts = key_counts(df, keys, name)
-    cond = [df[k].eqNullSafe(counts[k]) for k in keys]
+    counts = key_counts(df, keys, name, collation)
+    cond = [key_col(df, k, collation).eqNullSafe(counts[k]) for k in keys]
     return df.join(counts, cond, "inner").select(df["*"], counts[name])
 
 
-def drop_all_duplicated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def drop_all_duplicated(df: DataFrame, keys: Sequence[str], collation: str | None = None) -> DataFrame:
     """Remove *every* row whose key occurs more than once (M7); rows with a
     NULL key part are kept, since NULL never equals NULL."""
     non_null = F.lit(True)
     for k in keys:
         non_null = non_null & F.col(k).isNotNull()
-    dup_keys = key_counts(df.where(non_null), keys).where(F.col("n") > 1).select(*keys)
-    return df.join(dup_keys, list(keys), "left_anti")
+    dup_keys = key_counts(df.where(non_null), keys, collation=collation).where(F.col("n") > 1).select(*keys)
+    cond = [key_col(df, k, collation) == dup_keys[k] for k in keys]
+    return df.join(dup_keys, cond, "left_anti")
 
 
 def where_group_size(df: DataFrame, keys: Sequence[str], bands: Sequence[tuple[int, int | None]],

@@ -83,3 +83,22 @@ def test_rollup_levels(spark):
     got = rows(out, "level", "t", "p", "n", "users")
     assert (2, None, None, 3, 2) in got and (1, "x", None, 2, 2) in got and (0, "y", "am", 1, 1) in got
     assert len(got) == 6
+
+
+def test_collation_fidelity_mode(spark):
+    from guestfold.operators import joins as J
+    from guestfold.operators.change import flag_exists
+    a = spark.createDataFrame([("ANNA", 1), ("Jörg", 2), ("anna", 3)], "name string, id int")
+    b = spark.createDataFrame([("anna",), ("jorg",)], "name string")
+    assert J.keep_matching(a, b, ["name"]).count() == 1                              # intent mode: binary
+    assert J.keep_matching(a, b, ["name"], collation="UTF8_LCASE").count() == 2      # case-insensitive
+    assert J.keep_matching(a, b, ["name"], collation="UNICODE_CI_AI").count() == 3   # and accent-insensitive
+    assert J.keep_missing(a, b, ["name"], collation="UNICODE_CI_AI").count() == 0
+    assert K.drop_all_duplicated(a, ["name"], collation="UTF8_LCASE").count() == 1
+    assert K.pick_one(a, ["name"], ["id"], collation="UTF8_LCASE").count() == 2
+    sizes = {r.id: r.group_size for r in K.with_group_size(a, ["name"], collation="UTF8_LCASE").collect()}
+    assert sizes == {1: 2, 2: 1, 3: 2}
+    got = {r.id: r.hit for r in flag_exists(a, b, ["name"], "hit", collation="UTF8_LCASE").collect()}
+    assert got == {1: 1, 2: 0, 3: 1}
+    j = J.join_on(a, b.withColumn("x", F.lit(1)), ["name"], "left", collation="UTF8_LCASE")
+    assert sorted(j.columns) == ["id", "name", "x"] and j.count() == 3
