@@ -10,8 +10,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from guestfold.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4, app_name="guestfold-tests")
+    # tests only: a scratch warehouse for the bucketed-table test
+    s = build_session("local[4]", shuffle_partitions=4, app_name="guestfold-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="guestfold-wh-")})
     yield s
     s.stop()
 

@@ -137,3 +137,20 @@ def test_flag_in_window_overlapping_windows(spark):
     w = spark.createDataFrame([(1, 0, 10), (1, 3, 8), (2, 8, None)], "k int, lo int, hi int")
     got = sorted(tuple(r) for r in J.flag_in_window(df, w, "k", "ts", "lo", "hi", "inside").collect())
     assert got == [(1, 5, 1), (1, 50, 0), (2, 7, 0), (3, 1, 0)]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
+    from guestfold.operators.change import upsert
+    from guestfold.plans.tables import orders_new, table
+    cols = ["o_custkey", "o_orderstatus", "o_totalprice"]
+    t = IO.write_bucketed(table(spark, sf_dir, "orders").select("o_orderkey", *cols), "wk_orders_old", ["o_orderkey"], 8)
+    n = IO.write_bucketed(orders_new(spark, sf_dir).select("o_orderkey", *cols), "wk_orders_new", ["o_orderkey"], 8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = upsert(t, n, ["o_orderkey"], cols, "2024-01-01")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert out.count() >= t.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
