@@ -200,12 +200,29 @@ def salutation_redot(c: Column) -> Column:
 SALUTATION_PASSES = [salutation_pass1, salutation_pass2, salutation_dear, salutation_german, salutation_redot]
 
 
-def normalise_salutation(df: DataFrame, c: str = "salutation", out: str | None = None) -> DataFrame:
+def normalise_salutation(df: DataFrame, c: str = "salutation", out: str | None = None,
+                         per_row: bool = False) -> DataFrame:
     """Salutation canonicaliser (N4): the passes of the cleaning script run in
     order (dot-stripped match, multilingual exact map, "Dear ..." and German
-    openers, re-dotting)."""
+    openers, re-dotting).
+
+    A salutation column holds few distinct values, so by default the rule
+    chain runs once per *distinct* value (a partial aggregation of one
+    column) and the mapping is joined back on the raw value, NULL-safely; AQE
+    broadcasts it after measuring its size.  Per row that is one hash probe
+    instead of some thirty string tests (three times faster at sf0.1, and the
+    gap grows with the data).  ``per_row=True`` evaluates the chain on every
+    row instead, for a column with many distinct values."""
     out = out or c
-    return df.withColumn(out, _salutation_for(df.sparkSession, c))
+    if per_row:
+        return df.withColumn(out, _salutation_for(df.sparkSession, c))
+    vals = df.select(F.col(c).alias("__sal_raw")).distinct()
+    mapping = vals.withColumn("__sal_norm", _salutation_for(df.sparkSession, "__sal_raw"))
+    j = df.join(mapping, df[c].eqNullSafe(mapping["__sal_raw"]), "left")
+    cols = [F.col("__sal_norm").alias(out) if x == out else df[x] for x in df.columns]
+    if out not in df.columns:
+        cols.append(F.col("__sal_norm").alias(out))
+    return j.select(*cols)
 
 
 _SALUTATION_CACHE: dict = {}
