@@ -40,3 +40,14 @@ def test_filters_pushed_to_scan(spark, sf_dir):
 def test_projection_prunes_columns(spark, sf_dir):
     p = plan_text(QUERIES["survivor_per_key"](spark, sf_dir))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderpriority:string>" in p
+
+
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - SKIP))
+def test_single_partition_only_over_aggregates(spark, sf_dir, key):
+    """Where rows meet in one partition it is always the output of an
+    aggregation (global totals, per-partition counts), never row data."""
+    lines = plan_text(QUERIES[key](spark, sf_dir)).splitlines()
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:
+            below = lines[i + 1] if i + 1 < len(lines) else ""
+            assert "Aggregate" in below, f"{key}: {line.strip()} over {below.strip()}"
