@@ -33,11 +33,14 @@ def shared_identity(df: DataFrame, email: str, birth: str, name_cols: Sequence[s
 
 
 def loyalty_pick(df: DataFrame, key: str, ts: str, value: str, tie: str, floor: str = "1900-01-01") -> DataFrame:
-    """Loyalty row per member (D5): latest transaction first (missing dates sort
-    as ``floor``), then the highest value, then the tie column."""
+    """Loyalty row per member (D5): latest transaction first (a missing date
+    counts as ``floor``), then the most points (missing = 0), then the tie
+    column descending.  The "forced" variant of the scripts is the same pick
+    over a subset (``keep_matching`` with the mapping list, no status filter)
+    applied with ``fill_from``, i.e. only where the member id is still empty."""
     last = F.coalesce(F.col(ts), F.to_timestamp_ntz(F.lit(floor + " 00:00:00")))
     d = df.withColumn("last_ts", last)
-    return pick_one(d, [key], [F.col("last_ts").desc(), F.col(value).desc_nulls_last(), F.col(tie).desc()])
+    return pick_one(d, [key], [F.col("last_ts").desc(), F.coalesce(F.col(value), F.lit(0)).desc(), F.col(tie).desc()])
 
 
 def member_number(c, offset: int) -> Column:

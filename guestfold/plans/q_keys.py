@@ -191,7 +191,7 @@ def level_totals(spark, sf):
 SELECT user_id, event_id, last_ts, value, event_type, CAST(user_id + 900000 AS BIGINT) AS member_number FROM (
   SELECT user_id, event_id, coalesce(ts, TIMESTAMP '1900-01-01') AS last_ts, value, event_type,
     row_number() OVER (PARTITION BY user_id
-      ORDER BY coalesce(ts, TIMESTAMP '1900-01-01') DESC, value DESC NULLS LAST, event_id DESC) AS rn
+      ORDER BY coalesce(ts, TIMESTAMP '1900-01-01') DESC, coalesce(value, 0) DESC, event_id DESC) AS rn
   FROM events WHERE event_type IN ('purchase', 'signup') AND ts <= TIMESTAMP '{AS_OF_EVENTS} 23:59:59') t
 WHERE rn = 1""")
 def loyalty_pick(spark, sf):
