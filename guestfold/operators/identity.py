@@ -156,3 +156,29 @@ def enrolment_date(*candidates) -> Column:
     """Enrolment date fallback (D6): the first known of the candidates, e.g.
     programme start, first transaction, record creation."""
     return F.coalesce(*[F.to_date(col(c)) for c in candidates])
+
+
+#: Source systems by survivor priority (lower wins; others rank 2).
+SURVIVOR_SOURCE_RANK = {"gms": 0, "protel": 1, "apaleo": 1}
+#: Matching-rule bins by priority (lower wins; others rank 2).
+SURVIVOR_RULE_RANK = {1: 0, 0: 1}
+
+
+def survivors(df: DataFrame, cluster: str = "cluster_id", source: str = "source", source_id: str = "source_id",
+              complete: str = "complete_fields", rule_bin: str = "_rule_bin",
+              required: tuple[str, ...] = ("cluster_first_name", "cluster_last_name", "cluster_email"),
+              rule_bins: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """Survivor record per identity cluster (D1): among candidates with a
+    cluster id, the required cluster name/e-mail fields and an accepted rule
+    bin, the best source system wins, then the most complete record, then the
+    better rule bin, then source and source id (a total order).  The clusters
+    themselves come from upstream."""
+    from ..functions.columns import literal_map
+    src_rank = F.coalesce(F.try_element_at(literal_map({k: str(v) for k, v in SURVIVOR_SOURCE_RANK.items()}),
+                                           F.col(source)).cast("int"), F.lit(2))
+    bin_rank = F.coalesce(F.try_element_at(F.create_map(*sum([[F.lit(k), F.lit(v)] for k, v in SURVIVOR_RULE_RANK.items()], [])),
+                                           F.col(rule_bin)), F.lit(2))
+    cand = df.where(F.col(cluster).isNotNull() & F.col(rule_bin).isin(list(rule_bins)))
+    for r in required:
+        cand = cand.where(F.col(r).isNotNull())
+    return pick_one(cand, [cluster], [src_rank, F.col(complete).desc(), bin_rank, F.col(source).asc(), F.col(source_id).asc()])

@@ -31,5 +31,5 @@ QUERY_IDS = {
     "propagate_keys": "D2", "build_import": "D12 D19 B3", "optouts": "C4", "consent_records": "C5",
     "missing_consents": "C3", "conditional_nights": "K5 R13", "parameterised_query": "S1 S13 S15",
     "backup_copy": "S5 S11 S12", "rejects_and_maps": "S18 S19 B10", "csv_load": "S2 S3 S4",
-    "object_pages": "S6 S7", "save_modes": "S8 S9 S10", "anti_events_users": "J7 J8",
+    "object_pages": "S6 S7", "identity_survivors": "D1 W1", "save_modes": "S8 S9 S10", "anti_events_users": "J7 J8",
 }

@@ -132,3 +132,34 @@ def missing_consents(spark, sf):
                                                           F.lit("Newsletter Coast").alias("name"))
     out = CS.missing_consents(optin, cpe, have, "email", "cp_email", "cp_id", "cp", "name", "consent_name")
     return out.select("email", "consent_name", "cp_id")
+
+
+CANDIDATES_SQL = """SELECT o_custkey AS cluster_id,
+  CASE o_orderkey % 4 WHEN 0 THEN 'gms' WHEN 1 THEN 'protel' WHEN 2 THEN 'apaleo' ELSE 'other' END AS source,
+  CAST(o_orderkey AS VARCHAR) AS source_id,
+  CAST(o_orderkey % 5 AS INTEGER) AS complete_fields, CAST(o_orderkey % 3 AS INTEGER) AS _rule_bin,
+  d.fname AS cluster_first_name, d.lname AS cluster_last_name, d.email AS cluster_email
+FROM orders JOIN dirty d ON d.c_custkey = o_custkey"""
+
+
+@register("identity_survivors", oracle_with("dirty") + f"""
+, c AS ({CANDIDATES_SQL})
+SELECT cluster_id, source, source_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY
+      CASE source WHEN 'gms' THEN 0 WHEN 'protel' THEN 1 WHEN 'apaleo' THEN 1 ELSE 2 END,
+      complete_fields DESC, CASE _rule_bin WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END, source, source_id) AS rn
+  FROM c WHERE cluster_id IS NOT NULL AND _rule_bin IN (0, 1) AND cluster_first_name IS NOT NULL
+    AND cluster_last_name IS NOT NULL AND cluster_email IS NOT NULL) t
+WHERE rn = 1""")
+def identity_survivors(spark, sf):
+    """D1 with the original priority rules on order-derived candidates."""
+    d = dirty(spark, sf).select("c_custkey", F.col("fname").alias("cluster_first_name"),
+                                F.col("lname").alias("cluster_last_name"), F.col("email").alias("cluster_email"))
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("cluster_id"),
+        F.when(k % 4 == 0, "gms").when(k % 4 == 1, "protel").when(k % 4 == 2, "apaleo").otherwise("other").alias("source"),
+        k.cast("string").alias("source_id"), (k % 5).cast("int").alias("complete_fields"),
+        (k % 3).cast("int").alias("_rule_bin"))
+    cand = o.join(d, o["cluster_id"] == d["c_custkey"]).drop("c_custkey")
+    return I.survivors(cand).select("cluster_id", "source", "source_id")

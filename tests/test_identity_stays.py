@@ -146,3 +146,14 @@ def test_citizenship_and_enrolment_fallback(spark):
     assert got == ["AT", "GB", "HR"]
     d = spark.createDataFrame([(None, "2024-01-03", "2023-05-01")], "s string, t string, c string")
     assert str(d.select(I.enrolment_date("s", "t", "c").alias("e")).first().e) == "2024-01-03"
+
+
+def test_survivors_priority(spark):
+    rows = [(1, "apaleo", "a1", 4, 1, "A", "B", "e"), (1, "gms", "g1", 2, 0, "A", "B", "e"),
+            (2, "protel", "p1", 3, 0, "A", "B", "e"), (2, "apaleo", "a2", 3, 1, "A", "B", "e"),
+            (3, "gms", "g3", 5, 2, "A", "B", "e"), (3, "other", "o3", 1, 1, "A", "B", "e"),
+            (4, "gms", "g4", 5, 1, None, "B", "e"), (None, "gms", "gx", 9, 1, "A", "B", "e")]
+    df = spark.createDataFrame(rows, "cluster_id long, source string, source_id string, complete_fields int, "
+                                     "_rule_bin int, cluster_first_name string, cluster_last_name string, cluster_email string")
+    got = {r.cluster_id: r.source_id for r in I.survivors(df).collect()}
+    assert got == {1: "g1", 2: "a2", 3: "o3"}
