@@ -243,3 +243,23 @@ def recover_email(df: DataFrame, raw: DataFrame, key: str, email: str, relay_dom
 
     r = raw.select(key, F.col(email).alias("__raw_email")).where(F.col("__raw_email").contains("@") & ~relay("__raw_email"))
     return update_from(df, r, [key], {email: "src___raw_email"}, where=relay(email))
+
+
+#: Rate plans of apartment owners (not guest stays).
+OWNER_RATE_PLANS = ["OWN", "APP", "APPET"]
+
+
+def reservation_exclusion_rules(overlap_col: str = "_overlapped") -> list[tuple[str, Column]]:
+    """The ordered exclusion reasons of the final delivery (R8) on the
+    standard reservation columns; use with :func:`exclude`.  ``overlap_col``
+    is the migration-overlap flag from ``flag_in_window`` (R9: arrival inside a
+    property's system-switch window).  The missing-property rule tests a
+    *present* target reservation id, as the original does (SURVEY §8 Q14)."""
+    new_res = F.col("sf_reservation_id").isNull()
+    return [
+        ("apartment owner", F.col("rate_plan_code").isin(OWNER_RATE_PLANS)),
+        ("optional status", (F.col("reservation_status") == "Optional") & new_res),
+        ("inactive property", F.col("sf_property_id").isNull() & F.col("sf_reservation_id").isNotNull()),
+        ("overlapped", (F.col("source") == "protel") & F.coalesce(F.col(overlap_col).cast("boolean"), F.lit(False))),
+        ("cancelled", F.col("reservation_status").isin("Cancelled", "NoShow") & new_res),
+    ]

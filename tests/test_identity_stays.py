@@ -157,3 +157,15 @@ def test_survivors_priority(spark):
                                      "_rule_bin int, cluster_first_name string, cluster_last_name string, cluster_email string")
     got = {r.cluster_id: r.source_id for r in I.survivors(df).collect()}
     assert got == {1: "g1", 2: "a2", 3: "o3"}
+
+
+def test_reservation_exclusion_rules(spark):
+    rows = [(1, "APP", "Confirmed", None, "p", "apaleo", 0), (2, "BAR", "Optional", None, "p", "apaleo", 0),
+            (3, "BAR", "Optional", "a0X", "p", "apaleo", 0), (4, "BAR", "Confirmed", "a0Y", None, "apaleo", 0),
+            (5, "BAR", "Confirmed", None, "p", "protel", 1), (6, "BAR", "NoShow", None, "p", "apaleo", 0),
+            (7, "BAR", "Confirmed", None, "p", "protel", 0)]
+    df = spark.createDataFrame(rows, "k int, rate_plan_code string, reservation_status string, sf_reservation_id string, "
+                                     "sf_property_id string, source string, _overlapped int")
+    got = {r.k: r.exclude_reason for r in S.exclude(df, S.reservation_exclusion_rules()).collect()}
+    assert got == {1: "apartment owner", 2: "optional status", 3: None, 4: "inactive property", 5: "overlapped",
+                   6: "cancelled", 7: None}
