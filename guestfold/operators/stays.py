@@ -263,3 +263,29 @@ def reservation_exclusion_rules(overlap_col: str = "_overlapped") -> list[tuple[
         ("overlapped", (F.col("source") == "protel") & F.coalesce(F.col(overlap_col).cast("boolean"), F.lit(False))),
         ("cancelled", F.col("reservation_status").isin("Cancelled", "NoShow") & new_res),
     ]
+
+
+#: Property and unit-group codes of the preference rules.
+CAMPSITE_PROPERTIES = ["FCZ", "FGP"]
+APARTMENT_PROPERTY = "FEW"
+MOUNTAIN_PROPERTY = "FEW"
+CAR_PROPERTY = "FCZ"
+SUITE_PROPERTY = "FSV"
+SUITE_UNIT_GROUPS = ["J3C", "J3D", "S3C", "J3E", "S3E", "S2D", "P4C", "P2D", "P4D"]
+
+
+def reservation_preference_rules() -> list[tuple[str, str, str, Column]]:
+    """The seven preference rules of the reservation view (R12) as
+    ``(name, category, external id, condition)`` for :func:`preference_tags`.
+    Rules 3 and 4 are identical except for their id, as in the original; the
+    misspelt category of rule 7 is written correctly (SURVEY §8 Q15)."""
+    prop, kids, unit = F.col("property_id"), F.col("children_num"), F.col("unit_group_code")
+    return [
+        ("Campsite Booker", "Camping", "PREF001", prop.isin(CAMPSITE_PROPERTIES)),
+        ("Apartment", "Room Category Booker", "PREF002", prop == APARTMENT_PROPERTY),
+        ("Booker with Children", "Family", "PREF003", kids > 0),
+        ("Booker with Children", "Family", "PREF004", kids > 0),
+        ("Mountain", "Destination", "PREF005", prop == MOUNTAIN_PROPERTY),
+        ("Car", "Travel Preference", "PREF006", prop == CAR_PROPERTY),
+        ("Suite", "Room Category Booker", "PREF007", (prop == SUITE_PROPERTY) & unit.isin(SUITE_UNIT_GROUPS)),
+    ]

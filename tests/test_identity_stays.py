@@ -169,3 +169,12 @@ def test_reservation_exclusion_rules(spark):
     got = {r.k: r.exclude_reason for r in S.exclude(df, S.reservation_exclusion_rules()).collect()}
     assert got == {1: "apartment owner", 2: "optional status", 3: None, 4: "inactive property", 5: "overlapped",
                    6: "cancelled", 7: None}
+
+
+def test_reservation_preference_rules(spark):
+    df = spark.createDataFrame([(1, "FCZ", 0, "X"), (1, "FSV", 2, "J3C"), (2, "FEW", 0, "A")],
+                               "cluster_id int, property_id string, children_num int, unit_group_code string")
+    got = sorted((r.cluster_id, r.external_id) for r in
+                 S.preference_tags(df, "cluster_id", S.reservation_preference_rules(), "apaleo").collect())
+    assert got == [(1, "PREF001"), (1, "PREF003"), (1, "PREF004"), (1, "PREF006"), (1, "PREF007"),
+                   (2, "PREF002"), (2, "PREF005")]
