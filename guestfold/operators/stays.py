@@ -60,14 +60,23 @@ def normalise_purpose(c, null_as_other: bool = True) -> Column:
     return out.when(c.isNotNull(), F.lit("Other"))
 
 
-def status_from_events(status, checkin, checkout, cancelled, noshow) -> Column:
-    """Reservation status from event timestamps (N21, M1): cancellation, then
-    no-show, then check-out, then check-in; otherwise the current status."""
-    return (F.when(col(cancelled).isNotNull(), F.lit("CANCELED"))
-            .when(col(noshow).isNotNull(), F.lit("NOSHOW"))
-            .when(col(checkout).isNotNull(), F.lit("CHECKEDOUT"))
-            .when(col(checkin).isNotNull(), F.lit("INHOUSE"))
-            .otherwise(col(status)))
+def normalise_reservation(df: DataFrame, as_of: str) -> DataFrame:
+    """Reservation clean-up (N21, M1), step by step as the scripts run it:
+    market segment and travel purpose maps; the ``Canceled`` spelling of one
+    source; status from event timestamps (cancelled, then no-show); and
+    ``CheckedOut`` for past stays of the other source that carry no status
+    and no event.  The ``<>`` tests skip NULL statuses, as in SQL (SURVEY §8
+    Q4)."""
+    from .change import update_where
+    st = F.col("reservation_status")
+    df = df.withColumns({"market_segment": normalise_segment("market_segment"),
+                         "travel_purpose": normalise_purpose("travel_purpose")})
+    df = update_where(df, (F.col("source") == "apaleo") & (st == "Canceled"), {"reservation_status": F.lit("Cancelled")})
+    df = update_where(df, (st != "Cancelled") & F.col("cancelled_at").isNotNull(), {"reservation_status": F.lit("Cancelled")})
+    df = update_where(df, (st != "NoShow") & F.col("noshow_at").isNotNull(), {"reservation_status": F.lit("NoShow")})
+    past = (st.isNull() & F.col("checkout_at").isNull() & F.col("noshow_at").isNull() & F.col("cancelled_at").isNull()
+            & (F.col("source") == "protel") & (F.col("departure_at") < F.to_timestamp_ntz(F.lit(as_of))))
+    return update_where(df, past, {"reservation_status": F.lit("CheckedOut")})
 
 
 def folio_revenue(charges: DataFrame, allowances: DataFrame, charge_keys: Sequence[str], res_key: str,

@@ -178,3 +178,21 @@ def test_reservation_preference_rules(spark):
                  S.preference_tags(df, "cluster_id", S.reservation_preference_rules(), "apaleo").collect())
     assert got == [(1, "PREF001"), (1, "PREF003"), (1, "PREF004"), (1, "PREF006"), (1, "PREF007"),
                    (2, "PREF002"), (2, "PREF005")]
+
+
+def test_normalise_reservation(spark):
+    rows = [(1, "apaleo", "Canceled", None, None, None, "2024-01-01", "Agent/FIT", "Repeater"),
+            (2, "protel", "Confirmed", "2024-01-02", None, None, "2024-01-05", "OTHER", None),
+            (3, "protel", None, "2024-01-02", None, None, "2024-01-05", None, "FMTG"),
+            (4, "protel", "Confirmed", None, "2024-01-03", None, "2024-01-05", None, None),
+            (5, "protel", None, None, None, None, "2024-01-05", None, None),
+            (6, "protel", None, None, None, None, "2030-01-05", None, None)]
+    df = spark.createDataFrame(rows, "k int, source string, reservation_status string, cancelled_at string, "
+                                     "noshow_at string, checkout_at string, departure_at string, market_segment string, "
+                                     "travel_purpose string")
+    for c in ["cancelled_at", "noshow_at", "checkout_at", "departure_at"]:
+        df = df.withColumn(c, F.to_timestamp_ntz(c))
+    got = {r.k: (r.reservation_status, r.market_segment, r.travel_purpose)
+           for r in S.normalise_reservation(df, "2026-02-28").collect()}
+    assert got == {1: ("Cancelled", "FIT", "Leisure"), 2: ("Cancelled", "OTHERS", "Other"), 3: (None, None, None),
+                   4: ("NoShow", None, "Other"), 5: ("CheckedOut", None, "Other"), 6: (None, None, "Other")}
