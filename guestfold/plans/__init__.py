@@ -1,20 +1,8 @@
-"""Driver queries: each key runs one or more operators on the driver tables."""
-
-from . import registry
-from .registry import ORACLES, QUERIES  # noqa: F401
-
-_MODULES = ["q_keys", "q_joins", "q_change", "q_clean", "q_identity", "q_stays", "q_report",
-            "q_batch", "q_misc", "q_io"]
+"""Driver queries: each key runs one or more operators on the driver tables.
 
+Importing the query modules registers their queries (and oracle SQL) in
+:mod:`guestfold.plans.registry`.
+"""
 
-def load_all() -> None:
-    import importlib
-    for m in _MODULES:
-        try:
-            importlib.import_module(f"{__name__}.{m}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"{__name__}.{m}":
-                raise
-
-
-load_all()
+from . import q_batch, q_change, q_clean, q_identity, q_io, q_joins, q_keys, q_misc, q_stays  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
