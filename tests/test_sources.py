@@ -154,3 +154,14 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
         assert out.count() >= t.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_read_query_binds_values_and_frames(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b'; DROP"), (3, "c")], "k int, v string")
+    codes = IO.values_df(spark, [("a", "Alpha"), ("c", "Gamma")], "code string, label string")
+    out = IO.read_query(spark, "SELECT t.k, m.label FROM {t} t JOIN {m} m ON m.code = t.v WHERE t.k >= :lo",
+                        {"lo": 2}, t=df, m=codes)
+    assert [tuple(r) for r in out.collect()] == [(3, "Gamma")]
+    # a value is bound, never pasted into the SQL text
+    hit = IO.read_query(spark, "SELECT k FROM {t} WHERE v = :v", {"v": "b'; DROP"}, t=df)
+    assert [r.k for r in hit.collect()] == [2]
