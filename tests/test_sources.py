@@ -165,3 +165,13 @@ def test_read_query_binds_values_and_frames(spark):
     # a value is bound, never pasted into the SQL text
     hit = IO.read_query(spark, "SELECT k FROM {t} WHERE v = :v", {"v": "b'; DROP"}, t=df)
     assert [r.k for r in hit.collect()] == [2]
+
+
+def test_land_materialise_and_insert_select(spark):
+    base = IO.scratch_dir(spark, "t-land")
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")
+    landed = IO.materialise(df, f"{base}/landed")
+    assert landed.count() == 2 and IO.read_landed(spark, f"{base}/landed").columns == ["k", "v", "w"]
+    extra = spark.createDataFrame([(3, "c")], "k int, v string")
+    ins = IO.insert_select(landed, extra, ["k", "v"])
+    assert sorted(tuple(r) for r in ins.collect()) == [(1, "a", "x"), (2, "b", "y"), (3, "c", None)]
