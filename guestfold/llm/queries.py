@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate as decon
 from . import exact_dedup as exact
+from . import simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,11 @@ def _query(fn):
     return fn
 
 
+@_query
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decon.digest(decon.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
