@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import decontaminate as decon
 from . import exact_dedup as exact
 from . import langid, quality, simhash
+from . import token_counts as counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,11 +19,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def _query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@_query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 @_query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
