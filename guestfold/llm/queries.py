@@ -10,6 +10,7 @@ from . import decontaminate as decon
 from . import exact_dedup as exact
 from . import langid, quality, simhash
 from . import token_counts as counts
+from . import url_filter as urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,11 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), urls.RULES)
+
+
 @_query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
