@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import decontaminate as decon
 from . import exact_dedup as exact
 from . import langid, quality, simhash
+from . import token_blocks as blocks
 from . import token_counts as counts
 from . import url_filter as urls
 
@@ -35,6 +36,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"), urls.RULES)
 
 
+@_query
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 @_query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
