@@ -15,6 +15,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text that one Python batch should hold (see :func:`text_batches`).
 BATCH_BYTES = 8 * 1024 * 1024
 
+#: Tasks over which the rows of one large group are spread.
+SALTS = 32
+#: A group is large when it holds this share of all grouped rows (so 1/share groups at most
+#: are, which bounds the broadcast list of them) and at least LARGE_GROUP rows.
+LARGE_SHARE, LARGE_GROUP = 1e-3, 2000
+
 
 class Scratch:
     """Intermediate tables of one operator call, written under ``spark.checkpoint.dir``.
@@ -78,3 +84,15 @@ def text_batches(frames, column: str = "text", most: int = BATCH_BYTES):
             size += n
         if start < len(f):
             yield f.iloc[start:]
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], salt: Column, salts: int = SALTS) -> DataFrame:
+    """``rows`` left-joined to ``groups`` (one row a group, with its group_size; a written table).  A
+    large group is repeated per salt and its rows are dealt over the salts.  Adds ``salt``."""
+    least = max(LARGE_GROUP, int(LARGE_SHARE * (groups.select(F.sum("group_size")).first()[0] or 0)))
+    large = F.col("group_size") >= least
+    all_salts = F.sequence(F.lit(0), F.when(large, F.lit(salts - 1)).otherwise(F.lit(0)))
+    marks = F.broadcast(groups.filter(large).select(*on, F.lit(salts).alias("n_salts")))
+    rows = (rows.join(marks, on, "left")
+            .withColumn("salt", F.pmod(salt, F.coalesce("n_salts", F.lit(1))).cast("int")).drop("n_salts"))
+    return rows.join(groups.withColumn("salt", F.explode(all_salts)), [*on, "salt"], "left")

@@ -17,13 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, columns_as
+from .common import SALTS, Scratch, ascii_lower, columns_as, join_groups
 
-#: Reducers over which the copies of one text are spread.
-SALTS = 32
-#: A group is large when it holds this share of all repeated rows (so at most 1/share groups
-#: are, which is the size bound of the broadcast list of them) and at least LARGE_GROUP rows.
-LARGE_SHARE, LARGE_GROUP = 1e-3, 2000
 
 
 def text_groups(rows: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -40,17 +35,6 @@ def text_groups(rows: DataFrame, salts: int = SALTS) -> DataFrame:
         "digest", "keep_id", "group_size", "n_texts", F.when(F.col("n_texts") > 1, F.col("norm")).alias("norm"))
 
 
-def _join_back(rows: DataFrame, groups: DataFrame, on: list[str], salts: int, least: int) -> DataFrame:
-    """Rows with their group's columns (groups of one row are not in ``groups``).  A group of ``least``
-    rows and more is repeated per salt and its rows are dealt over the salts."""
-    large = F.col("group_size") >= least
-    all_salts = F.sequence(F.lit(0), F.when(large, F.lit(salts - 1)).otherwise(F.lit(0)))
-    marks = F.broadcast(groups.filter(large).select(*on, F.lit(salts).alias("n_salts")))
-    salt = F.pmod(F.xxhash64("id"), F.coalesce("n_salts", F.lit(1))).cast("int")
-    rows = rows.join(marks, on, "left").withColumn("salt", salt).drop("n_salts")
-    return rows.join(groups.withColumn("salt", F.explode(all_salts)), [*on, "salt"], "left")
-
-
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """One row per input row: ``id_col``, keep_id, group_size, kept, text_sha256.
 
@@ -64,15 +48,14 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     groups = scratch.table(text_groups(rows, salts).filter((F.col("group_size") > 1) | (F.col("n_texts") > 1)))
     single = groups.filter(F.col("n_texts") == 1).select("digest", "keep_id", "group_size")
     collided = groups.filter(F.col("n_texts") > 1)
-    least = max(LARGE_GROUP, int(LARGE_SHARE * (groups.select(F.sum("group_size")).first()[0] or 0)))
     if collided.isEmpty():
-        out = _join_back(rows.select("id", "digest"), single, ["digest"], salts, least)
+        out = join_groups(rows.select("id", "digest"), single, ["digest"], F.xxhash64("id"), salts)
     else:  # the texts decide where a digest doesn't
         clash = collided.select("digest").distinct()
-        out = _join_back(rows.join(clash, "digest", "left_anti").select("id", "digest"), single, ["digest"], salts, least)
-        out = out.unionByName(_join_back(rows.join(clash, "digest", "left_semi"),
-                                         collided.select("digest", "norm", "keep_id", "group_size"),
-                                         ["digest", "norm"], salts, least).drop("norm"))
+        out = join_groups(rows.join(clash, "digest", "left_anti").select("id", "digest"), single, ["digest"], F.xxhash64("id"), salts)
+        out = out.unionByName(join_groups(rows.join(clash, "digest", "left_semi"),
+                                          collided.select("digest", "norm", "keep_id", "group_size"),
+                                          ["digest", "norm"], F.xxhash64("id"), salts).drop("norm"))
     of_id = Window.partitionBy("digest", "salt", "id").orderBy(F.lit(1))
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return out.select(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate as decon
 from . import exact_dedup as exact
-from . import langid, quality, simhash
+from . import langid, line_dedup, mixing, quality, simhash
 from . import token_blocks as blocks
 from . import token_counts as counts
 from . import url_filter as urls
@@ -41,6 +42,12 @@ def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+@_query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return out.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
+
+
 @_query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
@@ -63,6 +70,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decon.digest(decon.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
@@ -74,5 +86,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+ORACLES["op8_mix_sources"] = mixing.ORACLE_SQL
 ORACLES["op9_decontaminate"] = decon.ORACLE_SQL
 ORACLES["op10_exact_dedup"] = exact.ORACLE_SQL
