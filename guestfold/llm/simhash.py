@@ -5,19 +5,21 @@ So every distinct fingerprint emits its whole ball of half the radius (2081 valu
 of 64 bits for a radius of 4), the values are shuffled, and fingerprints that meet
 at a value are linked after their distance was verified.
 
-A value is never written out: its sender groups the ball of a few thousand
-fingerprints by range of the (mixed) value and sends, per range, which bit masks
-it applied to which fingerprint, 2 bytes a value.  The receiver of a range
-rebuilds the values, sorts them, and links the members of a value as a star
-around the least one, never as all pairs.  Ranges are of mixed 64-bit values of distinct
-fingerprints, so they are even however skewed the texts are; copies of a text
-were combined to one fingerprint before.
+A value is never written out.  The 64 bits fall into k classes, and a value's *group* is
+the parity of its bits in each class.  Flipping bits moves a fingerprint's own group by
+an offset that depends on the flipped bits only, so its ball lies in 1 + k + k(k-1)/2 groups
+(for two flips), and the sender emits (group, fingerprint) once for each: the receiver knows from
+the offset which part of the ball is meant and makes those values itself.  It sorts them and links
+the fingerprints that meet at a value as a star around the least one, never as all pairs.
+k grows with the log of the number of fingerprints, so that a group has about ``GROUP_VALUES`` values.  All 64
+bits enter the group, so near copies with different fingerprints fall into different groups;
+copies of a text were combined to one fingerprint before.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
@@ -29,14 +31,12 @@ from .common import Scratch, columns_as, text_batches
 from .components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
-#: Values that one receiving group holds (8 bytes each, and as much again while they are sorted).
-GROUP_VALUES = 4_000_000
-#: Fingerprints whose balls are made at once.
-SENDER = 2048
-#: Fingerprints whose balls one task makes (their bytes say nothing of that work, so the count is set).
-TASK_FPS = 8192
 #: An odd multiplier: mixing is a bijection of the 64-bit values.
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Values that a receiver makes and sorts at once, and about as many as a group has.
+GROUP_VALUES = 1 << 20
+#: Groups of a receiving task; fingerprints of a sending task (bytes say nothing of the work, so the counts are set).
+TASK_GROUPS, TASK_FPS = 4, 8192
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -74,61 +74,78 @@ def ball_masks(radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in bits) for k in range(radius + 1) for bits in combinations(range(64), k)], np.uint64)
 
 
+def group_of(values: np.ndarray, k: int) -> np.ndarray:
+    """The parities of the bits b, b + k, b + 2k, ... for each class b, as a number of k bits."""
+    out = np.zeros(values.shape, np.int64)
+    for c in range(k):
+        bits = np.uint64(sum(1 << b for b in range(c, 64, k)))
+        out |= (np.bitwise_count(values & bits) & np.uint8(1)).astype(np.int64) << c
+    return out
+
+
 def links(fps: DataFrame, max_bits: int, n_fps: int) -> DataFrame:
     """Verified links (a, b) between distinct fingerprints ``fp``: for fingerprints that meet at a value,
     one link from each to the least.  Components are those of all pairs within ``max_bits``."""
     masks = ball_masks((max_bits + 1) // 2)
-    n_groups = max(1, min(1 << 30, ceil(n_fps * len(masks) / GROUP_VALUES)))
-    shift = np.uint64(33)
-
-    def group_of(values: np.ndarray) -> np.ndarray:
-        return (((values * MIX) >> shift) * np.uint64(n_groups)) >> np.uint64(31)
-
-    kind = np.uint8 if n_groups <= 256 else np.uint16 if n_groups <= 65536 else np.uint32
+    k = min(40, ceil(log2(max(1, n_fps * len(masks) / GROUP_VALUES))))
+    moved = group_of(masks, k)
+    parts = {int(o): masks[moved == o] for o in np.unique(moved)}  # what of the ball lies at an offset
 
     def send(frames):
+        offsets = np.array(list(parts), np.int64)
         for f in frames:
-            all_fps = f["fp"].to_numpy().view(np.uint64)
-            for at in range(0, len(all_fps), SENDER):
-                part = all_fps[at:at + SENDER]
-                g = group_of(part[:, None] ^ masks[None, :]).astype(kind).ravel()
-                order = np.argsort(g, kind="stable").astype(np.int32)
-                cuts = np.flatnonzero(np.diff(g[order])) + 1
-                starts, stops = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(g)]))
-                out = []
-                for s, e in zip(starts.tolist(), stops.tolist()):
-                    who, mask = np.divmod(order[s:e], np.int32(len(masks)))
-                    n = np.bincount(who, minlength=len(part))
-                    own = np.flatnonzero(n)
-                    out.append((int(g[order[s]]), part[own].tobytes(), n[own].astype(np.uint16).tobytes(),
-                                mask.astype(np.uint16).tobytes()))
-                for i in range(0, len(out), 256):
-                    yield pd.DataFrame(out[i:i + 256], columns=["g", "fps", "n", "masks"])
+            fp = f["fp"].to_numpy()
+            g = (group_of(fp.view(np.uint64), k)[:, None] ^ offsets[None, :]).ravel()
+            order = np.argsort(g, kind="stable")
+            g, who = g[order], fp[order // len(offsets)]
+            cuts = np.flatnonzero(np.diff(g)) + 1
+            starts, stops = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(g)]))
+            for i in range(0, len(starts), 4096):
+                own = slice(i, i + 4096)
+                yield pd.DataFrame({"g": g[starts[own]], "fps": [who[s:e].tobytes() for s, e in zip(starts[own].tolist(), stops[own].tolist())]})
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
-        n = np.frombuffer(b"".join(f["n"]), np.uint16)
-        values = masks[np.frombuffer(b"".join(f["masks"]), np.uint16)]
         fp = np.frombuffer(b"".join(f["fps"]), np.uint64)
-        values ^= np.repeat(fp, n)
-        s = np.sort(values)
-        met = np.unique(s[1:][s[1:] == s[:-1]])
-        del s
-        if not len(met):
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        own = np.flatnonzero(met[np.minimum(np.searchsorted(met, values), len(met) - 1)] == values)
-        value, who = values[own], np.repeat(fp, n)[own]
-        order = np.lexsort((who, value))
-        value, who = value[order], who[order]
-        first = np.concatenate(([True], value[1:] != value[:-1]))
-        least = who[np.flatnonzero(first)][np.cumsum(first) - 1]
-        pairs = np.unique(np.stack((least, who), axis=1)[least != who], axis=0)
+        offset = group_of(fp, k) ^ int(f["g"].iloc[0])
+        total = sum(int((offset == o).sum()) * len(m) for o, m in parts.items())
+        slices = ceil(total / (2 * GROUP_VALUES))  # over 1 in an uneven group: its values are made again for each
+        found = [np.zeros((0, 2), np.uint64)]
+        for s in range(slices):
+            values, owners = [], []
+            for o in np.unique(offset).tolist():
+                own, part = fp[offset == o], parts[o]
+                step = max(1, GROUP_VALUES // len(part))
+                for at in range(0, len(own), step):
+                    v = (own[at:at + step, None] ^ part[None, :]).ravel()
+                    w = np.repeat(own[at:at + step], len(part))
+                    if slices > 1:
+                        keep = (v * MIX >> np.uint64(33)) % np.uint64(slices) == s
+                        v, w = v[keep], w[keep]
+                    values.append(v), owners.append(w)
+            found.append(_stars(np.concatenate(values), np.concatenate(owners)))
+        pairs = np.unique(np.concatenate(found), axis=0)
         pairs = pairs[np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= max_bits].view(np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = fps.select("fp").mapInPandas(send, "g bigint, fps binary, n binary, masks binary")
+    sent = fps.select("fp").mapInPandas(send, "g bigint, fps binary").repartition(max(1, (1 << k) // TASK_GROUPS), "g")
     return sent.groupBy("g").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
+def _stars(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Distinct (least owner, owner) pairs of the owners that share a value."""
+    s = np.sort(values)
+    met = np.unique(s[1:][s[1:] == s[:-1]])
+    if not len(met):
+        return np.zeros((0, 2), np.uint64)
+    own = np.flatnonzero(met[np.minimum(np.searchsorted(met, values), len(met) - 1)] == values)
+    value, who = values[own], owners[own]
+    order = np.lexsort((who, value))
+    value, who = value[order], who[order]
+    first = np.concatenate(([True], value[1:] != value[:-1]))
+    least = who[np.flatnonzero(first)][np.cumsum(first) - 1]
+    return np.unique(np.stack((least, who), axis=1)[least != who], axis=0)
+
+
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: ``id_col``, fingerprint (16 lowercase hex digits) and component_id, the smallest
