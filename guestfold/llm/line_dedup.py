@@ -79,7 +79,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
               .filter((F.col("group_size") > 1) & (F.col("n_bodies") == 1)))
     groups = scratch.table(groups.select("digest", "group_size", "first"))
     listed = chunk_rows(rows, False).withColumn("at", where)
-    removed = (join_groups(listed, groups, ["digest"], F.xxhash64("k1", "n")).filter("not (first <=> at)")
+    removed = (join_groups(listed, groups, ["digest"], F.xxhash64("k1", "n")).filter("first is not null and not (first <=> at)")
                .groupBy("k1", "k2").agg(F.array_sort(F.collect_set("n")).alias("removed")))  # of one document
     removed = scratch.table(removed)
     kind = rows.schema["id"].dataType.simpleString()

@@ -10,7 +10,7 @@ the parity of its bits in each class.  Flipping bits moves a fingerprint's own g
 an offset that depends on the flipped bits only, so its ball lies in 1 + k + k(k-1)/2 groups
 (for two flips), and the sender emits (group, fingerprint) once for each: the receiver knows from
 the offset which part of the ball is meant and makes those values itself.  It sorts them and links
-the fingerprints that meet at a value as a star around the least one, never as all pairs.
+the fingerprints that meet at a value as a star around one of them, never as all pairs.
 k grows with the log of the number of fingerprints, so that a group has about ``GROUP_VALUES`` values.  All 64
 bits enter the group, so near copies with different fingerprints fall into different groups;
 copies of a text were combined to one fingerprint before.
@@ -85,7 +85,7 @@ def group_of(values: np.ndarray, k: int) -> np.ndarray:
 
 def links(fps: DataFrame, max_bits: int, n_fps: int) -> DataFrame:
     """Verified links (a, b) between distinct fingerprints ``fp``: for fingerprints that meet at a value,
-    one link from each to the least.  Components are those of all pairs within ``max_bits``."""
+    one link from each to one of them.  Components are those of all pairs within ``max_bits``."""
     masks = ball_masks((max_bits + 1) // 2)
     k = min(40, ceil(log2(max(1, n_fps * len(masks) / GROUP_VALUES))))
     moved = group_of(masks, k)
@@ -122,7 +122,7 @@ def links(fps: DataFrame, max_bits: int, n_fps: int) -> DataFrame:
                         keep = (v * MIX >> np.uint64(33)) % np.uint64(slices) == s
                         v, w = v[keep], w[keep]
                     values.append(v), owners.append(w)
-            found.append(_stars(np.concatenate(values), np.concatenate(owners)))
+            found.append(_stars(np.concatenate(values), np.concatenate(owners), max_bits // 2))
         pairs = np.unique(np.concatenate(found), axis=0)
         pairs = pairs[np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= max_bits].view(np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -131,19 +131,21 @@ def links(fps: DataFrame, max_bits: int, n_fps: int) -> DataFrame:
     return sent.groupBy("g").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
-def _stars(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
-    """Distinct (least owner, owner) pairs of the owners that share a value."""
+def _stars(values: np.ndarray, owners: np.ndarray, near: int) -> np.ndarray:
+    """Distinct (centre, owner) pairs of the owners that share a value; the centre is the least owner within
+    ``near`` bits of it.  (For an odd radius some owners are one bit farther: two of those needn't be close.)"""
     s = np.sort(values)
     met = np.unique(s[1:][s[1:] == s[:-1]])
     if not len(met):
         return np.zeros((0, 2), np.uint64)
     own = np.flatnonzero(met[np.minimum(np.searchsorted(met, values), len(met) - 1)] == values)
     value, who = values[own], owners[own]
-    order = np.lexsort((who, value))
-    value, who = value[order], who[order]
+    far = np.bitwise_count(value ^ who) > near
+    order = np.lexsort((who, far, value))
+    value, who, far = value[order], who[order], far[order]
     first = np.concatenate(([True], value[1:] != value[:-1]))
-    least = who[np.flatnonzero(first)][np.cumsum(first) - 1]
-    return np.unique(np.stack((least, who), axis=1)[least != who], axis=0)
+    at = np.flatnonzero(first)[np.cumsum(first) - 1]
+    return np.unique(np.stack((who[at], who), axis=1)[(who[at] != who) & ~far[at]], axis=0)
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
