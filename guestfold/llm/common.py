@@ -64,7 +64,9 @@ def ascii_lower(c: Column) -> Column:
 def columns_as(df: DataFrame, **names: str) -> DataFrame:
     """Only the named input columns, under internal names: ``columns_as(df, id="doc_id")``.
 
-    What else the input carries can't clash with an operator's own columns."""
+    What else the input carries can't clash with an operator's own columns.  Batches that go to Python are
+    bounded by bytes from here on, as a few thousand long texts would not fit a worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * BATCH_BYTES))
     return df.select(*[df[f"`{old}`"].alias(new) for new, old in names.items()])
 
 

@@ -13,16 +13,16 @@ runs of benchmark words as long as the shortest window are streamed.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, columns_as, text_batches
+from .common import ascii_lower, columns_as
 
 WINDOW = 10
 #: Largest benchmark, in words, that is broadcast (about 300 bytes a word in each worker).
@@ -161,39 +161,42 @@ def build(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text
     return SuffixAutomaton([(name, words(t)) for name, t in got], window)
 
 
+def judge(text: Column, automaton: SuffixAutomaton, spark: SparkSession, keep_text: bool) -> Column:
+    """Struct (n_words, n_hit, n_items, items, spans[, clean_text]) of a text column; only the text goes to Python."""
+    sent = spark.sparkContext.broadcast(automaton)
+    names = ["n_words", "n_hit", "n_items", "items", "spans"] + ["clean_text"] * keep_text
+    schema = ("n_words bigint, n_hit bigint, n_items bigint, items string, spans array<struct<start:bigint,end:bigint>>"
+              + ", clean_text string" * keep_text)
+
+    def apply(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        a = sent.value
+        for s in series:
+            out = []
+            for t in s:
+                w = words(t)
+                spans, items = a.hits(w)
+                row = (len(w), sum(e - b for b, e in spans), len(items), ",".join(sorted(items)), [{"start": b, "end": e} for b, e in spans])
+                out.append(row + (cut_spans(t, spans),) * keep_text)
+            yield pd.DataFrame(out, columns=names)
+
+    return F.pandas_udf(apply, schema)(text)
+
+
 def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", window: int = WINDOW, max_coverage: float = 1.0,
                   keep_text: bool = True) -> DataFrame:
     """One row per input row: ``id_col``, n_words, n_hit, n_items, items (sorted as strings,
-    comma-joined), coverage (n_hit / n_words), spans (hit word ranges), over_limit
-    (coverage above ``max_coverage``) and, with ``keep_text``, clean_text without the hit spans.
+    comma-joined), spans (hit word ranges), with ``keep_text`` clean_text without the hit spans, coverage
+    (n_hit / n_words) and over_limit (coverage above ``max_coverage``).
 
     Null or wordless text: no words, no hits, clean_text unchanged (null stays null).  Empty tables: no
     rows, or no hits.  Repeated rows are judged one by one.  A null id passes through.  Other columns are
     neither read nor returned."""
-    spark = df.sparkSession
     rows = columns_as(df, id=id_col, text=text_col)
-    sent = spark.sparkContext.broadcast(build(benchmark, item_col, window=window))
-    schema = (f"id {rows.schema['id'].dataType.simpleString()}, n_words bigint, n_hit bigint, n_items bigint, items string, "
-              "spans array<struct<start:bigint,end:bigint>>" + ", clean_text string" * keep_text)
-
-    def judge(frames):
-        automaton = sent.value
-        for f in text_batches(frames):
-            out = []
-            for id_, text in zip(f["id"].array, f["text"]):
-                w = words(text)
-                spans, items = automaton.hits(w)
-                row = [id_, len(w), sum(b - a for a, b in spans), len(items), ",".join(sorted(items)),
-                       [{"start": a, "end": b} for a, b in spans]]
-                out.append(row + [cut_spans(text, spans)] * keep_text)
-            o = pd.DataFrame(out, columns=["id", "n_words", "n_hit", "n_items", "items", "spans"] + ["clean_text"] * keep_text)
-            o["id"] = f["id"].array
-            yield o
-
+    judged = rows.select(F.col("id").alias(id_col), judge(F.col("text"), build(benchmark, item_col, window=window), df.sparkSession, keep_text).alias("j"))
     coverage = F.when(F.col("n_words") > 0, F.col("n_hit") / F.col("n_words")).otherwise(F.lit(0.0))
-    return (rows.mapInPandas(judge, schema).withColumnRenamed("id", id_col)
-            .withColumn("coverage", coverage).withColumn("over_limit", F.col("coverage") > max_coverage))
+    return (judged.select(F.col(id_col), "j.*").withColumn("coverage", coverage)
+            .withColumn("over_limit", F.col("coverage") > max_coverage))
 
 
 def digest(judged: DataFrame, id_col: str = "doc_id") -> DataFrame:

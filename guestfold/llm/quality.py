@@ -10,11 +10,12 @@ vector is computed in blocks, and the nearest labelled vectors vote, weighted by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import columns_as, held_out, text_batches
@@ -119,30 +120,27 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     return fit_model(x, np.array([r["y"] for r in got]))
 
 
-def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-          keep: list[str] | None = None) -> DataFrame:
+def score_of(text: Column, model: Model, spark: SparkSession) -> Column:
+    """The score of a text column; only the text goes to Python."""
+    sent = spark.sparkContext.broadcast(model)
+
+    def apply(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = sent.value
+        for s in series:
+            scores = [m.score(np.stack([terms(t) for t in s.iloc[at:at + 2048]])) for at in range(0, len(s), 2048)]
+            yield pd.Series(np.concatenate(scores) if scores else [], dtype="float64")
+
+    return F.pandas_udf(apply, "double")(text.cast("binary"))
+
+
+def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: ``id_col``, held_out, score (0 to 1, higher: label 1 likelier), predicted
-    (1 if score >= ``threshold``), and the input's columns in ``keep`` under their own names.
+    (1 if score >= ``threshold``).
 
     Null, empty and one-character texts are scored: without terms they get the sample's share of label 1
     (0.5 if nothing was labelled).  Repeated rows: one result each.  A null id passes through, held out.
     Empty table: no rows.  Other columns are neither read nor returned."""
-    own = list(dict.fromkeys(keep or []))
-    cols = columns_as(df, __id=id_col, __text=text_col, **{f"__k{i}": c for i, c in enumerate(own)})
-    cols = cols.withColumn("__text", F.col("__text").cast("binary"))
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    carried = [c for c in cols.columns if c != "__text"]
-    schema = ", ".join(f"`{c}` {cols.schema[c].dataType.simpleString()}" for c in carried) + ", __score double"
-
-    def apply(frames):
-        m = sent.value
-        for f in text_batches(frames, "__text"):
-            for at in range(0, len(f), 2048):
-                part = f.iloc[at:at + 2048]
-                x = np.stack([terms(t) for t in part["__text"]])
-                yield part[carried].assign(__score=m.score(x))
-
-    out = cols.mapInPandas(apply, schema)
-    return out.select(F.col("__id").alias(id_col), held_out(F.col("__id")).alias("held_out"), F.col("__score").alias("score"),
-                      (F.col("__score") >= threshold).cast("int").alias("predicted"),
-                      *[F.col(f"__k{i}").alias(c) for i, c in enumerate(own)])
+    rows = columns_as(df, id=id_col, text=text_col)
+    out = rows.select("id", score_of(F.col("text"), model, df.sparkSession).alias("score"))
+    return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
+                      (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_pipeline import run as run_pipeline
+
 from . import decontaminate as decon
 from . import exact_dedup as exact
 from . import langid, line_dedup, mixing, quality, simhash
@@ -86,6 +88,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+QUERIES["pipeline"] = run_pipeline
 ORACLES["op8_mix_sources"] = mixing.ORACLE_SQL
 ORACLES["op9_decontaminate"] = decon.ORACLE_SQL
 ORACLES["op10_exact_dedup"] = exact.ORACLE_SQL
