@@ -99,14 +99,17 @@ DISPOSABLE_DOMAINS = [
     "trashmail.com", "sharklasers.com", "guerrillamailblock.com", "dispostable.com",
     "fakeinbox.com", "maildrop.cc", "spamgourmet.com", "mytemp.email", "temp-mail.org", "throwam.com",
 ]
+#: Last names that are no names.
+ODD_LAST_NAMES = ["..", ",s", "^rudy", "´"]
 #: Relay domains of booking channels (addresses are not the guest's own).
 RELAY_DOMAINS = ["guest.booking.com", "m.expediapartnercentral.com"]
 #: Role / no-reply local parts that are suppressed.
 NOREPLY_LOCAL_PARTS = ["spam", "noreply", "no-reply", "donotreply", "do-not-reply"]
-#: Loose e-mail shape of the cleaning step and the strict/medium shapes of the delivery step.
+#: E-mail shapes: the loose one of the cleaning step; in the delivery step that of the check
+#: and that of the flag statement.
 EMAIL_LOOSE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
-EMAIL_MEDIUM = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
-EMAIL_STRICT = r"^[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+(\.[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+)*@[A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?(\.[A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}$"
+EMAIL_CHECK = r"^[^@\s,]+@[^@\s]+\.[^@\s]{2,}$"
+EMAIL_FLAG = r"^[a-z0-9._+-]+@[a-z0-9.-]+\.[a-z]{2,}$"
 
 #: Phone: characters kept, and placeholder digit strings.
 PHONE_DROP_CHARS = r"[^0-9+\-().\s]"
@@ -133,7 +136,7 @@ COUNTRY_VARIANTS = {
 }
 
 #: Language codes accepted as is (lower-cased); anything else gets the default.
-LANGUAGES_ALLOWED = ["de", "en", "it", "fr", "hr", "cs", "sk", "hu", "pl", "sl", "es", "nl"]
+LANGUAGES_ALLOWED = ["hr", "cz", "sk", "nl", "fr", "de", "en"]
 
 # =============================================================================
 # Column rules
@@ -169,31 +172,32 @@ def salutation_pass2(c: Column) -> Column:
     t = F.trim(c)
     out = F.when(F.lit(False), F.lit(None))
     for result, kind, values in SALUTATION_RULES:
-        hit = _in(t, values) if kind == "in" else any_of(t.startswith(v) for v in values)
+        low = [v.lower() for v in values]
+        hit = _in(F.lower(t), low) if kind == "in" else any_of(F.lower(t).startswith(v) for v in low)
         out = out.when(hit, F.lit(result).cast("string"))
     out = out.when(_in(F.upper(t), SALUTATION_GARBAGE), F.lit(None).cast("string"))
     return out.otherwise(c)
 
 
 def salutation_dear(c: Column) -> Column:
-    out = F.when(~c.like("Dear %"), c)
-    out = out.when(c.rlike(r"^Dear Mr[s]?\.?\s") & ~c.rlike("Mrs"), F.lit("Mr"))
+    out = F.when(~c.ilike("Dear %"), c)
+    out = out.when(c.rlike(r"(?i)^Dear Mr[s]?\.?\s") & ~c.rlike("(?i)Mrs"), F.lit("Mr"))
     for pat, res in SALUTATION_DEAR:
-        out = out.when(c.rlike(pat), F.lit(res))
+        out = out.when(c.rlike("(?i)" + pat), F.lit(res))
     return out.otherwise(F.lit(None).cast("string"))
 
 
 def salutation_german(c: Column) -> Column:
-    return (F.when(c.rlike(r"^Sehr geehrter Herr "), F.lit("Mr."))
-            .when(c.rlike(r"^Sehr geehrte Frau "), F.lit("Mrs."))
-            .when(c.rlike(r"^Lieber "), F.lit("Mr."))
-            .when(c.rlike(r"^Liebe "), F.lit("Mrs."))
+    return (F.when(c.rlike(r"(?i)^Sehr geehrter Herr "), F.lit("Mr."))
+            .when(c.rlike(r"(?i)^Sehr geehrte Frau "), F.lit("Mrs."))
+            .when(c.rlike(r"(?i)^Lieber "), F.lit("Mr."))
+            .when(c.rlike(r"(?i)^Liebe "), F.lit("Mrs."))
             .otherwise(c))
 
 
 def salutation_redot(c: Column) -> Column:
-    return (F.when(_in(c, SALUTATION_DOTTED), F.concat(c, F.lit(".")))
-            .when(c == "Sig.na", F.lit("Mrs."))
+    return (F.when(_in(F.lower(c), [x.lower() for x in SALUTATION_DOTTED]), F.concat(c, F.lit(".")))
+            .when(F.lower(c) == "sig.na", F.lit("Mrs."))
             .otherwise(c))
 
 
@@ -273,9 +277,11 @@ def missing_name_rules(fname: ColumnOrName = "fname", lname: ColumnOrName = "lna
     return [
         ("no_last_name", is_blank(l_)),
         ("one_char_last_name", F.char_length(F.trim(l_)) == 1),
-        ("company_last_name", f.isNull() & ll.contains("gmbh")),
+        ("company_last_name", (f.isNull() & ll.contains("gmbh")) | ll.contains("gesmbh")),
         ("underscore", l_.contains("_")),
-        ("question_marks", l_.contains("???")),
+        ("question_marks", l_.contains("??") | l_.contains("\ufffd")),
+        ("digits_and_letters", ll.rlike("^[0-9]+[a-z]+$") & (F.octet_length(l_) >= 8)),
+        ("odd_mark", l_.isin(ODD_LAST_NAMES)),
         ("dash_only", l_.isin("----", "­")),
         ("temp_profile", lf.contains("temporär") | (l_ == "_temporaryProfile")),
         ("double_at", f.contains("@@") | l_.contains("@@")),
@@ -286,14 +292,21 @@ def missing_name_rules(fname: ColumnOrName = "fname", lname: ColumnOrName = "lna
 def email_exclusion_rules(email: ColumnOrName = "email", domain: ColumnOrName | None = None,
                           bounce: ColumnOrName | None = "bounce",
                           fname: ColumnOrName | None = "fname",
-                          lname: ColumnOrName | None = "lname") -> list[tuple[str, Column]]:
-    """Ordered suppression reasons for an e-mail address."""
+                          lname: ColumnOrName | None = "lname",
+                          bounce_flag: ColumnOrName | None = None,
+                          own_names: Iterable[str] = ()) -> list[tuple[str, Column]]:
+    """Ordered suppression reasons for an e-mail address.
+
+    ``bounce_flag``: a second bounce column with its own markers.  ``own_names``: lower-case parts of
+    last names that mark the company's own profiles."""
     e = col(email)
     el = F.lower(F.trim(e))
     d = col(domain) if domain is not None else F.substring_index(el, "@", -1)
     rules: list[tuple[str, Column]] = [("no_email", is_blank(e))]
     if bounce is not None:
         rules.append(("bounce", _in(F.lower(F.trim(col(bounce))), BOUNCE_VALUES)))
+    if bounce_flag is not None:
+        rules.append(("bounce_flag", _in(F.lower(F.trim(col(bounce_flag))), BOUNCE_FLAG_VALUES)))
     rules += [
         ("malformed", ~el.rlike(EMAIL_LOOSE) | el.contains(" ") | el.contains("..") | ~el.contains("@")),
         ("disposable_domain", _in(F.lower(d), DISPOSABLE_DOMAINS)),
@@ -303,6 +316,11 @@ def email_exclusion_rules(email: ColumnOrName = "email", domain: ColumnOrName |
     if fname is not None:
         fl = F.lower(col(fname))
         rules.append(("test_marker", fl.contains("test") | fl.contains("booking")))
+        rules.append(("temporary_profile", fl.like("%_temporär%")))
+    if lname is not None and own_names:
+        rules.append(("own_company", any_of(F.lower(col(lname)).contains(x) for x in own_names)))
+    if lname is not None:
+        rules.append(("non_latin_name", has_script(lname)))
     if lname is not None and fname is not None:
         rules.append(("travel_agency", col(fname).isNull() & F.lower(col(lname)).contains("travel")))
     return rules
@@ -322,18 +340,19 @@ def extract_emails(df: DataFrame, text: str, keep: Iterable[str] = (), out: str
     return df.where(F.col(text).contains("@")).select(*keep, found)
 
 
-def email_invalid(c: ColumnOrName, level: str = "strict") -> tuple[Column, Column]:
-    """E-mail validity at one of three strictness levels.
+def email_invalid(c: ColumnOrName, level: str = "flag") -> tuple[Column, Column]:
+    """E-mail validity (N14): ``(is_invalid, reason)``.
 
-    Returns ``(is_invalid, reason)``; NULL input is not judged (both NULL).
-    """
-    e = F.trim(col(c))
-    pattern = {"strict": EMAIL_STRICT, "medium": EMAIL_MEDIUM, "loose": EMAIL_LOOSE}[level]
-    reason = (F.when(e.isNull(), F.lit(None))
-              .when(~e.rlike(pattern), F.lit("pattern"))
-              .when(e.contains(".."), F.lit("double_dot"))
-              .when(e.rlike(r"^\.|\.@|@\."), F.lit("dot_position")))
-    return F.when(e.isNotNull(), reason.isNotNull()), reason
+    An address is ``malformed`` when it misses the level's shape (``flag``: the flag statement's, in
+    lower case; ``check``: the wider one of the check before it; ``loose``: the cleaning step's), starts
+    with a dot, has a dot beside the ``@``, two dots in a row or a second ``@``.  NULL and blank
+    input is not judged (false, no reason); other input is judged untrimmed."""
+    e = col(c)
+    pattern = {"flag": EMAIL_FLAG, "check": EMAIL_CHECK, "loose": EMAIL_LOOSE}[level]
+    bad = (~F.lower(e).rlike(pattern) | e.startswith(".") | e.contains(".@") | e.contains("@.") | e.contains("..")
+           | e.like("%@%@%"))
+    invalid = F.coalesce((F.trim(e) != "") & bad, F.lit(False))
+    return invalid, F.when(invalid, F.lit("malformed"))
 
 
 def clean_phone(c: ColumnOrName) -> Column:
@@ -343,7 +362,7 @@ def clean_phone(c: ColumnOrName) -> Column:
     return F.when(_in(digits, PHONE_PLACEHOLDERS), F.lit(None).cast("string")).otherwise(kept)
 
 
-def bound_birthdate(c: ColumnOrName, as_of: str, oldest: str = "1900-01-02",
+def bound_birthdate(c: ColumnOrName, as_of: str, oldest: str = "1800-01-01",
                     sentinels: Iterable[str] = ("1900-01-01",)) -> Column:
     """Birth date sanity (N18): sentinel values, dates after ``as_of`` and dates
     before ``oldest`` become NULL."""
@@ -353,19 +372,17 @@ def bound_birthdate(c: ColumnOrName, as_of: str, oldest: str = "1900-01-02",
     return F.when(bad, F.lit(None).cast("date")).otherwise(d)
 
 
-def repair_encoding(c: ColumnOrName, markers: str = MOJIBAKE_MARKERS,
-                    wrong: str = "ISO-8859-1", right: str = "UTF-8") -> Column:
+def repair_encoding(c: ColumnOrName, markers: str = MOJIBAKE_MARKERS, right: str = "UTF-8") -> Column:
     """Undo a mis-decoding where marker characters betray it.
 
-    Only text that fits the wrongly applied charset is re-encoded, and only
-    bytes that form valid ``right`` text are decoded, so malformed input is
-    kept as is instead of failing the query (Spark 4 raises on bad coding)."""
+    Text with a marker is written as Latin-1, where characters that Latin-1 lacks
+    become ``?`` as in the statement's conversion, and its bytes are read as
+    ``right``.  Bytes that are no valid UTF-8 leave the text as it is."""
     c = col(c)
-    fits = c.rlike(r"^[\x00-\xFF]*$") if wrong.upper() in ("ISO-8859-1", "LATIN1") else F.lit(True)
-    raw = F.encode(c, wrong)
+    raw = F.encode(F.when(c.rlike("[" + markers + "]"), F.regexp_replace(c, r"[^\x00-\xFF]", "?")), "ISO-8859-1")
     fixed = F.when(F.is_valid_utf8(raw), F.decode(raw, right)) if right.upper() in ("UTF-8", "UTF8") \
         else F.decode(raw, right)
-    return F.when(c.rlike("[" + markers + "]") & fits, F.coalesce(fixed, c)).otherwise(c)
+    return F.coalesce(fixed, c)
 
 
 def normalise_language(c: ColumnOrName, allowed: Iterable[str] = LANGUAGES_ALLOWED,
@@ -386,25 +403,24 @@ def normalise_country(df: DataFrame, c: str = "country", variants: DataFrame | N
     """Country to ISO-2 (N7, and N8 with a citizenship table).
 
     ``variants`` (``variant``, ``code``, optional ``rank``) is joined on the
-    trimmed value; one row per variant is kept (the lowest ``rank``, i.e. the
-    first rule, when given), so the join never multiplies rows.  A
+    trimmed value, whatever its letter case; one row per variant is kept (the lowest ``rank``, i.e. the
+    first rule, when given, then the least code), so the join never multiplies rows.  A
     listed variant gives its code (NULL = unresolvable); otherwise a trimmed
     two-letter upper-case value passes; anything else is kept for review.
     """
     out = out or c
     builtin = variants is None
-    if builtin:
-        variants = code_table(df.sparkSession, COUNTRY_VARIANTS)
-    if "rank" in variants.columns:
-        from ..operators.keys import pick_one
-        variants = pick_one(variants, ["variant"], ["rank"])
+    if builtin:  # its keys are unique in lower case too (a test holds that)
+        variants = code_table(df.sparkSession, COUNTRY_VARIANTS).withColumn("variant", F.lower("variant"))
     else:
-        variants = variants.dropDuplicates(["variant"])
+        from ..operators.keys import pick_one
+        rank = ["rank"] if "rank" in variants.columns else []
+        variants = pick_one(variants.withColumn("variant", F.lower(F.trim("variant"))), ["variant"], [*rank, "code"])
     v = variants.select(F.col("variant").alias("__v"), F.col("code").alias("__code"), F.lit(True).alias("__hit"))
     # the built-in list has a size fixed by this module: broadcast it; a table
     # passed in is sized by AQE at run time (broadcast only under the threshold)
     t = F.trim(F.col(c))
-    j = df.join(F.broadcast(v) if builtin else v, t == F.col("__v"), "left")
+    j = df.join(F.broadcast(v) if builtin else v, F.lower(t) == F.col("__v"), "left")
     res = (F.when(F.col("__hit"), F.col("__code"))
            .when(t.rlike("^[A-Z]{2}$"), t)
            .otherwise(F.col(c)))
@@ -417,13 +433,23 @@ def review_codes(df: DataFrame, c: str) -> DataFrame:
             .groupBy(F.col(c).alias("remaining_value")).agg(F.count("*").alias("cnt")))
 
 
-def quality_bucket(last_name: ColumnOrName, email: ColumnOrName, first_name: ColumnOrName) -> Column:
-    """Data-quality bucket (N22): ``none`` when nothing identifies the person,
-    ``good`` with last name and e-mail, ``partial`` otherwise."""
-    ln, em, fn = (F.trim(F.coalesce(col(x), F.lit(""))) for x in (last_name, email, first_name))
-    return (F.when((ln == "") & (em == "") & (fn == ""), F.lit("none"))
-            .when((ln != "") & (em != ""), F.lit("good"))
-            .otherwise(F.lit("partial")))
+#: A last name that marks a deleted guest, and the bucket labels.
+DELETED_NAME = "deleted"
+QUALITY_BUCKETS = ("1_no_personal_data", "2_has_lastname_and_email", "3_partial_data")
+
+
+def quality_bucket(last_name: ColumnOrName, email: ColumnOrName, *others: ColumnOrName) -> Column:
+    """Data-quality bucket (N22): no personal data when last name, e-mail and all
+    ``others`` (first and middle name, salutation, gender, birth date, phone, address parts, country,
+    nationality) are NULL or empty; enough with last name and e-mail; else partial.
+    The deleted-guest marker is no last name."""
+    empty = lambda x: F.coalesce(col(x).cast("string"), F.lit("")) == ""
+    no_name = empty(last_name) | F.coalesce(F.lower(F.trim(col(last_name))) == DELETED_NAME, F.lit(False))
+    nothing = no_name & empty(email)
+    for x in others:
+        nothing = nothing & empty(x)
+    none, enough, partial = QUALITY_BUCKETS
+    return F.when(nothing, F.lit(none)).when(~no_name & ~empty(email), F.lit(enough)).otherwise(F.lit(partial))
 
 
 ColumnOrName = Column | str
@@ -445,6 +471,33 @@ def infer_from_name(df: DataFrame, name: str, attr: str, min_n: int, min_ratio:
     return j.withColumn(out, F.when(empty, F.col("__dom")).otherwise(F.col(attr))).drop("__name", "__dom")
 
 
+#: Salutations that names may be learnt from, those that stay, and their gender.
+LEARNT_SALUTATIONS = ["Mr.", "Mrs.", "Ms."]
+KEPT_SALUTATIONS = ["Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Mx"]
+SALUTATION_GENDER = {"Mr.": "Male", "Mrs.": "Female", "Ms.": "Female"}
+
+
+def infer_salutation_and_gender(df: DataFrame, name: str = "fname", salutation: str = "salutation", gender: str = "gender",
+                                missing: ColumnOrName = "missing_name", min_n: int = 50, min_ratio: float = 0.9) -> DataFrame:
+    """Salutation and gender from the first name (N6): the dominant salutation of
+    a name among complete rows, with at least ``min_n`` rows of that name in all.
+
+    A salutation that is given but not one of ``KEPT_SALUTATIONS`` is replaced, a
+    NULL one is not (SQL ``NOT IN``); the gender is filled where it is NULL and the
+    salutation is one of the kept ones afterwards.  Rows without a name or marked missing stay."""
+    from ..operators.keys import dominant
+    key = F.lower(F.trim(F.col(name)))
+    usable = F.col(name).isNotNull() & (col(missing) == 0)
+    known = df.where(usable & F.col(salutation).isin(LEARNT_SALUTATIONS)).select(key.alias("__name"), F.col(salutation).alias("__val"))
+    dom = dominant(known, "__name", "__val", min_n, min_ratio).select("__name", F.col("__val").alias("__dom"))
+    j = df.join(dom, key == dom["__name"], "left")
+    hit = F.coalesce(usable, F.lit(False)) & F.col("__dom").isNotNull()
+    s = F.when(hit & ~F.col(salutation).isin(KEPT_SALUTATIONS), F.col("__dom")).otherwise(F.col(salutation))
+    learnt = F.coalesce(*[F.when(F.col("__dom") == k, F.lit(v)) for k, v in SALUTATION_GENDER.items()])
+    g = F.when(hit & s.isin(KEPT_SALUTATIONS), F.coalesce(F.col(gender), learnt)).otherwise(F.col(gender))
+    return j.withColumns({gender: g, salutation: s}).drop("__name", "__dom")
+
+
 def normalise_citizenship(df: DataFrame, table: DataFrame, c: str = "citizenship", out: str | None = None) -> DataFrame:
     """Citizenship to ISO-2 (N8): the country rule with the citizenship code
     list (``variant``, ``code``, ``rank``): the lowest rank per variant wins,

@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions.columns import not_true
 from .keys import pick_one
@@ -25,10 +24,24 @@ def update_where(df: DataFrame, cond: Column, sets: Mapping[str, Column]) -> Dat
     return df.withColumns({k: F.when(c, v).otherwise(F.col(k)) for k, v in sets.items()})
 
 
+def unique_or_raise(src: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
+    """``src``, whose rows must be unique on ``keys``: equal rows collapse, two
+    different rows of one key raise an error (instead of one being picked by
+    chance).  One aggregation, so nothing is gathered per key."""
+    rest = [c for c in src.columns if c not in keys]
+    one = src.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__lo"), F.max(F.struct(*rest)).alias("__hi")) if rest \
+        else src.select(*keys).distinct()
+    if not rest:
+        return one.select(src.columns)
+    same = F.col("__lo").eqNullSafe(F.col("__hi"))
+    row = F.when(same, F.col("__lo")).otherwise(F.raise_error(F.lit(f"{what}: several rows for one key")))
+    return one.withColumn("__row", row).select(*[F.col(k) if k in keys else F.col(f"__row.{k}").alias(k) for k in src.columns])
+
+
 def _one_per_key(src: DataFrame, keys: Sequence[str], order: Sequence[Column | str] | None) -> DataFrame:
     if order:
         return pick_one(src, keys, order)
-    return src.dropDuplicates(list(keys))
+    return unique_or_raise(src, keys)
 
 
 def update_from(df: DataFrame, src: DataFrame, keys: Sequence[str], sets: Mapping[str, Column | str],
@@ -63,28 +76,13 @@ def fill_from(df: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence
 
 def flag_exists(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
                 out: str, src_filter: Column | None = None, collation: str | None = None) -> DataFrame:
-    """Set ``out`` = 1 when a match exists in ``src``, else 0.
-
-    An ``EXISTS`` subquery, planned as one existence join: no distinct step,
-    no row multiplication, NULL keys never match."""
+    """Set ``out`` = 1 when a match exists in ``src``, else 0 (M3, C2): the
+    distinct keys of ``src`` are left-joined (:func:`guestfold.operators.joins.exists_flag`)."""
     from .joins import exists_flag
     if src_filter is not None:
         src = src.where(src_filter)
     pairs = list(keys) if keys and isinstance(keys[0], tuple) else [(k, k) for k in keys]
-
-    def coll(c, name, side):
-        if collation and isinstance(side.schema[name].dataType, StringType):
-            return F.collate(c, collation)
-        return c
-
-    def cond(o, s):
-        c = None
-        for l_, r in pairs:
-            e = coll(s(r), r, src) == coll(o(l_), l_, df)
-            c = e if c is None else c & e
-        return c
-
-    return exists_flag(df, src, cond, out).withColumn(out, F.col(out).cast("int"))
+    return exists_flag(df, src, pairs, out, collation).withColumn(out, F.col(out).cast("int"))
 
 
 def replace_slice(target: DataFrame, new: DataFrame, cond: Column) -> DataFrame:
@@ -100,9 +98,11 @@ def delete_matching(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequenc
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``INSERT IGNORE`` (S14): new rows whose key is unseen are appended; the
-    first new row per key wins (new rows are de-duplicated on the key)."""
-    fresh = new.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+    """``INSERT IGNORE`` (S14): new rows whose key is unseen are appended, one
+    per key (the least row by its other columns, so a retry picks the same)."""
+    rest = [c for c in new.columns if c not in keys]
+    fresh = pick_one(new, keys, [F.col(c) for c in rest]) if rest else new.distinct()
+    fresh = fresh.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
@@ -124,11 +124,17 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequenc
     * key in both, nothing differs -> unchanged, ``action = 'unchanged'``
     * key only in target -> kept, ``action = 'kept'``
 
-    One full outer join on the keys; ``new`` must be unique on the keys.
+    Every other target column stays as it is (and is NULL, or ``new``'s value
+    where it has that column, in created rows).  The stamp and the changed flag of
+    unchanged and kept rows stay what the target has (NULL and 0 without such
+    columns).  One full outer join on the keys; two different ``new`` rows of one
+    key raise an error.
     """
-    t = target.alias("t")
-    s = new.select(*keys, *cols).withColumn("__in_new", F.lit(True)).alias("s")
-    t2 = t.withColumn("__in_old", F.lit(True)).alias("t")
+    others = [c for c in target.columns if c not in {*keys, *cols, stamp_col, changed_col}]
+    from_new = [c for c in others if c in new.columns]
+    new = unique_or_raise(new.select(*keys, *cols, *from_new), keys, "upsert")
+    s = new.withColumn("__in_new", F.lit(True)).alias("s")
+    t2 = target.withColumn("__in_old", F.lit(True)).alias("t")
     j = t2.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")
     in_old = F.coalesce(F.col("t.__in_old"), F.lit(False))
     in_new = F.coalesce(F.col("s.__in_new"), F.lit(False))
@@ -140,8 +146,12 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequenc
     take_new = action.isin("updated", "created")
     out = [F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in keys]
     out += [F.when(take_new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
-    out += [F.when(take_new, F.to_timestamp_ntz(F.lit(as_of))).alias(stamp_col),
-            F.when(action == "updated", 1).otherwise(0).alias(changed_col),
+    out += [(F.when(action == "created", F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in from_new
+             else F.col(f"t.{c}")).alias(c) for c in others]
+    had_stamp = F.col(f"t.{stamp_col}") if stamp_col in target.columns else F.lit(None).cast("timestamp_ntz")
+    had_flag = F.coalesce(F.col(f"t.{changed_col}"), F.lit(0)) if changed_col in target.columns else F.lit(0)
+    out += [F.when(take_new, F.to_timestamp_ntz(F.lit(as_of))).otherwise(had_stamp).alias(stamp_col),
+            F.when(action == "updated", 1).when(action == "created", 0).otherwise(had_flag).cast("int").alias(changed_col),
             action.alias(action_col)]
     return j.select(*out)
 

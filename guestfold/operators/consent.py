@@ -38,18 +38,19 @@ def missing_consents(optins: DataFrame, contact_points: DataFrame, consents: Dat
     return with_cp.join(have, ["__cp", name_col], "left_anti").withColumnRenamed("__cp", cp_id)
 
 
-def optouts(unsubscribed: DataFrame, opted_in: DataFrame, key: str, unsub_ts: str, optin_ts: str,
-            as_of: str) -> DataFrame:
-    """Opt-outs to send (C4): keys that unsubscribed after they opted in,
-    distinct, with the end date set to ``as_of``.
-
-    Both sides are reduced to one row per key first (latest unsubscribe,
-    earliest opt-in), so the join never pairs every event with every other
-    event of the same key."""
-    u = unsubscribed.groupBy(key).agg(F.max(unsub_ts).alias("__last_unsub"))
-    o = opted_in.groupBy(key).agg(F.min(optin_ts).alias("__first_optin"))
-    j = u.join(o, key).where(F.col("__first_optin") < F.col("__last_unsub"))
-    return j.select(key, F.lit(as_of).cast("date").alias("effective_to"), F.lit("OptOut").alias("status"))
+def optouts(unsubscribed: DataFrame, consents: DataFrame, email: str, consent_email: str, consent_id: str,
+            consent_name: str, status: str, name: str, as_of: str) -> DataFrame:
+    """Opt-outs to send (C4): the distinct ids of the consents called ``name``
+    whose *current* status is ``OptIn`` and whose address unsubscribed, with the end
+    date ``as_of``.
+
+    When somebody opted in again does not matter: the current status decides.
+    The addresses act as a filter (semi join), so an address listed many times
+    multiplies nothing; NULL addresses never match."""
+    wanted = consents.where((F.col(consent_name) == name) & (F.col(status) == "OptIn"))
+    hit = wanted.join(unsubscribed.select(F.col(email).alias(consent_email)), consent_email, "left_semi")
+    return hit.select(consent_id).distinct().select(
+        consent_id, F.lit(as_of).cast("date").alias("effective_to"), F.lit("OptOut").alias("status"))
 
 
 def consent_records(df: DataFrame, key: str, captured: str, as_of: str, purpose: str = "Marketing",

@@ -82,12 +82,12 @@ def match_rules(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
 
 def backfill_unique(df: DataFrame, links: DataFrame, key: tuple[str, str] | str, val: str, out: str) -> DataFrame:
     """Fill ``out`` from the linked rows only when all of them agree on one
-    value (D3): ``max`` and ``count(DISTINCT)`` per key, keep ``n = 1``, then
-    fill only where ``out`` is still NULL (M4)."""
+    value (D3): keep keys whose least and greatest value are equal (one partial
+    aggregation, no distinct count), then fill only where ``out`` is still NULL (M4)."""
     lk, rk = (key, key) if isinstance(key, str) else key
     agg = (links.where(F.col(val).isNotNull()).groupBy(F.col(rk).alias(lk))
-           .agg(F.max(val).alias("__v"), F.count_distinct(val).alias("__n"))
-           .where(F.col("__n") == 1).drop("__n"))
+           .agg(F.max(val).alias("__v"), F.min(val).alias("__lo"))
+           .where(F.col("__v") == F.col("__lo")).drop("__lo"))
     j = df.join(agg, lk, "left")
     return j.withColumn(out, F.coalesce(F.col(out), F.col("__v"))).drop("__v")
 
@@ -97,7 +97,7 @@ def relate(df: DataFrame, id_map: DataFrame, key: tuple[str, str], id_col: str)
 
     Rows without an id are dropped (inner join), never written with NULL."""
     lk, rk = key
-    m = id_map.select(F.col(rk).alias(lk), id_col).dropDuplicates([lk])
+    m = id_map.groupBy(F.col(rk).alias(lk)).agg(F.min(id_col).alias(id_col))  # the least id of a cluster
     return df.join(m, lk, "inner")
 
 
@@ -122,18 +122,21 @@ def high_value(df: DataFrame, active: DataFrame, key: str, currency: str, amount
 
 def classify_import(df: DataFrame, target: DataFrame, key: tuple[str, str], name: tuple[str, str],
                     op_col: str = "operation", reason_col: str = "conflict_reason") -> DataFrame:
-    """Import operation per row (D11): ``create`` without a target match,
-    ``update`` when the match carries the same name, ``none`` with a reason
-    when the names conflict (J14).  The target is reduced to one row per key."""
+    """Import operation per row (D11): ``create`` without a target match, ``none``
+    with a reason when the name of *any* matching target differs (J14), else
+    ``update``.  A NULL name on either side differs from nothing (SQL ``<>``).
+
+    The names of a key's targets reduce to their least and greatest, which
+    tells whether one of them differs, without a row per target."""
     lk, rk = key
     ln, rn = name
-    t = target.select(F.col(rk).alias("__tk"), F.col(rn).alias("__tn")).dropDuplicates(["__tk"])
+    t = (target.where(F.col(rk).isNotNull()).groupBy(F.col(rk).alias("__tk"))
+         .agg(F.min(rn).alias("__lo"), F.max(rn).alias("__hi")))
     j = df.join(t, df[lk] == t["__tk"], "left")
-    op = (F.when(F.col("__tk").isNull(), F.lit("create"))
-          .when(F.col("__tn").eqNullSafe(F.col(ln)), F.lit("update"))
-          .otherwise(F.lit("none")))
-    reason = F.when(F.col("__tk").isNotNull() & ~F.col("__tn").eqNullSafe(F.col(ln)), F.lit("name_conflict"))
-    return j.withColumn(op_col, op).withColumn(reason_col, reason).drop("__tk", "__tn")
+    differs = F.coalesce((F.col("__lo") != F.col(ln)) | (F.col("__hi") != F.col(ln)), F.lit(False))
+    op = F.when(F.col("__tk").isNull(), F.lit("create")).when(differs, F.lit("none")).otherwise(F.lit("update"))
+    reason = F.when(F.col("__tk").isNotNull() & differs, F.lit("name_conflict"))
+    return j.withColumn(op_col, op).withColumn(reason_col, reason).drop("__tk", "__lo", "__hi")
 
 
 def attach_ids(df: DataFrame, accounts: DataFrame, key: tuple[str, str], cols: Sequence[str],

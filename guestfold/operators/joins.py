@@ -99,8 +99,13 @@ def lookup_strict(df: DataFrame, dim: DataFrame, key: str, value: str) -> DataFr
 def left_merge(a: DataFrame, b: DataFrame, left_on: str, right_on: str, suffix: str = "_r",
                null_keys_match: bool = False) -> DataFrame:
     """Left join that keeps both sides' columns and suffixes the right side's
-    clashing names (J18).  ``null_keys_match=True`` reproduces pandas
-    ``merge``, where a NULL key matches a NULL key."""
+    clashing names (J18).  ``null_keys_match=True`` follows pandas ``merge``,
+    where a NULL key matches a NULL key; two different NULL-keyed rows on
+    the right raise an error, as all pairs of them would be emitted."""
+    if null_keys_match:
+        from .change import unique_or_raise
+        null = F.col(right_on).isNull()
+        b = b.where(~null).unionByName(unique_or_raise(b.where(null), [right_on], "left_merge: NULL keys"))
     clash = set(a.columns)
     rb = b.select([F.col(c).alias(c + suffix if c in clash else c) for c in b.columns])
     rk = right_on + suffix if right_on in clash else right_on
@@ -108,32 +113,31 @@ def left_merge(a: DataFrame, b: DataFrame, left_on: str, right_on: str, suffix:
     return a.join(rb, cond, "left")
 
 
-def exists_flag(df: DataFrame, src: DataFrame, cond, out: str) -> DataFrame:
-    """Add a boolean ``out``: does any row of ``src`` satisfy ``cond``?
+def exists_flag(df: DataFrame, src: DataFrame, pairs: Sequence[tuple[str, str]], out: str,
+                collation: str | None = None) -> DataFrame:
+    """Add a boolean ``out``: does ``src`` have a row with equal keys (``(df column, src column)`` pairs)?
 
-    ``cond(o, s)`` builds the predicate from two column makers: ``o(name)``
-    refers to the outer row of ``df``, ``s(name)`` to ``src``.  Spark plans the
-    ``EXISTS`` subquery as one existence join: a single pass that can never
-    multiply rows, whatever the number of matches (broadcast when ``src`` is
-    small, sort-merge otherwise)."""
-    a = df.alias("__o")
-    b = src.alias("__s")
-    pred = cond(lambda c: F.col(f"__o.{c}").outer(), lambda c: F.col(f"__s.{c}"))
-    return a.select(*[F.col(f"__o.`{c}`") for c in df.columns], b.where(pred).exists().alias(out))
+    ``src`` is reduced to its distinct keys and left-joined, so rows never
+    multiply, NULL keys never match, and AQE can split the rows of a hot key (an existence join is not split)."""
+    k = src.select(*[key_col(src, r, collation).alias(f"__s{i}") for i, (_, r) in enumerate(pairs)]).distinct()
+    k = k.withColumn("__hit", F.lit(True))
+    cond = [key_col(df, l_, collation) == k[f"__s{i}"] for i, (l_, _) in enumerate(pairs)]
+    return df.join(k, cond, "left").select(*[df[f"`{c}`"] for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(out))
 
 
 def flag_in_window(df: DataFrame, windows: DataFrame, key: str | tuple[str, str], ts: str, lo: str,
                    hi: str | None, out: str) -> DataFrame:
     """``out`` = 1 when the row's time falls inside any window of its key,
-    else 0 (R9: J12/J13 + M1).  An existence join keyed on the equi key with
-    the range as residual: one pass, no row multiplication even when windows
-    overlap.  ``hi`` NULL means an open window; ``hi=None`` a lower bound only."""
-    lk, rk = (key, key) if isinstance(key, str) else key
+    else 0 (R9: J12/J13 + M1).  ``hi`` NULL means an open window; ``hi=None`` a lower bound only.
 
-    def cond(o, s):
-        c = (s(rk) == o(lk)) & (o(ts) >= s(lo))
-        if hi is not None:
-            c = c & (s(hi).isNull() | (o(ts) <= s(hi)))
-        return c
+    A key's distinct windows (a dimension: a few per key) become one array, which
+    is left-joined to the rows and searched there: rows never multiply,
+    also when windows overlap, and AQE can split the rows of a hot key."""
+    lk, rk = (key, key) if isinstance(key, str) else key
+    end = F.col(hi) if hi is not None else F.lit(None).cast(windows.schema[lo].dataType)
+    w = (windows.where(F.col(rk).isNotNull()).groupBy(F.col(rk).alias("__wk"))
+         .agg(F.collect_set(F.struct(F.col(lo).alias("lo"), end.alias("hi"))).alias("__w")))
+    j = df.join(w, df[lk] == w["__wk"], "left")
+    inside = F.exists("__w", lambda x: (F.col(ts) >= x["lo"]) & (x["hi"].isNull() | (F.col(ts) <= x["hi"])))
+    return j.select(*[df[f"`{c}`"] for c in df.columns], F.coalesce(inside, F.lit(False)).cast("int").alias(out))
 
-    return exists_flag(df, windows, cond, out).withColumn(out, F.col(out).cast("int"))

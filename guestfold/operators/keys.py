@@ -5,9 +5,8 @@ Skew policy: a single key may hold a third of all rows.  Counting per key is
 always a ``groupBy`` (partial aggregation before the shuffle), joined back to
 the rows instead of a window over the whole group, so no task ever buffers a
 hot group.  ``pick_one`` uses ``row_number() == 1`` which Spark turns into a
-``WindowGroupLimit`` that keeps one row per key *before* the shuffle.  The one
-operator that must rank every row of a group, ``flag_duplicates``, splits hot
-keys into salted sub-groups.  ``assign_sequence`` numbers rows globally
+``WindowGroupLimit`` that keeps one row per key *before* the shuffle, and
+``flag_duplicates`` joins those winners back.  ``assign_sequence`` numbers rows globally
 without a single-partition step.
 """
 
@@ -41,48 +40,22 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Order, rn_col: str | Non
     return out if rn_col else out.drop(rn)
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], threshold: int, limit: int = 1000) -> list[int]:
-    """Hashes of the keys that hold more than ``threshold`` rows, hottest first,
-    at most ``limit`` of them.
-
-    Counting runs on the executors (partial aggregation on a 64-bit hash of
-    the key, which is NULL-safe, so a hot NULL key is found too); only the
-    bounded list comes back to the driver.  Two keys sharing a hash can only
-    make a cold key count as hot, which costs a little splitting and never
-    changes a result."""
-    kh = F.xxhash64(*[F.col(k) for k in keys])
-    rows = (df.groupBy(kh.alias("__kh")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > threshold)
-            .orderBy(F.col("__n").desc()).limit(limit).collect())
-    return [r["__kh"] for r in rows]
-
-
-def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Order, flag_col: str = "is_duplicate",
-                    hot_threshold: int = 1_000_000, salt_buckets: int = 32) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Order, flag_col: str = "is_duplicate") -> DataFrame:
     """Mark duplicates instead of removing them: the winner gets 0, the others 1.
 
-    ``order`` must be total within a key.  Without hot keys this is one
-    window.  Keys with more than ``hot_threshold`` rows (see
-    :func:`hot_key_hashes`) are split into ``salt_buckets`` sub-groups by a
-    hash of the whole row, so no task holds a hot key alone; the winner of a
-    hot key is found on a separate path over the hot rows only (a top-1 that
-    Spark pre-reduces in every map task), one row per hot key, and broadcast
-    back.  The rows are shuffled once in both cases."""
-    w_order = _cols(order)
-    hot = hot_key_hashes(df, keys, hot_threshold)
-    if not hot:
-        w = Window.partitionBy(*keys).orderBy(*w_order)
-        return df.withColumn(flag_col, F.when(F.row_number().over(w) == 1, 0).otherwise(1))
-    is_hot = F.xxhash64(*[F.col(k) for k in keys]).isin(hot)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    d = df.withColumn("__salt", F.when(is_hot, salt).otherwise(F.lit(-1)))
-    d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, "__salt").orderBy(*w_order)))
-    hot_rows = df.where(is_hot).withColumn("__salt", salt)
-    win = F.broadcast(pick_one(hot_rows, keys, list(order) + ["__salt"]).select(
-        *[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.col("__salt").alias("__wsalt")))
-    j = d.join(win, [d[k].eqNullSafe(win[f"__w{i}"]) for i, k in enumerate(keys)], "left")
-    is_first = (F.col("__rn") == 1) & ((F.col("__salt") == -1) | (F.col("__salt") == F.col("__wsalt")))
-    return j.select(*[F.col(c) for c in df.columns],
-                    F.when(F.coalesce(is_first, F.lit(False)), 0).otherwise(1).alias(flag_col))
+    ``order`` must be total within a key (rows equal to the winner in every
+    column are winners too).  NULL keys form their own group.  The winners come
+    from ``pick_one`` (pre-reduced in every map task) and are joined back to
+    the rows, so no task ranks a whole group and AQE splits the rows of a hot key in that join."""
+    rest = [c for c in df.columns if c not in keys]
+    win = pick_one(df, keys, order)
+    win = win.select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.lit(True).alias("__won"),
+                     *[F.col(c).alias(f"__v{i}") for i, c in enumerate(rest)])
+    j = df.join(win, [F.col(k).eqNullSafe(F.col(f"__w{i}")) for i, k in enumerate(keys)], "left")
+    first = F.col("__won")
+    for i, c in enumerate(rest):
+        first = first & F.col(c).eqNullSafe(F.col(f"__v{i}"))
+    return j.select(*[F.col(c) for c in df.columns], F.when(first, 0).otherwise(1).alias(flag_col))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n", collation: str | None = None) -> DataFrame:
@@ -129,9 +102,9 @@ def dominant(df: DataFrame, key: str, val: str, min_n: int, min_ratio: float,
              tie: str = "asc") -> DataFrame:
     """Dominant value per key with support and ratio.
 
-    Returns ``key, val, n_val, n_key, ratio`` for keys whose most frequent value
-    has at least ``min_n`` supporting rows and a share of at least
-    ``min_ratio`` among non-NULL values.  Ties on the count go to the smallest
+    Returns ``key, val, n_val, n_key, ratio`` for keys with at least ``min_n``
+    non-NULL values in all whose most frequent value has a share (rounded to
+    four digits) of at least ``min_ratio`` of them.  Ties on the count go to the smallest
     value.  Both counts are partial aggregates, so a hot key is safe.
     """
     base = df.where(F.col(key).isNotNull() & F.col(val).isNotNull())
@@ -140,7 +113,7 @@ def dominant(df: DataFrame, key: str, val: str, min_n: int, min_ratio: float,
     order = [F.col("n_val").desc(), F.col(val).asc() if tie == "asc" else F.col(val).desc()]
     top = pick_one(per_val, [key], order)
     out = top.join(per_key, key).withColumn("ratio", F.round(F.col("n_val") / F.col("n_key"), 4))
-    return out.where((F.col("n_val") >= min_n) & (F.col("ratio") >= min_ratio)) \
+    return out.where((F.col("n_key") >= min_n) & (F.col("ratio") >= min_ratio)) \
         .select(key, val, "n_val", "n_key", "ratio")
 
 

@@ -122,9 +122,11 @@ def fold_events(df: DataFrame, events: DataFrame, key: str | Sequence[str], cols
 def exclude(df: DataFrame, rules: Sequence[tuple[str, Column]], flag_col: str = "excluded",
             reason_col: str = "exclude_reason") -> DataFrame:
     """Exclusion with ordered reasons (R8): an existing reason is kept, else the
-    first matching rule's reason is set; the flag follows the reason."""
+    first matching rule's reason is set and the flag with it.  A row that no rule
+    fits keeps the flag it has, with or without a reason."""
     reason = F.coalesce(F.col(reason_col), first_reason(rules)) if reason_col in df.columns else first_reason(rules)
-    return df.withColumn(reason_col, reason).withColumn(flag_col, F.when(F.col(reason_col).isNotNull(), 1).otherwise(0))
+    had = F.coalesce(F.col(flag_col).cast("int"), F.lit(0)) if flag_col in df.columns else F.lit(0)
+    return df.withColumn(reason_col, reason).withColumn(flag_col, F.when(F.col(reason_col).isNotNull(), 1).otherwise(had))
 
 
 def preference_tags(df: DataFrame, key: str, rules: Sequence[tuple[str, str, str, Column]],
@@ -148,34 +150,55 @@ def child_counts(df: DataFrame, children: DataFrame, key: str, out: str = "child
     return df.join(c, key, "left").withColumn(out, F.coalesce("__n", F.lit(0)).cast("bigint")).drop("__n")
 
 
-def room_nights(status, category, is_sharer, nights) -> Column:
-    """Conditional room nights (K5): only stays that happened, not for
-    non-room categories, not for sharers."""
-    return (F.when(col(status).isin("CANCELED", "NOSHOW"), F.lit(0))
-            .when(col(category).isin("PARKING", "OTHER"), F.lit(0))
-            .when(F.coalesce(col(is_sharer), F.lit(False)), F.lit(0))
-            .otherwise(col(nights)))
-
-
-def import_sets(df: DataFrame, new: DataFrame, key: str, ts: str, status: str, as_of: str, since: str,
-                history_status: str) -> DataFrame:
-    """Import sets (R10): history, future, future without a match in the new
-    extract, and rows changed since a date (null-safe status difference).
-
-    One left join with the new extract and one pass: every row gets the array
-    of the sets it belongs to, exploded to ``key, import_set`` (a row can be in
-    several sets)."""
-    cut = F.to_timestamp_ntz(F.lit(as_of))
-    n2 = new.select(F.col(key), F.col(status).alias("__new_status"), F.lit(True).alias("__in_new"))
-    j = df.join(n2, key, "left")
-    in_new = F.coalesce(F.col("__in_new"), F.lit(False))
-    fut = F.col(ts) > cut
-    sets = F.array(
-        F.when((F.col(ts) <= cut) & (F.col(status) == history_status), F.lit("history")),
-        F.when(fut, F.lit("future")),
-        F.when(fut & ~in_new, F.lit("future_unmatched")),
-        F.when((F.col(ts) >= F.to_timestamp_ntz(F.lit(since))) & in_new
-               & ~F.col(status).eqNullSafe(F.col("__new_status")), F.lit("changed_since")))
+#: Status codes of stays that did not happen, and the room type of no room.
+NO_STAY_STATUS, NO_ROOM_TYPE = [3, -1], 4
+
+
+def room_nights(status, is_room_category, room_no, account, sharer, room_type, nights) -> Column:
+    """Conditional room nights (K5): the booked nights (NULL: 0) of a stay that
+    happened, in a category of rooms, with a room number above 0, charged to the
+    sharer's own account (or without a sharer), and not of the excluded room type.
+    A NULL in any other test counts as failed, as in ``CASE WHEN``."""
+    ok = (~col(status).isin(NO_STAY_STATUS) & (col(is_room_category) == 1) & (col(room_no) > 0)
+          & ((col(account) == col(sharer)) | col(sharer).isNull()) & ~col(room_type).isin(NO_ROOM_TYPE))
+    return F.when(ok, F.coalesce(col(nights), F.lit(0))).otherwise(F.lit(0))
+
+
+#: Statuses and segments of the import sets.
+HISTORY_STATUS = ["CheckedOut"]
+FUTURE_STATUS = ["Confirmed", "InHouse", "Optional"]
+UNMATCHED_NOT_STATUS = ["CheckedOut", "Cancelled"]
+UNMATCHED_SEGMENTS = ["INDIVIDUAL", "OTA"]
+
+
+def import_sets(df: DataFrame, persons: DataFrame, key: str, cluster: str, since: str, arrival_after: str,
+                not_emails: Sequence[str] = ()) -> DataFrame:
+    """Import sets of reservations (R10): ``key, import_set``, a row per set.
+
+    * ``history``: checked out, with target contact and property, neither the stay nor the person an investor's;
+    * ``future``: confirmed, in house or optional, otherwise the same;
+    * ``future_unmatched``: without target contact, with property, booking and an address not in
+      ``not_emails``, of the listed segments, not checked out or cancelled, no investor, arriving after
+      ``arrival_after``, and in neither of the sets above;
+    * ``changed_since``: not excluded and updated at or after ``since``.
+
+    A reservation is joined to ``persons`` (``cluster``, ``is_investor``), one row per cluster, once; the first
+    two sets need a match.  A test on NULL fails, as in ``WHERE``."""
+    p = persons.groupBy(cluster).agg(F.min("is_investor").alias("__inv"))  # one row that is no investor's is enough
+    j = df.join(p, cluster, "left")
+    st = F.col("reservation_status")
+    has_contact, has_property = F.col("sf_person_contact_id").isNotNull(), F.col("sf_property_id").isNotNull()
+    known = has_contact & has_property & (F.col("is_investor") == 0) & (F.col("__inv") == 0)
+    history, future = known & st.isin(HISTORY_STATUS), known & st.isin(FUTURE_STATUS)
+    address = F.col("email").isNotNull()
+    if not_emails:
+        address = address & ~F.col("email").isin(list(not_emails))
+    unmatched = (~st.isin(UNMATCHED_NOT_STATUS) & F.col("market_segment").isin(UNMATCHED_SEGMENTS) & address & has_property
+                 & ~has_contact & (F.col("is_investor") == 0) & F.col("booking_id").isNotNull()
+                 & (F.col("arrival_at") > F.to_timestamp_ntz(F.lit(arrival_after))))
+    since_ = (F.col("last_updated_at") >= F.to_timestamp_ntz(F.lit(since))) & (F.col("_excluded") == 0)
+    sets = F.array(*[F.when(c, F.lit(n)) for n, c in
+                     (("history", history), ("future", future), ("future_unmatched", unmatched), ("changed_since", since_))])
     return j.select(key, F.explode(F.filter(sets, lambda x: x.isNotNull())).alias("import_set"))
 
 
@@ -224,54 +247,74 @@ def standardise_reservations(raw: DataFrame, companies: DataFrame, source: str,
         "*", F.lit("reservation").alias("_ptable"), F.lit(source).alias("source"), F.lit("PRIMARY").alias("guest_role"),
         nights("arrival_at", "departure_at").cast("long").alias("room_nights"),
         *[F.lit(None).cast(t).alias(c) for c, t in [
-            ("row_id", "long"), ("cluster_id", "long"), ("property_fmtg_id", "string"), ("property_protel_id", "long"),
+            ("row_id", "long"), ("cluster_id", "long"), ("property_code", "string"), ("property_pms_id", "long"),
             ("revenue_room", "decimal(18,4)"), ("revenue_fnb", "decimal(18,4)"), ("revenue_extra", "decimal(18,4)"),
             ("revenue_total", "decimal(18,4)"), ("sf_property_id", "string")]])
 
 
-def attach_property(df: DataFrame, props: DataFrame, key: str = "property_id", code_col: str = "PAS_code3",
+def attach_property(df: DataFrame, props: DataFrame, key: str = "property_id", code_col: str = "code",
                     sets: dict | None = None, active_col: str = "is_active") -> DataFrame:
     """Property attributes and target property id from the property table
     (R5): a keyed update from active properties only (M2).  The property table
     is a dimension (one row per property) and is reduced to one row per code."""
     from .change import update_from
-    sets = sets or {"property_fmtg_id": "PAS_FMTG_ID", "property_protel_id": "PAS_Protel_ID",
-                    "sf_property_id": "PAS_GMS_ID"}
+    sets = sets or {"property_code": "group_code", "property_pms_id": "pms_id",
+                    "sf_property_id": "target_id"}
     p = props.withColumnRenamed(code_col, key)
     return update_from(df, p, [key], {t: F.col("src_" + s).cast(df.schema[t].dataType) for t, s in sets.items()},
                        where=F.coalesce(F.col("src_" + active_col), F.lit(False)))
 
 
-def recover_email(df: DataFrame, raw: DataFrame, key: str, email: str, relay_domains: Sequence[str]) -> DataFrame:
-    """Replace relay addresses of booking channels with the guest's own address
-    from the raw copy (R7), when the raw copy has one that is not a relay."""
-    from .change import update_from
+#: Ends of the relay addresses that booking channels give.
+RELAY_ENDS = ["booking.com", "m.expediapartnercentral.com", "hrs.de"]
 
-    def relay(c):
-        return F.lower(F.substring_index(F.col(c), "@", -1)).isin([d.lower() for d in relay_domains])
 
-    r = raw.select(key, F.col(email).alias("__raw_email")).where(F.col("__raw_email").contains("@") & ~relay("__raw_email"))
-    return update_from(df, r, [key], {email: "src___raw_email"}, where=relay(email))
+def recover_email(df: DataFrame, raw: DataFrame, keys: str | Sequence[str], email: str,
+                  relay_ends: Sequence[str] = RELAY_ENDS) -> DataFrame:
+    """Give rows without an address the relay address of the raw copy back.
+
+    Only a NULL address is filled, and only from a raw address that ends like one
+    of ``relay_ends`` (any letter case).  Of several raw rows of a key the one whose
+    address fits the earliest end counts, then the least address."""
+    from .change import update_from
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    low = F.lower(F.col("__raw_email"))
+    rank = F.coalesce(*[F.when(low.endswith(e.lower()), F.lit(k)) for k, e in enumerate(relay_ends)])
+    r = raw.select(*keys, F.col(email).alias("__raw_email")).where(rank.isNotNull())
+    return update_from(df, r, keys, {email: "src___raw_email"}, where=F.col(email).isNull(), order=[rank, F.col("__raw_email")])
 
 
 #: Rate plans of apartment owners (not guest stays).
 OWNER_RATE_PLANS = ["OWN", "APP", "APPET"]
 
 
-def reservation_exclusion_rules(overlap_col: str = "_overlapped") -> list[tuple[str, Column]]:
-    """The ordered exclusion reasons of the final delivery (R8) on the
-    standard reservation columns; use with :func:`exclude`.  ``overlap_col``
-    is the migration-overlap flag from ``flag_in_window`` (R9: arrival inside a
-    property's system-switch window).  The missing-property rule tests a
-    *present* target reservation id, as the original does (SURVEY §8 Q14)."""
-    new_res = F.col("sf_reservation_id").isNull()
-    return [
-        ("apartment owner", F.col("rate_plan_code").isin(OWNER_RATE_PLANS)),
-        ("optional status", (F.col("reservation_status") == "Optional") & new_res),
-        ("inactive property", F.col("sf_property_id").isNull() & F.col("sf_reservation_id").isNotNull()),
-        ("overlapped", (F.col("source") == "protel") & F.coalesce(F.col(overlap_col).cast("boolean"), F.lit(False))),
-        ("cancelled", F.col("reservation_status").isin("Cancelled", "NoShow") & new_res),
-    ]
+def exclude_reservations(df: DataFrame, overlap_col: str = "_overlapped", flag: str = "_excluded",
+                         reason: str = "exclude_reason") -> DataFrame:
+    """The exclusion statements of the deliveries (R8), one after the other, on the
+    standard reservation columns (``flag`` 0/1; each statement sees what the ones before did).
+
+    ``overlap_col`` is the migration-overlap flag from ``flag_in_window`` (R9).  A missing property
+    excludes existing target reservations in any case, and at the end every row that has
+    no reason yet; an optional status that was excluded earlier is given back to existing ones."""
+    from .change import update_where
+    f, r, st = F.col(flag), F.col(reason), F.col("reservation_status")
+    new_res, old_res = F.col("sf_reservation_id").isNull(), F.col("sf_reservation_id").isNotNull()
+    no_property = F.col("sf_property_id").isNull()
+    cancelled = st.isin("Cancelled", "NoShow") & new_res
+    out = lambda why: {flag: F.lit(1), reason: F.lit(why)}
+    for cond, sets in [
+        ((F.col("source") == "protel") & F.col("property_code").isNull(), {flag: F.lit(1)}),
+        (F.col("rate_plan_code").isin(OWNER_RATE_PLANS) & (f == 0), out("apartment owner")),
+        ((st == "Optional") & new_res, out("optional status")),
+        ((st == "Optional") & (f == 1) & old_res, {flag: F.lit(0), reason: F.lit(None).cast("string")}),
+        (no_property & old_res, out("inactive property")),
+        ((F.col("source") == "protel") & (f == 0) & F.col(overlap_col).cast("boolean"), out("overlapped")),
+        (cancelled & r.isNull(), out("cancelled")),
+        (cancelled & (f == 0), {flag: F.lit(1)}),
+        (no_property & r.isNull(), out("inactive property")),
+    ]:
+        df = update_where(df, cond, sets)
+    return df
 
 
 #: Property and unit-group codes of the preference rules.

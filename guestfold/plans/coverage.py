@@ -5,7 +5,7 @@ QUERY_IDS = {
     "dominant_value": "W4 N6", "assign_sequence": "W5", "assign_batches": "W5 W6", "group_size_band": "W7",
     "share_of_total": "W3", "domain_share": "W3 K9", "flag_exists": "M3 J6 C2", "in_subquery": "J7 D16",
     "anti_missing": "J8 J9 D13", "anti_multi_key": "J10 C3", "semi_of_anti": "J11", "interval_exclusion": "J12 J13 R9",
-    "conflict_pairs": "J14", "match_rules": "J3 D8 D9", "backfill_unique": "D3 G10", "lookup_one": "J21",
+    "conflict_pairs": "J14", "match_rules": "J3 D8 D9", "backfill_unique": "D3", "lookup_one": "J21",
     "consent_merge": "J18 C1 F27", "update_from": "M2 R5", "fill_from": "M4 R7", "upsert_actions": "M8 M9 M11",
     "change_counts": "M10 P9", "version_pairs": "U3 P9", "insert_ignore": "S14", "replace_slice": "M5",
     "folio_revenue": "R2 G5 G16", "fold_events": "R3 R4", "commercial_report": "K4 U1 F15",
@@ -18,6 +18,7 @@ QUERY_IDS = {
     "status_maps": "N21 F12 F26", "quality_bucket": "N22", "trim_email_domain": "N1 N2 F2 F6",
     "email_flags": "N13 N14", "document_emails": "N14", "title_case": "N3", "salutation": "N4", "gender": "N5",
     "infer_gender": "N6 W4 M2", "country_codes": "N7 N8", "code_review": "N9", "language_default": "N10",
+    "language_codes": "N10", "infer_salutation": "N6 W4", "reservation_exclusions": "R8",
     "name_flags": "N11 N12 N15", "phones": "N16", "birth_bounds": "N18 F16", "age_years": "F17",
     "repair_encoding": "N20 F11", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",
     "cleaning_report": "N23 G6 G7", "iso_dates": "F22 F23 F24 F25", "payload_json": "S17 P11 F28",

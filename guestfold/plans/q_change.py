@@ -22,19 +22,25 @@ def _orders(spark, sf):
 
 @register("upsert_actions", oracle_with("orders_new") + f"""
 , j AS (
-  SELECT t.o_orderkey AS t_key, s.o_orderkey AS s_key,
+  SELECT t.o_orderkey AS t_key, s.o_orderkey AS s_key, t.o_clerk_note, t.updated_at AS t_stamp, t.is_changed AS t_flag,
     {", ".join(f"t.{c} AS t_{c}, s.{c} AS s_{c}" for c in UPSERT_COLS)},
     CASE WHEN t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL AND ({_differs_sql(UPSERT_COLS)}) THEN 'updated'
          WHEN t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL THEN 'unchanged'
          WHEN s.o_orderkey IS NOT NULL THEN 'created' ELSE 'kept' END AS action
-  FROM orders t FULL OUTER JOIN orders_new s ON s.o_orderkey = t.o_orderkey)
-SELECT coalesce(t_key, s_key) AS o_orderkey,
+  FROM (SELECT *, concat('note ', o_custkey) AS o_clerk_note, TIMESTAMP '1998-01-01' AS updated_at,
+               CAST(o_orderkey % 2 AS INT) AS is_changed FROM orders) t
+  FULL OUTER JOIN orders_new s ON s.o_orderkey = t.o_orderkey)
+SELECT coalesce(t_key, s_key) AS o_orderkey, o_clerk_note,
   {", ".join(f"CASE WHEN action IN ('updated', 'created') THEN s_{c} ELSE t_{c} END AS {c}" for c in UPSERT_COLS)},
-  CASE WHEN action IN ('updated', 'created') THEN TIMESTAMP '{AS_OF_ORDERS}' END AS updated_at,
-  CASE WHEN action = 'updated' THEN 1 ELSE 0 END AS is_changed, action
+  CASE WHEN action IN ('updated', 'created') THEN TIMESTAMP '{AS_OF_ORDERS}' ELSE t_stamp END AS updated_at,
+  CASE WHEN action = 'updated' THEN 1 WHEN action = 'created' THEN 0 ELSE t_flag END AS is_changed, action
 FROM j""")
 def upsert_actions(spark, sf):
-    return C.upsert(_orders(spark, sf), orders_new(spark, sf), UPSERT_KEYS, UPSERT_COLS, AS_OF_ORDERS)
+    """A column outside the compared ones, the old stamp and the old flag stay on rows that don't change."""
+    old = table(spark, sf, "orders").select(
+        *UPSERT_KEYS, *UPSERT_COLS, F.concat(F.lit("note "), "o_custkey").alias("o_clerk_note"),
+        F.to_timestamp_ntz(F.lit("1998-01-01 00:00:00")).alias("updated_at"), (F.col("o_orderkey") % 2).cast("int").alias("is_changed"))
+    return C.upsert(old, orders_new(spark, sf), UPSERT_KEYS, UPSERT_COLS, AS_OF_ORDERS)
 
 
 @register("change_counts", oracle_with("orders_new") + f"""

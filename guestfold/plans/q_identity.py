@@ -13,26 +13,26 @@ from .q_joins import PARTY_ID_SQL, party_id
 from .registry import register
 from .tables import AS_OF_EVENTS, dirty, oracle_with, table
 
+#: Some customers have two target rows, of which one carries another name.
 TARGET_SQL = """SELECT DISTINCT o_custkey AS t_custkey,
-  CASE WHEN o_custkey % 7 = 0 THEN 'Someone Else' ELSE concat('Customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) END
+  CASE WHEN o_custkey % 7 = 0 AND o_orderkey % 2 = 0 THEN 'Someone Else' ELSE concat('Customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) END
     AS t_name FROM orders WHERE o_orderstatus = 'F'"""
 
 
 @register("classify_import", f"""
-WITH t AS ({TARGET_SQL})
-SELECT c_custkey, c_name,
-  CASE WHEN t_custkey IS NULL THEN 'create' WHEN t_name IS NOT DISTINCT FROM c_name THEN 'update' ELSE 'none' END
-    AS operation,
-  CASE WHEN t_custkey IS NOT NULL AND t_name IS DISTINCT FROM c_name THEN 'name_conflict' END AS conflict_reason
-FROM customer LEFT JOIN t ON t_custkey = c_custkey""")
+WITH t AS ({TARGET_SQL}),
+m AS (SELECT c_custkey, count(t_custkey) AS n, count(*) FILTER (WHERE t_name <> src_name) AS bad
+      FROM (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN c_name END AS src_name FROM customer) c
+      LEFT JOIN t ON t_custkey = c_custkey GROUP BY c_custkey)
+SELECT c_custkey, CASE WHEN n = 0 THEN 'create' WHEN bad > 0 THEN 'none' ELSE 'update' END AS operation,
+  CASE WHEN bad > 0 THEN 'name_conflict' END AS conflict_reason FROM m""")
 def classify_import(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 9 != 0, F.col("c_name")).alias("src_name"))
     k = F.col("o_custkey")
+    own = F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0"))
     tgt = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
-        k.alias("t_custkey"),
-        F.when(k % 7 == 0, F.lit("Someone Else"))
-         .otherwise(F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0"))).alias("t_name")).distinct()
-    return I.classify_import(c, tgt, ("c_custkey", "t_custkey"), ("c_name", "t_name"))
+        k.alias("t_custkey"), F.when((k % 7 == 0) & (F.col("o_orderkey") % 2 == 0), F.lit("Someone Else")).otherwise(own).alias("t_name")).distinct()
+    return I.classify_import(c, tgt, ("c_custkey", "t_custkey"), ("src_name", "t_name")).drop("src_name")
 
 
 @register("attach_sso", oracle_with("dirty") + f"""
@@ -83,15 +83,19 @@ def build_import(spark, sf):
                     "c_mktsegment", F.lit("PersonAccount").alias("record_type"), F.lit("gms").alias("source"))
 
 
-@register("optouts", f"""
-WITH u AS (SELECT user_id, max(ts) AS last_unsub FROM events WHERE event_type = 'error' GROUP BY 1),
-o AS (SELECT user_id, min(ts) AS first_optin FROM events WHERE event_type = 'signup' GROUP BY 1)
-SELECT u.user_id, DATE '{AS_OF_EVENTS}' AS effective_to, 'OptOut' AS status
-FROM u JOIN o ON o.user_id = u.user_id WHERE o.first_optin < u.last_unsub""")
+@register("optouts", oracle_with("dirty") + f"""
+, con AS (SELECT concat('C', c_custkey) AS consent_id, email, CASE WHEN c_custkey % 4 = 0 THEN 'sms' ELSE 'marketing_central' END AS name,
+            CASE WHEN c_custkey % 5 = 0 THEN 'OptOut' WHEN c_custkey % 5 = 1 THEN NULL ELSE 'OptIn' END AS status FROM dirty)
+SELECT DISTINCT consent_id, DATE '{AS_OF_EVENTS}' AS effective_to, 'OptOut' AS status FROM con
+WHERE name = 'marketing_central' AND status = 'OptIn'
+  AND email IN (SELECT email FROM dirty d JOIN orders o ON o.o_custkey = d.c_custkey WHERE o.o_orderstatus = 'P')""")
 def optouts(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", "event_type", "ts")
-    return CS.optouts(ev.where(F.col("event_type") == "error"), ev.where(F.col("event_type") == "signup"),
-                      "user_id", "ts", "ts", AS_OF_EVENTS)
+    d, k = dirty(spark, sf).select("c_custkey", "email"), F.col("c_custkey")
+    unsub = d.join(table(spark, sf, "orders").where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    con = d.select(F.concat(F.lit("C"), k).alias("consent_id"), F.col("email").alias("address"),
+                   F.when(k % 4 == 0, "sms").otherwise("marketing_central").alias("name"),
+                   F.when(k % 5 == 0, "OptOut").when(k % 5 == 1, None).otherwise("OptIn").alias("current"))
+    return CS.optouts(unsub, con, "email", "address", "consent_id", "name", "current", "marketing_central", AS_OF_EVENTS)
 
 
 @register("consent_records", f"""

@@ -74,7 +74,7 @@ top AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n_val DESC,
 SELECT top.l_suppkey, l_returnflag, n_val, CAST(n_key AS BIGINT) AS n_key,
        round(n_val / n_key, 4) AS ratio
 FROM top JOIN k USING (l_suppkey)
-WHERE rn = 1 AND n_val >= {DOM_MIN_N} AND round(n_val / n_key, 4) >= {DOM_MIN_RATIO}""")
+WHERE rn = 1 AND n_key >= {DOM_MIN_N} AND round(n_val / n_key, 4) >= {DOM_MIN_RATIO}""")
 def dominant_value(spark, sf):
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag")
     return K.dominant(li, "l_suppkey", "l_returnflag", DOM_MIN_N, DOM_MIN_RATIO)

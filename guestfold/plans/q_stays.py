@@ -109,20 +109,70 @@ def preference_tags(spark, sf):
     return S.preference_tags(f, "o_custkey", rules, "tpch")
 
 
-@register("import_sets", oracle_with("orders_new") + f"""
-SELECT o_orderkey, 'history' AS import_set FROM orders
-  WHERE o_orderdate <= TIMESTAMP '{AS_OF_ORDERS}' AND o_orderstatus = 'F'
-UNION ALL SELECT o_orderkey, 'future' FROM orders WHERE o_orderdate > TIMESTAMP '{AS_OF_ORDERS}'
-UNION ALL SELECT o_orderkey, 'future_unmatched' FROM orders o WHERE o_orderdate > TIMESTAMP '{AS_OF_ORDERS}'
-  AND NOT EXISTS (SELECT 1 FROM orders_new n WHERE n.o_orderkey = o.o_orderkey)
-UNION ALL SELECT o.o_orderkey, 'changed_since' FROM orders o JOIN orders_new n ON n.o_orderkey = o.o_orderkey
-  WHERE o.o_orderdate >= TIMESTAMP '1998-01-01' AND o.o_orderstatus IS DISTINCT FROM n.o_orderstatus""")
+IMPORT_RES_SQL = """SELECT o_orderkey, o_custkey AS cluster_id,
+  CASE o_orderkey % 5 WHEN 0 THEN 'CheckedOut' WHEN 1 THEN 'Confirmed' WHEN 2 THEN 'Optional' WHEN 3 THEN 'Cancelled' END AS reservation_status,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE concat('p', o_custkey) END AS sf_person_contact_id,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'prop' END AS sf_property_id,
+  CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS is_investor,
+  CASE o_orderkey % 4 WHEN 0 THEN 'OTA' WHEN 1 THEN 'INDIVIDUAL' ELSE 'FIT' END AS market_segment,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN 'bulk@example.org' ELSE 'a@example.org' END AS email,
+  CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE concat('b', o_orderkey) END AS booking_id,
+  o_orderdate AS arrival_at, o_orderdate AS last_updated_at, CAST(o_orderkey % 2 AS INT) AS _excluded FROM {orders}"""
+
+
+@register("import_sets", f"""
+WITH r AS ({IMPORT_RES_SQL.format(orders='orders')}), p AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS inv FROM customer),
+h AS (SELECT r.* FROM r JOIN p ON r.cluster_id = p.c_custkey WHERE sf_person_contact_id IS NOT NULL AND sf_property_id IS NOT NULL
+      AND reservation_status = 'CheckedOut' AND is_investor = 0 AND inv = 0),
+f AS (SELECT r.* FROM r JOIN p ON r.cluster_id = p.c_custkey WHERE sf_person_contact_id IS NOT NULL AND sf_property_id IS NOT NULL
+      AND reservation_status IN ('Confirmed', 'InHouse', 'Optional') AND is_investor = 0 AND inv = 0)
+SELECT o_orderkey, 'history' AS import_set FROM h UNION ALL SELECT o_orderkey, 'future' FROM f
+UNION ALL SELECT o_orderkey, 'future_unmatched' FROM r WHERE reservation_status NOT IN ('CheckedOut', 'Cancelled')
+  AND market_segment IN ('INDIVIDUAL', 'OTA') AND email IS NOT NULL AND email NOT IN ('bulk@example.org') AND sf_property_id IS NOT NULL
+  AND sf_person_contact_id IS NULL AND is_investor = 0 AND booking_id IS NOT NULL AND arrival_at > TIMESTAMP '1996-01-01'
+  AND o_orderkey NOT IN (SELECT o_orderkey FROM h) AND o_orderkey NOT IN (SELECT o_orderkey FROM f)
+UNION ALL SELECT o_orderkey, 'changed_since' FROM r WHERE last_updated_at >= TIMESTAMP '{AS_OF_ORDERS}' AND _excluded = 0""")
 def import_sets(spark, sf):
-    from ..operators.stays import import_sets as isets
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    n = orders_new(spark, sf).select("o_orderkey", "o_orderstatus")
-    return isets(o, n, "o_orderkey", "o_orderdate", "o_orderstatus", AS_OF_ORDERS, "1998-01-01",
-                 history_status="F")
+    r = spark.sql(IMPORT_RES_SQL, orders=table(spark, sf, "orders"))
+    p = table(spark, sf, "customer").select(F.col("c_custkey").alias("cluster_id"),
+                                            F.when(F.col("c_custkey") % 10 == 0, 1).otherwise(0).alias("is_investor"))
+    return S.import_sets(r, p, "o_orderkey", "cluster_id", AS_OF_ORDERS, "1996-01-01", ["bulk@example.org"])
+
+
+RES_SQL = """SELECT o_orderkey,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'protel' ELSE 'apaleo' END AS source,
+  CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'c' END AS property_code,
+  CASE o_orderkey % 29 WHEN 0 THEN 'OWN' WHEN 1 THEN 'APPET' ELSE 'BAR' END AS rate_plan_code,
+  CASE o_orderkey % 7 WHEN 0 THEN 'Optional' WHEN 1 THEN 'Cancelled' WHEN 2 THEN 'NoShow' WHEN 3 THEN NULL ELSE 'Confirmed' END AS reservation_status,
+  CASE WHEN o_orderkey % 5 < 2 THEN concat('sf', o_orderkey) END AS sf_reservation_id,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 'prop' END AS sf_property_id,
+  o_orderkey % 19 = 0 AS _overlapped,
+  CAST(CASE WHEN o_orderkey % 37 = 0 THEN 1 ELSE 0 END AS INT) AS _excluded,
+  CASE WHEN o_orderkey % 74 = 0 THEN 'legacy' END AS exclude_reason FROM {orders}"""
+
+
+@register("reservation_exclusions", f"""
+WITH r0 AS ({RES_SQL.format(orders='orders')}),
+r1 AS (SELECT * REPLACE (CASE WHEN source = 'protel' AND property_code IS NULL THEN 1 ELSE _excluded END AS _excluded) FROM r0),
+r2 AS (SELECT * REPLACE (CASE WHEN c THEN 1 ELSE _excluded END AS _excluded, CASE WHEN c THEN 'apartment owner' ELSE exclude_reason END AS exclude_reason)
+       FROM (SELECT *, rate_plan_code IN ('OWN', 'APP', 'APPET') AND _excluded = 0 AS c FROM r1)),
+r3 AS (SELECT * REPLACE (CASE WHEN c THEN 1 ELSE _excluded END AS _excluded, CASE WHEN c THEN 'optional status' ELSE exclude_reason END AS exclude_reason,
+         coalesce(reservation_status = 'Optional', false) AND sf_reservation_id IS NULL AS c)
+       FROM (SELECT * REPLACE (coalesce(reservation_status = 'Optional', false) AND sf_reservation_id IS NULL AS c) FROM r2)),
+r4 AS (SELECT * REPLACE (CASE WHEN c THEN 0 ELSE _excluded END AS _excluded, CASE WHEN c THEN NULL ELSE exclude_reason END AS exclude_reason)
+       FROM (SELECT * REPLACE (coalesce(reservation_status = 'Optional', false) AND _excluded = 1 AND sf_reservation_id IS NOT NULL AS c) FROM r3)),
+r5 AS (SELECT * REPLACE (CASE WHEN c THEN 1 ELSE _excluded END AS _excluded, CASE WHEN c THEN 'inactive property' ELSE exclude_reason END AS exclude_reason)
+       FROM (SELECT * REPLACE (sf_property_id IS NULL AND sf_reservation_id IS NOT NULL AS c) FROM r4)),
+r6 AS (SELECT * REPLACE (CASE WHEN c THEN 1 ELSE _excluded END AS _excluded, CASE WHEN c THEN 'overlapped' ELSE exclude_reason END AS exclude_reason)
+       FROM (SELECT * REPLACE (source = 'protel' AND _excluded = 0 AND _overlapped AS c) FROM r5)),
+r7 AS (SELECT * REPLACE (CASE WHEN c THEN 1 ELSE _excluded END AS _excluded, CASE WHEN c THEN 'cancelled' ELSE exclude_reason END AS exclude_reason)
+       FROM (SELECT * REPLACE (coalesce(reservation_status IN ('Cancelled', 'NoShow'), false) AND sf_reservation_id IS NULL AND exclude_reason IS NULL AS c) FROM r6)),
+r8 AS (SELECT * REPLACE (CASE WHEN coalesce(reservation_status IN ('Cancelled', 'NoShow'), false) AND _excluded = 0 AND sf_reservation_id IS NULL
+         THEN 1 ELSE _excluded END AS _excluded) FROM r7)
+SELECT o_orderkey, CAST(CASE WHEN sf_property_id IS NULL AND exclude_reason IS NULL THEN 1 ELSE _excluded END AS INT) AS _excluded,
+  CASE WHEN sf_property_id IS NULL AND exclude_reason IS NULL THEN 'inactive property' ELSE exclude_reason END AS exclude_reason FROM r8""")
+def reservation_exclusions(spark, sf):
+    return S.exclude_reservations(spark.sql(RES_SQL, orders=table(spark, sf, "orders"))).select("o_orderkey", "_excluded", "exclude_reason")
 
 
 @register("conditional_nights", """
@@ -130,26 +180,31 @@ WITH l AS (SELECT l_orderkey, count(*) FILTER (WHERE l_quantity < 5) AS kids, ma
 b AS (SELECT o.o_orderkey, coalesce(l.kids, 0) AS children_num,
         CASE WHEN l.last_ship > o.o_orderdate THEN date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.last_ship AS DATE))
              ELSE 0 END AS nights,
-        CASE o.o_orderstatus WHEN 'P' THEN 'NOSHOW' ELSE 'CHECKEDOUT' END AS status,
-        CASE WHEN o.o_orderpriority = '5-LOW' THEN 'OTHER' ELSE 'ROOM' END AS category,
-        o.o_orderkey % 10 = 0 AS is_sharer
+        CASE o.o_orderstatus WHEN 'P' THEN 3 ELSE 1 END AS status,
+        CASE WHEN o.o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS category,
+        o.o_orderkey % 6 AS room_no, o.o_orderkey % 10 AS account,
+        CASE WHEN o.o_orderkey % 4 = 0 THEN NULL ELSE o.o_custkey % 10 END AS sharer,
+        CASE WHEN o.o_orderkey % 9 = 0 THEN 4 ELSE 1 END AS room_type
       FROM orders o LEFT JOIN l ON l.l_orderkey = o.o_orderkey)
 SELECT o_orderkey, CAST(children_num AS BIGINT) AS children_num, CAST(nights AS INTEGER) AS nights,
-  CAST(CASE WHEN status IN ('CANCELED', 'NOSHOW') THEN 0 WHEN category IN ('PARKING', 'OTHER') THEN 0
-       WHEN coalesce(is_sharer, false) THEN 0 ELSE nights END AS INTEGER) AS room_nights
+  CAST(CASE WHEN status NOT IN (3, -1) AND category = 1 AND room_no > 0 AND (account = sharer OR sharer IS NULL)
+       AND room_type NOT IN (4) THEN coalesce(nights, 0) ELSE 0 END AS INTEGER) AS room_nights
 FROM b""")
 def conditional_nights(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_shipdate")
     kids = li.where(F.col("l_quantity") < 5).select("l_orderkey")
     last = li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
     b = S.child_counts(o.withColumnRenamed("o_orderkey", "l_orderkey"), kids, "l_orderkey")
     b = b.join(last, "l_orderkey", "left").withColumnRenamed("l_orderkey", "o_orderkey")
     nights = X.nights("o_orderdate", F.coalesce("last_ship", "o_orderdate")).cast("int")
-    status = F.when(F.col("o_orderstatus") == "P", "NOSHOW").otherwise("CHECKEDOUT")
-    cat = F.when(F.col("o_orderpriority") == "5-LOW", "OTHER").otherwise("ROOM")
+    status = F.when(F.col("o_orderstatus") == "P", 3).otherwise(1)
+    cat = F.when(F.col("o_orderpriority") == "5-LOW", 0).otherwise(1)
+    k = F.col("o_orderkey")
+    sharer = F.when(k % 4 != 0, F.col("o_custkey") % 10)
+    rtype = F.when(k % 9 == 0, 4).otherwise(1)
     return b.select("o_orderkey", "children_num", nights.alias("nights"),
-                    S.room_nights(status, cat, F.col("o_orderkey") % 10 == 0, nights).cast("int").alias("room_nights"))
+                    S.room_nights(status, cat, k % 6, k % 10, sharer, rtype, nights).cast("int").alias("room_nights"))
 
 
 REVENUE_SQL = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
@@ -285,7 +340,7 @@ raw AS (SELECT concat('R', o_orderkey) AS id, concat('P', c_nationkey) AS proper
     CAST(coalesce(l.n_lines, 0) AS BIGINT) AS adults, c_mktsegment AS market_segment__code,
     CASE WHEN o_orderpriority = '5-LOW' THEN 'Parking' ELSE 'BedRoom' END AS unit_group__type
   FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN l ON l.l_orderkey = o_orderkey),
-props AS (SELECT concat('P', n_nationkey) AS code, concat('F', n_nationkey) AS fmtg, CAST(n_nationkey * 7 AS BIGINT) AS protel,
+props AS (SELECT concat('P', n_nationkey) AS code, concat('F', n_nationkey) AS group_code, CAST(n_nationkey * 7 AS BIGINT) AS protel,
     n_regionkey <> 4 AS active FROM nation)"""
 STD_PROPERTIES = [f"P{i}" for i in range(20)]
 
@@ -297,7 +352,7 @@ SELECT id AS reservation_id, 'pms' AS source, property__id AS property_id, booki
   CAST(CASE WHEN departure > arrival THEN date_diff('day', CAST(arrival AS DATE), CAST(departure AS DATE)) ELSE 0 END
        AS BIGINT) AS room_nights,
   market_segment__code AS market_segment, 'PRIMARY' AS guest_role, 'reservation' AS _ptable,
-  CASE WHEN p.active THEN p.fmtg END AS property_fmtg_id, CASE WHEN p.active THEN p.protel END AS property_protel_id
+  CASE WHEN p.active THEN p.group_code END AS property_code, CASE WHEN p.active THEN p.protel END AS property_pms_id
 FROM raw LEFT JOIN region ON r_regionkey = company__id LEFT JOIN props p ON p.code = property__id
 WHERE unit_group__type = 'BedRoom' AND property__id IN ({", ".join(f"'{p}'" for p in STD_PROPERTIES)})""")
 def standardise_reservations(spark, sf):
@@ -317,37 +372,27 @@ def standardise_reservations(spark, sf):
     companies = table(spark, sf, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("code"))
     std = S.standardise_reservations(raw, companies, "pms", STD_PROPERTIES)
     n = table(spark, sf, "nation")
-    props = n.select(F.concat(F.lit("P"), F.col("n_nationkey")).alias("PAS_code3"),
-                     F.concat(F.lit("F"), F.col("n_nationkey")).alias("PAS_FMTG_ID"),
-                     (F.col("n_nationkey") * 7).cast("bigint").alias("PAS_Protel_ID"),
-                     F.lit(None).cast("string").alias("PAS_GMS_ID"), (F.col("n_regionkey") != 4).alias("is_active"))
+    props = n.select(F.concat(F.lit("P"), F.col("n_nationkey")).alias("code"),
+                     F.concat(F.lit("F"), F.col("n_nationkey")).alias("group_code"),
+                     (F.col("n_nationkey") * 7).cast("bigint").alias("pms_id"),
+                     F.lit(None).cast("string").alias("target_id"), (F.col("n_regionkey") != 4).alias("is_active"))
     std = S.attach_property(std, props)
     return std.select("reservation_id", "source", "property_id", "booking_id", "reservation_status", "group_name",
                       "arrival_at", "departure_at", "booker_company_id", "adults_num", "room_nights", "market_segment",
-                      "guest_role", "_ptable", "property_fmtg_id", "property_protel_id")
+                      "guest_role", "_ptable", "property_code", "property_pms_id")
 
 
-RELAY = ["guest.booking.com", "m.expediapartnercentral.com"]
+RAW_ADDRESS_SQL = """SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN concat('h', c_custkey, '@m.expediapartnercentral.com')
+    WHEN 1 THEN concat('g', c_custkey, '@guest.Booking.com') WHEN 2 THEN concat('x', c_custkey, '@hrs.de')
+    WHEN 3 THEN concat('sample.', c_custkey, '@example.org') END AS email FROM {customer} WHERE c_custkey % 11 <> 0"""
 
 
 @register("recover_email", oracle_with("dirty") + f"""
-, w AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN concat('g', c_custkey, '@guest.booking.com')
-                          ELSE lower(trim(email)) END AS email FROM dirty),
-raw AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN concat('h', c_custkey, '@m.expediapartnercentral.com')
-                          ELSE concat('sample.', c_custkey, '@example.org') END AS raw_email
-        FROM customer WHERE c_custkey % 3 <> 0),
-ok AS (SELECT * FROM raw WHERE contains(raw_email, '@')
-         AND lower(split_part(raw_email, '@', -1)) NOT IN ('guest.booking.com', 'm.expediapartnercentral.com'))
-SELECT w.c_custkey,
-  CASE WHEN ok.c_custkey IS NOT NULL AND lower(split_part(w.email, '@', -1)) IN ('guest.booking.com', 'm.expediapartnercentral.com')
-       THEN ok.raw_email ELSE w.email END AS email
-FROM w LEFT JOIN ok ON ok.c_custkey = w.c_custkey""")
+, raw AS ({RAW_ADDRESS_SQL.format(customer='customer')})
+SELECT d.c_custkey, CASE WHEN d.email IS NULL AND (raw.email ILIKE '%booking.com' OR raw.email ILIKE '%m.expediapartnercentral.com'
+                           OR raw.email ILIKE '%hrs.de') THEN raw.email ELSE d.email END AS email
+FROM dirty d LEFT JOIN raw ON raw.c_custkey = d.c_custkey""")
 def recover_email(spark, sf):
     from .tables import dirty
-    k = F.col("c_custkey")
-    w = dirty(spark, sf).select("c_custkey", F.when(k % 5 == 0, F.concat(F.lit("g"), k, F.lit("@guest.booking.com")))
-                                .otherwise(F.lower(F.trim("email"))).alias("email"))
-    raw = table(spark, sf, "customer").where(k % 3 != 0).select(
-        "c_custkey", F.when(k % 10 == 0, F.concat(F.lit("h"), k, F.lit("@m.expediapartnercentral.com")))
-        .otherwise(F.concat(F.lit("sample."), k, F.lit("@example.org"))).alias("email"))
-    return S.recover_email(w, raw, "c_custkey", "email", RELAY)
+    raw = spark.sql(RAW_ADDRESS_SQL, customer=table(spark, sf, "customer"))
+    return S.recover_email(dirty(spark, sf).select("c_custkey", "email"), raw, "c_custkey", "email")

@@ -39,28 +39,29 @@ DIRTY_SQL = """SELECT c_custkey,
   CASE c_custkey % 9 WHEN 0 THEN 'ANNA-MARIA' WHEN 1 THEN ' o''neil ' WHEN 2 THEN 'Test'
     WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 5 THEN 'Jörg' WHEN 6 THEN '-' WHEN 7 THEN 'peter j.'
     ELSE 'Anna' END AS fname,
-  CASE c_custkey % 10 WHEN 0 THEN 'MUSTER' WHEN 1 THEN 'von der linden' WHEN 2 THEN 'X'
+  CASE c_custkey % 15 WHEN 0 THEN 'MUSTER' WHEN 1 THEN 'von der linden' WHEN 2 THEN 'X'
     WHEN 3 THEN NULL WHEN 4 THEN ' ' WHEN 5 THEN 'Acme GmbH' WHEN 6 THEN 'Иванов'
-    WHEN 7 THEN 'abc???' WHEN 8 THEN 'Deleted' ELSE 'Sample' END AS lname,
+    WHEN 7 THEN 'abc???' WHEN 8 THEN 'Deleted' WHEN 10 THEN 'ab??' WHEN 11 THEN 'Foo GesmbH'
+    WHEN 12 THEN '12345678ab' WHEN 13 THEN '´' ELSE 'Sample' END AS lname,
   CASE c_custkey % 12 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'no-at-sign'
     WHEN 3 THEN concat('User', c_custkey, '@Example.COM') WHEN 4 THEN concat('a..b', c_custkey, '@example.org')
     WHEN 5 THEN concat('noreply@', 'example.net') WHEN 6 THEN concat('u', c_custkey, '@mailinator.com')
     WHEN 7 THEN concat(' u', c_custkey, '@example.net ') WHEN 8 THEN concat('a@b@', c_custkey, '.example')
     ELSE concat('sample.', c_custkey, '@example.org') END AS email,
-  CASE c_custkey % 13 WHEN 0 THEN 'Herr' WHEN 1 THEN 'Frau ' WHEN 2 THEN 'MR' WHEN 3 THEN 'Mrs.'
+  CASE c_custkey % 15 WHEN 0 THEN 'Herr' WHEN 13 THEN 'FRAU' WHEN 14 THEN 'dear ms. sample' WHEN 1 THEN 'Frau ' WHEN 2 THEN 'MR' WHEN 3 THEN 'Mrs.'
     WHEN 4 THEN 'Dear Mr. Sample' WHEN 5 THEN 'Dear Ms Sample' WHEN 6 THEN 'Herr Dr.' WHEN 7 THEN 'N/A'
     WHEN 8 THEN 'Familie' WHEN 9 THEN NULL WHEN 10 THEN 'Signora' WHEN 11 THEN 'Sehr geehrter Herr Sample'
     ELSE 'zzz' END AS salutation,
-  CASE c_custkey % 8 WHEN 0 THEN 'AT' WHEN 1 THEN ' Deutschland' WHEN 2 THEN 'Schweiz' WHEN 3 THEN 'UK'
+  CASE c_custkey % 9 WHEN 8 THEN 'DEUTSCHLAND' WHEN 0 THEN 'AT' WHEN 1 THEN ' Deutschland' WHEN 2 THEN 'Schweiz' WHEN 3 THEN 'UK'
     WHEN 4 THEN 'XX' WHEN 5 THEN NULL WHEN 6 THEN 'Atlantis' ELSE 'HR' END AS country,
   CASE c_custkey % 6 WHEN 0 THEN concat('+43 (1) ', c_custkey, ' ext') WHEN 1 THEN '0000000000'
     WHEN 2 THEN NULL WHEN 3 THEN 'n/a' WHEN 4 THEN '123-456-7890' ELSE concat('tel:', c_custkey) END AS cell_phone,
-  CASE c_custkey % 7 WHEN 0 THEN '07.03.1995' WHEN 1 THEN '31.02.2001' WHEN 2 THEN '01.01.1900'
+  CASE c_custkey % 8 WHEN 7 THEN '05.05.1885' WHEN 0 THEN '07.03.1995' WHEN 1 THEN '31.02.2001' WHEN 2 THEN '01.01.1900'
     WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 5 THEN '29.02.2000' ELSE '24.12.2099' END AS birth_text,
   CASE c_custkey % 4 WHEN 0 THEN concat(c_custkey, '.0') WHEN 1 THEN NULL ELSE concat('', c_custkey) END AS member_id,
   CASE c_custkey % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN NULL ELSE 'No' END AS current_opt_in,
   CASE c_custkey % 14 WHEN 0 THEN 'hard' WHEN 1 THEN '1' ELSE 'no' END AS bounce,
-  CASE c_custkey % 3 WHEN 0 THEN 'DE' WHEN 1 THEN 'xx' ELSE NULL END AS language_code,
+  CASE c_custkey % 5 WHEN 0 THEN 'DE' WHEN 1 THEN 'xx' WHEN 2 THEN 'CZ' WHEN 3 THEN 'it' ELSE NULL END AS language_code,
   CAST(c_nationkey AS BIGINT) AS list_id
 FROM {customer}"""
 

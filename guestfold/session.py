@@ -78,12 +78,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    as is.  Only when it is unset on a local master (tests) a fresh scratch
+    folder is created and registered; on a cluster an unset setting is an error,
+    since executors can't share a machine's own folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="guestfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():

@@ -74,7 +74,8 @@ def test_clean_columns_collision(spark):
     df = spark.createDataFrame([(1, 2)], "`E-Mail` int, `email ` int")
     with pytest.raises(ValueError):
         IO.clean_columns(df)
-    assert IO.clean_column_name("  First  Name ") == "first_name"
+    names = {"  First  Name ": "first_name", "E-Mail": "email", "_a__b_": "a_b", "A - B": "a_b", "Größe (cm)": "gre_cm", "%": "", "Nr.1": "nr1"}
+    assert {n: IO.standard_name(n) for n in names} == names
 
 
 def test_write_batch_files(spark):

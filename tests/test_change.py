@@ -1,5 +1,6 @@
 """UPDATE / DELETE / upsert transforms keep row counts and NULL semantics."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from guestfold.operators import change as C
@@ -44,6 +45,26 @@ def test_upsert_edge_rows(spark):
     assert pairs.count() == 6
 
 
+def test_upsert_keeps_what_it_does_not_compare(spark):
+    t = spark.createDataFrame([(1, "a", "n1", "2020-01-01", 1), (2, "b", "n2", "2020-01-02", 0), (3, "c", "n3", None, 1)],
+                              "k int, x string, note string, updated_at string, is_changed int").withColumn("updated_at", F.to_timestamp_ntz("updated_at"))
+    n = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d"), (4, "d")], "k int, x string")
+    got = {r.k: (r.x, r.note, str(r.updated_at)[:10], r.is_changed, r.action) for r in C.upsert(t, n, ["k"], ["x"], "2024-01-01").collect()}
+    assert got == {1: ("a", "n1", "2020-01-01", 1, "unchanged"), 2: ("B", "n2", "2024-01-01", 1, "updated"),
+                   3: ("c", "n3", "None", 1, "kept"), 4: ("d", None, "2024-01-01", 0, "created")}
+    two = n.union(spark.createDataFrame([(4, "e")], "k int, x string"))
+    with pytest.raises(Exception, match="several rows for one key"):
+        C.upsert(t, two, ["k"], ["x"], "2024-01-01").collect()
+
+
+def test_update_from_refuses_two_source_rows(spark):
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    s = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(Exception, match="several rows for one key"):
+        C.update_from(t, s, ["k"], {"v": "src_v"}).collect()
+    assert C.update_from(t, s, ["k"], {"v": "src_v"}, order=["v"]).first().v == "x"
+
+
 def test_replace_slice_null_condition_kept(spark):
     t = spark.createDataFrame([(1, "P"), (2, None), (3, "F")], "k int, s string")
     new = spark.createDataFrame([(9, "P")], "k int, s string")

@@ -50,27 +50,87 @@ def test_email_rules_order(spark):
 
 
 def test_birth_dates_and_age(spark):
-    df = spark.createDataFrame([("31.02.2001",), ("29.02.2000",), ("01.01.1900",), ("24.12.2099",)], "t string")
+    df = spark.createDataFrame([("31.02.2001",), ("29.02.2000",), ("01.01.1900",), ("24.12.2099",), ("05.05.1885",), ("31.12.1799",), ("01.01.1800",)], "t string")
     d = X.parse_date("t", "dd.MM.yyyy")
     out = df.select(N.bound_birthdate(d, "2025-06-30").alias("b"),
                     X.age_years(N.bound_birthdate(d, "2025-02-28"), "2025-02-28").alias("a")).collect()
-    assert [r.b for r in out] == [None, dt.date(2000, 2, 29), None, None]
+    assert [r.b for r in out] == [None, dt.date(2000, 2, 29), None, None, dt.date(1885, 5, 5), None, dt.date(1800, 1, 1)]
     assert out[1].a == 24
 
 
-def test_repair_encoding_round_trip_and_bad_input(spark):
-    df = spark.createDataFrame([("Jörg",), ("Иванов",), ("plain",), ("Ã(",)], "n string")
-    broken = F.decode(F.encode("n", "UTF-8"), "ISO-8859-1")
-    got = [r.r for r in df.select(N.repair_encoding(broken, markers="ÃÐÂ").alias("r")).collect()]
-    assert got[:3] == ["Jörg", "Иванов", "plain"]
-    # text whose bytes are not valid UTF-8 stays as it is instead of failing
-    assert one(spark, lambda c: N.repair_encoding(c, markers="Ã"), "Ã(") == "Ã("
+def test_repair_encoding(spark):
+    cases = {"JÃ¶rg «x»": "JÃ¶rg «x»",   # the quotes' bytes are no UTF-8: kept
+             "JÃ¶rgÂ»": "Jörg»", "Â«plainÂ»": "«plain»", "├x": "?x", "Jörg": "Jörg", "├Ã¶": "?ö", "plain": "plain"}
+    for text, want in cases.items():
+        assert one(spark, N.repair_encoding, text) == want, text
 
 
 def test_missing_name_rules(spark):
-    df = spark.createDataFrame([(None, "Acme GmbH"), ("Ann", "X"), ("Ann", "a_b"), ("Ann", "Sample")], "f string, l string")
-    got = [r.r for r in df.select(X.first_reason(N.missing_name_rules("f", "l")).alias("r")).collect()]
-    assert got == ["company_last_name", "one_char_last_name", "underscore", None]
+    cases = [(None, "Acme GmbH", "company_last_name"), ("Ann", "Acme GmbH", None), ("Ann", "Foo GesmbH", "company_last_name"),
+             ("Ann", "X", "one_char_last_name"), ("Ann", "a_b", "underscore"), ("Ann", "Sample", None), ("Ann", None, "no_last_name"),
+             ("Ann", "ab??", "question_marks"), ("Ann", "ab\ufffdc", "question_marks"), ("Ann", "a?b", None),
+             ("Ann", "1234567a", "digits_and_letters"), ("Ann", "123456A", None), ("Ann", "12345678", None), ("Ann", "..", "odd_mark"),
+             ("Ann", ",s", "odd_mark"), ("Ann", "^rudy", "odd_mark"), ("Ann", "´", "one_char_last_name"), ("Ann", "----", "dash_only"),
+             ("x@@y", "Sample", "double_at"), ("Ann", "Http://x", "url")]
+    df = spark.createDataFrame([(i, f, l_) for i, (f, l_, _) in enumerate(cases)], "i int, f string, l string")
+    got = {r.i: r.r for r in df.select("i", X.first_reason(N.missing_name_rules("f", "l")).alias("r")).collect()}
+    assert got == {i: want for i, (_, _, want) in enumerate(cases)}
+
+
+def test_email_validity(spark):
+    cases = {"a@x.org": None, "A.b+c-d_e@X-y.Co.Org": None, None: None, "": None, "  ": None,
+             "a!b@x.org": "malformed", "a%b@x.org": "malformed", " a@x.org": "malformed", "a@b@x.org": "malformed", ".a@x.org": "malformed",
+             "a.@x.org": "malformed", "a@.x.org": "malformed", "a..b@x.org": "malformed", "a@x": "malformed", "a@x.o": "malformed", "a@x.o1g": "malformed"}
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(cases)], "i int, e string")
+    bad, reason = N.email_invalid("e")
+    got = {r.i: (r.b, r.r) for r in df.select("i", bad.alias("b"), reason.alias("r")).collect()}
+    assert got == {i: (want is not None, want) for i, want in enumerate(cases.values())}
+    wide, _ = N.email_invalid("e", "check")
+    open_ = {r.e for r in df.where(~wide).collect()}
+    assert {"a!b@x.org", "a%b@x.org", "a@x.o1g"} <= open_ and "a@b@x.org" not in open_
+
+
+def test_email_suppression_of_profiles(spark):
+    rows = [("x temporäres", "S", None, "temporary_profile"), ("A", "Иванов", None, "non_latin_name"), ("A", "xx Owner AG", None, "own_company"),
+            ("A", "S", "Bounced", "bounce_flag"), ("A", "S", "no", None), ("My Test", "S", None, "test_marker"), (None, "Sun Travel", None, "travel_agency")]
+    df = spark.createDataFrame([(i, "a@x.org", None, *r[:3]) for i, r in enumerate(rows)], "i int, email string, bounce string, fname string, lname string, bf string")
+    rules = N.email_exclusion_rules("email", bounce_flag="bf", own_names=["owner ag"])
+    got = {r.i: r.r for r in df.select("i", X.first_reason(rules).alias("r")).collect()}
+    assert got == {i: r[3] for i, r in enumerate(rows)}
+
+
+def test_quality_buckets(spark):
+    rows = [(None, None, None, "1_no_personal_data"), ("Deleted", "", None, "1_no_personal_data"), (" deleted ", "a@x", None, "3_partial_data"),
+            ("Sample", "a@x", None, "2_has_lastname_and_email"), ("Sample", None, None, "3_partial_data"), (None, None, "555", "3_partial_data"),
+            ("Deleted", None, "555", "3_partial_data")]
+    df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "i int, l string, e string, phone string")
+    got = {r.i: r.q for r in df.select("i", N.quality_bucket("l", "e", "phone").alias("q")).collect()}
+    assert got == {i: r[3] for i, r in enumerate(rows)}
+
+
+def test_languages(spark):
+    want = {"DE": "de", "cz": "cz", "it": "en", "hu": "en", "pl": "en", "sl": "en", "es": "en", "cs": "en", "hr": "hr", "sk": "sk", "nl": "nl",
+            "FR": "fr", "en": "en", None: "en", "": "en"}
+    df = spark.createDataFrame([(k,) for k in want], "c string")
+    assert {r.c: r.v for r in df.select("c", N.normalise_language("c").alias("v")).collect()} == want
+
+
+def test_letter_case_of_salutations_and_countries(spark):
+    df = spark.createDataFrame([("FRAU",), ("frau",), ("HERR",), ("Herr",), ("dear ms. x",), ("zzz",)], "s string")
+    got = {r.s: r.n for r in N.normalise_salutation(df, "s", out="n").collect()}
+    assert got["FRAU"] == got["frau"] == "Mrs." and got["HERR"] == got["Herr"] == "Mr." and got["zzz"] == "zzz"
+    c = spark.createDataFrame([("DEUTSCHLAND",), ("deutschland ",), ("AT",), ("Atlantis",)], "country string")
+    assert [r.country for r in N.normalise_country(c).collect()] == ["DE", "DE", "AT", "Atlantis"]
+    assert len({k.lower() for k in N.COUNTRY_VARIANTS}) == len(N.COUNTRY_VARIANTS)
+
+
+def test_infer_salutation_and_gender(spark):
+    known = [(100 + i, "Anna", "Mrs.", None, 0) for i in range(48)] + [(200 + i, "Anna", "Mr.", None, 0) for i in range(4)]
+    asked = [(1, " anna ", "Herr", None, 0), (2, "Anna", None, None, 0), (3, "Anna", "Dr.", None, 0), (4, "Anna", "Frau", "Male", 0),
+             (5, "Anna", "Herr", None, 1), (6, "Kim", "Herr", None, 0), (7, None, "Herr", None, 0)]
+    df = spark.createDataFrame(known + asked, "i int, fname string, salutation string, gender string, missing_name int")
+    got = {r.i: (r.salutation, r.gender) for r in N.infer_salutation_and_gender(df).where("i < 10").collect()}
+    assert got == {1: ("Mrs.", "Female"), 2: (None, None), 3: ("Dr.", "Female"), 4: ("Mrs.", "Male"), 5: ("Herr", None), 6: ("Herr", None), 7: ("Herr", None)}
 
 
 def test_has_script(spark):

@@ -40,10 +40,12 @@ def test_loyalty_pick_null_dates_last(spark):
 
 def test_classify_import(spark):
     df = spark.createDataFrame([(1, "Ann"), (2, "Bob"), (3, "Cy")], "k int, name string")
-    tgt = spark.createDataFrame([(1, "Ann"), (2, "Robert")], "tk int, tname string")
+    df = df.union(spark.createDataFrame([(4, None), (5, "Di"), (6, "Eve"), (None, "X")], "k int, name string"))
+    tgt = spark.createDataFrame([(1, "Ann"), (2, "Robert"), (4, "Fay"), (5, "Di"), (5, "Dia"), (6, None), (None, "Y")], "tk int, tname string")
     got = {r.k: (r.operation, r.conflict_reason) for r in
            I.classify_import(df, tgt, ("k", "tk"), ("name", "tname")).collect()}
-    assert got == {1: ("update", None), 2: ("none", "name_conflict"), 3: ("create", None)}
+    assert got == {1: ("update", None), 2: ("none", "name_conflict"), 3: ("create", None),
+                   4: ("update", None), 5: ("none", "name_conflict"), 6: ("update", None), None: ("create", None)}
 
 
 def test_attach_ids_person_accounts_only(spark):
@@ -55,11 +57,14 @@ def test_attach_ids_person_accounts_only(spark):
     assert got == {1: ("001A", "s1"), 2: (None, None), 3: (None, None)}
 
 
-def test_optouts_need_earlier_optin(spark):
-    unsub = spark.createDataFrame([(1, 5), (1, 9), (2, 1), (3, 4)], "u int, t int")
-    optin = spark.createDataFrame([(1, 7), (2, 3), (3, 4)], "u int, t int")
-    got = sorted(r.u for r in CS.optouts(unsub, optin, "u", "t", "t", "2024-01-01").collect())
-    assert got == [1]
+def test_optouts_take_the_current_status(spark):
+    unsub = spark.createDataFrame([("a@x",), ("a@x",), ("b@x",), (None,)], "mail string")
+    con = spark.createDataFrame([("c1", "a@x", "central", "OptIn"), ("c2", "a@x", "other", "OptIn"), ("c3", "b@x", "central", "OptOut"),
+                                 ("c4", "d@x", "central", "OptIn"), ("c5", None, "central", "OptIn"), ("c6", "a@x", "central", "OptIn")],
+                                "id string, address string, name string, status string")
+    got = sorted((r.id, str(r.effective_to), r.status) for r in
+                 CS.optouts(unsub, con, "mail", "address", "id", "name", "status", "central", "2024-01-01").collect())
+    assert got == [("c1", "2024-01-01", "OptOut"), ("c6", "2024-01-01", "OptOut")]
 
 
 def test_missing_consents_two_key_anti_join(spark):
@@ -111,10 +116,13 @@ def test_children_and_room_nights(spark):
     kids = spark.createDataFrame([(1,), (1,)], "r int")
     got = {r.r: r.children_num for r in S.child_counts(df, kids, "r").collect()}
     assert got == {1: 2, 2: 0}
-    rn = spark.createDataFrame([("CANCELED", "ROOM", False, 3), ("CHECKEDOUT", "ROOM", None, 3),
-                                ("CHECKEDOUT", "ROOM", True, 3)], "s string, c string, sh boolean, n int") \
-        .select(S.room_nights("s", "c", "sh", "n").alias("x")).collect()
-    assert [r.x for r in rn] == [0, 3, 0]
+    #        status, room category, room no, account, sharer, room type, nights
+    cases = [((1, 1, 12, 7, 7, 1, 3), 3), ((1, 1, 12, 7, None, 1, 3), 3), ((3, 1, 12, 7, 7, 1, 3), 0), ((-1, 1, 12, 7, 7, 1, 3), 0),
+             ((1, 0, 12, 7, 7, 1, 3), 0), ((1, 1, 0, 7, 7, 1, 3), 0), ((1, 1, 12, 7, 8, 1, 3), 0), ((1, 1, 12, 7, 7, 4, 3), 0),
+             ((1, 1, 12, 7, 7, 1, None), 0), ((None, 1, 12, 7, 7, 1, 3), 0), ((1, 1, 12, None, 8, 1, 3), 0)]
+    rn = spark.createDataFrame([(i, *c) for i, (c, _) in enumerate(cases)], "i int, s int, c int, n int, a int, sh int, t int, x int")
+    got = {r.i: r.v for r in rn.select("i", S.room_nights("s", "c", "n", "a", "sh", "t", "x").alias("v")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
 
 
 def test_report_helpers(spark):
@@ -130,7 +138,7 @@ def test_report_helpers(spark):
 def test_flag_duplicates_hot_null_key(spark):
     rows = [(None, i) for i in range(40)] + [(1, 1), (1, 2), (2, 1)]
     df = spark.createDataFrame(rows, "k int, v int")
-    out = K.flag_duplicates(df, ["k"], ["v"], hot_threshold=10, salt_buckets=4)
+    out = K.flag_duplicates(df, ["k"], ["v"])
     winners = sorted((r.k, r.v) for r in out.where("is_duplicate = 0").collect() if r.k is not None)
     assert winners == [(1, 1), (2, 1)]
     nulls = out.where("k IS NULL")
@@ -159,16 +167,59 @@ def test_survivors_priority(spark):
     assert got == {1: "g1", 2: "a2", 3: "o3"}
 
 
-def test_reservation_exclusion_rules(spark):
-    rows = [(1, "APP", "Confirmed", None, "p", "apaleo", 0), (2, "BAR", "Optional", None, "p", "apaleo", 0),
-            (3, "BAR", "Optional", "a0X", "p", "apaleo", 0), (4, "BAR", "Confirmed", "a0Y", None, "apaleo", 0),
-            (5, "BAR", "Confirmed", None, "p", "protel", 1), (6, "BAR", "NoShow", None, "p", "apaleo", 0),
-            (7, "BAR", "Confirmed", None, "p", "protel", 0)]
-    df = spark.createDataFrame(rows, "k int, rate_plan_code string, reservation_status string, sf_reservation_id string, "
-                                     "sf_property_id string, source string, _overlapped int")
-    got = {r.k: r.exclude_reason for r in S.exclude(df, S.reservation_exclusion_rules()).collect()}
-    assert got == {1: "apartment owner", 2: "optional status", 3: None, 4: "inactive property", 5: "overlapped",
-                   6: "cancelled", 7: None}
+def test_exclude_keeps_a_flag_without_reason(spark):
+    df = spark.createDataFrame([(1, 1, None, 20), (2, 0, None, 20), (3, None, None, 5)], "k int, excluded int, exclude_reason string, v int")
+    out = {r.k: (r.excluded, r.exclude_reason) for r in S.exclude(df, [("small", F.col("v") < 10)]).collect()}
+    assert out == {1: (1, None), 2: (0, None), 3: (1, "small")}
+
+
+def test_exclude_reservations(spark):
+    """One row per statement and per order between two statements."""
+    base = dict(source="apaleo", property_code="c", rate_plan_code="BAR", reservation_status="Confirmed", sf_reservation_id=None,
+                sf_property_id="p", _overlapped=False, _excluded=0, exclude_reason=None)
+    cases = [({}, (0, None)),
+             ({"source": "protel", "property_code": None}, (1, None)),
+             ({"rate_plan_code": "APPET"}, (1, "apartment owner")),
+             ({"rate_plan_code": "OWN", "_excluded": 1}, (1, None)),
+             ({"reservation_status": "Optional"}, (1, "optional status")),
+             ({"reservation_status": "Optional", "rate_plan_code": "APP"}, (1, "optional status")),
+             ({"reservation_status": "Optional", "sf_reservation_id": "a0", "_excluded": 1, "exclude_reason": "old"}, (0, None)),
+             ({"sf_property_id": None, "sf_reservation_id": "a0", "exclude_reason": "old"}, (1, "inactive property")),
+             ({"sf_property_id": None}, (1, "inactive property")),
+             ({"sf_property_id": None, "rate_plan_code": "OWN"}, (1, "apartment owner")),
+             ({"source": "protel", "_overlapped": True}, (1, "overlapped")),
+             ({"source": "apaleo", "_overlapped": True}, (0, None)),
+             ({"reservation_status": "NoShow"}, (1, "cancelled")),
+             ({"reservation_status": "Cancelled", "sf_reservation_id": "a0"}, (0, None)),
+             ({"reservation_status": "Cancelled", "exclude_reason": "old"}, (1, "old")),
+             ({"reservation_status": None, "_overlapped": None}, (0, None))]
+    df = spark.createDataFrame([(i, *{**base, **c}.values()) for i, (c, _) in enumerate(cases)],
+                               "k int, source string, property_code string, rate_plan_code string, reservation_status string, "
+                               "sf_reservation_id string, sf_property_id string, _overlapped boolean, _excluded int, exclude_reason string")
+    got = {r.k: (r._excluded, r.exclude_reason) for r in S.exclude_reservations(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_import_sets(spark):
+    base = dict(cluster="c1", reservation_status="CheckedOut", sf_person_contact_id="p", sf_property_id="h", is_investor=0,
+                market_segment="OTA", email="a@x", booking_id="b", arrival_at="2026-05-01", last_updated_at="2026-01-01", _excluded=0)
+    open_ = {"sf_person_contact_id": None, "reservation_status": "Confirmed"}
+    cases = [({}, {"history"}), ({"reservation_status": "Optional"}, {"future"}), ({"reservation_status": "NoShow"}, set()),
+             ({"is_investor": 1}, set()), ({"cluster": "c2"}, set()), ({"cluster": "c9"}, set()), ({"cluster": None}, set()),
+             ({"sf_property_id": None}, set()), ({"last_updated_at": "2026-05-04"}, {"history", "changed_since"}),
+             ({"last_updated_at": "2026-05-05", "_excluded": 1}, {"history"}),
+             (open_, {"future_unmatched"}), ({**open_, "market_segment": "FIT"}, set()), ({**open_, "email": None}, set()),
+             ({**open_, "email": "bulk@x"}, set()), ({**open_, "booking_id": None}, set()), ({**open_, "arrival_at": "2026-04-16"}, set()),
+             ({**open_, "reservation_status": "Cancelled"}, set()), ({**open_, "reservation_status": None}, set())]
+    df = spark.createDataFrame([(i, *{**base, **c}.values()) for i, (c, _) in enumerate(cases)],
+                               "k int, cluster string, reservation_status string, sf_person_contact_id string, sf_property_id string, is_investor int, "
+                               "market_segment string, email string, booking_id string, arrival_at string, last_updated_at string, _excluded int")
+    df = df.withColumns({c: F.to_timestamp_ntz(c) for c in ("arrival_at", "last_updated_at")})
+    persons = spark.createDataFrame([("c1", 0), ("c2", 1)], "cluster string, is_investor int")
+    got = {i: set() for i in range(len(cases))}
+    for r in S.import_sets(df, persons, "k", "cluster", "2026-05-04", "2026-04-16", ["bulk@x"]).collect():
+        got[r.k].add(r.import_set)
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
 
 
 def test_reservation_preference_rules(spark):

@@ -17,19 +17,38 @@ def test_pick_one_orders_and_null_key(spark):
     assert rows(out, "k", "id") == sorted([(1, "b"), (None, "n2"), (2, "z")], key=repr)
 
 
-def test_flag_duplicates_plain_and_salted_agree(spark):
+def test_flag_duplicates_with_a_hot_key(spark):
     data = [(k % 3, i, f"r{i}") for k in range(60) for i in range(k % 7 + 1)] + [(0, 999, "hot")] * 3
     df = spark.createDataFrame(data, "k int, v int, id string").withColumn("u", F.monotonically_increasing_id())
     df = K._ckpt(df)  # fix the generated ids before they are used twice
     order = [F.col("v").desc(), "id", "u"]
-    plain = K.flag_duplicates(df, ["k"], order, hot_threshold=10 ** 9)
-    salted = K.flag_duplicates(df, ["k"], order, hot_threshold=5, salt_buckets=4)
+    flagged = K.flag_duplicates(df, ["k"], order)
     ref = df.withColumn("is_duplicate", F.when(
         F.row_number().over(Window.partitionBy("k").orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])) == 1,
         0).otherwise(1))
     cols = ["k", "v", "id", "u", "is_duplicate"]
-    assert rows(plain, *cols) == rows(ref, *cols) == rows(salted, *cols)
-    assert salted.where("is_duplicate = 0").count() == 3
+    assert rows(flagged, *cols) == rows(ref, *cols)
+    assert flagged.where("is_duplicate = 0").count() == 3
+
+
+def test_flag_duplicates_splits_a_key_with_most_rows(spark):
+    hot = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 10 < 9, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
+                                              F.sha2(F.col("id").cast("string"), 512).alias("load"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c, None) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        out = K.flag_duplicates(hot, ["k"], ["v"])
+        assert out.where("is_duplicate = 0").count() == 6001
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
 
 
 def test_drop_all_duplicated_keeps_null_keys(spark):
@@ -68,6 +87,9 @@ def test_dominant_ties_and_thresholds(spark):
                                "name string, g string")
     out = K.dominant(df, "name", "g", min_n=2, min_ratio=0.5)
     assert rows(out, "name", "g", "n_val", "n_key") == [("anna", "F", 9, 10), ("kim", "F", 2, 4)]
+    # the threshold is on all values of the name, not on the dominant one alone
+    assert rows(K.dominant(df, "name", "g", min_n=10, min_ratio=0.5), "name") == [("anna",)]
+    assert rows(K.dominant(df, "name", "g", min_n=4, min_ratio=0.5), "name") == [("anna",), ("kim",)]
     assert K.dominant(df, "name", "g", min_n=2, min_ratio=0.9).count() == 1
 
 

@@ -6,8 +6,7 @@ import pytest
 import __spark_entry__ as E
 from helpers import canon, duck, duck_family, spark_family
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+from guestfold.plans import ORACLES, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")

@@ -108,20 +108,18 @@ def test_standardise_and_attach_property(spark):
     got = {r.reservation_id: (r.group_name, r.room_nights, r.booker_company_id) for r in std.collect()}
     assert got == {"r1": ("b1 | G", 3, "ACME"), "r2": (None, 0, None)}
     props = spark.createDataFrame([("P1", "F1", 7, "a01", True), ("P2", "F2", 8, "a02", False)],
-                                  "PAS_code3 string, PAS_FMTG_ID string, PAS_Protel_ID long, PAS_GMS_ID string, is_active boolean")
-    att = {r.reservation_id: (r.property_fmtg_id, r.property_protel_id, r.sf_property_id)
+                                  "code string, group_code string, pms_id long, target_id string, is_active boolean")
+    att = {r.reservation_id: (r.property_code, r.property_pms_id, r.sf_property_id)
            for r in S.attach_property(std, props).collect()}
     assert att == {"r1": ("F1", 7, "a01"), "r2": (None, None, None)}
 
 
-def test_recover_email_only_relay(spark):
-    df = spark.createDataFrame([(1, "x@guest.booking.com"), (2, "own@mail.org"), (3, "y@guest.booking.com")],
-                               "k int, email string")
-    raw = spark.createDataFrame([(1, "real@mail.org"), (2, "other@mail.org"), (3, "z@m.expediapartnercentral.com")],
-                                "k int, email string")
-    got = {r.k: r.email for r in S.recover_email(df, raw, "k", "email", ["guest.booking.com",
-                                                                          "m.expediapartnercentral.com"]).collect()}
-    assert got == {1: "real@mail.org", 2: "own@mail.org", 3: "y@guest.booking.com"}
+def test_recover_email_fills_missing_addresses(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, None), (4, "own@mail.org"), (5, None), (6, None)], "k int, email string")
+    raw = spark.createDataFrame([(1, "x@guest.Booking.com"), (2, "real@mail.org"), (3, "y@m.expediapartnercentral.com"), (3, "a@hrs.de"),
+                                 (4, "z@hrs.de"), (5, "w@hrs.de"), (5, "v@hrs.de"), (6, None)], "k int, email string")
+    got = {r.k: r.email for r in S.recover_email(df, raw, "k", "email").collect()}
+    assert got == {1: "x@guest.Booking.com", 2: None, 3: "y@m.expediapartnercentral.com", 4: "own@mail.org", 5: "v@hrs.de", 6: None}
 
 
 def test_infer_from_name(spark):
