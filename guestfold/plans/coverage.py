@@ -18,6 +18,9 @@ QUERY_IDS = {
     "status_maps": "N21 F12 F26", "quality_bucket": "N22", "trim_email_domain": "N1 N2 F2 F6",
     "email_flags": "N13 N14", "document_emails": "N14", "title_case": "N3", "salutation": "N4", "gender": "N5",
     "infer_gender": "N6 W4 M2", "country_codes": "N7 N8", "code_review": "N9", "language_default": "N10",
+    "load_contact": "B2", "load_contact_update": "B2", "load_member": "B2 B3", "load_member_update": "B2", "load_reservation": "B2 B3 P13",
+    "load_consent": "B2", "load_optout": "B2", "load_journal": "B2", "load_preference": "B2 R12", "load_property": "B2 B3",
+    "load_rate_code": "B2 B3", "normalise_reservations": "N21", "lookup_strict": "J20", "build_consent": "C1 J18", "citizenship_codes": "N8",
     "language_codes": "N10", "infer_salutation": "N6 W4", "reservation_exclusions": "R8",
     "name_flags": "N11 N12 N15", "phones": "N16", "birth_bounds": "N18 F16", "age_years": "F17",
     "repair_encoding": "N20 F11", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",
