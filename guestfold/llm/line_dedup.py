@@ -98,6 +98,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             o.insert(0, "id", f["id"].array)
             yield o
 
-    out = rows.join(removed, ["k1", "k2"], "left").select("id", "text", "removed").mapInPandas(
+    # the same join at every size: a small list would be broadcast, which says nothing of a large one
+    out = rows.join(removed.hint("merge"), ["k1", "k2"], "left").select("id", "text", "removed").mapInPandas(
         clean, f"id {kind}, n_lines bigint, n_chunks bigint, n_removed bigint, n_removed_lines bigint, clean_text string")
     return out.withColumnRenamed("id", id_col)
