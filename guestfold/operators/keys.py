@@ -133,7 +133,7 @@ def _ckpt(df: DataFrame) -> DataFrame:
 
 
 def assign_sequence(df: DataFrame, order: Order, start: int = 1, out: str = "seq",
-                    only_null: str | None = None, partitions: int | None = None) -> DataFrame:
+                    only_null: str | None = None, partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Global sequence number in a stated total order, starting at ``start``.
 
     A plain ``row_number().over(Window.orderBy(..))`` moves every row into one
@@ -144,6 +144,10 @@ def assign_sequence(df: DataFrame, order: Order, start: int = 1, out: str = "seq
     executor cannot re-run the sampling with a different outcome.  Only the
     per-partition counts (one row per partition) are aggregated globally.
 
+    With ``key`` (a unique, non-NULL column) only it and the plain ``order`` columns are numbered and
+    checkpointed; the other columns are joined back on it, so payload never goes through the checkpoint.
+    Without ``partitions`` AQE sizes the range partitions by their bytes.
+
     With ``only_null`` set, rows whose ``only_null`` column is already filled
     keep their value and are left out of the numbering (``out`` then defaults
     to that column).
@@ -155,8 +159,13 @@ def assign_sequence(df: DataFrame, order: Order, start: int = 1, out: str = "seq
         done = df.where(F.col(only_null).isNotNull())
     else:
         todo, done = df, None
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (todo.repartitionByRange(n, *order_cols)
+    if key:
+        slim = [c for c in dict.fromkeys([key, *[c for c in order if isinstance(c, str)]])]
+        numbered = assign_sequence(todo.select(*slim), order, start, out, None, partitions).select(key, out)
+        numbered = todo.drop(out).join(numbered, key)
+        return numbered if done is None else done.unionByName(numbered.select(done.columns))
+    ranged = todo.repartitionByRange(partitions, *order_cols) if partitions else todo.repartitionByRange(*order_cols)
+    ranged = (ranged
               .sortWithinPartitions(*order_cols)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__local", F.monotonically_increasing_id()))

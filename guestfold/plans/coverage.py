@@ -21,6 +21,7 @@ QUERY_IDS = {
     "load_contact": "B2", "load_contact_update": "B2", "load_member": "B2 B3", "load_member_update": "B2", "load_reservation": "B2 B3 P13",
     "load_consent": "B2", "load_optout": "B2", "load_journal": "B2", "load_preference": "B2 R12", "load_property": "B2 B3",
     "load_rate_code": "B2 B3", "normalise_reservations": "N21", "lookup_strict": "J20", "build_consent": "C1 J18", "citizenship_codes": "N8",
+    "hotel_occupancy": "K1 J6 U1", "hotel_day_kpis": "K2 K3", "hotel_commercial": "K4 U1", "reservation_revenue": "R2 G16",
     "language_codes": "N10", "infer_salutation": "N6 W4", "reservation_exclusions": "R8",
     "name_flags": "N11 N12 N15", "phones": "N16", "birth_bounds": "N18 F16", "age_years": "F17",
     "repair_encoding": "N20 F11", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",

@@ -52,7 +52,7 @@ def bulk_csv_lines(spark, sf):
     d = dirty(spark, sf)
     fields = {k: F.expr(v) for k, v in LOAD_FIELDS_SQL.items()}
     m = B.map_fields(d, {"ExternalKey__c": "c_custkey", **fields})
-    m = assign_sequence(m, ["ExternalKey__c"], start=1, out="seq")
+    m = assign_sequence(m, ["ExternalKey__c"], start=1, out="seq", key="ExternalKey__c")
     m = assign_batches(m, "seq", LOAD_BATCH)
     return B.bulk_csv_lines(m, "ExternalKey__c", "batch_no", "seq", LOAD_BATCH)
 
