@@ -362,6 +362,11 @@ def clean_phone(c: ColumnOrName) -> Column:
     return F.when(_in(digits, PHONE_PLACEHOLDERS), F.lit(None).cast("string")).otherwise(kept)
 
 
+def first_phone(*numbers: ColumnOrName) -> Column:
+    """The first known number, e.g. of cell, home and office phone."""
+    return F.coalesce(*[col(n) for n in numbers])
+
+
 def bound_birthdate(c: ColumnOrName, as_of: str, oldest: str = "1800-01-01",
                     sentinels: Iterable[str] = ("1900-01-01",)) -> Column:
     """Birth date sanity (N18): sentinel values, dates after ``as_of`` and dates

@@ -188,3 +188,25 @@ def rename(df: DataFrame, old: str, new: str) -> DataFrame:
 def cast_col(df: DataFrame, name: str, dtype: str) -> DataFrame:
     """Change a column type; text that does not parse becomes NULL (``try_cast``)."""
     return df.withColumn(name, F.col(name).try_cast(dtype))
+
+
+def split_property(df: DataFrame, pms_id: int, unit_groups: Sequence[str], sets: Mapping[str, object],
+                   pms_col: str = "property_pms_id", unit_col: str = "unit_group_code") -> DataFrame:
+    """Move a property's reservations of the listed unit groups to another property (R6): ``sets`` gives the other's ids."""
+    cond = (F.col(pms_col) == pms_id) & F.col(unit_col).isin(list(unit_groups))
+    return update_where(df, cond, {k: F.lit(v).cast(df.schema[k].dataType) for k, v in sets.items()})
+
+
+def correct_rates(df: DataFrame, corrections: DataFrame, code: str, year: str, month: str, rate: str) -> DataFrame:
+    """Correct reference rates by code and period (K12): a correction (``code``, ``year``, ``from_month``, ``rate``)
+    holds from its month to the end of its year; of several that fit, the one with the latest month
+    counts.  Corrections must be unique by code, year and month.  Rows without one stay.
+
+    They are reduced to one array per code and year, so no row is multiplied."""
+    c = unique_or_raise(corrections.select(code, year, "from_month", rate), [code, year, "from_month"], "correct_rates")
+    c = c.groupBy(F.col(code).alias("__c"), F.col(year).alias("__y")).agg(
+        F.array_sort(F.collect_list(F.struct("from_month", rate))).alias("__fix"))
+    j = df.join(c, (df[code] == c["__c"]) & (df[year] == c["__y"]), "left")
+    fits = F.filter("__fix", lambda x: x["from_month"] <= F.col(month))
+    new = F.when(F.size(fits) > 0, F.element_at(fits, -1)[rate])
+    return j.withColumn(rate, F.coalesce(new, F.col(rate))).select(df.columns)

@@ -185,3 +185,37 @@ def survivors(df: DataFrame, cluster: str = "cluster_id", source: str = "source"
     for r in required:
         cand = cand.where(F.col(r).isNotNull())
     return pick_one(cand, [cluster], [src_rank, F.col(complete).desc(), bin_rank, F.col(source).asc(), F.col(source_id).asc()])
+
+
+#: Import column and the profile column it comes from.
+IMPORT_COLUMNS = {
+    "cluster_id": "cluster_id", "source_id": "list_id", "clean_first_name": "fname", "clean_last_name": "lname", "clean_email": "email",
+    "clean_birth_date": "birthday", "salutation": "salutation", "gender": "gender", "address": "address", "city": "city",
+    "postal_code": "zip", "country": "country", "nationality": "citizenship", "language": "language_code",
+    "legacy_member_number": "member_id", "member_number_new": "member_number_new", "member_tier": "member_tier",
+    "enrollment_date": "enrollment_date", "sf_contact_id": "sf_contact_id", "sf_account_id": "sf_account_id", "sf_member_id": "sf_member_id",
+    "sf_cpe_id": "sf_cpe_id", "sf_entra_id": "sf_entra_id", "central_consent": "central_consent", "is_investor": "is_investor",
+}
+
+
+def select_import(profiles: DataFrame, source: str = "gms", investors: bool = False) -> DataFrame:
+    """Profiles to import (D19) under the import's column names: with a usable name and no target
+    contact yet, and either an allowed address with an opt-in or a member tier, or (``investors``) any investor.
+    The phone is the first of cell, home and office; the birth place is unknown.  Columns that the
+    profiles lack are NULL."""
+    from ..functions.cleaning import first_phone
+    have = set(profiles.columns)
+    get = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
+    new = (F.col("missing_name") == 0) & F.col("sf_contact_id").isNull()
+    target = F.col("is_investor") == 1 if investors else \
+        (F.col("exclude_email") == 0) & ((F.col("current_opt_in") == "Yes") | F.col("member_tier").isNotNull())
+    return profiles.where(new & target).select(
+        *[get(src).alias(out) for out, src in IMPORT_COLUMNS.items()], F.lit(source).alias("source"),
+        first_phone(get("cell_phone"), get("home_phone"), get("office_phone")).alias("phone"), F.lit(None).cast("string").alias("birth_place"))
+
+
+def member_export(accounts: DataFrame) -> DataFrame:
+    """Members with a target contact, under the directory's column names."""
+    return accounts.where(F.col("member_tier").isNotNull() & F.col("sf_contact_id").isNotNull()).select(
+        "cluster_id", F.col("clean_first_name").alias("givenName"), F.col("clean_last_name").alias("surname"),
+        F.col("clean_email").alias("email"), F.col("member_number_new").alias("member_number"))

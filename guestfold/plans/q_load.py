@@ -1,15 +1,19 @@
 """Driver queries for target records and their selections (B2, B3), the citizenship list (N8) and rules
-that no other query runs (N21, J20, P13, C1)."""
+that no other query runs (N21, J20, P13, C1, D19, D21, R6, K12, R12, J13, P11, F11, S9, S13, D6)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as N
+from ..functions import columns as X
+from ..operators import change as C
 from ..operators import consent as CS
 from ..operators import fieldmaps as M
+from ..operators import identity as I
 from ..operators import joins as J
 from ..operators import stays as S
+from ..sources import files as IO
 from .registry import register
 from .tables import AS_OF_ORDERS, dirty, oracle_with, table
 
@@ -204,3 +208,117 @@ def citizenship_codes(spark, sf):
     c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     c = c.select("c_custkey", F.when(F.col("c_custkey") % 6 == 5, "AT").otherwise(F.col("n_name")).alias("citizenship"))
     return N.normalise_citizenship(c, listed)
+
+
+PROFILE_SQL = """SELECT c_custkey AS cluster_id, list_id, fname, lname, email, country, language_code, member_id, current_opt_in,
+  CASE WHEN lname IS NULL THEN 1 ELSE 0 END AS missing_name, CASE WHEN email IS NULL THEN 1 ELSE 0 END AS exclude_email,
+  CASE WHEN c_custkey % 5 = 0 THEN 'gold' END AS member_tier, CASE WHEN c_custkey % 7 = 0 THEN concat('c', c_custkey) END AS sf_contact_id,
+  CASE WHEN c_custkey % 13 = 0 THEN 1 ELSE 0 END AS is_investor, CASE WHEN c_custkey % 2 = 0 THEN cell_phone END AS cell_phone,
+  CASE WHEN c_custkey % 3 = 0 THEN 'home' END AS home_phone, 'office' AS office_phone FROM {dirty}"""
+
+
+@register("select_import", oracle_with("dirty") + f"""
+, p AS ({PROFILE_SQL.format(dirty='dirty')})
+SELECT cluster_id, list_id AS source_id, fname AS clean_first_name, email AS clean_email, country, language_code AS language, member_tier, is_investor,
+  'gms' AS source, coalesce(cell_phone, home_phone, office_phone) AS phone, CAST(NULL AS VARCHAR) AS birth_place, 'target' AS list FROM p
+WHERE missing_name = 0 AND exclude_email = 0 AND (current_opt_in = 'Yes' OR member_tier IS NOT NULL) AND sf_contact_id IS NULL
+UNION ALL
+SELECT cluster_id, list_id, fname, email, country, language_code, member_tier, is_investor, 'gms', coalesce(cell_phone, home_phone, office_phone),
+  NULL, 'investor' FROM p WHERE missing_name = 0 AND sf_contact_id IS NULL AND is_investor = 1""")
+def select_import(spark, sf):
+    p = spark.sql(PROFILE_SQL, dirty=dirty(spark, sf))
+    both = I.select_import(p).withColumn("list", F.lit("target")).unionByName(I.select_import(p, investors=True).withColumn("list", F.lit("investor")))
+    return both.select("cluster_id", "source_id", "clean_first_name", "clean_email", "country", "language", "member_tier", "is_investor", "source", "phone",
+                       "birth_place", "list")
+
+
+@register("member_export", oracle_with("dirty") + f"""
+, p AS ({PROFILE_SQL.format(dirty='dirty')})
+SELECT cluster_id, fname AS "givenName", lname AS surname, email, concat('M', cluster_id) AS member_number FROM p
+WHERE member_tier IS NOT NULL AND sf_contact_id IS NOT NULL""")
+def member_export(spark, sf):
+    p = spark.sql(PROFILE_SQL, dirty=dirty(spark, sf)).select(
+        "cluster_id", "member_tier", "sf_contact_id", F.col("fname").alias("clean_first_name"), F.col("lname").alias("clean_last_name"),
+        F.col("email").alias("clean_email"), F.concat(F.lit("M"), "cluster_id").alias("member_number_new"))
+    return I.member_export(p)
+
+
+@register("split_property", """SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 10 = 4 AND l_shipmode IN ('1', '3') THEN 100 ELSE l_suppkey % 10 END AS property_pms_id,
+  CASE WHEN l_suppkey % 10 = 4 AND l_shipmode IN ('1', '3') THEN 'NEW' ELSE 'OLD' END AS property_id
+FROM (SELECT *, CAST(l_linenumber AS VARCHAR) AS l_shipmode FROM lineitem)""")
+def split_property(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 10).alias("property_pms_id"),
+                                             F.lit("OLD").alias("property_id"), F.col("l_linenumber").cast("string").alias("unit_group_code"))
+    return C.split_property(li, 4, ["1", "3"], {"property_pms_id": 100, "property_id": "NEW"}).drop("unit_group_code")
+
+
+@register("correct_rates", """
+WITH r AS (SELECT o_orderkey, o_orderpriority AS code, year(o_orderdate) AS y, month(o_orderdate) AS m, CAST(o_totalprice AS DOUBLE) AS rate FROM orders)
+SELECT o_orderkey, code, CASE WHEN code = '1-URGENT' AND y = 1996 AND m >= 5 THEN 24.5 WHEN code = '1-URGENT' AND y = 1996 AND m >= 2 THEN 25.0
+  WHEN code = '5-LOW' AND y = 1997 AND m >= 7 THEN 117.25 ELSE rate END AS rate FROM r""")
+def correct_rates(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("code"), F.year("o_orderdate").alias("y"),
+                                          F.month("o_orderdate").alias("m"), F.col("o_totalprice").cast("double").alias("rate"))
+    fixes = IO.values_df(spark, [("1-URGENT", 1996, 2, 25.0), ("1-URGENT", 1996, 5, 24.5), ("5-LOW", 1997, 7, 117.25)], "code string, y int, from_month int, rate double")
+    return C.correct_rates(o, fixes, "code", "y", "m", "rate").select("o_orderkey", "code", "rate")
+
+
+@register("reservation_preferences", """
+WITH r AS (SELECT o_custkey AS cluster_id, CASE o_orderkey % 5 WHEN 0 THEN 'FCZ' WHEN 1 THEN 'FGP' WHEN 2 THEN 'FEW' WHEN 3 THEN 'FSV' END AS p,
+  o_orderkey % 3 AS kids, CASE WHEN o_orderkey % 2 = 0 THEN 'J3C' ELSE 'XXX' END AS u FROM orders)
+SELECT DISTINCT cluster_id, external_id, 'rules' AS source_system FROM (
+  SELECT cluster_id, 'PREF001' AS external_id FROM r WHERE p IN ('FCZ', 'FGP') UNION ALL SELECT cluster_id, 'PREF002' FROM r WHERE p = 'FEW'
+  UNION ALL SELECT cluster_id, 'PREF003' FROM r WHERE kids > 0 UNION ALL SELECT cluster_id, 'PREF004' FROM r WHERE kids > 0
+  UNION ALL SELECT cluster_id, 'PREF005' FROM r WHERE p = 'FEW' UNION ALL SELECT cluster_id, 'PREF006' FROM r WHERE p = 'FCZ'
+  UNION ALL SELECT cluster_id, 'PREF007' FROM r WHERE p = 'FSV' AND u = 'J3C')""")
+def reservation_preferences(spark, sf):
+    k = F.col("o_orderkey")
+    r = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("cluster_id"), (k % 3).alias("children_num"), F.when(k % 2 == 0, "J3C").otherwise("XXX").alias("unit_group_code"),
+        F.when(k % 5 == 0, "FCZ").when(k % 5 == 1, "FGP").when(k % 5 == 2, "FEW").when(k % 5 == 3, "FSV").alias("property_id"))
+    return S.preference_tags(r, "cluster_id", S.reservation_preference_rules(), "rules").select("cluster_id", "external_id", "source_system")
+
+
+@register("since_switch", """SELECT o_orderkey, n_name FROM orders JOIN customer ON c_custkey = o_custkey
+JOIN nation ON n_nationkey = c_nationkey AND n_regionkey <> 1 AND o_orderdate >= make_timestamp(1993 + n_nationkey % 5, 1, 1, 0, 0, 0)""")
+def since_switch(spark, sf):
+    """Orders since their nation's switch date (J13): a range join with a lower bound only."""
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", "o_orderdate", "c_nationkey")
+    w = table(spark, sf, "nation").where("n_regionkey <> 1").select(
+        "n_nationkey", "n_name", F.expr("make_timestamp_ntz(cast(1993 + n_nationkey % 5 as int), 1, 1, 0, 0, 0)").alias("lo"))
+    return J.interval_join(o, w, ("c_nationkey", "n_nationkey"), "o_orderdate", "lo").select("o_orderkey", "n_name")
+
+
+@register("sparse_records", oracle_with("dirty") + """
+SELECT c_custkey, CAST((fname IS NOT NULL)::INT + (lname IS NOT NULL)::INT + (email IS NOT NULL)::INT AS INT) AS n_fields, fname IS NOT NULL AS has_fname FROM dirty""")
+def sparse_records(spark, sf):
+    """Records as maps without their NULL fields."""
+    d = dirty(spark, sf)
+    m = X.sparse(F.create_map(*[x for c in ("fname", "lname", "email") for x in (F.lit(c), F.col(c))]))
+    return d.select("c_custkey", F.size(m).alias("n_fields"), F.map_contains_key(m, "fname").alias("has_fname"))
+
+
+@register("recode_names", oracle_with("dirty") + "SELECT c_custkey, lname AS recoded FROM dirty")
+def recode_names(spark, sf):
+    """UTF-8 names that were read as Latin-1, read again the right way."""
+    wrong = F.decode(F.encode("lname", "UTF-8"), "ISO-8859-1")
+    return dirty(spark, sf).select("c_custkey", X.recode(wrong).alias("recoded"))
+
+
+@register("write_types", "SELECT r_regionkey, 'BIGINT' AS key_type, 'VARCHAR(255)' AS name_type, 'DATETIME' AS stamp_type, 'BOOLEAN' AS flag_type, 'DOUBLE' AS rate_type FROM region")
+def write_types(spark, sf):
+    """Column types that a relational sink gets for a table (S9), beside its keys."""
+    r = table(spark, sf, "region")
+    typed = r.select("r_regionkey", "r_name", F.current_timestamp().alias("stamp"), F.lit(True).alias("flag"), F.lit(1.5).alias("rate"))
+    t = dict(IO.target_schema(typed))
+    return r.select("r_regionkey", *[F.lit(t[c]).alias(n) for c, n in (("r_regionkey", "key_type"), ("r_name", "name_type"), ("stamp", "stamp_type"),
+                                                                         ("flag", "flag_type"), ("rate", "rate_type"))])
+
+
+@register("enrolment_dates", """SELECT o_orderkey, CAST(coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 1 DAY END,
+  TIMESTAMP '1990-01-01') AS DATE) AS enrollment_date FROM orders""")
+def enrolment_dates(spark, sf):
+    k = F.col("o_orderkey")
+    return table(spark, sf, "orders").select("o_orderkey", I.enrolment_date(
+        F.when(k % 2 == 0, F.col("o_orderdate")), F.when(k % 3 == 0, F.col("o_orderdate") + F.expr("interval 1 day")),
+        F.to_timestamp_ntz(F.lit("1990-01-01"))).alias("enrollment_date"))

@@ -106,3 +106,32 @@ def test_commercial_units(spark):
     got = sorted(tuple(r) for r in H.commercial_units({"s": fact}, {"s": seg}, ["property_id"]).collect())
     assert got == [("2025-02", "P1", "x", "Leisure", Decimal("1.010"), Decimal("2.000"), 1, 3, "s"),
                    ("2025-03", "P1", "y", None, Decimal("1.000"), Decimal("1.000"), 1, 1, "s")]
+
+
+def test_select_import_and_member_export(spark):
+    from guestfold.operators import identity as I
+    cols = "list_id int, missing_name int, exclude_email int, current_opt_in string, member_tier string, sf_contact_id string, is_investor int, cell_phone string, home_phone string"
+    rows = [(1, 0, 0, "Yes", None, None, 0, None, "h"), (2, 0, 0, "No", "gold", None, 0, "c", "h"), (3, 0, 0, "No", None, None, 0, "c", "h"),
+            (4, 1, 0, "Yes", None, None, 1, "c", "h"), (5, 0, 1, "Yes", None, None, 1, "c", "h"), (6, 0, 0, "Yes", None, "x", 1, "c", "h"),
+            (7, 0, 0, None, None, None, 0, "c", "h")]
+    p = spark.createDataFrame(rows, cols)
+    got = {r.source_id: (r.phone, r.source, r.birth_place, r.clean_first_name) for r in I.select_import(p).collect()}
+    assert got == {1: ("h", "gms", None, None), 2: ("c", "gms", None, None)}
+    assert [r.source_id for r in I.select_import(p, investors=True).collect()] == [5]
+    a = spark.createDataFrame([(1, "A", "B", "e", "M1", "gold", "c1"), (2, "A", "B", "e", "M2", None, "c2"), (3, "A", "B", "e", "M3", "gold", None)],
+                              "cluster_id int, clean_first_name string, clean_last_name string, clean_email string, member_number_new string, "
+                              "member_tier string, sf_contact_id string")
+    assert [tuple(r) for r in I.member_export(a).collect()] == [(1, "A", "B", "e", "M1")]
+
+
+def test_split_property_and_rates(spark):
+    from guestfold.operators import change as C
+    r = spark.createDataFrame([(1, 14, "AVA", "X"), (2, 14, "ZZZ", "X"), (3, 15, "AVA", "X"), (4, 14, None, "X")],
+                              "k int, property_pms_id int, unit_group_code string, property_id string")
+    got = {x.k: (x.property_pms_id, x.property_id) for x in C.split_property(r, 14, ["AVA"], {"property_id": "N", "property_pms_id": 100}).collect()}
+    assert got == {1: (100, "N"), 2: (14, "X"), 3: (15, "X"), 4: (14, "X")}
+    rates = spark.createDataFrame([("CZK", 2026, 4, 1.0), ("CZK", 2026, 5, 1.0), ("CZK", 2026, 9, 1.0), ("CZK", 2025, 9, 1.0), ("RSD", 2026, 9, 1.0), (None, 2026, 9, 1.0)],
+                                  "cur string, y int, m int, rate double")
+    fix = spark.createDataFrame([("CZK", 2026, 5, 24.0), ("CZK", 2026, 8, 25.0)], "cur string, y int, from_month int, rate double")
+    got = sorted((str(x.cur), x.y, x.m, x.rate) for x in C.correct_rates(rates, fix, "cur", "y", "m", "rate").collect())
+    assert got == [("CZK", 2025, 9, 1.0), ("CZK", 2026, 4, 1.0), ("CZK", 2026, 5, 24.0), ("CZK", 2026, 9, 25.0), ("None", 2026, 9, 1.0), ("RSD", 2026, 9, 1.0)]
