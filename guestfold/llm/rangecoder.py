@@ -21,7 +21,7 @@ import numpy as np
 #: Ids in a block; blocks coded together.
 BLOCK, LANES = 4096, 1024
 #: Entries of an order's prediction table; first size of the frequency table; its least share for new ids (of 2**16).
-SLOTS, FIRST, ESCAPE = 4096, 128, 4096
+SLOTS, FIRST, ESCAPE = 1024, 128, 4096
 MAX_ID = (1 << 29) - 1
 _U = np.uint64
 _RATE = 5

@@ -30,7 +30,7 @@ from .pretokens import Splitter
 
 END_ID = 2
 #: Words whose ids a worker keeps; words given to the library at once.
-CACHE_WORDS, MISSES = 600_000, 50_000
+CACHE_WORDS, MISSES = 400_000, 50_000
 
 
 class WordEncoder:
