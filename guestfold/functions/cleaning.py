@@ -17,7 +17,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .columns import any_of, blank_to_null, col, is_blank, let
+from .columns import after_last, any_of, blank_to_null, col, is_blank, let
 
 # =============================================================================
 # Fixed values.  These must equal the reference's lists for equal results;
@@ -156,7 +156,7 @@ def trim_all(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 def normalise_email(df: DataFrame, email: str = "email", domain: str = "domain") -> DataFrame:
     """Lower-case (and trim) the address and rebuild the domain from it."""
     e = F.lower(F.trim(F.col(email)))
-    return df.withColumns({email: e, domain: F.substring_index(e, "@", -1)})
+    return df.withColumns({email: e, domain: after_last(e, "@")})
 
 
 def salutation_pass1(c: Column) -> Column:

@@ -144,9 +144,10 @@ def year_month(c: ColumnOrName) -> Column:
     return F.date_format(col(c), "yyyy-MM")
 
 
-def in_day(c: ColumnOrName, day: str) -> Column:
-    """Half-open one-day window ``[day, day + 1 day)`` (F18), sargable for pushdown."""
-    d = F.to_timestamp_ntz(F.lit(day))
+def in_day(c: ColumnOrName, day: Column | str) -> Column:
+    """Half-open one-day window ``[day, day + 1 day)`` (F18), sargable for pushdown;
+    ``day`` is a date text or a timestamp column."""
+    d = F.to_timestamp_ntz(F.lit(day)) if isinstance(day, str) else day
     return (col(c) >= d) & (col(c) < d + F.expr("INTERVAL 1 DAY"))
 
 

@@ -124,15 +124,15 @@ def outcome_by_values(sent: DataFrame, failures: DataFrame, cols: Sequence[str],
     combinations; with ``n`` failures for a combination in a batch, the first
     ``n`` uploaded rows with those values (in upload ``order``) failed.
 
-    Failures are summed per combination first; the window only spans rows
-    sharing a value combination inside one batch, which the batch size bounds."""
+    Failures are summed per combination first; only rows of combinations that failed are
+    ranked, inside one batch (so a window holds at most a batch); all others are fine as they are."""
     keys = list(cols) + [batch_col]
-    fails = failures.groupBy(*keys).agg(F.sum(n_col).alias("__n"))
+    fails = failures.groupBy(*keys).agg(F.sum(n_col).alias("__n")).where(F.col("__n") > 0)
     w = Window.partitionBy(*keys).orderBy(*[col(o) for o in order])
-    j = sent.join(fails, keys, "left").withColumn("__pos", F.row_number().over(w))
-    return (j.withColumn("outcome", F.when(F.col("__pos") <= F.coalesce(F.col("__n"), F.lit(0)), F.lit("failed"))
-                         .otherwise(F.lit("ok")))
-            .drop("__n", "__pos"))
+    hit = sent.join(fails, keys).withColumn("__pos", F.row_number().over(w))
+    hit = hit.withColumn("outcome", F.when(F.col("__pos") <= F.col("__n"), F.lit("failed")).otherwise(F.lit("ok")))
+    fine = sent.join(fails, keys, "left_anti").withColumn("outcome", F.lit("ok"))
+    return fine.unionByName(hit.select(fine.columns))
 
 
 def claim(df: DataFrame, batch_id: str, operation: str, id_col: str, batch_col: str = "_batch_id",

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import not_true
+from ..functions.columns import eq_ns, not_true
 from .keys import pick_one
 
 
@@ -110,7 +110,7 @@ def changed(cols: Sequence[str], old: str = "t", new: str = "s") -> Column:
     """True when any column differs NULL-safely between two aliased sides."""
     c = F.lit(False)
     for x in cols:
-        c = c | ~F.col(f"{old}.{x}").eqNullSafe(F.col(f"{new}.{x}"))
+        c = c | ~eq_ns(F.col(f"{old}.{x}"), F.col(f"{new}.{x}"))
     return c
 
 

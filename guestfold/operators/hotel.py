@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import money_sum
+from ..functions.columns import money_sum, year_month
 from .report import kpi_long, union_tagged
 
 OCCUPANCY = ["room_nights", "bed_nights", "adults_num", "children_num"]
@@ -79,7 +79,7 @@ def commercial_units(facts: Mapping[str, DataFrame], segments: Mapping[str, Data
     to one; NULL measures count as 0."""
     out = []
     for system, fact in facts.items():
-        agg = fact.groupBy(F.date_format(date_col, "yyyy-MM").alias("month"), *dims, segment_col).agg(
+        agg = fact.groupBy(year_month(date_col).alias("month"), *dims, segment_col).agg(
             *[money_sum(F.coalesce(m, F.lit(0)), 4).alias(m) for m in money],
             *[F.sum(F.coalesce(n, F.lit(0))).cast("bigint").alias(n) for n in nights])
         seg = segments[system].groupBy(segment_col).agg(F.min("report_segment").alias("report_segment"))

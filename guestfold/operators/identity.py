@@ -20,16 +20,20 @@ def latest_before(df: DataFrame, key: str, ts: str, as_of: str, tie: str) -> Dat
 
 
 def shared_identity(df: DataFrame, email: str, birth: str, name_cols: Sequence[str]) -> DataFrame:
-    """Same e-mail and birth date under several names (D14: G3/G4/G9/G10)."""
+    """Same e-mail and birth date under several names (D14: G3/G4/G9/G10).
+
+    Profiles combine per name first; names are only gathered for the groups that have several, so a group
+    holds its distinct names and never its profiles."""
     name = F.concat(*sum([[F.coalesce(F.col(c), F.lit(""))] + ([F.lit(" ")] if i < len(name_cols) - 1 else [])
                           for i, c in enumerate(name_cols)], []))
     base = df.where(F.col(email).isNotNull() & (F.trim(F.col(email)) != "") & F.col(birth).isNotNull()) \
         .select(F.lower(F.trim(F.col(email))).alias("email_key"), F.col(birth).alias(birth), name.alias("__name"))
-    g = base.groupBy("email_key", birth).agg(
-        F.count(F.lit(1)).alias("n_profiles"),
-        F.count_distinct("__name").alias("n_names"),
-        string_agg("__name", "|").alias("names"))
-    return g.where(F.col("n_names") > 1)
+    per_name = base.groupBy("email_key", birth, "__name").agg(F.count(F.lit(1)).alias("__n"))
+    several = per_name.groupBy("email_key", birth).agg(F.sum("__n").alias("n_profiles"), F.count(F.lit(1)).alias("n_names")) \
+        .where(F.col("n_names") > 1)
+    names = per_name.join(several.select("email_key", birth), ["email_key", birth], "left_semi") \
+        .groupBy("email_key", birth).agg(string_agg("__name", "|").alias("names"))
+    return several.join(names, ["email_key", birth])
 
 
 def loyalty_pick(df: DataFrame, key: str, ts: str, value: str, tie: str, floor: str = "1900-01-01") -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, money_sum
+from ..functions.columns import col, money_sum, year_month
 
 
 def string_agg(c, sep: str = ",", distinct: bool = True) -> Column:
@@ -157,7 +157,7 @@ def commercial_report(fact: DataFrame, date_col: str, dims: Sequence[str], rev_c
     (``union_tagged`` builds it from separate sources).  One aggregation by
     source, month and dimensions: one shuffle of partial aggregates, however
     many systems there are.  Revenue is summed exactly."""
-    month = F.date_format(date_col, "yyyy-MM").alias("month")
+    month = year_month(date_col).alias("month")
     return fact.groupBy(source_col, month, *dims).agg(money_sum(rev_col, 4).cast("double").alias("revenue"),
                                                       F.count(F.lit(1)).alias("n_lines"))
 
@@ -176,10 +176,3 @@ def occupancy_daily(lineitem: DataFrame, orders: DataFrame, events: DataFrame) -
                 F.count_if(F.col("event_type") == "signup").alias("children")))
     return union_tagged({"pms": pms, "web": web}).select("source", "day", "room_nights", "bed_nights", "adults",
                                                           "children")
-
-
-def occupancy_kpis(lineitem: DataFrame, orders: DataFrame, events: DataFrame, day: str) -> DataFrame:
-    """Parameterised one-day KPI report (K3): K1 for ``day`` in long form (K2)."""
-    occ = occupancy_daily(lineitem.where(F.to_date("l_shipdate") == F.lit(day).cast("date")), orders,
-                          events.where(F.to_date("ts") == F.lit(day).cast("date")))
-    return kpi_long(occ, ["source", "day"], ["room_nights", "bed_nights", "adults", "children"], "source")

@@ -108,14 +108,17 @@ def fold_events(df: DataFrame, events: DataFrame, key: str | Sequence[str], cols
     ``cols`` maps a target column to ``(event column, 'min' | 'max')``: several
     events per key reduce to the earliest/latest first (partial aggregation),
     then a left join fills the row.  ``prefer='event'`` lets the event value win,
-    ``prefer='existing'`` only fills gaps (the two script versions, §8 Q13)."""
+    ``prefer='existing'`` only fills gaps (the two script versions, §8 Q13);
+    ``prefer='both'`` gives the event's precedence, and the other one in ``<column>_existing_first``."""
     keys = [key] if isinstance(key, str) else list(key)
     aggs = [getattr(F, how)(F.col(ev)).alias(f"__ev_{tgt}") for tgt, (ev, how) in cols.items()]
     ev = events.groupBy(*keys).agg(*aggs)
     j = df.join(ev, keys, "left")
     for tgt in cols:
         e = F.col(f"__ev_{tgt}")
-        j = j.withColumn(tgt, F.coalesce(e, F.col(tgt)) if prefer == "event" else F.coalesce(F.col(tgt), e))
+        if prefer == "both":
+            j = j.withColumn(f"{tgt}_existing_first", F.coalesce(F.col(tgt), e))
+        j = j.withColumn(tgt, F.coalesce(F.col(tgt), e) if prefer == "existing" else F.coalesce(e, F.col(tgt)))
     return j.drop(*[f"__ev_{t}" for t in cols])
 
 

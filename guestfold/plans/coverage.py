@@ -8,7 +8,7 @@ QUERY_IDS = {
     "conflict_pairs": "J14", "match_rules": "J3 D8 D9", "backfill_unique": "D3", "lookup_one": "J21",
     "consent_merge": "J18 C1 F27", "update_from": "M2 R5", "fill_from": "M4 R7", "upsert_actions": "M8 M9 M11",
     "change_counts": "M10 P9", "version_pairs": "U3 P9", "insert_ignore": "S14", "replace_slice": "M5",
-    "folio_revenue": "R2 G5 G16", "fold_events": "R3 R4", "commercial_report": "K4 U1 F15",
+    "folio_revenue": "R2 G5 G16", "fold_events": "R3 R4", "commercial_report": "K4 U1 F15 S15",
     "occupancy_daily": "K1 U1 J6 G2", "kpi_long": "K2 K3", "star_join": "J5", "unmapped_amounts": "K6 J9",
     "fill_rates": "K7", "ratio_by_period": "G15 K8", "level_totals": "G12 C6", "string_agg": "G9",
     "shared_identity": "D14 G3 G4 G9 G10", "length_profile": "G17 F8", "object_counts": "U2 K11",
@@ -23,7 +23,7 @@ QUERY_IDS = {
     "load_rate_code": "B2 B3", "normalise_reservations": "N21", "lookup_strict": "J20", "build_consent": "C1 J18", "citizenship_codes": "N8",
     "hotel_occupancy": "K1 J6 U1", "hotel_day_kpis": "K2 K3", "hotel_commercial": "K4 U1", "reservation_revenue": "R2 G16",
     "select_import": "D19 N16", "member_export": "D21", "split_property": "R6", "correct_rates": "K12 S13", "reservation_preferences": "R12",
-    "since_switch": "J13", "sparse_records": "P11", "recode_names": "F11", "write_types": "S9", "enrolment_dates": "D6",
+    "since_switch": "J13", "inside_window": "J12", "sparse_records": "P11", "recode_names": "F11", "write_types": "S9", "enrolment_dates": "D6",
     "language_codes": "N10", "infer_salutation": "N6 W4", "reservation_exclusions": "R8",
     "name_flags": "N11 N12 N15", "phones": "N16", "birth_bounds": "N18 F16", "age_years": "F17",
     "repair_encoding": "N20", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import batch as B
 from ..operators.keys import assign_batches, assign_sequence
+from ..sources import files as IO
 from .registry import register
 from .tables import AS_OF_ORDERS, dirty, oracle_with, table
 
@@ -85,6 +86,7 @@ r AS (SELECT s.c_custkey, s.batch_no, st.state,
 def _outcomes(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey")
     s = assign_batches(assign_sequence(c, ["c_custkey"], start=1, out="seq"), "seq", OUTCOME_BATCH).drop("seq")
+    s = IO.materialise(s, IO.scratch_dir(spark, "batches"))  # numbered once; states and failures come from it
     failed = s.where(F.col("c_custkey") % 23 == 0).select("c_custkey")
     b = F.col("batch_no")
     states = s.select("batch_no").distinct().withColumn(

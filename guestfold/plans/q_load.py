@@ -289,6 +289,18 @@ def since_switch(spark, sf):
     return J.interval_join(o, w, ("c_nationkey", "n_nationkey"), "o_orderdate", "lo").select("o_orderkey", "n_name")
 
 
+@register("inside_window", """SELECT o_orderkey, n_name FROM orders JOIN customer ON c_custkey = o_custkey
+JOIN nation ON n_nationkey = c_nationkey AND n_regionkey <> 1 AND o_orderdate >= make_timestamp(1993 + n_nationkey % 5, 1, 1, 0, 0, 0)
+  AND (n_nationkey % 3 = 0 OR o_orderdate <= make_timestamp(1995 + n_nationkey % 3, 1, 1, 0, 0, 0))""")
+def inside_window(spark, sf):
+    """Orders inside their nation's window (J12); a NULL end is open."""
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", "o_orderdate", "c_nationkey")
+    w = table(spark, sf, "nation").where("n_regionkey <> 1").select(
+        "n_nationkey", "n_name", F.expr("make_timestamp_ntz(cast(1993 + n_nationkey % 5 as int), 1, 1, 0, 0, 0)").alias("lo"),
+        F.expr("if(n_nationkey % 3 = 0, null, make_timestamp_ntz(cast(1995 + n_nationkey % 3 as int), 1, 1, 0, 0, 0))").alias("hi"))
+    return J.interval_join(o, w, ("c_nationkey", "n_nationkey"), "o_orderdate", "lo", "hi").select("o_orderkey", "n_name")
+
+
 @register("sparse_records", oracle_with("dirty") + """
 SELECT c_custkey, CAST((fname IS NOT NULL)::INT + (lname IS NOT NULL)::INT + (email IS NOT NULL)::INT AS INT) AS n_fields, fname IS NOT NULL AS has_fname FROM dirty""")
 def sparse_records(spark, sf):

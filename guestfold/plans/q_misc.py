@@ -128,8 +128,7 @@ def scalar_dates(spark, sf):
     next_day = day.cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
     return j.select(
         "o_orderkey", X.nights("o_orderdate", "first_ship").cast("int").alias("nights"), day.alias("order_day"),
-        ((F.col("first_ship") >= next_day) & (F.col("first_ship") < next_day + F.expr("INTERVAL 1 DAY")))
-        .alias("shipped_next_day"),
+        X.in_day("first_ship", next_day).alias("shipped_next_day"),
         F.datediff(F.lit(SCALAR_AS_OF).cast("date"), day).alias("days_to_as_of"),
         F.round(F.col("o_totalprice").cast("decimal(18,2)") * F.lit(1.1).cast("decimal(2,1)"), 2).cast("double")
         .alias("price_plus_10pct"),

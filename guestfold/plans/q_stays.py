@@ -55,11 +55,9 @@ def fold_events(spark, sf):
     shaped = ev.select("user_id", F.when(F.col("event_type") == "click", F.col("ts")).alias("click_ts"),
                        F.when(F.col("event_type") == "purchase", F.col("ts")).alias("purchase_ts"))
     cols = {"checkin_at": ("click_ts", "min"), "checkout_at": ("purchase_ts", "max")}
-    # same event aggregation in both calls: Spark reuses the shuffle (ReusedExchange)
-    ev_first = S.fold_events(base, shaped, "user_id", cols, "event")
-    old_first = S.fold_events(base, shaped, "user_id", cols, "existing") \
-        .select("user_id", F.col("checkin_at").alias("checkin_existing_first"))
-    return ev_first.join(old_first, "user_id")
+    out = S.fold_events(base, shaped, "user_id", cols, "both")
+    return out.select("user_id", "checkin_at", "checkout_at", "checkin_at_existing_first").withColumnRenamed(
+        "checkin_at_existing_first", "checkin_existing_first")
 
 
 @register("exclusion_reasons", f"""
