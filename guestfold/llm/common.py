@@ -70,6 +70,12 @@ def columns_as(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[df[f"`{old}`"].alias(new) for new, old in names.items()])
 
 
+def text_ids(rows: DataFrame) -> tuple[DataFrame, str]:
+    """``rows`` with ``id`` as text, and the type to cast it back to: as numbers, ids beside nulls would
+    reach pandas as floats and lose digits."""
+    return rows.withColumn("id", F.col("id").cast("string")), rows.schema["id"].dataType.simpleString()
+
+
 def held_out(id_: Column) -> Column:
     """Whether a row's crc32(doc_id as text) mod 5 is 0 (a null id is held out, so never learnt from)."""
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns_as, held_out, text_batches
+from .common import columns_as, held_out, text_batches, text_ids
 
 #: Bound of the sample: documents a language, those of least hash of the id, and languages.
 MAX_DOCS, MAX_LANGUAGES = 1500, 256
@@ -135,9 +135,9 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     ``und`` with score 0 and an empty mixture where the text is null or has no letter, or nothing was learnt; of languages with
     equal shares the first by name.  Repeated rows: one result each.  A null id passes through, held out.  Empty
     table: no rows.  Other columns are neither read nor returned."""
-    rows = columns_as(df, id=id_col, text=text_col)
+    rows, kind = text_ids(columns_as(df, id=id_col, text=text_col))
     sent = df.sparkSession.sparkContext.broadcast(model)
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, mixture map<string,double>"
+    schema = "id string, lang_pred string, score double, mixture map<string,double>"
 
     def apply(frames):
         m = sent.value
@@ -153,5 +153,5 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             o.insert(0, "id", f["id"].array)
             yield o
 
-    out = rows.mapInPandas(apply, schema)
+    out = rows.mapInPandas(apply, schema).withColumn("id", F.col("id").cast(kind))
     return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "mixture")

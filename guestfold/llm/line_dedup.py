@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, columns_as, join_groups, text_batches
+from .common import Scratch, columns_as, join_groups, text_batches, text_ids
 
 #: Lines under the rolling hash; a cut where the hash is 0 modulo CUT; fewest and most lines of a chunk.
 WINDOW, CUT, LEAST, MOST = 3, 3, 2, 32
@@ -46,7 +46,7 @@ def _split(text: bytes | None) -> list[bytes]:
 
 def chunk_rows(rows: DataFrame, bodies: bool) -> DataFrame:
     """(id, k1, k2, n, digest[, body]) of the chunks that can be removed: several lines, not all blank."""
-    kind = rows.schema["id"].dataType.simpleString()
+    rows, kind = text_ids(rows)
 
     def cut(frames):
         for f in text_batches(frames):
@@ -58,7 +58,8 @@ def chunk_rows(rows: DataFrame, bodies: bool) -> DataFrame:
                         out.append((i, k1, k2, n, xxhash.xxh3_128_digest(body)) + (body,) * bodies)
             yield pd.DataFrame(out, columns=["id", "k1", "k2", "n", "digest"] + ["body"] * bodies)
 
-    return rows.mapInPandas(cut, f"id {kind}, k1 bigint, k2 bigint, n int, digest binary" + ", body binary" * bodies)
+    out = rows.mapInPandas(cut, "id string, k1 bigint, k2 bigint, n int, digest binary" + ", body binary" * bodies)
+    return out.withColumn("id", F.col("id").cast(kind))
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -82,7 +83,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     removed = (join_groups(listed, groups, ["digest"], F.xxhash64("k1", "n")).filter("first is not null and not (first <=> at)")
                .groupBy("k1", "k2").agg(F.array_sort(F.collect_set("n")).alias("removed")))  # of one document
     removed = scratch.table(removed)
-    kind = rows.schema["id"].dataType.simpleString()
+    rows, kind = text_ids(rows)
 
     def clean(frames):
         for f in text_batches(frames):
@@ -100,5 +101,5 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     # the same join at every size: a small list would be broadcast, which says nothing of a large one
     out = rows.join(removed.hint("merge"), ["k1", "k2"], "left").select("id", "text", "removed").mapInPandas(
-        clean, f"id {kind}, n_lines bigint, n_chunks bigint, n_removed bigint, n_removed_lines bigint, clean_text string")
-    return out.withColumnRenamed("id", id_col)
+        clean, "id string, n_lines bigint, n_chunks bigint, n_removed bigint, n_removed_lines bigint, clean_text string")
+    return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

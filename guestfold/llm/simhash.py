@@ -18,6 +18,7 @@ copies of a text were combined to one fingerprint before.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import ceil, log2
 
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, columns_as, text_batches
+from .common import Scratch, columns_as
 from .components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -60,14 +61,11 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(id, fp) of (id, text); fp is the fingerprint as a signed long."""
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, fp bigint"
+    def make(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in series:
+            yield pd.Series(np.fromiter((fingerprint(t, shingle) for t in s), np.uint64, len(s)).view(np.int64))
 
-    def make(frames):
-        for f in text_batches(frames):
-            fps = np.fromiter((fingerprint(t, shingle) for t in f["text"]), np.uint64, len(f))
-            yield pd.DataFrame({"id": f["id"].array, "fp": fps.view(np.int64)})
-
-    return rows.withColumn("text", F.col("text").cast("binary")).mapInPandas(make, schema)
+    return rows.select("id", F.pandas_udf(make, "bigint")(F.col("text").cast("binary")).alias("fp"))
 
 
 def ball_masks(radius: int) -> np.ndarray:

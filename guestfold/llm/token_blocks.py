@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rangecoder as rc
-from .common import Scratch, columns_as, text_batches
+from .common import Scratch, columns_as, text_batches, text_ids
 from .pretokens import Splitter
 
 END_ID = 2
@@ -92,7 +92,7 @@ def _blocks(frames, path: str, end_id: int) -> Iterator[tuple[np.ndarray, list[d
             while at < len(ids):
                 part = ids[at:at + 4 * (rc.BLOCK - size)]
                 held.append(part)
-                pieces.append({"doc_id": None if doc is None or doc != doc else doc, "ordinal": ordinal, "piece": piece, "n": len(part) // 4})
+                pieces.append({"doc_id": doc, "ordinal": ordinal, "piece": piece, "n": len(part) // 4})
                 size, at, piece = size + len(part) // 4, at + len(part), piece + 1
                 if size == rc.BLOCK:
                     yield np.frombuffer(b"".join(held), "<u4"), pieces
@@ -109,7 +109,6 @@ def write_ids(df: DataFrame, out: str, path: str, id_col: str = "doc_id", text_c
     Null and empty texts are just ``end_id``.  Repeated rows are written each.  Empty table: no blocks."""
     rows = columns_as(df, id=id_col, text=text_col)
     order = [F.col("id"), F.xxhash64("text")]
-    kind = rows.schema["id"].dataType.simpleString()
 
     def code(frames):
         shard, number, held = TaskContext.get().partitionId(), 0, []
@@ -128,10 +127,11 @@ def write_ids(df: DataFrame, out: str, path: str, id_col: str = "doc_id", text_c
         if held:
             yield coded()
 
-    blocks = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
-        code, "shard int, block bigint, n_ids int, plain_bits int, crc32 bigint, code binary, "
-              f"pieces array<struct<doc_id:{kind},ordinal:bigint,piece:bigint,n:bigint>>")
-    blocks.write.parquet(out)
+    rows, kind = text_ids(rows.repartitionByRange(*order).sortWithinPartitions(*order))
+    blocks = rows.mapInPandas(code, "shard int, block bigint, n_ids int, plain_bits int, crc32 bigint, code binary, "
+                                    "pieces array<struct<doc_id:string,ordinal:bigint,piece:bigint,n:bigint>>")
+    typed = F.transform("pieces", lambda p: p.withField("doc_id", p["doc_id"].cast(kind)))
+    blocks.withColumn("pieces", typed).write.parquet(out)
 
 
 def read_ids(spark: SparkSession, out: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -158,7 +158,9 @@ def read_ids(spark: SparkSession, out: str, id_col: str = "doc_id", with_ids: bo
                         start += p["n"]
                 yield pd.DataFrame(out_, columns=["id", "shard", "ordinal", "piece", "at", "n", "crc", "ids"])
 
-    pieces = blocks.mapInPandas(pieces_of, f"id {kind}, shard int, ordinal bigint, piece bigint, at bigint, n bigint, crc bigint, ids binary")
+    as_text = F.transform("pieces", lambda p: p.withField("doc_id", p["doc_id"].cast("string")))
+    pieces = blocks.withColumn("pieces", as_text).mapInPandas(pieces_of, "id string, shard int, ordinal bigint, piece bigint, at bigint, n bigint, crc bigint, ids binary")
+    pieces = pieces.withColumn("id", F.col("id").cast(kind))
     part = F.struct("piece", "n", "crc", *(["ids"] if with_ids else []))
     docs = pieces.groupBy("shard", "ordinal").agg(F.first("id").alias("id"), F.min("at").alias("at"), F.sum("n").alias("n_tokens"),
                                                   F.sort_array(F.collect_list(part)).alias("parts"))  # of one document

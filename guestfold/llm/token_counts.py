@@ -11,6 +11,7 @@ to cut it for a budget, is looked up and never encoded again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate
 from math import inf
 
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_as, text_batches
+from .common import columns_as
 from .pretokens import Splitter
 
 LIMIT = 2048
@@ -190,19 +191,19 @@ def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     ``path``: a byte-level BPE file of the tokenizers library, present on every executor.  Special strings inside a text
     count as one token.  Null text: an empty text, 0 tokens.  Repeated rows: one result each.  A null id passes
     through.  Empty table: no rows.  Other columns are neither read nor returned."""
-    rows = columns_as(df, id=id_col, text=text_col).select("id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, n_bytes bigint, n_tokens bigint, words_within bigint, tokens_within bigint"
+    rows = columns_as(df, id=id_col, text=text_col)
 
-    def count(frames):
+    def count(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = counter(path)
-        for f in text_batches(frames):
-            n, k, t = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
-            for i, text in enumerate(f["text"]):
+        for s in series:
+            n, k, t = (np.zeros(len(s), np.int64) for _ in range(3))
+            for i, text in enumerate(s):
                 if text:
                     own = np.concatenate([x for _, x, _ in c.word_counts(text)])
                     n[i], (k[i], t[i]) = own.sum(), _within(own, limit)
-            yield pd.DataFrame({"id": f["id"].array, "n_bytes": f["n_bytes"], "n_tokens": n, "words_within": k, "tokens_within": t})
+            yield pd.DataFrame({"n_tokens": n, "words_within": k, "tokens_within": t})
 
-    out = rows.mapInPandas(count, schema)
-    return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
-                      "words_within", "tokens_within")
+    counted = F.pandas_udf(count, "n_tokens bigint, words_within bigint, tokens_within bigint")(F.col("text"))
+    out = rows.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), counted.alias("c"))
+    return out.select(F.col("id").alias(id_col), "n_bytes", "c.n_tokens", (F.col("c.n_tokens") > limit).alias("over_limit"),
+                      "c.words_within", "c.tokens_within")

@@ -132,3 +132,15 @@ def test_a_damaged_block_is_noticed(spark, tmp_path):
     blocks.selectExpr("* except (crc32)", "crc32 + 1 as crc32").write.parquet(f"{tmp_path}/b")
     with pytest.raises(Exception, match="doesn't fit its checksum"):
         token_blocks.read_ids(spark, f"{tmp_path}/b").collect()
+
+
+def test_long_ids_beside_a_null_keep_their_digits(spark):
+    from guestfold.llm import decontaminate, langid, line_dedup, quality, simhash
+    big = 2 ** 60 + 1
+    df = spark.createDataFrame([(big, "one two\nthree"), (None, "four"), (big + 1, "five\nsix")], "doc_id bigint, text string")
+    none = df.filter("1 = 0")
+    outs = [token_blocks.round_trip(df, BYTE), token_counts.token_counts(df, WORD), line_dedup.line_dedup(df), simhash.simhash_components(df),
+            langid.identify(df, langid.fit(df.selectExpr("doc_id", "text", "'en' lang"))), quality.score(df, quality.fit(none, none.withColumnRenamed("text", "quality"))),
+            decontaminate.decontaminate(df, spark.createDataFrame([(1, "five six")], "item_id int, text string"))]
+    for out in outs:
+        assert {r["doc_id"] for r in out.collect()} == {big, big + 1, None}
