@@ -397,6 +397,15 @@ def normalise_language(c: ColumnOrName, allowed: Iterable[str] = LANGUAGES_ALLOW
     return F.when(_in(lc, allowed), lc).otherwise(F.lit(default))
 
 
+#: Language names and their codes.
+LANGUAGE_NAMES = {"German": "de", "English": "en", "Italian": "it"}
+
+
+def language_from_name(c: ColumnOrName) -> Column:
+    """Code of a language name, whatever its letter case; unknown names are NULL."""
+    return F.coalesce(*[F.when(F.lower(col(c)) == k.lower(), F.lit(v)) for k, v in LANGUAGE_NAMES.items()])
+
+
 def code_table(spark: SparkSession, mapping: Mapping[str, str | None], key: str = "variant",
                value: str = "code") -> DataFrame:
     """A mapping as a two-column DataFrame (keys unique by construction)."""

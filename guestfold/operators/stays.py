@@ -252,7 +252,9 @@ def standardise_reservations(raw: DataFrame, companies: DataFrame, source: str,
         *[F.lit(None).cast(t).alias(c) for c, t in [
             ("row_id", "long"), ("cluster_id", "long"), ("property_code", "string"), ("property_pms_id", "long"),
             ("revenue_room", "decimal(18,4)"), ("revenue_fnb", "decimal(18,4)"), ("revenue_extra", "decimal(18,4)"),
-            ("revenue_total", "decimal(18,4)"), ("sf_property_id", "string")]])
+            ("revenue_total", "decimal(18,4)"), ("sf_property_id", "string"), ("_entity_id", "long"), ("_excluded", "int"),
+            ("sf_preferred_language", "string"), ("sf_reservation_status", "string"), ("sf_person_contact_id", "string"),
+            ("sf_person_account_id", "string")]])
 
 
 def attach_property(df: DataFrame, props: DataFrame, key: str = "property_id", code_col: str = "code",

@@ -9,7 +9,7 @@ QUERY_IDS = {
     "consent_merge": "J18 C1 F27", "update_from": "M2 R5", "fill_from": "M4 R7", "upsert_actions": "M8 M9 M11",
     "change_counts": "M10 P9", "version_pairs": "U3 P9", "insert_ignore": "S14", "replace_slice": "M5",
     "folio_revenue": "R2 G5 G16", "fold_events": "R3 R4", "commercial_report": "K4 U1 F15 S15",
-    "occupancy_daily": "K1 U1 J6 G2", "kpi_long": "K2 K3", "star_join": "J5", "unmapped_amounts": "K6 J9",
+    "occupancy_kpis": "K3", "occupancy_daily": "K1 U1 J6 G2", "kpi_long": "K2 K3", "star_join": "J5", "unmapped_amounts": "K6 J9",
     "fill_rates": "K7", "ratio_by_period": "G15 K8", "level_totals": "G12 C6", "string_agg": "G9",
     "shared_identity": "D14 G3 G4 G9 G10", "length_profile": "G17 F8", "object_counts": "U2 K11",
     "year_month_counts": "K10 G11", "top_groups": "O1 O2 G1", "two_system_codes": "K13 G3",
@@ -38,5 +38,5 @@ QUERY_IDS = {
     "propagate_keys": "D2", "build_import": "D12", "optouts": "C4", "consent_records": "C5",
     "missing_consents": "C3", "conditional_nights": "K5 R13", "parameterised_query": "S1 S15",
     "backup_copy": "S5 S11 S12", "rejects_and_maps": "S18 S19 B10", "csv_load": "S2 S3 S4",
-    "object_pages": "S6 S7", "identity_survivors": "D1 W1", "save_modes": "S8 S9 S10", "anti_events_users": "J7 J8",
+    "object_pages": "S6", "object_extract": "S7", "identity_survivors": "D1 W1", "save_modes": "S8 S9 S10", "anti_events_users": "J7 J8",
 }

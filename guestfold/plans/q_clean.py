@@ -186,10 +186,12 @@ def language_default(spark, sf):
 
 
 @register("language_codes", oracle_with("dirty") + """
-SELECT c_custkey, CASE WHEN language_code = 'DE' THEN 'de' WHEN language_code = 'CZ' THEN 'cz' ELSE 'en' END AS language
-FROM dirty""")
+SELECT c_custkey, CASE WHEN language_code = 'DE' THEN 'de' WHEN language_code = 'CZ' THEN 'cz' ELSE 'en' END AS language,
+  CASE c_custkey % 4 WHEN 0 THEN 'de' WHEN 1 THEN 'it' END AS named FROM dirty""")
 def language_codes(spark, sf):
-    return dirty(spark, sf).select("c_custkey", N.normalise_language("language_code").alias("language"))
+    k = F.col("c_custkey") % 4
+    name = F.when(k == 0, "German").when(k == 1, "ITALIAN").when(k == 2, "Klingon")
+    return dirty(spark, sf).select("c_custkey", N.normalise_language("language_code").alias("language"), N.language_from_name(name).alias("named"))
 
 
 # ----------------------------------------------------------------------------- N11 N12 N15

@@ -94,6 +94,25 @@ def object_pages(spark, sf):
     return OBJ.select_spec(flat, "Account", columns=["Id", "Name", "NationId", "total_size"])
 
 
+@register("object_extract", """
+SELECT concat('lm', c_custkey) AS "Id", concat('M', c_custkey) AS "MembershipNumber", NULL::VARCHAR AS "ExternalMemberId__c",
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Active' END AS "MemberStatus", NULL::VARCHAR AS "ContactId", NULL::VARCHAR AS "ProgramId",
+  NULL::VARCHAR AS "LegacyMemberId__c", c_mktsegment AS "LegacyTier__c", NULL::VARCHAR AS "TierName__c", NULL::VARCHAR AS "LastActivityDate",
+  NULL::VARCHAR AS "EntraID__c", '2024-01-02T03:04:05.000+0000' AS "CreatedDate" FROM customer WHERE c_custkey % 7 <> 0""")
+def object_extract(spark, sf):
+    """Membership records landed as pages and read back by their own extract columns."""
+    d = IO.scratch_dir(spark, "extract")
+    c, k = table(spark, sf, "customer"), F.col("c_custkey")
+    fields = {"Id": F.concat(F.lit("lm"), k), "MembershipNumber": F.concat(F.lit("M"), k), "MemberStatus": F.when(k % 3 != 0, "Active"),
+              "LegacyTier__c": F.col("c_mktsegment"), "CreatedDate": F.lit("2024-01-02T03:04:05.000+0000"), "IsDeleted": k % 7 == 0}
+    rec = F.struct(F.struct(F.lit("LoyaltyProgramMember").alias("type"), F.lit("/o").alias("url")).alias("attributes"), *[v.alias(n) for n, v in fields.items()])
+    pages = c.groupBy(F.floor(k / 10).alias("page")).agg(F.collect_list(rec).alias("records")).select(
+        F.lit(0).cast("bigint").alias("totalSize"), F.lit(True).alias("done"), "records")  # at most 10 records a page
+    pages.write.mode("overwrite").json(f"{d}/pages")
+    record = T.StructType([T.StructField(n, T.BooleanType() if n == "IsDeleted" else T.StringType()) for n in fields])
+    return OBJ.select_spec(OBJ.flatten_object_pages(OBJ.read_object_pages(spark, f"{d}/pages", record)), "LoyaltyProgramMember")
+
+
 @register("save_modes", """
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null_value, count(props) AS n_props_json,
   count(*) AS rows_first_write, 'error' AS second_fail_write, count(*) AS rows_append, count(*) AS rows_replace,

@@ -248,6 +248,17 @@ def kpi_long(spark, sf):
                         name_prefix_col="source")
 
 
+KPI_DAY = "1996-05-17"
+
+
+@register("occupancy_kpis", f"""
+WITH occ AS ({OCC_SQL})
+SELECT source, day, concat(source, '_', kpi) AS kpi, CAST(value AS BIGINT) AS value
+FROM (SELECT * FROM occ WHERE day = DATE '{KPI_DAY}') UNPIVOT (value FOR kpi IN (room_nights, bed_nights, adults, children))""")
+def occupancy_kpis(spark, sf):
+    return REP.occupancy_kpis(table(spark, sf, "lineitem"), table(spark, sf, "orders"), table(spark, sf, "events"), KPI_DAY)
+
+
 HV_MIN = 1500000
 
 

@@ -21,24 +21,51 @@ DATE_FIELDS = [
     "ActivityDate", "CloseDate", "StartDate", "EndDate", "Birthdate", "PersonBirthdate",
 ]
 
-#: Extract specs: object -> (core columns, only non-deleted rows).  Column lists
-#: are a parameter of :func:`select_spec`; these defaults hold the fields the
-#: downstream operators use.  The property object is extracted with all fields.
-OBJECT_SPECS = {
-    "Account": (["Id", "PersonContactId", "IsPersonAccount", "ClusterID__c", "Salutation", "FirstName",
-                 "LastName", "PersonEmail", "PersonBirthdate", "CreatedDate", "LastModifiedDate"], True),
-    "Lead": (["Id", "FirstName", "LastName", "Email", "ClusterID__c", "Status", "CreatedDate"], True),
-    "LoyaltyProgramMember": (["Id", "MembershipNumber", "ExternalMemberId__c", "MemberStatus", "ContactId",
-                              "TierName__c", "LastActivityDate", "EntraID__c", "CreatedDate"], True),
-    "Property__c": (None, False),
-    "ContactPointEmail": (["EmailAddress", "Id", "ParentId", "PartyID__c", "LastModifiedDate", "CreatedDate",
-                           "SourceSystem__c"], True),
-    "ContactPointConsent": (["Id", "Name", "ContactPointId", "PrivacyConsentStatus", "CaptureSource",
-                             "CaptureDate", "EffectiveFrom", "EffectiveTo", "PartyId", "ConsentKey__c",
-                             "Property__c", "SourceSystem__c", "LastModifiedDate", "CreatedDate"], True),
-    "Reservation__c": (["Id", "Name", "ReservationID__c", "ClusterID__c", "ReservationStatus__c", "Arrival__c",
-                        "Departure__c", "Guest__c", "TotalRevenue__c", "CreatedDate", "LastModifiedDate"], True),
+#: Extract columns by object, in extract order; the property object is extracted with all its fields.
+OBJECT_COLUMNS = {
+    "Account": """
+        Id PersonContactId PersonIndividualId IsPersonAccount RecordTypeId OwnerId CreatedDate LastModifiedDate
+        LastSourceSystemUpdate__c SourceSystem__pc SourceSystem__c SourceOrigin__pc SourceSystemIdentifier ExternalID__pc
+        EntraExternalID__pc ClusterID__pc ClusterID__c Salutation FirstName MiddleName LastName Suffix PersonTitle
+        PersonGenderIdentity PersonPronouns PersonBirthdate BirthdateString__pc BirthPlace__pc NationalityCountryCode__pc
+        PreferredLanguage__pc RegionCode__pc PersonEmail PersonEmailBouncedDate PersonEmailBouncedReason
+        PersonHasOptedOutOfEmail PersonMobilePhone PersonHomePhone PersonOtherPhone PersonAssistantPhone PersonAssistantName
+        PersonDepartment PersonDoNotCall Phone Fax PersonHasOptedOutOfFax BillingStreet BillingCity BillingState
+        BillingPostalCode BillingCountry BillingCountryCode__c BillingEmail__c PersonMailingStreet PersonMailingCity
+        PersonMailingState PersonMailingPostalCode PersonMailingCountry PersonOtherStreet PersonOtherCity PersonOtherState
+        PersonOtherPostalCode PersonOtherCountry HotelCustomer__pc CampingCustomer__pc ResidencesCustomer__pc
+        InvestCustomer__pc InvestmentStatus__pc InvestmentExpirationDate__pc IsMasterAccount__c CustomerSinceDate__c
+        SyncToMcHotelCampingResidences__pc SyncToMcInvest__pc StopSalesEmail__c PrimaryProperty__pc PrimarySalesOwner__c
+        ParentId""".split(),
+    "Lead": """
+        id FirstName LastName Title Email Country CountryCode__c BillingEmail__c HotelCustomer__c ClusterID__c Status
+        PreferredLanguage__c BirthdateString__c CreatedDate MatchBestConfidence__c MatchCandidateCount__c MatchCheckDue__c
+        MatchCheckNotBefore__c MatchCheckRequested__c MatchCheckStatus__c MatchResult__c MatchCheckedBy__c
+        RelatedPersonAccount__c RelatedContact__c LastMatchCheckedAt__c MatchCheckAttempts__c MatchedContact__c
+        MatchManualReviewResolvedAt__c MatchManualReviewStatus__c""".split(),
+    "LoyaltyProgramMember": """
+        Id MembershipNumber ExternalMemberId__c MemberStatus ContactId ProgramId LegacyMemberId__c LegacyTier__c TierName__c
+        LastActivityDate EntraID__c CreatedDate""".split(),
+    "Property__c": None,
+    "ContactPointEmail": """
+        EmailAddress Id ParentId PartyID__c LastModifiedDate CreatedDate SourceSystem__c""".split(),
+    "ContactPointConsent": """
+        Id Name ContactPointId PrivacyConsentStatus CaptureSource CaptureDate EffectiveFrom EffectiveTo PartyId ConsentKey__c
+        Property__c SourceSystem__c LastModifiedDate CreatedDate""".split(),
+    "Reservation__c": """
+        Id Name IsDeleted CreatedDate LastModifiedDate ReservationID__c ClusterID__c SFID__c SourceSystem__c Source__c
+        ReservationStatus__c BookingID__c CRSBookingID__c BookingGroupID__c Property__c PropertyType__c UnitID__c
+        RoomNights__c RateCode__c MarketSegmentCode__c ChannelCode__c BookingDate__c Arrival__c Departure__c CheckIn__c
+        CheckOut__c CancellationAt__c NoShowAt__c Adults__c ChildrenCount__c Guest__c Contact__c Lead__c BookerCompany__c
+        GuestRole__c IsPrimaryBooker__c ConsentCentral__c ConsentProperty__c TotalRevenue__c RoomRevenue__c FBRevenue__c
+        OtherRevenue__c ProfileTitle__c ProfileFirstName__c ProfileMiddleName__c ProfileLastName__c ProfileEmail__c
+        ProfileMobilePhone__c ProfileBirthdate__c ProfileBirthPlace__c ProfileGenderIdentity__c ProfilePreferredLanguage__c
+        ProfileNationalityCountryCode__c ProfileSourceSystem__c ProfileMailingStreet__c ProfileMailingPostalCode__c
+        ProfileMailingCity__c ProfileMailingCountry__c ProfileMatchingStatus__c ProfileMatchingMethod__c
+        ProfileMatchingConfidence__c TravelPurpose__c""".split(),
 }
+#: Fixed value: objects whose extract takes deleted rows too.
+WITH_DELETED = {"Property__c"}
 
 
 def page_schema(record: T.StructType) -> T.StructType:
@@ -62,9 +89,12 @@ def flatten_object_pages(pages: DataFrame, total_col: str = "total_size") -> Dat
 
 def select_spec(df: DataFrame, obj: str, columns: Sequence[str] | None = None,
                 deleted_col: str = "IsDeleted") -> DataFrame:
-    """Apply an extract spec (S7): its columns (or all) and ``NOT IsDeleted``."""
-    cols, only_live = OBJECT_SPECS[obj]
-    cols = list(columns) if columns is not None else cols
-    if only_live and deleted_col in df.columns:
+    """Apply an object's extract (S7): its columns (or ``columns``, or all) of the rows
+    that are not deleted.  Columns that the landed records lack are NULL text."""
+    cols = list(columns) if columns is not None else OBJECT_COLUMNS[obj]
+    if obj not in WITH_DELETED and deleted_col in df.columns:
         df = df.where(~F.coalesce(F.col(deleted_col).cast("boolean"), F.lit(False)))
-    return df.select(*cols) if cols else df
+    if not cols:
+        return df
+    have = {c.lower() for c in df.columns}
+    return df.select(*[F.col(c).alias(c) if c.lower() in have else F.lit(None).cast("string").alias(c) for c in cols])
