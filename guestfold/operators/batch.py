@@ -119,11 +119,14 @@ def batch_summary(outcomes: DataFrame, batch_col: str) -> DataFrame:
 
 
 def outcome_by_values(sent: DataFrame, failures: DataFrame, cols: Sequence[str], batch_col: str,
-                      order: Sequence[Column | str], n_col: str = "n_failed") -> DataFrame:
+                      order: Sequence[Column | str], n_col: str = "n_failed",
+                      states: DataFrame | None = None, state_col: str = "state", ok_states: Sequence[str] = ("JobComplete",)) -> DataFrame:
     """Reconcile without ids (B6): the results only list failed value
     combinations; with ``n`` failures for a combination in a batch, the first
     ``n`` uploaded rows with those values (in upload ``order``) failed.
 
+    With ``states`` (one row per batch) every row of a batch that did not complete, or has no state, failed.
+
     Failures are summed per combination first; only rows of combinations that failed are
     ranked, inside one batch (so a window holds at most a batch); all others are fine as they are."""
     keys = list(cols) + [batch_col]
@@ -132,7 +135,12 @@ def outcome_by_values(sent: DataFrame, failures: DataFrame, cols: Sequence[str],
     hit = sent.join(fails, keys).withColumn("__pos", F.row_number().over(w))
     hit = hit.withColumn("outcome", F.when(F.col("__pos") <= F.col("__n"), F.lit("failed")).otherwise(F.lit("ok")))
     fine = sent.join(fails, keys, "left_anti").withColumn("outcome", F.lit("ok"))
-    return fine.unionByName(hit.select(fine.columns))
+    out = fine.unionByName(hit.select(fine.columns))
+    if states is None:
+        return out
+    done = states.where(F.col(state_col).isin(list(ok_states))).select(batch_col).distinct().withColumn("__done", F.lit(True))
+    j = out.join(done, batch_col, "left")
+    return j.withColumn("outcome", F.when(F.col("__done"), F.col("outcome")).otherwise(F.lit("failed"))).select(out.columns)
 
 
 def claim(df: DataFrame, batch_id: str, operation: str, id_col: str, batch_col: str = "_batch_id",
@@ -169,6 +177,16 @@ def archive(work: DataFrame, batch_id: str, as_of: str, change_type: str, change
     return hist, rest
 
 
+def archive_counts(work: DataFrame, history: DataFrame, rest: DataFrame) -> DataFrame:
+    """The check before the swap (B9): rows of the work table, archived and remaining ones, and whether they
+    agree; one row, from three partial counts."""
+    one = lambda df, n: df.agg(F.count(F.lit(1)).alias(n))
+    parts = [one(work, "n_work").withColumn("k", F.lit(1)), one(history, "n_archived").withColumn("k", F.lit(1)),
+             one(rest, "n_remaining").withColumn("k", F.lit(1))]
+    c = parts[0].join(parts[1], "k").join(parts[2], "k").drop("k")
+    return c.withColumn("agree", F.col("n_work") == F.col("n_archived") + F.col("n_remaining"))
+
+
 def composite_request(df: DataFrame, key: str, parts: Sequence[tuple[str, str, str, Mapping[str, Column | str]]],
                       all_or_none: bool = True) -> DataFrame:
     """Composite request payload per row (S17): ``{"allOrNone": .., "compositeRequest": [sub, ...]}``

@@ -29,7 +29,7 @@ QUERY_IDS = {
     "repair_encoding": "N20", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",
     "cleaning_report": "N23 G6 G7", "iso_dates": "F22 F23 F24 F25", "payload_json": "S17 F28",
     "composite_payload": "S17 R12", "bulk_csv_lines": "S16 B2 B4", "batch_outcome": "B5",
-    "batch_summary": "B8", "outcome_by_values": "B6", "claim_mark_archive": "B1 B7 B9",
+    "batch_summary": "B8", "outcome_by_values": "B6", "claim_mark_archive": "B1 B7 B9", "archive_counts": "B9",
     "filters": "P3 P4 P5 P10", "filters_text": "P6 P7 P8", "projection": "P1 P2 P12 P14 R1",
     "standardise_reservations": "R1 R5 F13", "recover_email": "R7", "required_guard": "P13 J20",
     "join_kinds": "J2 J4 J15 J17 J19", "agg_kinds": "G2 G4 G8 G13 G14",

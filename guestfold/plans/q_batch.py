@@ -166,6 +166,19 @@ def claim_mark_archive(spark, sf):
     return hist.select("row_id", "_processed_at", "change_type", "change_source", "version_at")
 
 
+@register("archive_counts", f"""
+WITH w AS ({WORK_SQL}),
+c AS (SELECT row_id FROM w WHERE _batch_id = 'B1' AND _operation = 'update' AND coalesce(_excluded, 0) = 0
+      AND _processed_at IS NULL AND sf_contact_id IS NOT NULL AND row_id % 7 <> 0),
+n AS (SELECT count(*) AS n_work, count(*) FILTER (WHERE _batch_id = 'B1' AND (_processed_at IS NOT NULL OR row_id IN (SELECT row_id FROM c))) AS n_archived FROM w)
+SELECT n_work, n_archived, n_work - n_archived AS n_remaining, true AS agree FROM n""")
+def archive_counts(spark, sf):
+    work = work_table(spark, sf)
+    ok = B.claim(work, "B1", "update", "sf_contact_id").where(F.col("row_id") % 7 != 0)
+    work2 = B.mark_processed(work, ok, "row_id", AS_OF_ORDERS)
+    return B.archive_counts(work, *B.archive(work2, "B1", AS_OF_ORDERS, "update", "bulk"))
+
+
 PREF_URL = "/services/data/v60.0/sobjects/Preferences__c"
 
 

@@ -86,3 +86,11 @@ def test_write_batch_files(spark):
     B.write_batch_files(lines, path)
     b1 = [r.value for r in spark.read.text(f"{path}/batch_no=1").collect()]
     assert b1 == ["Id,Name", "1,a", "2,"]
+
+
+def test_outcome_by_values_takes_failed_batches(spark):
+    sent = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, "b", 1), (4, "a", 2), (5, None, 1)], "seq int, v string, batch_no int")
+    fails = spark.createDataFrame([("a", 1, 1)], "v string, batch_no int, n_failed int")
+    states = spark.createDataFrame([(1, "JobComplete"), (2, "Failed")], "batch_no int, state string")
+    got = {r.seq: r.outcome for r in B.outcome_by_values(sent, fails, ["v"], "batch_no", ["seq"], states=states).collect()}
+    assert got == {1: "failed", 2: "ok", 3: "ok", 4: "failed", 5: "ok"}
