@@ -61,7 +61,7 @@ class WordEncoder:
             out[i] = ids
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = sorted({w for _, words in cut for w in words if w not in self.known})
+        new = sorted(set().union(*(words for _, words in cut)).difference(self.known))
         for at in range(0, len(new), MISSES):
             self.known.update(zip(new[at:at + MISSES], self._whole(new[at:at + MISSES])))
         for i, words in cut:
