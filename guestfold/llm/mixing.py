@@ -2,7 +2,8 @@
 
 Documents are counted into cells (source, language, topic) with their tokens.
 Raking scales the cells' weights to the target marginals of one dimension after the other,
-round after round.  A document is sampled with a probability proportional to its cell's weight, by a hash of its id.
+round after round.  A document is sampled by a hash of its id, with a probability proportional to its cell's weight or,
+for a kept share, with the probabilities of a second raking that are bounded by 1.
 DataFrame expressions only.
 """
 
@@ -18,6 +19,8 @@ from .common import Scratch
 DIMS = ("source", "lang", "topic")
 #: Raking rounds, and how many of them one written table holds; cells that one task rakes.
 ROUNDS, ROUNDS_A_TABLE, TASK_CELLS = 8, 4, 200_000
+#: Most scalings of all cells to the kept share.
+SCALINGS = 20
 #: Words: what stands between ASCII white space.
 TOKEN = r"[^\x20\x09-\x0D]+"
 #: Topics by the first pattern that the whole text matches; the last one is for all other texts.
@@ -26,6 +29,8 @@ TOPICS = (("symbols", r"[#$%&*]{3}"), ("table", r" \| "), ("shouting", "[A-Z]{3}
 #: Target marginals: a number tempers the natural shares (1: as they are, 0: all alike);
 #: a dict gives shares by value, and 0 to what it does not name.
 TARGETS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
+#: Share of all tokens that a sample keeps.
+KEEP = 0.7
 
 
 def topic_of(text: Column) -> Column:
@@ -68,14 +73,53 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], rounds:
     return scratch.table(cells.select(*DIMS, "tokens", "weight"))
 
 
+def bounded(raked: DataFrame, keep: float, rounds: int, scratch: Scratch) -> DataFrame:
+    """``raked`` with ``probability``: at most 1, and ``keep`` of all tokens are kept in expectation.
+
+    The goals are ``keep`` x the marginals of the weights.  Cells at probability 1 count as they are and the others of a
+    value are scaled to what its goal lacks.  A value that has fewer tokens than its goal is kept whole, and the last scaling,
+    of all cells alike, gives what it lacks to the others.  Cells without tokens get ``keep``."""
+    n_cells = raked.count()
+    total = float(raked.agg(F.sum("tokens")).first()[0] or 0)
+    one_task = lambda c: c.coalesce(1) if n_cells <= TASK_CELLS else c
+    cells = one_task(raked)
+    for d in DIMS:
+        cells = cells.withColumn(f"goal_{d}", F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(d)) * F.lit(float(keep)))
+    u = F.col("u")
+    full, free = F.sum(F.when(u >= 1, F.col("tokens")).otherwise(0.0)), F.sum(F.when(u < 1, F.col("tokens") * u).otherwise(0.0))
+
+    def factor(goal, full, free):  # neither case passes the goal, so rounds approach it from one side
+        return F.when(full + free > goal, goal / (full + free)).when((free > 0) & (goal > full), (goal - full) / free).otherwise(1.0)
+
+    cells = cells.withColumn("u", F.col("weight") * F.lit(float(keep)))
+    for r in range(1, rounds + 1):
+        for d in DIMS:
+            by = Window.partitionBy(d)
+            # no probability is lost to a value that can't be met: its factor is limited
+            cells = cells.withColumn("u", u * F.least(F.lit(10.0), factor(F.col(f"goal_{d}"), full.over(by), free.over(by))))
+        if r % ROUNDS_A_TABLE == 0 and r < rounds:
+            cells = one_task(scratch.table(cells))
+    cells = scratch.table(cells.select(*DIMS, "tokens", "weight", "u"))
+    scale = 1.0
+    for _ in range(SCALINGS):
+        f = cells.withColumn("u", u * F.lit(scale)).agg(factor(F.lit(keep * total), full, free)).first()[0] or 1.0
+        scale *= f
+        if abs(f - 1) < 1e-9:
+            break
+    probability = F.when(F.col("tokens") == 0, F.lit(float(keep))).otherwise(F.least(F.lit(1.0), u * F.lit(scale)))
+    return scratch.table(cells.select(*DIMS, "tokens", "weight", probability.alias("probability")))
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
         topic_col: str | None = None, targets: dict | None = None, rounds: int = ROUNDS, rate: float | None = None,
-        seed: str = "mix") -> DataFrame:
+        seed: str = "mix", keep: float | None = KEEP) -> DataFrame:
     """The input's columns (of the same names) and ``__topic``, ``__tokens``, ``__weight``, ``__probability``, ``__kept``.
 
-    A document's probability is min(1, ``rate`` x weight); by default ``rate`` is 1 / the largest weight, so that no
-    probability is cut and the kept tokens have the target shares in expectation.  A document is kept if a
-    number from its id's md5 is below its probability: equal ids are kept or dropped together, on every run.
+    In expectation ``keep`` of all tokens are kept, with probabilities from :func:`bounded`: shares are the targets as far as
+    the tokens of a value go, and rare cells don't lower the others.  (Fewer are kept only if the targets give too many values 0.)
+    With a ``rate`` a document's probability is min(1, ``rate`` x weight) instead; with neither (``keep=None``) the rate
+    is 1 / the largest weight, so that no probability is cut, and the scarcest cell decides how much is kept.  A document is kept
+    if a number from its id's md5 is below its probability: equal ids are kept or dropped together, on every run.
 
     Null source, language or topic is a value of its own.  Null and empty texts have no tokens; a cell without tokens keeps
     weight 1.  Null ids are drawn as the empty string.  ``topic_col``: a column to use instead of :data:`TOPICS`.  Empty table: no rows."""
@@ -86,23 +130,27 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     names = dict(zip(DIMS, (source_col, lang_col, "__topic")))
     cells = scratch.table(rows.groupBy(*[F.col(f"`{c}`").alias(d) for d, c in names.items()]).agg(F.sum("__tokens").alias("tokens")))
     raked = rake(cells, targets or TARGETS, rounds, scratch)
-    largest = raked.agg(F.max("weight")).first()[0]
-    rate = rate if rate is not None else 1 / largest if largest else 1.0
-    right = raked.select(*[F.col(d).alias(f"__{d}_") for d in DIMS], F.col("weight").alias("__weight"))
+    if rate is None and keep is not None:
+        raked = bounded(raked, keep, rounds, scratch)
+    else:
+        largest = raked.agg(F.max("weight")).first()[0]
+        rate = rate if rate is not None else 1 / largest if largest else 1.0
+        raked = raked.withColumn("probability", F.least(F.lit(1.0), F.lit(float(rate)) * F.col("weight")))
+    right = raked.select(*[F.col(d).alias(f"__{d}_") for d in DIMS], F.col("weight").alias("__weight"), F.col("probability").alias("__probability"))
     on = None
     for d, c in names.items():
         same = F.col(f"`{c}`").eqNullSafe(F.col(f"__{d}_"))
         on = same if on is None else on & same
     seen = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))).cast("binary"))
     draw = F.conv(F.substring(seen, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    probability = F.least(F.lit(1.0), F.lit(float(rate)) * F.col("__weight"))
     return (rows.join(right, on, "left").drop(*[f"__{d}_" for d in DIMS])
-            .withColumn("__probability", probability).withColumn("__kept", draw < F.col("__probability")))
+            .withColumn("__kept", draw < F.col("__probability")))
 
 
 def report(df: DataFrame) -> DataFrame:
-    """The driver query: one row per document of ``documents`` with its cell, weight, probability and whether it is kept."""
-    return mix(df.select("doc_id", "text", "source", "lang")).select(
+    """The driver query: one row per document of ``documents`` with its cell, weight, probability and whether it is kept.
+    No probability is cut here (``keep=None``), as in the oracle SQL."""
+    return mix(df.select("doc_id", "text", "source", "lang"), keep=None).select(
         "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"),
         F.round("__weight", 6).alias("weight"), F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept"))
 

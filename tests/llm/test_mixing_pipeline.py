@@ -36,6 +36,25 @@ def test_raked_weights_meet_the_targets(spark):
     assert set(docs_of(spark).columns) <= set(got.columns)
 
 
+def test_one_document_of_a_rare_cell_hardly_lowers_the_others(spark):
+    docs = docs_of(spark).select("doc_id", "text", "source", "lang")
+    rare = docs.limit(1).select(F.lit(-1).cast("bigint").alias("doc_id"), "text", F.lit("new source").alias("source"), F.lit("xx").alias("lang"))
+    plain, more = (mixing.mix(d).drop("text").toPandas().set_index("doc_id") for d in (docs, docs.unionByName(rare)))
+    share = lambda g: (g["__tokens"] * g["__probability"]).sum() / g["__tokens"].sum()
+    assert share(plain) == pytest.approx(mixing.KEEP, abs=1e-6) and share(more) == pytest.approx(mixing.KEEP, abs=1e-6)
+    assert more["__probability"].between(0, 1).all() and more.loc[-1, "__probability"] == 1
+    assert (more["__probability"].drop(-1) - plain["__probability"]).abs().max() < 0.05
+    assert plain["__kept"].mean() == pytest.approx(mixing.KEEP, abs=0.05)
+
+
+def test_bounded_probabilities_meet_targets_that_the_tokens_allow(spark):
+    got = mixing.mix(docs_of(spark), keep=0.4, rounds=30).drop("text").toPandas()
+    kept = got["__tokens"] * got["__probability"]
+    for c in ("source", "lang", "__topic"):
+        want = (got["__tokens"] * got["__weight"]).groupby(got[c]).sum() / got["__tokens"].sum()
+        assert (kept.groupby(got[c]).sum() / kept.sum()).to_numpy() == pytest.approx(want.to_numpy(), abs=1e-3)
+
+
 def test_cells_raked_by_many_tasks_get_the_same_weights(spark, monkeypatch):
     one = {tuple(r) for r in mixing.report(docs_of(spark)).collect()}
     monkeypatch.setattr(mixing, "TASK_CELLS", 20)
