@@ -8,6 +8,9 @@ before (in order of document id, then position) are removed.
 2. Digests whose group has one byte string only are proven copies; the others are left alone.
 3. The chunk list, without texts, is joined to the repeated digests; large groups are salted.
 4. Each document loses the chunks that are not the first of their group.
+
+:func:`passage_dedup` has no cuts: it compares every pair of neighbouring lines, so it finds all repeated line runs,
+wherever they start and end.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from .common import Scratch, columns_as, join_groups, text_batches, text_ids
 
 #: Lines under the rolling hash; a cut where the hash is 0 modulo CUT; fewest and most lines of a chunk.
 WINDOW, CUT, LEAST, MOST = 3, 3, 2, 32
+#: A line of more words than this is a passage by itself.
+LONG_WORDS = 50
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _LEAVES = pow(_BASE, WINDOW, 1 << 64)
 
@@ -103,3 +108,71 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     out = rows.join(removed.hint("merge"), ["k1", "k2"], "left").select("id", "text", "removed").mapInPandas(
         clean, "id string, n_lines bigint, n_chunks bigint, n_removed bigint, n_removed_lines bigint, clean_text string")
     return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
+
+
+def units(lines: list[bytes]) -> list[tuple[int, int]]:
+    """[start, end) line ranges that are compared: two neighbouring lines that aren't blank, with the blank lines
+    between them, and single lines of over LONG_WORDS words."""
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    return [(a, b + 1) for a, b in zip(full, full[1:])] + [(i, i + 1) for i in full if len(lines[i].split()) > LONG_WORDS]
+
+
+def passage_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col``, n_lines, n_removed_lines, clean_text.
+
+    A unit (see :func:`units`) whose lines stand equally before (in order of id, null first, equal ids by a hash of the text,
+    then position) goes, with the blank lines inside it; how many those are doesn't count for equality.  So of a run of lines
+    that occurs again all lines go, and the first occurrence of every line stays.  Lines are equal by digest, after all lines of a
+    digest were compared by their bytes; lines of a digest that has several byte strings stay.
+
+    Null text: no lines, clean_text null; empty text: no lines, clean_text empty.  Repeated rows (same id and text) count as
+    one document and get the same result.  Empty table: no rows.  Other columns are neither read nor returned."""
+    scratch = Scratch(df.sparkSession)
+    rows = columns_as(df, id=id_col, text=text_col)
+    rows = rows.select("id", F.xxhash64("id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "id").alias("k2"),
+                       F.col("text").cast("binary").alias("text"))
+    rows, kind = text_ids(rows)
+
+    def bodies(frames):
+        for f in text_batches(frames):
+            seen = {x for text in f["text"] for x in _split(text) if x.strip()}
+            yield pd.DataFrame([(xxhash.xxh3_128_digest(x), x) for x in seen], columns=["digest", "body"])
+
+    known = rows.select("text").mapInPandas(bodies, "digest binary, body binary").distinct()
+    # 128 bits: none is expected
+    unproven = {bytes(r[0]) for r in known.groupBy("digest").count().filter("count > 1").select("digest").collect()}
+
+    def cut(frames):
+        for f in text_batches(frames):
+            out = []
+            for i, k1, k2, text in zip(f["id"].tolist(), f["k1"].tolist(), f["k2"].tolist(), f["text"]):
+                lines = _split(text)
+                digests = [xxhash.xxh3_128_digest(x) for x in lines]
+                for a, b in units(lines):
+                    ends = (digests[a],) if b - a == 1 else (digests[a], digests[b - 1])
+                    if not unproven.intersection(ends):
+                        out.append((i, k1, k2, a, b, b"".join(ends)))
+            yield pd.DataFrame(out, columns=["id", "k1", "k2", "a", "b", "digest"])
+
+    listed = rows.mapInPandas(cut, "id string, k1 bigint, k2 bigint, a int, b int, digest binary").withColumn("id", F.col("id").cast(kind))
+    listed = listed.withColumn("at", F.struct("id", "k1", "k2", "a"))
+    groups = scratch.table(listed.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.min("at").alias("first")).filter("group_size > 1"))
+    again = join_groups(listed, groups, ["digest"], F.xxhash64("k1", "a")).filter("first is not null and not (first <=> at)")
+    span = F.shiftleft(F.col("a").cast("bigint"), 32) + F.col("b")
+    removed = scratch.table(again.groupBy("k1", "k2").agg(F.collect_set(span).alias("removed")))  # of one document
+
+    def clean(frames):
+        for f in text_batches(frames):
+            out = []
+            for text, spans in zip(f["text"], f["removed"]):
+                lines = _split(text)
+                gone = {x for s in ([] if spans is None else map(int, spans)) for x in range(s >> 32, s & 0xFFFFFFFF)}
+                kept = [x for i, x in enumerate(lines) if i not in gone]
+                out.append((len(lines), len(gone), None if text is None else b"\n".join(kept).decode()))
+            o = pd.DataFrame(out, columns=["n_lines", "n_removed_lines", "clean_text"])
+            o.insert(0, "id", f["id"].array)
+            yield o
+
+    out = rows.join(removed.hint("merge"), ["k1", "k2"], "left").select("id", "text", "removed").mapInPandas(
+        clean, "id string, n_lines bigint, n_removed_lines bigint, clean_text string")
+    return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

@@ -50,6 +50,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
 
 
+@_query
+def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.passage_dedup(_table(spark, sf_dir, "documents"))
+    return out.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
+
+
 @_query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))

@@ -181,3 +181,41 @@ def test_line_dedup_on_odd_rows(spark, odd, none):
     want = brute_line_dedup({0: text, 1: text, 2: "head\n" + text})
     got = {(r["doc_id"], r["clean_text"]) for r in line_dedup.line_dedup(df).collect()}
     assert got == {(None, want[0]), (1, want[1]), (2, want[2])}
+
+
+def brute_passages(docs):
+    """[clean text] of texts in order: a line goes when it and its neighbour (or it alone, if long) stood so before."""
+    seen, out = set(), []
+    for text in docs:
+        lines, gone = text.split("\n") if text else [], set()
+        full = [i for i, x in enumerate(lines) if x.encode().strip()]
+        runs = sorted([*zip(full, full[1:]), *((i,) for i in full if len(lines[i].encode().split()) > 50)])
+        for r in runs:
+            body = tuple(lines[i] for i in r)
+            if body in seen:
+                gone |= set(range(r[0], r[-1] + 1))
+            seen.add(body)
+        out.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_passages_against_all_repeated_line_runs(spark, sf_dir):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r["doc_id"]: r["clean_sha256"] for r in QUERIES["op3_passage_dedup"](spark, sf_dir).collect()}
+    assert got == {i: sha(t) for i, t in zip(sorted(docs), brute_passages([docs[i] for i in sorted(docs)]))}
+
+
+def test_passages_wherever_they_start_and_end(spark):
+    run, long = [f"line {k} of the run" for k in range(6)], " ".join(f"w{k}" for k in range(51))
+    texts = ["\n".join(["a0", "a1", *run, "a2", long]), "\n".join([*run[:4], "b0", *run[4:], "b1"]), "\n".join(["c0", *run[1:3], "", run[3], "c1"]),
+             "\n".join(["d0", long, "d1", "line 0 of the run", "d2"]), "x\nx\nx"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r["clean_text"] for r in line_dedup.passage_dedup(df).sort("doc_id").collect()]
+    assert got == brute_passages(texts)
+    assert got[1:4] == ["b0\nb1", "c0\nc1", "d0\nd1\nline 0 of the run\nd2"] and got[0] == texts[0] and got[4] == "x"
+
+
+def test_passages_on_odd_rows(spark, odd, none):
+    got = {(r["doc_id"], r["clean_text"]): r["n_lines"] for r in line_dedup.passage_dedup(odd).collect()}
+    assert got[(7, LONG)] == 3 and got[(3, None)] == 0 and got[(4, "")] == 0 and got[(6, " \t\n ")] == 2
+    assert line_dedup.passage_dedup(none).collect() == []
