@@ -12,7 +12,9 @@ the case/accent-insensitive comparison of the original tables instead.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -512,9 +514,33 @@ def infer_salutation_and_gender(df: DataFrame, name: str = "fname", salutation:
     return j.withColumns({gender: g, salutation: s}).drop("__name", "__dom")
 
 
-def normalise_citizenship(df: DataFrame, table: DataFrame, c: str = "citizenship", out: str | None = None) -> DataFrame:
+#: The citizenship list (N8): variant, code (empty: unresolvable) and rank, the number of its rule.
+CITIZENSHIPS = Path(__file__).with_name("citizenship.csv")
+
+
+def citizenship_rules() -> list[tuple[str, str | None, int]]:
+    """(variant, code, rank) of :data:`CITIZENSHIPS`; rank 1 holds the codes that pass."""
+    with CITIZENSHIPS.open(encoding="utf-8", newline="") as f:
+        return [(r["variant"], r["code"] or None, int(r["rank"])) for r in csv.DictReader(f)]
+
+
+def citizenship_table(spark: SparkSession) -> DataFrame:
+    """The citizenship list as a DataFrame (a key may have several ranks)."""
+    return spark.createDataFrame(citizenship_rules(), "variant string, code string, rank int")
+
+
+def normalise_citizenship(df: DataFrame, table: DataFrame | None = None, c: str = "citizenship", out: str | None = None) -> DataFrame:
     """Citizenship to ISO-2 (N8): the country rule with the citizenship code
     list (``variant``, ``code``, ``rank``): the lowest rank per variant wins,
     so a key listed twice keeps its first mapping (SURVEY §8 Q8).  The list is
-    a parameter: its ~370 entries are data, not code."""
-    return normalise_country(df, c, variants=table, out=out)
+    a parameter; by default it is :func:`citizenship_table`, whose valid codes come back trimmed in the letter
+    case they were given in, and what it lacks (two capital letters too) stays as it is."""
+    if table is not None:
+        return normalise_country(df, c, variants=table, out=out)
+    out = out or c
+    passing = [v.lower() for v, _, rank in citizenship_rules() if rank == 1]
+    t = F.trim(F.col(c))
+    mapped = normalise_country(df.withColumn("__t", t), "__t", variants=citizenship_table(df.sparkSession), out="__mapped")
+    listed = F.col("__mapped").isNull() | (F.col("__mapped") != F.col("__t"))
+    res = F.when(F.lower(t).isin(passing), t).when(listed, F.col("__mapped")).otherwise(F.col(c))
+    return mapped.withColumn(out, res).drop("__t", "__mapped")

@@ -20,7 +20,7 @@ QUERY_IDS = {
     "infer_gender": "N6 W4 M2", "country_codes": "N7 N8", "code_review": "N9", "language_default": "N10",
     "load_contact": "B2", "load_contact_update": "B2", "load_member": "B2 B3", "load_member_update": "B2", "load_reservation": "B2 B3 P13",
     "load_consent": "B2", "load_optout": "B2", "load_journal": "B2", "load_preference": "B2 R12", "load_property": "B2 B3",
-    "load_rate_code": "B2 B3", "normalise_reservations": "N21", "lookup_strict": "J20", "build_consent": "C1 J18", "citizenship_codes": "N8",
+    "load_rate_code": "B2 B3", "normalise_reservations": "N21", "lookup_strict": "J20", "build_consent": "C1 J18", "citizenship_codes": "N8", "citizenship_list": "N8",
     "hotel_occupancy": "K1 J6 U1", "hotel_day_kpis": "K2 K3", "hotel_commercial": "K4 U1", "reservation_revenue": "R2 G16",
     "select_import": "D19 N16", "member_export": "D21", "split_property": "R6", "correct_rates": "K12 S13", "reservation_preferences": "R12",
     "since_switch": "J13", "inside_window": "J12", "sparse_records": "P11", "recode_names": "F11", "write_types": "S9", "enrolment_dates": "D6",

@@ -210,6 +210,32 @@ def citizenship_codes(spark, sf):
     return N.normalise_citizenship(c, listed)
 
 
+def _citizenship_sql() -> tuple[list[str], str]:
+    """Spellings (all listed ones, in other letter case and with blanks too, and unlisted ones) and the rules in their order as CASE."""
+    rules = N.citizenship_rules()
+    given = sorted({v for v, _, _ in rules})
+    given += [f" {v.swapcase()} " for v in given] + ["ZZ", " ZZ ", "Unlisted", ""]
+    whens = []
+    for rank in sorted({r for _, _, r in rules}):
+        keys = [v for v, _, r in rules if r == rank]
+        code = next(c for _, c, r in rules if r == rank)
+        then = "trim(x)" if rank == 1 else f"'{code}'" if code else "NULL"
+        whens.append("WHEN lower(trim(x)) IN (" + ", ".join(f"'{k.lower()}'" for k in keys) + f") THEN {then}")
+    return given, "CASE " + " ".join(whens) + " ELSE x END"
+
+
+CITIZENSHIPS_GIVEN, CITIZENSHIP_CASE = _citizenship_sql()
+
+
+@register("citizenship_list", f"""
+SELECT c_custkey, {CITIZENSHIP_CASE} AS citizenship FROM (SELECT c_custkey, [{', '.join(f"'{v}'" for v in CITIZENSHIPS_GIVEN)}][CAST(c_custkey % {len(CITIZENSHIPS_GIVEN)} + 1 AS INT)] AS x FROM customer)""")
+def citizenship_list(spark, sf):
+    """Citizenship by the list of the original statement (N8), on all its spellings."""
+    given = F.array(*[F.lit(v) for v in CITIZENSHIPS_GIVEN])
+    x = F.element_at(given, (F.col("c_custkey") % len(CITIZENSHIPS_GIVEN) + 1).cast("int"))
+    return N.normalise_citizenship(table(spark, sf, "customer").select("c_custkey", x.alias("citizenship")))
+
+
 PROFILE_SQL = """SELECT c_custkey AS cluster_id, list_id, fname, lname, email, country, language_code, member_id, current_opt_in,
   CASE WHEN lname IS NULL THEN 1 ELSE 0 END AS missing_name, CASE WHEN email IS NULL THEN 1 ELSE 0 END AS exclude_email,
   CASE WHEN c_custkey % 5 = 0 THEN 'gold' END AS member_tier, CASE WHEN c_custkey % 7 = 0 THEN concat('c', c_custkey) END AS sf_contact_id,

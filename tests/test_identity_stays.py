@@ -156,6 +156,17 @@ def test_citizenship_and_enrolment_fallback(spark):
     assert str(d.select(I.enrolment_date("s", "t", "c").alias("e")).first().e) == "2024-01-03"
 
 
+def test_citizenship_list(spark):
+    from guestfold.functions.cleaning import citizenship_rules, normalise_citizenship
+    want = {"Swi": "CH", " schweiz ": "CH", "Österreich": "AT", "Aus": "AT", "Uni": "US", "Chi": "CN", "Cro": "HR", "UK": "GB", "Bri": "GB",
+            "CS": "CZ", "El": "SV", "KV": "XK", " XK ": "XK", "Gro": "GL", "Gue": "GG", "CIS": None, "Unk": None, "XX": None, "0": None,
+            " DE ": "DE", "de": "de", "ZZ": "ZZ", " ZZ ": " ZZ ", "Atlantis": "Atlantis", "": "", None: None}
+    df = spark.createDataFrame([(x,) for x in want], "citizenship string")
+    assert {r.citizenship: r.o for r in normalise_citizenship(df, out="o").collect()} == want
+    assert len({v for v, _, _ in citizenship_rules()}) == 367
+    assert normalise_citizenship(df).count() == len(want)
+
+
 def test_survivors_priority(spark):
     rows = [(1, "apaleo", "a1", 4, 1, "A", "B", "e"), (1, "gms", "g1", 2, 0, "A", "B", "e"),
             (2, "protel", "p1", 3, 0, "A", "B", "e"), (2, "apaleo", "a2", 3, 1, "A", "B", "e"),
