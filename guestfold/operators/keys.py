@@ -43,19 +43,28 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Order, rn_col: str | Non
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Order, flag_col: str = "is_duplicate") -> DataFrame:
     """Mark duplicates instead of removing them: the winner gets 0, the others 1.
 
-    ``order`` must be total within a key (rows equal to the winner in every
-    column are winners too).  NULL keys form their own group.  The winners come
-    from ``pick_one`` (pre-reduced in every map task) and are joined back to
-    the rows, so no task ranks a whole group and AQE splits the rows of a hot key in that join."""
+    ``order`` must be total within a key but for rows that are equal in every column: of those one wins.  NULL keys form
+    their own group.  The winners come from ``pick_one`` (pre-reduced in every map task) and are joined back to
+    the rows, so no task ranks a whole group and AQE splits the rows of a hot key in that join.  Only
+    rows that equal a winner, of keys with fully repeated rows (one aggregation finds them), are numbered."""
     rest = [c for c in df.columns if c not in keys]
     win = pick_one(df, keys, order)
     win = win.select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.lit(True).alias("__won"),
                      *[F.col(c).alias(f"__v{i}") for i, c in enumerate(rest)])
+    same = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"__r{i}") for i, c in enumerate(rest)])
+    tied = (same.agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*[f"__k{i}" for i in range(len(keys))])
+            .distinct().withColumn("__tied", F.lit(True)))
     j = df.join(win, [F.col(k).eqNullSafe(F.col(f"__w{i}")) for i, k in enumerate(keys)], "left")
     first = F.col("__won")
     for i, c in enumerate(rest):
         first = first & F.col(c).eqNullSafe(F.col(f"__v{i}"))
-    return j.select(*[F.col(c) for c in df.columns], F.when(first, 0).otherwise(1).alias(flag_col))
+    j = j.select(*[F.col(c) for c in df.columns], F.coalesce(first, F.lit(False)).alias("__first"))
+    j = j.join(tied, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], "left")
+    among = F.col("__first") & F.col("__tied").isNotNull()
+    single = j.where(~among).withColumn(flag_col, F.when(F.col("__first"), 0).otherwise(1))
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_cols(order))
+    copies = j.where(among).withColumn(flag_col, F.when(F.row_number().over(w) == 1, 0).otherwise(1))
+    return single.select(*df.columns, flag_col).unionByName(copies.select(*df.columns, flag_col))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n", collation: str | None = None) -> DataFrame:

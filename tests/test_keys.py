@@ -31,6 +31,12 @@ def test_flag_duplicates_with_a_hot_key(spark):
     assert flagged.where("is_duplicate = 0").count() == 3
 
 
+def test_flag_duplicates_has_one_winner_among_fully_repeated_rows(spark):
+    rows = [(1, 5, "a"), (1, 5, "a"), (1, 5, "a"), (1, 6, "b"), (2, 1, "c"), (None, 3, None), (None, 3, None), (3, 1, "d"), (3, 2, "e"), (3, 2, "e")]
+    got = sorted((str(r.k), r.v, r.is_duplicate) for r in K.flag_duplicates(spark.createDataFrame(rows, "k int, v int, x string"), ["k"], ["v"]).collect())
+    assert got == [("1", 5, 0), ("1", 5, 1), ("1", 5, 1), ("1", 6, 1), ("2", 1, 0), ("3", 1, 0), ("3", 2, 1), ("3", 2, 1), ("None", 3, 0), ("None", 3, 1)]
+
+
 def test_flag_duplicates_splits_a_key_with_most_rows(spark):
     hot = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 10 < 9, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
                                               F.sha2(F.col("id").cast("string"), 512).alias("load"))
