@@ -11,7 +11,7 @@ from corpus_pipeline import run as run_pipeline
 
 from . import decontaminate as decon
 from . import exact_dedup as exact
-from . import langid, lexical, line_dedup, mixing, quality, simhash
+from . import langid, lexical, line_dedup, mixing, negatives, quality, simhash
 from . import token_blocks as blocks
 from . import token_counts as counts
 from . import url_filter as urls
@@ -99,8 +99,14 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.driver_query(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = run_pipeline
 ORACLES["op8_mix_sources"] = mixing.ORACLE_SQL
 ORACLES["op9_decontaminate"] = decon.ORACLE_SQL
 ORACLES["op10_exact_dedup"] = exact.ORACLE_SQL
 ORACLES["op12_lexical_search"] = lexical.ORACLE_SQL
+ORACLES["op13_hard_negatives"] = negatives.ORACLE_SQL
