@@ -11,7 +11,7 @@ from corpus_pipeline import run as run_pipeline
 
 from . import decontaminate as decon
 from . import exact_dedup as exact
-from . import langid, lexical, line_dedup, mixing, negatives, quality, simhash
+from . import cross_polytope, langid, lexical, line_dedup, mixing, negatives, quality, simhash
 from . import token_blocks as blocks
 from . import token_counts as counts
 from . import url_filter as urls
@@ -94,6 +94,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -110,3 +115,4 @@ ORACLES["op9_decontaminate"] = decon.ORACLE_SQL
 ORACLES["op10_exact_dedup"] = exact.ORACLE_SQL
 ORACLES["op12_lexical_search"] = lexical.ORACLE_SQL
 ORACLES["op13_hard_negatives"] = negatives.ORACLE_SQL
+ORACLES["op11_near_vectors"] = cross_polytope.ORACLE_SQL
