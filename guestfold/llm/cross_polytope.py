@@ -34,6 +34,9 @@ THRESHOLD = 0.9
 RECALL = 0.99
 #: Axes of one hash that probes may step to.
 AXES = 4
+#: Vectors are filled up with zeros to a power of two and to this length at least: signs and Hadamard transforms
+#: rotate short or sparse vectors poorly.
+LEAST_DIMS = 64
 #: A key should have this many nodes by chance.
 CROWD = 0.25
 #: Most nodes of a part of a key; batches of vectors that are hashed at once.
@@ -43,13 +46,22 @@ SMALL = 64
 SEED = 11
 
 
+def _sylvester(n: int) -> np.ndarray:
+    i = np.arange(n)
+    return 1.0 - 2.0 * (np.bitwise_count(i[:, None] & i) & 1)
+
+
+_STEPS = {n: _sylvester(n) for n in (2, 4, 8)}
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """The normalised fast Hadamard transform of the rows (length a power of two)."""
-    n, h = x.shape[1], 1
-    while h < n:
-        pairs = x.reshape(len(x), -1, 2, h)
-        x = np.concatenate((pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]), axis=2).reshape(len(x), n)
-        h *= 2
+    """The normalised fast Hadamard transform of the rows (length a power of two), eight to one step."""
+    n, left = x.shape[1], x.shape[1]
+    while left > 1:
+        r = min(8, left)
+        # the next factor of the transform: along the last axis, which then comes first
+        x = (x.reshape(len(x) * n // r, r) @ _STEPS[r]).reshape(len(x), n // r, r).transpose(0, 2, 1).reshape(len(x), n)
+        left //= r
     return x / np.sqrt(n)
 
 
@@ -71,7 +83,8 @@ class Hasher:
             for r in rounds:
                 y = hadamard(y * r)
             size = np.abs(y)
-            axis = np.argsort(-size, axis=1, kind="stable")[:, :AXES]
+            axis = np.argpartition(-size, min(AXES, d) - 1, axis=1)[:, :AXES]
+            axis = np.take_along_axis(axis, np.argsort(-np.take_along_axis(size, axis, 1), axis=1, kind="stable"), 1)
             near = np.take_along_axis(size, axis, 1)
             axis = axis * 2 + (np.take_along_axis(y, axis, 1) < 0)
             cost = (cost[:, :, None] + ((near[:, :1] - near) ** 2)[:, None, :]).reshape(len(x), -1)
@@ -84,7 +97,7 @@ class Hasher:
         return code
 
 
-def plan(d: int, n_nodes: int, threshold: float, recall: float = RECALL) -> Hasher:
+def plan(d: int, n_nodes: int, threshold: float) -> Hasher:
     """Signs for ``n_nodes`` vectors of ``d`` (a power of two) components."""
     rng, best = np.random.default_rng(SEED), None
     pairs = 2000
@@ -99,7 +112,7 @@ def plan(d: int, n_nodes: int, threshold: float, recall: float = RECALL) -> Hash
         left, right = one._table(a, one.signs[0]), one._table(b, one.signs[0])
         share = min(np.mean((left[:, :, None] == right[:, None, :]).any(axis=(1, 2))), 1 - 1e-9)
         if share > 0:
-            tables = max(1, ceil(log(1 - recall) / log1p(-share)))
+            tables = max(1, ceil(log(1 - RECALL) / log1p(-share)))
             if tables < 256 and (best is None or tables * probes < best[0]):
                 best = (tables * probes, tables, hashes, probes)
     _, tables, hashes, probes = best or (0, 255, 1, AXES)
@@ -119,7 +132,7 @@ def nodes_of(df: DataFrame, id_col: str, vec_col: str, scratch: Scratch) -> tupl
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     usable = F.coalesce(F.forall("vec", number) & F.exists("vec", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("vec", F.when(usable, F.col("vec")))
-    d = max(2, 1 << max(0, (rows.agg(F.max(F.size("vec"))).first()[0] or 0) - 1).bit_length())
+    d = max(LEAST_DIMS, 1 << max(0, (rows.agg(F.max(F.size("vec"))).first()[0] or 0) - 1).bit_length())
 
     def pack(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in series:
@@ -171,10 +184,12 @@ def small_links(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.n
             g, a, b = np.nonzero(np.triu(y @ y.transpose(0, 2, 1) >= threshold, 1))
             found.append(np.stack((rows[g, a], rows[g, b])))
     a, b = np.concatenate(found, axis=1)
+    rows, place = np.unique(np.concatenate((a, b)), return_inverse=True)
+    known = np.concatenate([hasher.keys(x[rows[at:at + HASH_BATCH]]) for at in range(0, max(1, len(rows)), HASH_BATCH)])
     first = np.zeros(len(a), bool)
     for at in range(0, len(a), HASH_BATCH):
         some = slice(at, at + HASH_BATCH)
-        ka, kb = hasher.keys(x[a[some]]), hasher.keys(x[b[some]])
+        ka, kb = known[place[:len(a)][some]], known[place[len(a):][some]]
         common = (ka[:, :, None] == kb[:, None, :]).any(axis=2)
         first[some] = np.where(common, ka, np.iinfo(np.int64).max).min(axis=1) == keys[a[some]]
     return a[first], b[first]

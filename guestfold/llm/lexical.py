@@ -183,7 +183,7 @@ def lexical_search(df: DataFrame, items: DataFrame, k: int = 10, id_col: str = "
     item_type, scratch = asked.schema["item"].dataType.simpleString(), Scratch(df.sparkSession)
     asked = scratch.table(asked.select(F.col("item").cast("string").alias("item"), ascii_lower(F.col("text")).alias("text")).distinct())
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = max(1, -(-size // SLICE_BYTES) * 2)  # by hash of the item id, twice as many as would do if even
+    slices = max(1, -(-2 * size // SLICE_BYTES))  # by hash of the item id, twice as many as would do if even
     found = None
     for s in range(slices):
         of_slice = asked.filter(F.pmod(F.xxhash64("item"), F.lit(slices)) == s).collect()
