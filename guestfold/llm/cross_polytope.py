@@ -73,6 +73,8 @@ class Hasher:
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """len(x) x (tables * probes) keys, the table in the low bits, so that a key names its table."""
+        if not len(x):
+            return np.zeros((0, len(self.signs) * self.probes), np.int64)
         return np.concatenate([(self._table(x, s) << np.int64(8)) | np.int64(t) for t, s in enumerate(self.signs)], axis=1)
 
     def _table(self, x: np.ndarray, signs: np.ndarray) -> np.ndarray:
