@@ -5,8 +5,9 @@ stream through it and the longest match that ends at each word is tracked.  A
 *window* is ``window`` consecutive words of an item; an item with fewer words is one
 window of all its words.  A match of a whole window marks its words as hit.
 
-The automaton is built on the driver from the benchmark table and broadcast; its
-size is checked (``MAX_ITEM_WORDS``), documents never leave their task.  A word
+The items are dealt into shards of bounded size (``SHARD_WORDS``), one for any but a huge benchmark.  Each
+shard's automaton is built on the driver and broadcast; documents never leave their task, pass one shard after the
+other, and the shards' hits are united.  A word
 that occurs in no item sends the automaton back to its root, so only
 runs of benchmark words as long as the shortest window are streamed.
 """
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, columns_as
 
 WINDOW = 10
-#: Largest benchmark, in words, that is broadcast (about 300 bytes a word in each worker).
-MAX_ITEM_WORDS = 1_000_000
+#: Words of items in one automaton (about 300 bytes a word in each worker).
+SHARD_WORDS = 1_000_000
 #: A word: letters and digits of ASCII and every character beyond it.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -149,24 +150,25 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[end:]])
 
 
-def build(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> SuffixAutomaton:
-    """The automaton of a benchmark table, after its size was checked.
-
-    Items with a null id count under the name ``null``; items without words have no window."""
-    items = columns_as(benchmark, item=item_col, text=text_col)
+def shards(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """The items (id, text, shard) and the number of shards of ``SHARD_WORDS`` words at most, as far as the hash of
+    the items deals them evenly; a benchmark of that size or less is one shard."""
+    items = columns_as(benchmark, id=item_col, text=text_col)
     n_words = items.select(F.sum(F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD.pattern)))).first()[0] or 0
-    if n_words > MAX_ITEM_WORDS:
-        raise ValueError(f"benchmark of {n_words} words; the automaton is built for {MAX_ITEM_WORDS} at most")
-    got = sorted(((str(r[0]) if r[0] is not None else "null", r[1] or "") for r in items.collect()))
+    n = 1 if n_words <= SHARD_WORDS else -(-2 * n_words // SHARD_WORDS)
+    return items.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(n))), n
+
+
+def build(items: DataFrame, shard: int, window: int = WINDOW) -> SuffixAutomaton:
+    """The automaton of one shard.  Items with a null id count under the name ``null``; items without words have no window."""
+    own = items.filter(F.col("shard") == shard).select("id", "text").collect()
+    got = sorted((str(r[0]) if r[0] is not None else "null", r[1] or "") for r in own)
     return SuffixAutomaton([(name, words(t)) for name, t in got], window)
 
 
-def judge(text: Column, automaton: SuffixAutomaton, spark: SparkSession, keep_text: bool) -> Column:
-    """Struct (n_words, n_hit, n_items, items, spans[, clean_text]) of a text column; only the text goes to Python."""
+def judge(text: Column, automaton: SuffixAutomaton, spark: SparkSession) -> Column:
+    """Struct (n_words, items, spans) of a text column for one shard; only the text goes to Python."""
     sent = spark.sparkContext.broadcast(automaton)
-    names = ["n_words", "n_hit", "n_items", "items", "spans"] + ["clean_text"] * keep_text
-    schema = ("n_words bigint, n_hit bigint, n_items bigint, items string, spans array<struct<start:bigint,end:bigint>>"
-              + ", clean_text string" * keep_text)
 
     def apply(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         a = sent.value
@@ -175,11 +177,45 @@ def judge(text: Column, automaton: SuffixAutomaton, spark: SparkSession, keep_te
             for t in s:
                 w = words(t)
                 spans, items = a.hits(w)
-                row = (len(w), sum(e - b for b, e in spans), len(items), ",".join(sorted(items)), [{"start": b, "end": e} for b, e in spans])
-                out.append(row + (cut_spans(t, spans),) * keep_text)
-            yield pd.DataFrame(out, columns=names)
+                out.append((len(w), sorted(items), [{"start": b, "end": e} for b, e in spans]))
+            yield pd.DataFrame(out, columns=["n_words", "items", "spans"])
+
+    return F.pandas_udf(apply, "n_words bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>")(text)
+
+
+def judged(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
+    """``row`` (the input's columns) and ``j``: struct (n_words, n_hit, items, spans) over all shards."""
+    items, n = shards(benchmark, item_col)
+    out = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"))  # no name can clash inside
+    for k in range(n):
+        out = out.withColumn(f"j{k}", judge(F.col(f"row.`{text_col}`"), build(items, k, window), df.sparkSession))
+    parts = [F.col(f"j{k}") for k in range(n)]
+    found = F.array_sort(F.array_distinct(F.flatten(F.array(*[p["items"] for p in parts]))))
+    spans = parts[0]["spans"] if n == 1 else united(F.array_sort(F.flatten(F.array(*[p["spans"] for p in parts]))))
+    n_hit = F.aggregate("s", F.lit(0).cast("bigint"), lambda t, x: t + x["end"] - x["start"])
+    out = out.select("row", parts[0]["n_words"].alias("n"), found.alias("i"), spans.alias("s"))
+    return out.select("row", F.struct(F.col("n").alias("n_words"), n_hit.alias("n_hit"), F.col("i").alias("items"), F.col("s").alias("spans")).alias("j"))
+
+
+def united(spans: Column) -> Column:
+    """Sorted [start, end) spans without overlaps; spans that touch become one."""
+    def add(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        joined = F.array_append(F.slice(done, 1, F.size(done) - 1),
+                                F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end")))
+        return F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] >= x["start"]), joined).otherwise(F.array_append(done, x))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint>>"), add)
+
+
+def without_spans(text: Column, spans: Column) -> Column:
+    """The text without the words of ``spans``."""
+    def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None else cut_spans(t, [(int(r["start"]), int(r["end"])) for r in rs]) for t, rs in zip(texts, ranges)],
+                         dtype=object)
 
-    return F.pandas_udf(apply, schema)(text)
+    # only texts with a hit are cut
+    return F.when(F.size(spans) > 0, F.pandas_udf(cut, "string")(text, spans)).otherwise(text)
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -193,10 +229,13 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     rows, or no hits.  Repeated rows are judged one by one.  A null id passes through.  Other columns are
     neither read nor returned."""
     rows = columns_as(df, id=id_col, text=text_col)
-    judged = rows.select(F.col("id").alias(id_col), judge(F.col("text"), build(benchmark, item_col, window=window), df.sparkSession, keep_text).alias("j"))
+    out = judged(rows, benchmark, "text", item_col, window)
+    if keep_text:
+        out = out.withColumn("clean_text", without_spans(F.col("row.text"), F.col("j.spans")))
     coverage = F.when(F.col("n_words") > 0, F.col("n_hit") / F.col("n_words")).otherwise(F.lit(0.0))
-    return (judged.select(F.col(id_col), "j.*").withColumn("coverage", coverage)
-            .withColumn("over_limit", F.col("coverage") > max_coverage))
+    return (out.select(F.col("row.id").alias(id_col), "j.n_words", "j.n_hit", F.size("j.items").cast("bigint").alias("n_items"),
+                       F.array_join("j.items", ",").alias("items"), "j.spans", *["clean_text"] * keep_text)
+            .withColumn("coverage", coverage).withColumn("over_limit", F.col("coverage") > max_coverage))
 
 
 def digest(judged: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -40,12 +40,6 @@ def topic_of(text: Column) -> Column:
     return out
 
 
-def described(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``__topic`` and ``__tokens`` of its text (null: an empty text)."""
-    text = df[f"`{text_col}`"]
-    return df.withColumns({"__topic": topic_of(text), "__tokens": F.regexp_count(F.coalesce(text, F.lit("")), F.lit(TOKEN)).cast("bigint")})
-
-
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], rounds: int, scratch: Scratch) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with weights whose token marginals approach the targets."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
@@ -110,10 +104,36 @@ def bounded(raked: DataFrame, keep: float, rounds: int, scratch: Scratch) -> Dat
     return scratch.table(cells.select(*DIMS, "tokens", "weight", probability.alias("probability")))
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-        topic_col: str | None = None, targets: dict | None = None, rounds: int = ROUNDS, rate: float | None = None,
-        seed: str = "mix", keep: float | None = KEEP) -> DataFrame:
-    """The input's columns (of the same names) and ``__topic``, ``__tokens``, ``__weight``, ``__probability``, ``__kept``.
+def sampled(df: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+            lang_col: str = "lang", topic_col: str | None = None, targets: dict | None = None, rounds: int = ROUNDS,
+            rate: float | None = None, seed: str = "mix", keep: float | None = KEEP) -> DataFrame:
+    """See :func:`mix`: ``row`` (the columns ``carry`` of the input, by default all, so that no name can clash), source, lang, topic, tokens,
+    weight, probability, kept.  Texts are scanned once: what was found is written with the carried columns and read again."""
+    scratch = Scratch(df.sparkSession)
+    text = F.coalesce(df[f"`{text_col}`"], F.lit(""))
+    seen = F.md5(F.concat(F.lit(seed), F.coalesce(df[f"`{id_col}`"].cast("string"), F.lit(""))).cast("binary"))
+    rows = scratch.table(df.select(
+        F.struct(*[df[f"`{c}`"] for c in carry or df.columns]).alias("row"), df[f"`{source_col}`"].alias("source"),
+        df[f"`{lang_col}`"].alias("lang"), (df[f"`{topic_col}`"] if topic_col else topic_of(text)).alias("topic"),
+        F.regexp_count(text, F.lit(TOKEN)).cast("bigint").alias("tokens"),
+        (F.conv(F.substring(seen, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)).alias("draw")))
+    cells = scratch.table(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
+    raked = rake(cells, targets or TARGETS, rounds, scratch)
+    if rate is None and keep is not None:
+        raked = bounded(raked, keep, rounds, scratch)
+    else:
+        largest = raked.agg(F.max("weight")).first()[0]
+        rate = rate if rate is not None else 1 / largest if largest else 1.0
+        raked = raked.withColumn("probability", F.least(F.lit(1.0), F.lit(float(rate)) * F.col("weight")))
+    right = raked.select(*[F.col(d).alias(f"cell_{d}") for d in DIMS], "weight", "probability")
+    on = [F.col(d).eqNullSafe(F.col(f"cell_{d}")) for d in DIMS]
+    return rows.join(right, on[0] & on[1] & on[2], "left").select(
+        "row", *DIMS, "tokens", "weight", "probability", (F.col("draw") < F.col("probability")).alias("kept"))
+
+
+def mix(df: DataFrame, **options) -> DataFrame:
+    """The input's columns and ``__topic``, ``__tokens``, ``__weight``, ``__probability``, ``__kept``; the options are those of
+    :func:`sampled`.  An input column of one of these five names is replaced.
 
     In expectation ``keep`` of all tokens are kept, with probabilities from :func:`bounded`: shares are the targets as far as
     the tokens of a value go, and rare cells don't lower the others.  (Fewer are kept only if the targets give too many values 0.)
@@ -123,36 +143,17 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     Null source, language or topic is a value of its own.  Null and empty texts have no tokens; a cell without tokens keeps
     weight 1.  Null ids are drawn as the empty string.  ``topic_col``: a column to use instead of :data:`TOPICS`.  Empty table: no rows."""
-    scratch = Scratch(df.sparkSession)
-    rows = described(df, text_col)
-    if topic_col:
-        rows = rows.withColumn("__topic", df[f"`{topic_col}`"])
-    names = dict(zip(DIMS, (source_col, lang_col, "__topic")))
-    cells = scratch.table(rows.groupBy(*[F.col(f"`{c}`").alias(d) for d, c in names.items()]).agg(F.sum("__tokens").alias("tokens")))
-    raked = rake(cells, targets or TARGETS, rounds, scratch)
-    if rate is None and keep is not None:
-        raked = bounded(raked, keep, rounds, scratch)
-    else:
-        largest = raked.agg(F.max("weight")).first()[0]
-        rate = rate if rate is not None else 1 / largest if largest else 1.0
-        raked = raked.withColumn("probability", F.least(F.lit(1.0), F.lit(float(rate)) * F.col("weight")))
-    right = raked.select(*[F.col(d).alias(f"__{d}_") for d in DIMS], F.col("weight").alias("__weight"), F.col("probability").alias("__probability"))
-    on = None
-    for d, c in names.items():
-        same = F.col(f"`{c}`").eqNullSafe(F.col(f"__{d}_"))
-        on = same if on is None else on & same
-    seen = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))).cast("binary"))
-    draw = F.conv(F.substring(seen, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    return (rows.join(right, on, "left").drop(*[f"__{d}_" for d in DIMS])
-            .withColumn("__kept", draw < F.col("__probability")))
+    own = {f"__{c}": F.col(c) for c in ("topic", "tokens", "weight", "probability", "kept")}
+    carry = options.pop("carry", None) or df.columns
+    return sampled(df, carry, **options).select(*[F.col(f"row.`{c}`") for c in carry if c not in own], *[c.alias(n) for n, c in own.items()])
 
 
 def report(df: DataFrame) -> DataFrame:
     """The driver query: one row per document of ``documents`` with its cell, weight, probability and whether it is kept.
     No probability is cut here (``keep=None``), as in the oracle SQL."""
-    return mix(df.select("doc_id", "text", "source", "lang"), keep=None).select(
-        "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"),
-        F.round("__weight", 6).alias("weight"), F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept"))
+    return sampled(df, ["doc_id"], keep=None).select(
+        "row.doc_id", "source", "lang", "topic", F.col("tokens").alias("n_tokens"),
+        F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
 
 
 def oracle_ctes(documents: str = "documents") -> str:

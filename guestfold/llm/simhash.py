@@ -25,7 +25,7 @@ from math import ceil, log2
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, columns_as
@@ -59,13 +59,13 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) of (id, text); fp is the fingerprint as a signed long."""
+def fingerprints(rows: DataFrame, shingle: int = SHINGLE, *more: str) -> DataFrame:
+    """(id, fp) and the columns ``more`` of (id, text); fp is the fingerprint as a signed long."""
     def make(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in series:
             yield pd.Series(np.fromiter((fingerprint(t, shingle) for t in s), np.uint64, len(s)).view(np.int64))
 
-    return rows.select("id", F.pandas_udf(make, "bigint")(F.col("text").cast("binary")).alias("fp"))
+    return rows.select("id", *more, F.pandas_udf(make, "bigint")(F.col("text").cast("binary")).alias("fp"))
 
 
 def ball_masks(radius: int) -> np.ndarray:
@@ -154,10 +154,17 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null and wordless texts have fingerprint zero, which links like any other.  Repeated rows: one
     result row each.  Null ids pass through and name a component only when all its ids are null (component_id null).
     Empty table: no rows.  Other columns are neither read nor returned.  ``max_bits`` 0 to 6."""
-    if not 0 <= max_bits <= 6:
-        raise ValueError("max_bits must be 0 to 6: the ball of half the radius grows as 64^k / k!")
     scratch = Scratch(df.sparkSession)
     rows = scratch.table(fingerprints(columns_as(df, id=id_col, text=text_col), shingle))
+    of_fp = components_of(rows, max_bits, scratch).select("fp", "component_id")
+    return rows.join(of_fp, "fp", "left").select(
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def components_of(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """(fp, root, component_id) of the fingerprints of (id, fp): fingerprints of one component share a root."""
+    if not 0 <= max_bits <= 6:
+        raise ValueError("max_bits must be 0 to 6: the ball of half the radius grows as 64^k / k!")
     fps = scratch.table(rows.groupBy("fp").agg(F.min("id").alias("least_id")))
     n_fps = fps.count()
     edges = links(fps.repartition(max(1, ceil(n_fps / TASK_FPS)), "fp"), max_bits, n_fps)
@@ -165,6 +172,31 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = (fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_fp = named.filter(F.col("root").isNotNull()).join(least, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp", "left").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return named.filter(F.col("root").isNotNull()).join(least, "root").select("fp", "root", "component_id")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The input's rows, all columns, of which one stays per component: that of least id (null last), then of least md5 of the
+    text (null counts as empty); of rows equal in both any one.
+
+    Rows are told apart by id and md5 of the text, so repeated and null ids lose no distinct text.  Only ids and digests are
+    judged; the texts are dealt once to meet the decisions, and never sorted.  Empty table: no rows.  Columns may have any names."""
+    scratch = Scratch(df.sparkSession)
+    digest = lambda c: F.md5(F.coalesce(c, F.lit("")).cast("binary"))
+    slim = columns_as(df, id=id_col, text=text_col)
+    rows = scratch.table(fingerprints(slim.withColumn("digest", digest(F.col("text"))), shingle, "digest"))
+    of_fp = components_of(rows, max_bits, scratch).select("fp", "root")
+    keys = rows.groupBy("id", "digest", "fp").agg(F.count("*").alias("n")).join(of_fp, "fp")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest", "n"))
+    kept = scratch.table(keys.groupBy("root").agg(first.alias("k")).select("k.id", "k.digest", "k.n"))
+    whole = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"))  # no name can clash inside
+    marked = whole.withColumn("digest", digest(F.col(f"row.`{text_col}`")))
+    same = F.col(f"row.`{id_col}`").eqNullSafe(kept["id"]) & (marked["digest"] == kept["digest"])
+    met = marked.join(kept.hint("shuffle_hash"), same).select("row", kept["id"], kept["digest"], "n")
+    one = met.filter("n = 1").select("row.*")
+    if kept.filter("n > 1").isEmpty():
+        return one
+    order = Window.partitionBy("id", "digest").orderBy(F.xxhash64("row"))
+    again = met.filter("n > 1").withColumn("at", F.row_number().over(order)).filter("at = 1")
+    return one.unionByName(again.select("row.*"))

@@ -6,7 +6,7 @@ import pytest
 
 from guestfold.llm import decontaminate as decon
 
-from odd_rows import LONG
+from odd_rows import LONG, same_rows
 
 
 def brute(text, items, window):
@@ -49,7 +49,11 @@ def test_odd_rows_and_tables(spark, odd, none):
     assert decon.decontaminate(odd, bench.filter("1 = 0")).filter("n_hit > 0").count() == 0
 
 
-def test_size_of_the_benchmark_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(decon, "MAX_ITEM_WORDS", 3)
-    with pytest.raises(ValueError, match="4 words"):
-        decon.build(spark.createDataFrame([(1, "a b c d")], "item_id bigint, text string"))
+def test_a_large_benchmark_is_judged_in_shards(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    whole = [tuple(r) for r in decon.decontaminate(docs, bench, window=4).collect()]
+    assert sum(len(r[5]) > 0 for r in whole) > 2
+    monkeypatch.setattr(decon, "SHARD_WORDS", 700)
+    assert decon.shards(bench)[1] > 3
+    same_rows([tuple(map(str, r)) for r in decon.decontaminate(docs, bench, window=4).collect()], [tuple(map(str, r)) for r in whole])

@@ -123,4 +123,27 @@ def test_stages_keep_the_columns_and_stand_odd_rows(spark, odd, none):
             assert docs.columns == odd.columns, name
         corpus_pipeline.STAGES[-1][1](spark, docs, MID).collect()
     near = corpus_pipeline.near_dedup_stage(spark, odd, MID).collect()
-    assert sorted((r["doc_id"] is not None, r["doc_id"]) for r in near) == [(False, None), (False, None), (True, 1), (True, 3), (True, 7), (True, 8), (True, 9)]
+    assert sorted(r["doc_id"] for r in near) == [1, 3, 7, 8, 9]
+
+
+def test_near_dedup_tells_rows_with_one_id_apart(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    rows = [(1, a), (1, b), (1, b), (None, b), (None, "lone words that nothing else has in it"), (2, a),
+            (None, "another text without an id of its own"), (None, "another text without an id of its own")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = simhash.one_of_each(df).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, a), (1, b), (None, rows[4][1]), (None, rows[6][1])], key=str)
+
+
+def test_stages_keep_columns_that_clash_with_internal_names(spark, odd):
+    names = ["__n", "__j", "__weight", "__kept", "__topic", "__tokens", "__probability", "row", "n", "digest", "draw", "kept", "j", "probability"]
+    docs = odd.withColumns({n: F.concat(F.lit(n), F.coalesce("doc_id", F.lit(0))) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, MID)
+        assert got.columns == docs.columns, name
+        assert all(r[n] == f"{n}{r['doc_id'] or 0}" for r in got.collect() for n in names), name
+    corpus_pipeline.STAGES[-1][1](spark, docs, MID).collect()
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [c for c in docs.columns if c not in ("__weight", "__kept", "__topic", "__tokens", "__probability")] + [
+        "__topic", "__tokens", "__weight", "__probability", "__kept"]
+    assert mixed.filter("probability <> concat('probability', coalesce(doc_id, 0))").count() == 0
