@@ -3,12 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; what it returns
 is written as Parquet and read again as the next one's ``docs``.  All stages but the last return the columns of ``documents``.
 
-Rows with a null doc_id can't be named: they are scored, judged and mixed like others, and near-dedup keeps them.
+Rows with a null or repeated doc_id are scored, judged, deduplicated and mixed like others.  No stage minds how further columns are named.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestfold.llm import decontaminate, mixing, quality, simhash, token_blocks
@@ -32,26 +32,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document of least id (operator 7); of repeated rows with that id one."""
-    groups = simhash.simhash_components(docs, shingle=SHINGLE, max_bits=MAX_BITS)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    known = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi")
-    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    known = known.withColumn("__n", F.row_number().over(same_id)).filter("__n = 1").drop("__n")
-    return known.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Of each SimHash component one document, the one of least id (operator 7)."""
+    return simhash.one_of_each(docs, shingle=SHINGLE, max_bits=MAX_BITS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window (operator 9)."""
-    automaton = decontaminate.build(_table(spark, sf_dir, "benchmark"))
     columns_as(docs, text="text")  # bounds the batches
-    judged = docs.withColumn("__j", decontaminate.judge(docs["text"], automaton, spark, keep_text=False))
-    return judged.filter(F.col("__j.n_hit") <= MAX_COVERAGE * F.col("__j.n_words")).drop("__j")
+    judged = decontaminate.judged(docs, _table(spark, sf_dir, "benchmark"))
+    return judged.filter(F.col("j.n_hit") <= MAX_COVERAGE * F.col("j.n_words")).select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents with calibrated source, language and topic weights (operator 8)."""
-    return mixing.mix(docs).filter("__kept").select(docs.columns)
+    return mixing.sampled(docs).filter("kept").select("row.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
