@@ -285,7 +285,7 @@ def missing_name_rules(fname: ColumnOrName = "fname", lname: ColumnOrName = "lna
         ("digits_and_letters", ll.rlike("^[0-9]+[a-z]+$") & (F.octet_length(l_) >= 8)),
         ("odd_mark", l_.isin(ODD_LAST_NAMES)),
         ("dash_only", l_.isin("----", "­")),
-        ("temp_profile", lf.contains("temporär") | (l_ == "_temporaryProfile")),
+        ("temp_profile", lf.like("%_temporär%") | (l_ == "_temporaryProfile")),
         ("double_at", f.contains("@@") | l_.contains("@@")),
         ("url", f.contains("Http://") | l_.contains("Http://")),
     ]

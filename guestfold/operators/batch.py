@@ -163,28 +163,99 @@ def mark_processed(df: DataFrame, ok: DataFrame, key: str, as_of: str, processed
 
 
 def archive(work: DataFrame, batch_id: str, as_of: str, change_type: str, change_source: str,
-            batch_col: str = "_batch_id", processed_col: str = "_processed_at") -> tuple[DataFrame, DataFrame]:
-    """Archive a processed batch (B9): the history rows (with change type,
-    source and version time) and the remaining work table.  Rows are split by
-    one predicate and its null-safe complement, so archived + remaining =
-    work by construction; the caller writes history first, then the new work
-    version (write-new-then-swap) and checks the counts with one aggregate."""
-    done = (F.col(batch_col) == batch_id) & F.col(processed_col).isNotNull()
-    hist = (work.where(done).withColumn("change_type", F.lit(change_type))
+            batch_col: str = "_batch_id") -> tuple[DataFrame, DataFrame]:
+    """Archive a batch (B9): all its rows, processed or not, as history rows (with change type, source and version
+    time), and the work table without them.  A blank batch id is an error.  ``sources.publish.archive_batch`` writes
+    both, compares what was counted, and publishes them in one step."""
+    if batch_id is None or not batch_id.strip():
+        raise ValueError("archive: a batch id is required")
+    own = F.col(batch_col) == batch_id
+    hist = (work.where(own).withColumn("change_type", F.lit(change_type))
             .withColumn("change_source", F.lit(change_source))
             .withColumn("version_at", F.to_timestamp_ntz(F.lit(as_of))))
-    rest = work.where(~F.coalesce(done, F.lit(False)))
-    return hist, rest
-
-
-def archive_counts(work: DataFrame, history: DataFrame, rest: DataFrame) -> DataFrame:
-    """The check before the swap (B9): rows of the work table, archived and remaining ones, and whether they
-    agree; one row, from three partial counts."""
-    one = lambda df, n: df.agg(F.count(F.lit(1)).alias(n))
-    parts = [one(work, "n_work").withColumn("k", F.lit(1)), one(history, "n_archived").withColumn("k", F.lit(1)),
-             one(rest, "n_remaining").withColumn("k", F.lit(1))]
-    c = parts[0].join(parts[1], "k").join(parts[2], "k").drop("k")
-    return c.withColumn("agree", F.col("n_work") == F.col("n_archived") + F.col("n_remaining"))
+    return hist, work.where(~F.coalesce(own, F.lit(False)))
+
+
+def sized_batches(df: DataFrame, order: Sequence[Column | str], key: str, size: Column, max_rows: int, max_bytes: int,
+                  out: str = "batch_no", partitions: int | None = None) -> DataFrame:
+    """Batch numbers bounded by rows and by bytes (W6, S16, B4), along a total ``order``; ``key`` is unique and not NULL.
+
+    With running numbers of rows and bytes before a row, a batch ends where the rows pass a multiple of ``max_rows`` or the bytes
+    one of ``max_bytes`` less the largest row, so a batch holds ``max_bytes`` at most.  A row larger than half of ``max_bytes``
+    is an error, as batches would shrink to single rows.  The running bytes are made like the numbers
+    (:func:`assign_sequence`): positions per range partition, sums per partition, offsets over one row per
+    partition.  Nothing is sorted in one task; batches are numbered densely from 1 in the same way."""
+    from .keys import assign_sequence, running_total
+    slim = df.select(key, *[o for o in order if isinstance(o, str) and o != key], F.coalesce(size, F.lit(0)).cast("bigint").alias("__bytes"))
+    largest = slim.agg(F.max("__bytes")).first()[0] or 0
+    if 2 * largest > max_bytes:
+        raise ValueError(f"a row of {largest} bytes; batches of {max_bytes} bytes need rows of half of that at most")
+    slim = running_total(slim, order, "__bytes", "__before", "__seq", partitions)
+    row_part = F.floor((F.col("__seq") - 1) / max_rows).cast("bigint")
+    byte_part = F.floor(F.col("__before") / F.lit(max(1, max_bytes - largest))).cast("bigint")
+    parts = slim.select(key, row_part.alias("__r"), byte_part.alias("__b"))
+    numbers = assign_sequence(parts.select("__r", "__b").distinct(), ["__r", "__b"], 1, out)
+    return df.join(parts.join(numbers, ["__r", "__b"]).select(key, out), key)
+
+
+def percent_encoded(c: Column) -> Column:
+    """The text percent-encoded but for letters, digits and ``_.-~`` (RFC 3986)."""
+    out = F.url_encode(c)
+    for old, new in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out
+
+
+def json_part(method: str, url: Column | str, ref: str, body: Mapping[str, Column | str] | None = None) -> Column:
+    """One sub-request as JSON text; fields of the body that are NULL are left out, as is a body that is None."""
+    url = F.lit(url) if isinstance(url, str) else url
+    fields = [F.lit(method).alias("method"), url.alias("url"), F.lit(ref).alias("referenceId")]
+    if body is not None:
+        fields.append(F.struct(*[(F.lit(v) if isinstance(v, str) else v).alias(k) for k, v in body.items()]).alias("body"))
+    return F.to_json(F.struct(*fields))
+
+
+def chained_request(df: DataFrame, key: str, parts: Sequence[tuple[Column, Column | None]], all_or_none: bool = True) -> DataFrame:
+    """Composite request of a varying list of sub-requests per row (S17): ``parts`` are (JSON text from :func:`json_part`,
+    condition or None).  A part stands in a row's request where its condition holds; a row without any part gives no
+    row.  Later parts refer to what earlier ones return by ``@{refName.field}``."""
+    subs = F.array_compact(F.array(*[text if cond is None else F.when(cond, text) for text, cond in parts]))
+    head = '{"allOrNone":' + ("true" if all_or_none else "false") + ',"compositeRequest":['
+    payload = F.concat(F.lit(head), F.array_join("__subs", ","), F.lit("]}"))
+    return df.select(F.col(key), subs.alias("__subs")).where(F.size("__subs") > 0).select(key, payload.alias("payload"))
+
+
+#: API paths, names, purpose ids' columns and references of the consent chain.
+API = "/services/data/v60.0"
+ACCOUNT_QUERY = ("SELECT Id, PersonContactId, FirstName, LastName, PersonEmail, PersonBirthdate FROM Account WHERE Id = '", "' LIMIT 1")
+
+
+def consent_chain(df: DataFrame, account: str, central: Column | str, hotel: Column | str, property_id: str, as_of: str,
+                  source: str = "apaleo", with_central: Column | None = None, with_hotel: Column | None = None) -> DataFrame:
+    """The chained consent request of an account (S17): read the account, create the individual and its e-mail contact point from what
+    was read, then the central and the property consent on that point.  ``central`` and ``hotel`` are the purpose ids;
+    the consents stand in the request where ``with_central`` / ``with_hotel`` hold (default: always).  (``account``, payload)."""
+    record = "@{refAccount.records[0].%s}"
+    day = F.lit(f"{as_of}T00:00:00.000Z")
+    system = F.lit(source)
+    consent = lambda name, purpose: {
+        "Name": name, "ContactPointId": "@{refCPE.id}", "CaptureDate": day, "CaptureSource": "migration",
+        "PrivacyConsentStatus": "OptIn", "DataUsePurposeId": purpose}
+    url = F.concat(F.lit(f"{API}/query?q="), percent_encoded(F.concat(F.lit(ACCOUNT_QUERY[0]), F.col(account), F.lit(ACCOUNT_QUERY[1]))))
+    parts = [
+        (json_part("GET", url, "refAccount"), None),
+        (json_part("POST", f"{API}/sobjects/Individual", "refIndividual", {
+            "FirstName": record % "FirstName", "LastName": record % "LastName", "Contact__c": record % "PersonContactId",
+            "SourceSystem__c": system}), None),
+        (json_part("POST", f"{API}/sobjects/ContactPointEmail", "refCPE", {
+            "ParentId": "@{refIndividual.id}", "Contact__c": record % "PersonContactId", "EmailAddress": record % "PersonEmail",
+            "ActiveFromDate": day, "SourceSystem__c": system}), None),
+        (json_part("POST", f"{API}/sobjects/ContactPointConsent", "refConsentCentral", {
+            **consent("marketing_central", col(central)), "EffectiveFrom": day, "SourceSystem__c": system}), with_central),
+        (json_part("POST", f"{API}/sobjects/ContactPointConsent", "refConsentHotel", {
+            **consent("marketing_hotel", col(hotel)), "Property__c": F.col(property_id), "EffectiveFrom": day, "SourceSystem__c": system}), with_hotel),
+    ]
+    return chained_request(df.where(F.col(account).isNotNull()), account, parts)
 
 
 def composite_request(df: DataFrame, key: str, parts: Sequence[tuple[str, str, str, Mapping[str, Column | str]]],

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import eq_ns, not_true
@@ -156,6 +156,43 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequenc
     return j.select(*out)
 
 
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int, out: str = "bucket") -> DataFrame:
+    """A bucket number of the keys, for tables that are stored and rewritten by bucket."""
+    return df.withColumn(out, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert_partitions(path: str, new: DataFrame, keys: Sequence[str], cols: Sequence[str], as_of: str, part: str,
+                      stamp_col: str = "updated_at", changed_col: str = "is_changed") -> DataFrame:
+    """:func:`upsert` (M8, M9, M5) of a stored table, partitioned by ``part``, that rewrites changed partitions only.
+
+    ``part`` is a column of both sides that the keys decide (a key bucket, see :func:`with_bucket`, or the source of a
+    slice that is one of the keys).  A first pass over the keys and ``cols`` of the partitions that ``new`` touches finds those
+    with a created or updated row; only they are merged and written, by dynamic partition overwrite, so the files of all others
+    stay as they are.  One row per written partition: ``part``, created, updated, kept (unchanged rows included)."""
+    spark = new.sparkSession
+    target = spark.read.parquet(path)
+    touched = [r[0] for r in new.select(part).distinct().collect()]  # as many as the table has partitions at most
+    own = target.where(F.col(part).isin(touched)).select(part, *keys, *cols).alias("t")
+    s = unique_or_raise(new.select(part, *keys, *cols), keys, "upsert_partitions").alias("s")
+    j = s.join(own, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left")
+    fresh = F.col(f"t.{keys[0]}").isNull() | changed(cols)
+    written = [r[0] for r in j.where(fresh).select(F.col(f"s.{part}").alias(part)).distinct().collect()]
+    merged = upsert(target.where(F.col(part).isin(written)), new.where(F.col(part).isin(written)), keys, [*cols], as_of,
+                    stamp_col=stamp_col, changed_col=changed_col)
+    seen = Observation()
+    counts = [F.count_if(F.col("action") == a).alias(f"n{i}") for i, a in enumerate(("created", "updated"))]
+    if written:
+        out = merged.observe(seen, *counts).select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
+        (out.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
+    rows = spark.read.parquet(path).where(F.col(part).isin(written))
+    now = F.to_timestamp_ntz(F.lit(as_of))
+    stamped = F.coalesce(F.col(stamp_col) == now, F.lit(False))
+    if written and seen.get["n0"] + seen.get["n1"] != rows.where(stamped).count():
+        raise RuntimeError("upsert_partitions: the stored rows are not those that were counted when they were written")
+    return rows.groupBy(part).agg(F.count_if(stamped & (F.col(changed_col) == 0)).alias("created"),
+                                  F.count_if(stamped & (F.col(changed_col) == 1)).alias("updated"), F.count_if(~stamped).alias("kept"))
+
+
 def change_counts(target: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per-column number of changed rows among matched keys, in one pass."""
     j = target.alias("t").join(new.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "inner")

@@ -3,7 +3,7 @@ opt-outs to send, consent records for the load files."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,42 @@ def missing_consents(optins: DataFrame, contact_points: DataFrame, consents: Dat
     return with_cp.join(have, ["__cp", name_col], "left_anti").withColumnRenamed("__cp", cp_id)
 
 
+#: The consent of each property that sends newsletters.
+PROPERTY_CONSENTS = {"FSV": "marketing_property_Velden", "FJE": "marketing_property_Jesolo",
+                     "FBZ": "marketing_property_Bozen", "FMP": "marketing_property_Prague"}
+#: The id prefix of persons and the name of the consent to all mail.
+PERSON_PREFIX, CENTRAL_CONSENT = "003", "marketing_central"
+
+
+def property_consents(optins: DataFrame, properties: DataFrame, contact_points: DataFrame, consents: DataFrame, source: str,
+                      own_domain: str, names: Mapping[str, str] = PROPERTY_CONSENTS) -> DataFrame:
+    """Property consents to create (C3): cpe_id, source, sf_property_id, consent_type.
+
+    ``optins``: property_code, email, newsletter; ``properties``: code, sf_property_id; ``contact_points``: cpe_id, email;
+    ``consents``: email, sf_property_id.  One row per opted-in address and property (newsletter 1, address known) and
+    contact point of that address, unless the address is of ``own_domain`` or has a consent for that property.  A
+    property without a target id stays, with a NULL id, for which no consent can exist; one without a consent name gets NULL."""
+    a = (optins.where(F.col("email").isNotNull() & (F.col("newsletter") == 1)).select("property_code", "email")
+         .join(properties.select(F.col("code").alias("property_code"), "sf_property_id"), "property_code", "left")
+         .select("property_code", "email", "sf_property_id").distinct())
+    a = a.where(~F.lower("email").endswith("@" + own_domain))
+    a = a.join(consents.select("email", "sf_property_id"), ["email", "sf_property_id"], "left_anti")
+    kind = F.coalesce(*[F.when(F.col("property_code") == k, F.lit(v)) for k, v in names.items()])
+    return a.join(contact_points.select("cpe_id", "email"), "email").select(
+        "cpe_id", F.lit(source).alias("source"), "sf_property_id", kind.alias("consent_type"))
+
+
+def central_consents(optins: DataFrame, contact_points: DataFrame, consents: DataFrame, source: str,
+                     name: str = CENTRAL_CONSENT) -> DataFrame:
+    """Central consents to create (C3): source, cpe_id.  ``optins``: email; ``contact_points``: cpe_id, email, party_id;
+    ``consents``: cpe_id, name.  A row per opt-in row and contact point of a person (``party_id`` begins with the
+    persons' prefix) that has no consent of that name yet."""
+    persons = contact_points.where(F.substring("party_id", 1, 3) == PERSON_PREFIX).select("cpe_id", "email")
+    have = consents.where(F.col("name") == name).select("cpe_id")
+    return (optins.select("email").join(persons.join(have, "cpe_id", "left_anti"), "email")
+            .select(F.lit(source).alias("source"), "cpe_id"))
+
+
 def optouts(unsubscribed: DataFrame, consents: DataFrame, email: str, consent_email: str, consent_id: str,
             consent_name: str, status: str, name: str, as_of: str) -> DataFrame:
     """Opt-outs to send (C4): the distinct ids of the consents called ``name``

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import money_sum, year_month
-from .report import kpi_long, union_tagged
+from .report import union_tagged
 
 OCCUPANCY = ["room_nights", "bed_nights", "adults_num", "children_num"]
 #: History statuses of stays, the room type of no room, "not cancelled", room units, statuses of no stay.
@@ -65,9 +65,15 @@ def occupancy(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def day_kpis(parts: Mapping[str, DataFrame], day: str) -> DataFrame:
-    """One day's occupancy in long form (K3: K1 and K2 with an argument): the filter reaches the parts' scans."""
+    """One day's KPIs (K3): per system and property its room nights (``<property>_ROOMNIGHT1``), bed nights (``_BEDNIGHT1``) and
+    whether there were any (``_OPEN1``: 1 or 0): kpi, value, rev_date, source_system, pms_id, name.  The day reaches the parts' scans."""
     occ = occupancy({k: v.where(F.col("day") == F.lit(day).cast("date")) for k, v in parts.items()})
-    return kpi_long(occ, ["source", "day", "property_id"], OCCUPANCY, "source")
+    busy = F.when(F.col("room_nights") + F.col("bed_nights") > 0, 1).otherwise(0).cast("bigint")
+    kpis = F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in (
+        ("_ROOMNIGHT1", F.col("room_nights")), ("_BEDNIGHT1", F.col("bed_nights")), ("_OPEN1", busy))])
+    return occ.select("*", F.explode(kpis).alias("x")).select(
+        F.concat("property_id", "x.k").alias("kpi"), F.col("x.v").alias("value"), F.col("day").alias("rev_date"),
+        F.col("source").alias("source_system"), "pms_id", "name")
 
 
 def commercial_units(facts: Mapping[str, DataFrame], segments: Mapping[str, DataFrame], dims: Sequence[str],

@@ -84,6 +84,44 @@ def match_rules(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
     return pick_one(cands, [a_id], [rule_col, match_col])
 
 
+#: Fixed value: the quality bucket whose rows match by list id and e-mail.
+MATCH_BUCKET = "2_has_lastname_and_email"
+
+
+def match_by_list(res: DataFrame, source_rows: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Open reservations matched by list id, e-mail and quality (D9): ``res`` columns with the profile's target ids.
+
+    ``res``: reservation_id, email, data_quality_bucket, sf_person_contact_id, sf_reservation_id, sf_property_id, _excluded;
+    ``source_rows``: pms_reservation_id, list_id, is_duplicate; ``profiles``: list_id, email, sf_contact_id, sf_account_id.
+    Of a reservation that has no target ids, is not excluded and has a property, the profile of its source row's list with the
+    same e-mail and a target contact gives contact and account.  Of several such profiles the least contact id counts."""
+    todo = res.where(F.col("sf_person_contact_id").isNull() & F.col("sf_reservation_id").isNull() & (F.col("_excluded") == 0)
+                     & F.col("sf_property_id").isNotNull() & (F.col("data_quality_bucket") == MATCH_BUCKET))
+    lists = source_rows.where(F.col("is_duplicate") == 0).select(F.col("pms_reservation_id").alias("reservation_id"), "list_id").distinct()
+    best = (profiles.where(F.col("sf_contact_id").isNotNull()).groupBy("list_id", "email")
+            .agg(F.min(F.struct("sf_contact_id", "sf_account_id")).alias("__p")))
+    hit = todo.join(lists, "reservation_id").join(best, ["list_id", "email"])
+    one = hit.groupBy("reservation_id").agg(F.min("__p").alias("__p"))
+    return _with_ids(todo, one)
+
+
+def match_by_cluster(res: DataFrame, accounts: DataFrame, targets: DataFrame) -> DataFrame:
+    """Open reservations matched by the cluster of their account (D9): ``res`` columns with the target's ids.
+
+    ``accounts``: source_id, cluster_id; ``targets``: cluster_id, sf_contact_id, sf_account_id.  Reservations without a
+    target id that are not excluded; of several targets the least contact id counts."""
+    todo = res.where(F.col("sf_reservation_id").isNull() & (F.col("_excluded") == 0))
+    best = targets.groupBy("cluster_id").agg(F.min(F.struct("sf_contact_id", "sf_account_id")).alias("__p"))
+    hit = accounts.select(F.col("source_id").alias("reservation_id"), "cluster_id").distinct().join(best, "cluster_id")
+    return _with_ids(todo, hit.groupBy("reservation_id").agg(F.min("__p").alias("__p")))
+
+
+def _with_ids(res: DataFrame, found: DataFrame) -> DataFrame:
+    ids = {"sf_person_contact_id": "sf_contact_id", "sf_person_account_id": "sf_account_id"}
+    j = res.drop(*ids).join(found, "reservation_id")
+    return j.withColumns({k: F.col(f"__p.{v}") for k, v in ids.items()}).drop("__p")
+
+
 def backfill_unique(df: DataFrame, links: DataFrame, key: tuple[str, str] | str, val: str, out: str) -> DataFrame:
     """Fill ``out`` from the linked rows only when all of them agree on one
     value (D3): keep keys whose least and greatest value are equal (one partial

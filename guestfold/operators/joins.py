@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import key_col
 from .keys import pick_one
@@ -125,19 +126,87 @@ def exists_flag(df: DataFrame, src: DataFrame, pairs: Sequence[tuple[str, str]],
     return df.join(k, cond, "left").select(*[df[f"`{c}`"] for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(out))
 
 
+#: A window of a length from 8^k to 8^(k+1) ticks is cut into bins of 8^k ticks.
+BIN_BASE = 8
+
+
+def _ticks(c: Column, kind: T.DataType) -> Column:
+    """Whole numbers in the order of a date or time: days, or microseconds."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), c)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.IntegralType):
+        return c.cast("long")
+    raise TypeError(f"windows of {kind.simpleString()} are not supported; cast to a date, time or whole number")
+
+
+def _common_kind(*kinds: T.DataType) -> T.DataType:
+    """The type in which different dates and times are compared."""
+    for k in (T.TimestampType, T.TimestampNTZType):
+        if any(isinstance(x, k) for x in kinds):
+            return k()
+    return T.LongType() if all(isinstance(x, T.IntegralType) for x in kinds) else kinds[0]
+
+
+def _bin(t: Column, size: Column) -> Column:
+    """Whole-number division, rounding down."""
+    return F.call_function("div", t - F.pmod(t, size), size)
+
+
+def window_levels(windows: DataFrame, key: str, lo: str, hi: str | None) -> tuple[DataFrame, DataFrame, list[int]]:
+    """Windows cut for :func:`flag_in_window`: bins (``__wk``, level, bin, whole, since, until), one row per key, level and
+    bin; open windows (``__wk``, since), one row per key; and the levels that occur.
+
+    A window is at least as long as its level's bins, so in every bin that it touches it either covers the whole, or
+    starts there and goes on, or has come in and ends there.  So of all windows of a key in a bin only the
+    earliest start and the latest end matter: a partial aggregate, however many windows a key has."""
+    kind = windows.schema[lo].dataType
+    end = F.col(hi) if hi is not None else F.lit(None).cast(kind)
+    kind = _common_kind(kind, windows.schema[hi].dataType) if hi is not None else kind
+    w = windows.select(F.col(key).alias("__wk"), _ticks(F.col(lo).cast(kind), kind).alias("a"), _ticks(end.cast(kind), kind).alias("b"))
+    w = w.where(F.col("__wk").isNotNull() & F.col("a").isNotNull())
+    open_ = w.where(F.col("b").isNull()).groupBy("__wk").agg(F.min("a").alias("since"))
+    # the level of a length: how often it can be divided by BIN_BASE, in whole numbers (a logarithm would round)
+    length = F.col("b") - F.col("a") + 1
+    level = sum(((length >= F.lit(BIN_BASE ** k)).cast("int") for k in range(1, 21)), F.lit(0))
+    cut = w.where(F.col("b") >= F.col("a")).withColumn("level", level)
+    size = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("level") * 3)  # BIN_BASE ** level
+    cut = cut.withColumn("size", size)
+    cut = cut.withColumn("bin", F.explode(F.sequence(_bin(F.col("a"), F.col("size")), _bin(F.col("b"), F.col("size")))))
+    first, last = F.col("a") > F.col("bin") * F.col("size"), F.col("b") < (F.col("bin") + 1) * F.col("size") - 1
+    bins = cut.groupBy("__wk", "level", "bin").agg(
+        F.max(~first & ~last).alias("whole"), F.min(F.when(first, F.col("a"))).alias("since"), F.max(F.when(last, F.col("b"))).alias("until"))
+    levels = sorted(r[0] for r in cut.select("level").distinct().collect())  # 21 at most
+    return bins, open_, levels
+
+
 def flag_in_window(df: DataFrame, windows: DataFrame, key: str | tuple[str, str], ts: str, lo: str,
                    hi: str | None, out: str) -> DataFrame:
-    """``out`` = 1 when the row's time falls inside any window of its key,
+    """``out`` = 1 when the row's time falls inside any window of its key (both ends included),
     else 0 (R9: J12/J13 + M1).  ``hi`` NULL means an open window; ``hi=None`` a lower bound only.
 
-    A key's distinct windows (a dimension: a few per key) become one array, which
-    is left-joined to the rows and searched there: rows never multiply,
-    also when windows overlap, and AQE can split the rows of a hot key."""
+    The windows are cut into time bins (:func:`window_levels`), and the rows are left-joined to the bin of their
+    time once per level of lengths that occurs: equi joins on (key, bin) with at most one partner, so rows never multiply, AQE
+    splits the rows of a hot key, and a key may have any number of windows."""
     lk, rk = (key, key) if isinstance(key, str) else key
-    end = F.col(hi) if hi is not None else F.lit(None).cast(windows.schema[lo].dataType)
-    w = (windows.where(F.col(rk).isNotNull()).groupBy(F.col(rk).alias("__wk"))
-         .agg(F.collect_set(F.struct(F.col(lo).alias("lo"), end.alias("hi"))).alias("__w")))
-    j = df.join(w, df[lk] == w["__wk"], "left")
-    inside = F.exists("__w", lambda x: (F.col(ts) >= x["lo"]) & (x["hi"].isNull() | (F.col(ts) <= x["hi"])))
-    return j.select(*[df[f"`{c}`"] for c in df.columns], F.coalesce(inside, F.lit(False)).cast("int").alias(out))
-
+    kinds = [df.schema[ts].dataType, windows.schema[lo].dataType, *([windows.schema[hi].dataType] if hi is not None else [])]
+    kind = _common_kind(*kinds)
+    if any(type(k) is not type(kind) for k in kinds[1:]) and not isinstance(kind, T.LongType):
+        windows = windows.withColumns({c: F.col(c).cast(kind) for c in (lo, hi) if c})
+    bins, open_, levels = window_levels(windows, rk, lo, hi)
+    j = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("__row"), df[f"`{lk}`"].alias("__k"),
+                  _ticks(df[f"`{ts}`"].cast(kind), kind).alias("__t"))
+    j = j.join(open_, j["__k"] == open_["__wk"], "left").select(
+        "__row", "__k", "__t", F.coalesce(F.col("__t") >= F.col("since"), F.lit(False)).alias("__in"))
+    for level in levels:
+        b = bins.where(F.col("level") == level).drop("level")
+        size = BIN_BASE ** level
+        j = j.withColumn("__bin", _bin(F.col("__t"), F.lit(size)))
+        hit = F.coalesce(F.col("whole"), F.lit(False)) | F.coalesce(F.col("__t") >= F.col("since"), F.lit(False)) \
+            | F.coalesce(F.col("__t") <= F.col("until"), F.lit(False))
+        j = j.join(b, (j["__k"] == b["__wk"]) & (j["__bin"] == b["bin"]), "left").select(
+            "__row", "__k", "__t", (F.col("__in") | hit).alias("__in"))
+    return j.select(*[F.col(f"__row.`{c}`") for c in df.columns], F.col("__in").cast("int").alias(out))

@@ -136,6 +136,10 @@ def share(df: DataFrame, keys: Sequence[str], name: str = "pct", scale: int = 2)
     return counts.withColumn(name, F.round(F.col("n").cast("double") * 100.0 / total, scale))
 
 
+#: Rows of one window of a running total.
+RUNNING_SLICE = 100_000
+
+
 def _ckpt(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -193,6 +197,33 @@ def assign_sequence(df: DataFrame, order: Order, start: int = 1, out: str = "seq
     return numbered
 
 
+def running_total(df: DataFrame, order: Order, value: str, before: str, seq: str, partitions: int | None = None) -> DataFrame:
+    """``seq`` (from 1) and ``before``, the sum of ``value`` over all earlier rows, along a total order.
+
+    As in :func:`assign_sequence`: ranges are numbered and summed by position, and shifted by the counts and sums of the ranges
+    before, of which there is one row each.  A range's rows are summed in slices of consecutive rows (a window per slice), so no task
+    holds more than it sorted."""
+    cols = _cols(order)
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ranged = _ckpt(ranged.sortWithinPartitions(*cols).withColumn("__pid", F.spark_partition_id())
+                   .withColumn("__at", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("__slice", F.floor((F.col("__at") - F.shiftleft(F.col("__pid").cast("long"), 33)) / RUNNING_SLICE))
+    # sums per slice: offsets of the slices inside a range, then of the ranges
+    sums = ranged.groupBy("__pid", "__slice").agg(F.sum(value).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    inside = Window.partitionBy("__pid").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("__pid", "__slice", "__s", "__n", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(o) for c, o in (("__s", "__so"), ("__n", "__no"))])
+    ranges = sums.groupBy("__pid").agg(F.sum("__s").alias("__ps"), F.sum("__n").alias("__pn"))
+    over = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("__pid", *[F.coalesce(F.sum(c).over(over), F.lit(0)).alias(o) for c, o in (("__ps", "__pso"), ("__pn", "__pno"))])
+    offsets = sums.join(F.broadcast(ranges), "__pid").select(
+        "__pid", "__slice", (F.col("__so") + F.col("__pso")).alias("__s0"), (F.col("__no") + F.col("__pno")).alias("__n0"))
+    own = Window.partitionBy("__pid", "__slice").orderBy("__at")
+    out = (ranged.withColumn("__run", F.sum(value).over(own) - F.col(value)).withColumn("__k", F.row_number().over(own))
+           .join(offsets, ["__pid", "__slice"]))
+    return (out.withColumn(before, (F.col("__s0") + F.col("__run")).cast("long")).withColumn(seq, (F.col("__n0") + F.col("__k")).cast("long"))
+            .select(*df.columns, before, seq))
+
+
 def assign_batches(df: DataFrame, seq: str, size: int, out: str = "batch_no") -> DataFrame:
     """Batch number of fixed size from a 1-based sequence."""
     return df.withColumn(out, (F.floor((F.col(seq) - 1) / size) + 1).cast("long"))

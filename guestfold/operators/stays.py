@@ -270,6 +270,23 @@ def attach_property(df: DataFrame, props: DataFrame, key: str = "property_id", c
                        where=F.coalesce(F.col("src_" + active_col), F.lit(False)))
 
 
+def target_property_ids(df: DataFrame, attributes: DataFrame, targets: DataFrame) -> DataFrame:
+    """The target property id by two hops or one (R5), by source.
+
+    ``df``: source, property_pms_id, property_id, sf_property_id; ``attributes``: pms_id, code; ``targets``: code, sf_id.
+    Rows of the history system go from the system's id over the property's code to the target id, where they have
+    none yet; rows of the reservation system, whose property id is the code, get theirs anew.  Rows without a match keep what they
+    have.  Both dimensions are reduced to one row per key (least code, least id) before the joins."""
+    ids = targets.groupBy("code").agg(F.min("sf_id").alias("__id"))
+    by_pms = (attributes.where(F.col("pms_id").isNotNull()).join(ids, "code").groupBy(F.col("pms_id").alias("__pms"))
+              .agg(F.min("__id").alias("__two")))
+    ids = ids.select(F.col("code").alias("__code"), F.col("__id").alias("__one"))
+    j = df.join(by_pms, df["property_pms_id"] == by_pms["__pms"], "left").join(ids, df["property_id"] == ids["__code"], "left")
+    new = (F.when(F.col("source") == "protel", F.coalesce("sf_property_id", "__two"))
+           .when(F.col("source") == "apaleo", F.coalesce("__one", "sf_property_id")).otherwise(F.col("sf_property_id")))
+    return j.withColumn("sf_property_id", new).select(df.columns)
+
+
 #: Ends of the relay addresses that booking channels give.
 RELAY_ENDS = ["booking.com", "m.expediapartnercentral.com", "hrs.de"]
 

@@ -21,15 +21,17 @@ QUERY_IDS = {
     "load_contact": "B2", "load_contact_update": "B2", "load_member": "B2 B3", "load_member_update": "B2", "load_reservation": "B2 B3 P13",
     "load_consent": "B2", "load_optout": "B2", "load_journal": "B2", "load_preference": "B2 R12", "load_property": "B2 B3",
     "load_rate_code": "B2 B3", "normalise_reservations": "N21", "lookup_strict": "J20", "build_consent": "C1 J18", "citizenship_codes": "N8", "citizenship_list": "N8",
-    "hotel_occupancy": "K1 J6 U1", "hotel_day_kpis": "K2 K3", "hotel_commercial": "K4 U1", "reservation_revenue": "R2 G16",
+    "hotel_occupancy": "K1 J6 U1", "hotel_day_kpis": "K3", "hotel_commercial": "K4 U1", "reservation_revenue": "R2 G16",
     "select_import": "D19 N16", "member_export": "D21", "split_property": "R6", "correct_rates": "K12 S13", "reservation_preferences": "R12",
-    "since_switch": "J13", "inside_window": "J12", "sparse_records": "P11", "recode_names": "F11", "write_types": "S9", "enrolment_dates": "D6",
+    "since_switch": "J13", "inside_window": "J12", "sparse_records": "P11", "recode_names": "F11", "write_types": "S9 N17 S18", "enrolment_dates": "D6",
     "language_codes": "N10", "infer_salutation": "N6 W4", "reservation_exclusions": "R8",
     "name_flags": "N11 N12 N15", "phones": "N16", "birth_bounds": "N18 F16", "age_years": "F17",
     "repair_encoding": "N20", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",
     "cleaning_report": "N23 G6 G7", "iso_dates": "F22 F23 F24 F25", "payload_json": "S17 F28",
     "composite_payload": "S17 R12", "bulk_csv_lines": "S16 B2 B4", "batch_outcome": "B5",
-    "batch_summary": "B8", "outcome_by_values": "B6", "claim_mark_archive": "B1 B7 B9", "archive_counts": "B9",
+    "batch_summary": "B8", "outcome_by_values": "B6", "claim_mark_archive": "B1 B7 B9", "archive_counts": "B9", "archive_swap": "B9 S12 M5",
+    "sized_batches": "W6 S16 B4", "composite_chain": "S17", "upsert_partitioned": "M8 M9 M5", "property_consents": "C3", "central_consents": "C3",
+    "match_by_list": "D9", "match_by_cluster": "D9", "property_ids": "R5", "failure_files": "B5 B8",
     "filters": "P3 P4 P5 P10", "filters_text": "P6 P7 P8", "projection": "P1 P2 P12 P14 R1",
     "standardise_reservations": "R1 R5 F13", "recover_email": "R7", "required_guard": "P13 J20",
     "join_kinds": "J2 J4 J15 J17 J19", "agg_kinds": "G2 G4 G8 G13 G14",

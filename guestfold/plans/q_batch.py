@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import batch as B
 from ..operators.keys import assign_batches, assign_sequence
 from ..sources import files as IO
+from ..sources.publish import TableSet, archive_batch
 from .registry import register
 from .tables import AS_OF_ORDERS, dirty, oracle_with, table
 
@@ -108,6 +109,22 @@ def batch_summary(spark, sf):
     return B.batch_summary(_outcomes(spark, sf), "batch_no")
 
 
+@register("failure_files", """
+SELECT c_custkey % 7 AS batch_no, count(*) FILTER (WHERE c_custkey % 50 <> 0) AS n_failed, count(*) FILTER (WHERE c_custkey % 50 = 0) AS n_broken
+FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 50 = 0 GROUP BY 1""")
+def failure_files(spark, sf):
+    """Failure records landed per batch, some lines broken, read back and counted with the batch of their path."""
+    k = F.col("c_custkey")
+    record = F.to_json(F.struct(F.when(k % 2 == 0, k.cast("string")).alias("sf__Id"), k.cast("string").alias("Id"), F.lit("DUPLICATE").alias("sf__Error")))
+    lines = table(spark, sf, "customer").where((k % 3 == 0) | (k % 50 == 0)).select(
+        (k % 7).alias("batch_no"), F.when(k % 50 == 0, F.concat(F.lit('{"sf__Id": '), k.cast("string"))).otherwise(record).alias("value"))
+    path = IO.scratch_dir(spark, "failures")
+    lines.write.mode("overwrite").partitionBy("batch_no").text(path)
+    good, bad = IO.read_failures(spark, path)
+    seen = good.select("batch_no", F.col("id").isNull().alias("broken")).unionByName(bad.select("batch_no", F.lit(True).alias("broken")))
+    return seen.groupBy("batch_no").agg(F.count_if(~F.col("broken")).alias("n_failed"), F.count_if("broken").alias("n_broken"))
+
+
 @register("outcome_by_values", """
 WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_orderkey % 3 + 1 AS batch_no
             FROM lineitem),
@@ -156,7 +173,7 @@ w2 AS (SELECT w.row_id, w._batch_id,
          CASE WHEN ok.row_id IS NOT NULL AND w._processed_at IS NULL THEN TIMESTAMP '{AS_OF_ORDERS}'
               ELSE w._processed_at END AS _processed_at FROM w LEFT JOIN ok ON ok.row_id = w.row_id)
 SELECT row_id, _processed_at, 'update' AS change_type, 'bulk' AS change_source, TIMESTAMP '{AS_OF_ORDERS}' AS version_at
-FROM w2 WHERE _batch_id = 'B1' AND _processed_at IS NOT NULL""")
+FROM w2 WHERE _batch_id = 'B1'""")
 def claim_mark_archive(spark, sf):
     work = work_table(spark, sf)
     claimed = B.claim(work, "B1", "update", "sf_contact_id")
@@ -167,16 +184,78 @@ def claim_mark_archive(spark, sf):
 
 
 @register("archive_counts", f"""
-WITH w AS ({WORK_SQL}),
-c AS (SELECT row_id FROM w WHERE _batch_id = 'B1' AND _operation = 'update' AND coalesce(_excluded, 0) = 0
-      AND _processed_at IS NULL AND sf_contact_id IS NOT NULL AND row_id % 7 <> 0),
-n AS (SELECT count(*) AS n_work, count(*) FILTER (WHERE _batch_id = 'B1' AND (_processed_at IS NOT NULL OR row_id IN (SELECT row_id FROM c))) AS n_archived FROM w)
-SELECT n_work, n_archived, n_work - n_archived AS n_remaining, true AS agree FROM n""")
+WITH w AS ({WORK_SQL})
+SELECT 'B1' AS batch_id, count(*) FILTER (WHERE _batch_id = 'B1') AS rows_archived, count(*) FILTER (WHERE _batch_id = 'B1') AS rows_deleted,
+  TIMESTAMP '{AS_OF_ORDERS}' AS finished_at FROM w""")
 def archive_counts(spark, sf):
-    work = work_table(spark, sf)
-    ok = B.claim(work, "B1", "update", "sf_contact_id").where(F.col("row_id") % 7 != 0)
-    work2 = B.mark_processed(work, ok, "row_id", AS_OF_ORDERS)
-    return B.archive_counts(work, *B.archive(work2, "B1", AS_OF_ORDERS, "update", "bulk"))
+    tables = _archived(spark, sf)[0]
+    # what was published, counted from the tables before and after the step
+    old, new, hist = tables.read("work", 1), tables.read("work"), tables.read("history")
+    n = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
+    return n(hist, "rows_archived").join(n(old, "n_old")).join(n(new, "n_new")).select(
+        F.lit("B1").alias("batch_id"), "rows_archived", (F.col("n_old") - F.col("n_new")).alias("rows_deleted"),
+        F.to_timestamp_ntz(F.lit(AS_OF_ORDERS)).alias("finished_at"))
+
+
+def _archived(spark, sf):
+    """The work table, published, and batch B1 moved to the history."""
+    tables = TableSet(spark, IO.scratch_dir(spark, "archive"))
+    folder, _ = tables.write("work", work_table(spark, sf))
+    tables.publish({"work": [folder]})
+    return tables, archive_batch(tables, "B1", AS_OF_ORDERS, "update", "bulk")
+
+
+@register("archive_swap", f"""
+WITH w AS ({WORK_SQL})
+SELECT row_id, _batch_id, _operation, _processed_at, CASE WHEN _batch_id = 'B1' THEN 'history' ELSE 'work' END AS stands_in,
+  CASE WHEN _batch_id = 'B1' THEN 'bulk' END AS change_source FROM w""")
+def archive_swap(spark, sf):
+    tables, _ = _archived(spark, sf)
+    cols = ["row_id", "_batch_id", "_operation", "_processed_at"]
+    work = tables.read("work").select(*cols, F.lit("work").alias("stands_in"), F.lit(None).cast("string").alias("change_source"))
+    return work.unionByName(tables.read("history").select(*cols, F.lit("history").alias("stands_in"), "change_source"))
+
+
+@register("sized_batches", """
+WITH s AS (SELECT o_orderkey, CAST(octet_length(encode(o_comment_like)) AS BIGINT) AS n FROM (
+  SELECT o_orderkey, concat(o_orderpriority, '|', o_orderstatus, '|', o_custkey) AS o_comment_like FROM orders)),
+r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS seq, sum(n) OVER (ORDER BY o_orderkey) - n AS before, max(n) OVER () AS most FROM s),
+p AS (SELECT o_orderkey, (seq - 1) // 500 AS a, CAST(before // (8000 - most) AS BIGINT) AS b FROM r)
+SELECT o_orderkey, dense_rank() OVER (ORDER BY a, b) AS batch_no FROM p""")
+def sized_batches(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_custkey")
+    size = F.octet_length(F.concat("o_orderpriority", F.lit("|"), "o_orderstatus", F.lit("|"), F.col("o_custkey").cast("string")))
+    return B.sized_batches(o, ["o_orderkey"], "o_orderkey", size, 500, 8000).select("o_orderkey", "batch_no")
+
+
+def _quoted(text: str) -> str:
+    from urllib.parse import quote
+    return quote(text, safe="")
+
+
+_CHAIN_URL = f"{B.API}/query?q={_quoted(B.ACCOUNT_QUERY[0])}"
+
+
+@register("composite_chain", f"""
+WITH a AS (SELECT o_orderkey, concat('001', o_orderkey) AS account, concat('P', o_custkey % 5) AS prop, o_orderstatus = 'O' AS c, o_orderkey % 3 = 0 AS h FROM orders)
+SELECT account, '{{"allOrNone":true,"compositeRequest":[{{"method":"GET","url":"{_CHAIN_URL}' || account || '{_quoted(B.ACCOUNT_QUERY[1])}","referenceId":"refAccount"}}'
+ || ',{{"method":"POST","url":"{B.API}/sobjects/Individual","referenceId":"refIndividual","body":{{"FirstName":"@{{refAccount.records[0].FirstName}}",'
+ || '"LastName":"@{{refAccount.records[0].LastName}}","Contact__c":"@{{refAccount.records[0].PersonContactId}}","SourceSystem__c":"tpch"}}}}'
+ || ',{{"method":"POST","url":"{B.API}/sobjects/ContactPointEmail","referenceId":"refCPE","body":{{"ParentId":"@{{refIndividual.id}}",'
+ || '"Contact__c":"@{{refAccount.records[0].PersonContactId}}","EmailAddress":"@{{refAccount.records[0].PersonEmail}}",'
+ || '"ActiveFromDate":"1998-08-02T00:00:00.000Z","SourceSystem__c":"tpch"}}}}'
+ || CASE WHEN c THEN ',{{"method":"POST","url":"{B.API}/sobjects/ContactPointConsent","referenceId":"refConsentCentral","body":{{"Name":"marketing_central",'
+ || '"ContactPointId":"@{{refCPE.id}}","CaptureDate":"1998-08-02T00:00:00.000Z","CaptureSource":"migration","PrivacyConsentStatus":"OptIn",'
+ || '"DataUsePurposeId":"p1","EffectiveFrom":"1998-08-02T00:00:00.000Z","SourceSystem__c":"tpch"}}}}' ELSE '' END
+ || CASE WHEN h THEN ',{{"method":"POST","url":"{B.API}/sobjects/ContactPointConsent","referenceId":"refConsentHotel","body":{{"Name":"marketing_hotel",'
+ || '"ContactPointId":"@{{refCPE.id}}","CaptureDate":"1998-08-02T00:00:00.000Z","CaptureSource":"migration","PrivacyConsentStatus":"OptIn",'
+ || '"DataUsePurposeId":"p2","Property__c":"' || prop || '","EffectiveFrom":"1998-08-02T00:00:00.000Z","SourceSystem__c":"tpch"}}}}' ELSE '' END || ']}}' AS payload
+FROM a""")
+def composite_chain(spark, sf):
+    a = table(spark, sf, "orders").select(
+        F.concat(F.lit("001"), "o_orderkey").alias("account"), F.concat(F.lit("P"), F.col("o_custkey") % 5).alias("prop"),
+        (F.col("o_orderstatus") == "O").alias("c"), (F.col("o_orderkey") % 3 == 0).alias("h"))
+    return B.consent_chain(a, "account", F.lit("p1"), F.lit("p2"), "prop", AS_OF_ORDERS, "tpch", F.col("c"), F.col("h"))
 
 
 PREF_URL = "/services/data/v60.0/sobjects/Preferences__c"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import change as C
+from ..sources import files as IO
 from .registry import register
 from .tables import AS_OF_ORDERS, oracle_with, orders_new, table
 
@@ -43,6 +44,22 @@ def upsert_actions(spark, sf):
     return C.upsert(old, orders_new(spark, sf), UPSERT_KEYS, UPSERT_COLS, AS_OF_ORDERS)
 
 
+@register("upsert_partitioned", oracle_with("orders_new") + f"""
+, n AS (SELECT * FROM orders_new WHERE o_orderkey % 4 = 1)
+SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+  {", ".join(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in UPSERT_COLS)},
+  CASE WHEN s.o_orderkey IS NOT NULL AND (t.o_orderkey IS NULL OR {_differs_sql(UPSERT_COLS)}) THEN TIMESTAMP '{AS_OF_ORDERS}' END AS updated_at
+FROM orders t FULL OUTER JOIN n s ON s.o_orderkey = t.o_orderkey""")
+def upsert_partitioned(spark, sf):
+    """The stored orders, in key buckets, after an upsert that rewrote the changed buckets only."""
+    path = IO.scratch_dir(spark, "buckets") + "/orders"
+    old = _orders(spark, sf).withColumns({"updated_at": F.lit(None).cast("timestamp_ntz"), "is_changed": F.lit(0)})
+    C.with_bucket(old, UPSERT_KEYS, 16).write.partitionBy("bucket").parquet(path)
+    new = C.with_bucket(orders_new(spark, sf).where("o_orderkey % 4 = 1"), UPSERT_KEYS, 16)
+    C.upsert_partitions(path, new, UPSERT_KEYS, UPSERT_COLS, AS_OF_ORDERS, "bucket")
+    return spark.read.parquet(path).select(*UPSERT_KEYS, *UPSERT_COLS, "updated_at")
+
+
 @register("change_counts", oracle_with("orders_new") + f"""
 SELECT {", ".join(f"CAST(count(*) FILTER (WHERE t.{c} IS DISTINCT FROM s.{c}) AS BIGINT) AS changed_{c}" for c in UPSERT_COLS)},
   CAST(count(*) FILTER (WHERE {_differs_sql(UPSERT_COLS)}) AS BIGINT) AS changed_rows

@@ -212,7 +212,7 @@ def _null_ph(c, words):
        WHEN regexp_matches(lower(l), '^[0-9]+[a-z]+$') AND strlen(l) >= 8 THEN 'digits_and_letters'
        WHEN l IN ('..', ',s', '^rudy', '´') THEN 'odd_mark'
        WHEN l IN ('----', chr(173)) THEN 'dash_only'
-       WHEN contains(lower(f), 'temporär') OR l = '_temporaryProfile' THEN 'temp_profile'
+       WHEN lower(f) LIKE '%_temporär%' OR l = '_temporaryProfile' THEN 'temp_profile'
        WHEN contains(f, '@@') OR contains(l, '@@') THEN 'double_at'
        WHEN contains(f, 'Http://') OR contains(l, 'Http://') THEN 'url' END AS missing_reason,
   regexp_matches(lname, '{"|".join(fr"\p{{{s}}}" for s in N.NON_LATIN_SCRIPTS)}') AS non_latin FROM t)

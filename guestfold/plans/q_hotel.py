@@ -59,10 +59,12 @@ def hotel_occupancy(spark, sf):
     return H.occupancy(_parts(spark, sf))
 
 
-@register("hotel_day_kpis", f"""WITH {OCC_CTE}
-SELECT source, day, property_id, concat(source, '_', kpi) AS kpi, CAST(value AS BIGINT) AS value
-FROM (SELECT source, day, property_id, room_nights, bed_nights, adults_num, children_num FROM occ WHERE day = DATE '1996-05-17')
-UNPIVOT (value FOR kpi IN (room_nights, bed_nights, adults_num, children_num))""")
+@register("hotel_day_kpis", f"""WITH {OCC_CTE},
+base AS (SELECT source AS source_system, day AS rev_date, pms_id, property_id, name, room_nights, bed_nights FROM occ WHERE day = DATE '1996-05-17')
+SELECT concat(property_id, '_ROOMNIGHT1') AS kpi, CAST(room_nights AS BIGINT) AS value, rev_date, source_system, pms_id, name FROM base
+UNION ALL SELECT concat(property_id, '_BEDNIGHT1'), CAST(bed_nights AS BIGINT), rev_date, source_system, pms_id, name FROM base
+UNION ALL SELECT concat(property_id, '_OPEN1'), CAST(CASE WHEN room_nights + bed_nights > 0 THEN 1 ELSE 0 END AS BIGINT), rev_date, source_system,
+  pms_id, name FROM base""")
 def hotel_day_kpis(spark, sf):
     return H.day_kpis(_parts(spark, sf), "1996-05-17")
 

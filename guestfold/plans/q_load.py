@@ -343,14 +343,103 @@ def recode_names(spark, sf):
     return dirty(spark, sf).select("c_custkey", X.recode(wrong).alias("recoded"))
 
 
-@register("write_types", "SELECT r_regionkey, 'BIGINT' AS key_type, 'VARCHAR(255)' AS name_type, 'DATETIME' AS stamp_type, 'BOOLEAN' AS flag_type, 'DOUBLE' AS rate_type FROM region")
+@register("write_types", """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, l_shipmode, l_shipinstruct,
+  l_shipdate, length(l_shipmode) > 4 OR length(l_shipinstruct) > 14 AS rejected,
+  CASE WHEN length(l_shipmode) > 4 THEN 'l_shipmode' WHEN length(l_shipinstruct) > 14 THEN 'l_shipinstruct' END AS reason FROM (
+  SELECT l_orderkey, l_linenumber, l_quantity, concat(l_returnflag, repeat('x', CAST(l_linenumber AS INT))) AS l_shipmode,
+    concat(l_linestatus, '-', l_suppkey, '-', l_partkey * 1000) AS l_shipinstruct, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate FROM lineitem)""")
 def write_types(spark, sf):
-    """Column types that a relational sink gets for a table (S9), beside its keys."""
-    r = table(spark, sf, "region")
-    typed = r.select("r_regionkey", "r_name", F.current_timestamp().alias("stamp"), F.lit(True).alias("flag"), F.lit(1.5).alias("rate"))
-    t = dict(IO.target_schema(typed))
-    return r.select("r_regionkey", *[F.lit(t[c]).alias(n) for c, n in (("r_regionkey", "key_type"), ("r_name", "name_type"), ("stamp", "stamp_type"),
-                                                                         ("flag", "flag_type"), ("rate", "rate_type"))])
+    """Line items written with their target types and read back, over-long texts apart."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.concat("l_returnflag", F.repeat(F.lit("x"), F.col("l_linenumber").cast("int"))).alias("l_shipmode"),
+        F.concat("l_linestatus", F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"), (F.col("l_partkey") * 1000).cast("string")).alias("l_shipinstruct"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("l_shipdate"))
+    back = IO.typed_write(li, IO.scratch_dir(spark, "typed") + "/t", {"l_shipmode": 4, "l_shipinstruct": 14})
+    return back.withColumnsRenamed({"_rejected": "rejected", "_reason": "reason"})
+
+
+@register("property_consents", """
+WITH o AS (SELECT CASE c_custkey % 6 WHEN 0 THEN 'FSV' WHEN 1 THEN 'FJE' WHEN 2 THEN 'FBZ' WHEN 3 THEN 'FMP' ELSE 'XXX' END AS property_code,
+    CASE WHEN c_custkey % 7 <> 0 THEN concat('u', c_custkey % 500, CASE WHEN c_custkey % 11 = 0 THEN '@Own.example' ELSE '@b.example' END) END AS email,
+    c_custkey % 3 AS newsletter FROM customer),
+p AS (SELECT * FROM (VALUES ('FSV', 's1'), ('FJE', 's2'), ('FBZ', 's3'), ('FMP', 's4')) t(code, sf_property_id)),
+cp AS (SELECT s_suppkey AS cpe_id, concat('u', s_suppkey % 500, '@b.example') AS email FROM supplier),
+con AS (SELECT concat('u', o_custkey % 500, '@b.example') AS email, concat('s', o_orderkey % 4 + 1) AS sf_property_id FROM orders WHERE o_orderkey % 5 = 0),
+a AS (SELECT DISTINCT property_code, email, sf_property_id FROM o LEFT JOIN p ON p.code = property_code
+      WHERE email IS NOT NULL AND newsletter = 1 AND NOT lower(email) LIKE '%@own.example')
+SELECT cpe_id, 'list' AS source, sf_property_id, CASE property_code WHEN 'FSV' THEN 'marketing_property_Velden' WHEN 'FJE' THEN 'marketing_property_Jesolo'
+  WHEN 'FBZ' THEN 'marketing_property_Bozen' WHEN 'FMP' THEN 'marketing_property_Prague' END AS consent_type
+FROM a JOIN cp ON cp.email = a.email
+WHERE NOT EXISTS (SELECT 1 FROM con WHERE con.email = a.email AND con.sf_property_id = a.sf_property_id)""")
+def property_consents(spark, sf):
+    k = F.col("c_custkey")
+    code = F.when(k % 6 == 0, "FSV").when(k % 6 == 1, "FJE").when(k % 6 == 2, "FBZ").when(k % 6 == 3, "FMP").otherwise("XXX")
+    mail = lambda n, end: F.concat(F.lit("u"), (n % 500).cast("string"), end)
+    own = F.when(k % 11 == 0, "@Own.example").otherwise("@b.example")
+    o = table(spark, sf, "customer").select(code.alias("property_code"), F.when(k % 7 != 0, mail(k, own)).alias("email"), (k % 3).alias("newsletter"))
+    p = IO.values_df(spark, [("FSV", "s1"), ("FJE", "s2"), ("FBZ", "s3"), ("FMP", "s4")], "code string, sf_property_id string")
+    cp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("cpe_id"), mail(F.col("s_suppkey"), F.lit("@b.example")).alias("email"))
+    con = table(spark, sf, "orders").where("o_orderkey % 5 = 0").select(
+        mail(F.col("o_custkey"), F.lit("@b.example")).alias("email"), F.concat(F.lit("s"), (F.col("o_orderkey") % 4 + 1).cast("string")).alias("sf_property_id"))
+    return CS.property_consents(o, p, cp, con, "list", "own.example")
+
+
+@register("central_consents", """
+SELECT 'list' AS source, c_custkey AS cpe_id FROM (SELECT o_custkey AS email FROM orders WHERE o_orderstatus = 'F') o JOIN customer ON c_custkey = email
+WHERE c_custkey % 4 <> 0 AND NOT EXISTS (SELECT 1 FROM orders n WHERE n.o_custkey = c_custkey AND n.o_orderpriority = '1-URGENT')""")
+def central_consents(spark, sf):
+    o, k = table(spark, sf, "orders"), F.col("c_custkey")
+    cp = table(spark, sf, "customer").select(k.alias("cpe_id"), k.alias("email"), F.when(k % 4 != 0, F.concat(F.lit("003"), k)).otherwise("001").alias("party_id"))
+    con = o.select(F.col("o_custkey").alias("cpe_id"), F.when(F.col("o_orderpriority") == "1-URGENT", "marketing_central").otherwise("other").alias("name"))
+    return CS.central_consents(o.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("email")), cp, con, "list")
+
+
+RES_SQL = """SELECT o_orderkey AS reservation_id, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE concat('m', o_custkey % 40) END AS email,
+  CASE WHEN o_orderkey % 2 = 0 THEN '2_has_lastname_and_email' ELSE '1_partial' END AS data_quality_bucket,
+  CASE WHEN o_orderkey % 10 = 0 THEN 'c' END AS sf_person_contact_id, CASE WHEN o_orderkey % 13 = 0 THEN 'r' END AS sf_reservation_id,
+  CASE WHEN o_orderkey % 11 <> 0 THEN 'p' END AS sf_property_id, CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS _excluded,
+  CAST(NULL AS STRING) AS sf_person_account_id FROM {orders}"""
+LIST_SQL = "SELECT l_orderkey AS pms_reservation_id, l_suppkey AS list_id, CASE WHEN l_linenumber > 2 THEN 1 ELSE 0 END AS is_duplicate FROM {lineitem}"
+PROFILE_SQL = """SELECT c_custkey % 60 AS list_id, concat('m', c_custkey % 40) AS email, CASE WHEN c_custkey % 5 <> 0 THEN concat('003', c_custkey) END AS sf_contact_id,
+  concat('001', c_custkey) AS sf_account_id FROM {customer}"""
+
+
+@register("match_by_list", f"""
+WITH r AS ({RES_SQL.format(orders='orders')}), l AS ({LIST_SQL.format(lineitem='lineitem')}), p AS ({PROFILE_SQL.format(customer='customer')}),
+h AS (SELECT reservation_id, sf_contact_id, sf_account_id FROM r JOIN l ON pms_reservation_id = reservation_id JOIN p ON p.list_id = l.list_id AND p.email = r.email
+      WHERE sf_person_contact_id IS NULL AND sf_reservation_id IS NULL AND is_duplicate = 0 AND _excluded = 0 AND sf_property_id IS NOT NULL
+        AND sf_contact_id IS NOT NULL AND data_quality_bucket = '2_has_lastname_and_email')
+SELECT reservation_id, min(sf_contact_id) AS sf_person_contact_id, arg_min(sf_account_id, sf_contact_id) AS sf_person_account_id FROM h GROUP BY reservation_id""")
+def match_by_list(spark, sf):
+    r, l_, p = (spark.sql(q, **{t: table(spark, sf, t)}) for q, t in ((RES_SQL, "orders"), (LIST_SQL, "lineitem"), (PROFILE_SQL, "customer")))
+    return I.match_by_list(r, l_, p).select("reservation_id", "sf_person_contact_id", "sf_person_account_id")
+
+
+@register("match_by_cluster", f"""
+WITH r AS ({RES_SQL.format(orders='orders')}), t AS ({PROFILE_SQL.format(customer='customer')}),
+h AS (SELECT r.reservation_id, sf_contact_id, sf_account_id FROM r JOIN orders ON o_orderkey = r.reservation_id JOIN t ON t.list_id = o_custkey % 60
+      WHERE sf_reservation_id IS NULL AND _excluded = 0 AND t.sf_contact_id IS NOT NULL)
+SELECT reservation_id, min(sf_contact_id) AS sf_person_contact_id, arg_min(sf_account_id, sf_contact_id) AS sf_person_account_id FROM h GROUP BY reservation_id""")
+def match_by_cluster(spark, sf):
+    r, t = spark.sql(RES_SQL, orders=table(spark, sf, "orders")), spark.sql(PROFILE_SQL, customer=table(spark, sf, "customer"))
+    acc = table(spark, sf, "orders").select(F.col("o_orderkey").alias("source_id"), (F.col("o_custkey") % 60).alias("cluster_id"))
+    return I.match_by_cluster(r, acc, t.where("sf_contact_id IS NOT NULL").withColumnRenamed("list_id", "cluster_id")).select(
+        "reservation_id", "sf_person_contact_id", "sf_person_account_id")
+
+
+PROPERTY_ROWS_SQL = """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'protel' WHEN 1 THEN 'apaleo' ELSE 'other' END AS source, o_custkey % 30 AS property_pms_id,
+  concat('n', o_custkey % 35) AS property_id, CASE WHEN o_orderkey % 4 = 0 THEN 'old' END AS sf_property_id FROM {orders}"""
+TARGET_SQL = "SELECT concat('n', n_nationkey) AS code, concat('sf', n_nationkey) AS sf_id, n_nationkey AS pms_id FROM {nation} WHERE n_regionkey <> 2"
+
+
+@register("property_ids", f"""
+WITH d AS ({PROPERTY_ROWS_SQL.format(orders='orders')}), t AS ({TARGET_SQL.format(nation='nation')})
+SELECT o_orderkey, CASE source WHEN 'protel' THEN coalesce(sf_property_id, a.sf_id) WHEN 'apaleo' THEN coalesce(b.sf_id, sf_property_id) ELSE sf_property_id END AS sf_property_id
+FROM d LEFT JOIN t a ON a.pms_id = property_pms_id LEFT JOIN t b ON b.code = property_id""")
+def property_ids(spark, sf):
+    t = spark.sql(TARGET_SQL, nation=table(spark, sf, "nation"))
+    d = spark.sql(PROPERTY_ROWS_SQL, orders=table(spark, sf, "orders"))
+    return S.target_property_ids(d, t.select("pms_id", "code"), t.select("code", "sf_id")).select("o_orderkey", "sf_property_id")
 
 
 @register("enrolment_dates", """SELECT o_orderkey, CAST(coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 1 DAY END,

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guestfold.operators import change as C
+from guestfold.sources import files as IO
 
 
 def rows(df, *cols):
@@ -83,3 +84,23 @@ def test_flag_exists_no_multiplication(spark):
     s = spark.createDataFrame([(1,), (1,), (1,)], "k int")
     out = C.flag_exists(t, s, ["k"], "hit")
     assert rows(out, "k", "hit") == [(1, 1), (2, 0)]
+
+
+def test_upsert_partitions_rewrites_changed_partitions_only(spark):
+    import glob
+    import os
+    path = IO.scratch_dir(spark, "test-buckets") + "/t"
+    old = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), ("b", 2, None), ("c", 1, "x"), ("d", 9, "z")], "src string, k int, v string")
+    old = old.withColumns({"updated_at": F.lit(None).cast("timestamp_ntz"), "is_changed": F.lit(0)})
+    old.write.partitionBy("src").parquet(path)
+    files = lambda s: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path.removeprefix('file:')}/src={s}/*.parquet")}
+    before = {s: files(s) for s in "abcd"}
+    new = spark.createDataFrame([("a", 1, "new"), ("a", 3, "created"), ("b", 2, None), ("c", 1, "x"), ("e", 5, "first")], "src string, k int, v string")
+    got = C.upsert_partitions(path, new, ["src", "k"], ["v"], "2024-01-01 00:00:00", "src")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1, 1, 1), ("e", 1, 0, 0)]
+    assert {s: files(s) == before[s] for s in "abcd"} == {"a": False, "b": True, "c": True, "d": True}
+    rows = sorted(((r.src, r.k, r.v, r.is_changed) for r in spark.read.parquet(path).collect()), key=str)
+    assert rows == sorted([("a", 1, "new", 1), ("a", 2, "y", 0), ("a", 3, "created", 0), ("b", 1, "x", 0), ("b", 2, None, 0), ("c", 1, "x", 0),
+                           ("d", 9, "z", 0), ("e", 5, "first", 0)], key=str)
+    again = C.upsert_partitions(path, new, ["src", "k"], ["v"], "2024-01-02 00:00:00", "src")
+    assert again.collect() == []  # nothing differs any more

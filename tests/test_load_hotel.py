@@ -81,8 +81,11 @@ def test_occupancy_from_slices_and_day_kpis(spark):
     kids = spark.createDataFrame([("a",), ("a",), ("c",)], "parent_id string")
     occ = H.occupancy_from_slices(sl, res, props, units, kids, "2025-02-01", "2025-03-01")
     assert sorted(tuple(r) for r in occ.collect()) == [(d, 1, "P1", "One", 2, 5, 2, 3), (dt.date(2025, 2, 2), 1, "P1", "One", 1, 4, 2, 2)]
-    got = {r.kpi: r.value for r in H.day_kpis({"s": occ}, "2025-02-02").collect()}
-    assert got == {"s_room_nights": 1, "s_bed_nights": 4, "s_adults_num": 2, "s_children_num": 2}
+    day = dt.date(2025, 2, 2)
+    got = sorted(tuple(r) for r in H.day_kpis({"s": occ}, "2025-02-02").collect())
+    assert got == [("P1_BEDNIGHT1", 4, day, "s", 1, "One"), ("P1_OPEN1", 1, day, "s", 1, "One"), ("P1_ROOMNIGHT1", 1, day, "s", 1, "One")]
+    none = occ.withColumns({"room_nights": F.lit(0).cast("bigint"), "bed_nights": F.lit(0).cast("bigint")})
+    assert [r.value for r in H.day_kpis({"s": none}, "2025-02-02").where("kpi = 'P1_OPEN1'").collect()] == [0]
 
 
 def test_reservation_revenue(spark):
