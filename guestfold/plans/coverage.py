@@ -29,7 +29,7 @@ QUERY_IDS = {
     "repair_encoding": "N20", "strip_suffix_fit": "N17 N19", "name_in_email": "D15",
     "cleaning_report": "N23 G6 G7", "iso_dates": "F22 F23 F24 F25", "payload_json": "S17 F28",
     "composite_payload": "S17 R12", "bulk_csv_lines": "S16 B2 B4", "batch_outcome": "B5",
-    "batch_summary": "B8", "outcome_by_values": "B6", "claim_mark_archive": "B1 B7 B9", "archive_counts": "B9", "archive_swap": "B9 S12 M5",
+    "batch_summary": "B8", "outcome_by_values": "B6", "claim_mark_archive": "B1 B7 B9", "archive_counts": "B9", "archive_swap": "B9 S12 M5", "all_fields_extract": "S6 S7", "day_kpis_function": "K3 S15", "reservation_view": "S15 R13",
     "sized_batches": "W6 S16 B4", "composite_chain": "S17", "upsert_partitioned": "M8 M9 M5", "property_consents": "C3", "central_consents": "C3",
     "match_by_list": "D9", "match_by_cluster": "D9", "property_ids": "R5", "failure_files": "B5 B8",
     "filters": "P3 P4 P5 P10", "filters_text": "P6 P7 P8", "projection": "P1 P2 P12 P14 R1",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import hotel as H
-from .registry import register
+from ..sources import views as V
+from .registry import ORACLES, register
 from .tables import table
 
 #: Day, property, account and guests from lines and orders, as one SQL text for Spark and the oracle.
@@ -69,6 +70,40 @@ def hotel_day_kpis(spark, sf):
     return H.day_kpis(_parts(spark, sf), "1996-05-17")
 
 
+@register("day_kpis_function", ORACLES["hotel_day_kpis"].replace("1996-05-17", "1996-05-18"))
+def day_kpis_function(spark, sf):
+    """The one-day KPIs called from SQL as a table function."""
+    V.register_day_kpis(spark, _parts(spark, sf))
+    return spark.sql("SELECT * FROM day_kpis(DATE '1996-05-18')")
+
+
+RAW_RES_SQL = """SELECT o_orderkey AS id, concat('d', o_orderkey) AS row_id, concat('P', o_custkey % 9) AS property__id, o_orderdate AS created, o_orderstatus AS status,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderkey % 3 AS INT) END AS adults, concat(' ', o_orderpriority) AS primary_guest__address__country_code FROM {orders}"""
+SWITCH_SQL = """SELECT concat('P', n_nationkey) AS code, concat('own', n_nationkey) AS own_id,
+  CASE WHEN n_nationkey % 4 <> 0 THEN make_date(CAST(1993 + n_nationkey % 5 AS INT), 1, 1) END AS switch_from FROM {nation}"""
+KIDS_SQL = "SELECT concat('d', l_orderkey) AS parent_id FROM {lineitem} WHERE l_linenumber > 3"
+CLUSTER_SQL = "SELECT o_orderkey AS reservation_id, o_custkey AS cluster_id FROM {orders}"
+
+
+@register("reservation_view", f"""
+WITH r AS ({RAW_RES_SQL.format(orders='orders')}), p AS ({SWITCH_SQL.format(nation='nation')}), k AS ({KIDS_SQL.format(lineitem='lineitem')}),
+cl AS ({CLUSTER_SQL.format(orders='orders')}), n AS (SELECT parent_id, count(*) AS n FROM k GROUP BY 1),
+g AS (SELECT cluster_id FROM cl GROUP BY 1 HAVING count(*) BETWEEN 1 AND 3 OR count(*) BETWEEN 10 AND 50)
+SELECT id AS reservation_id, property__id AS property_id, own_id AS property_own_id, status AS reservation_status, created AS booking_at,
+  substr(trim(primary_guest__address__country_code), 1, 2) AS mk_country, CAST(coalesce(adults, 0) AS INTEGER) AS adults_num,
+  CAST(coalesce(n.n, 0) AS INTEGER) AS children_num, cl.cluster_id, 'PRIMARY' AS guest_role
+FROM r JOIN p ON p.code = property__id AND switch_from IS NOT NULL AND created >= switch_from
+JOIN cl ON cl.reservation_id = r.id JOIN g ON g.cluster_id = cl.cluster_id LEFT JOIN n ON n.parent_id = row_id
+WHERE created >= DATE '1996-01-01' AND property__id IN ('P1', 'P2', 'P3', 'P6')""")
+def reservation_view(spark, sf):
+    """The reservation view, filtered in SQL; the filters reach the scan of orders."""
+    t = {n: spark.sql(q, **{d: table(spark, sf, d)}) for n, q, d in (
+        ("r", RAW_RES_SQL, "orders"), ("p", SWITCH_SQL, "nation"), ("k", KIDS_SQL, "lineitem"), ("c", CLUSTER_SQL, "orders"))}
+    V.register_views(spark, reservation_view=V.reservation_view(t["r"], t["p"], t["k"], t["c"]))
+    return spark.sql("""SELECT reservation_id, property_id, property_own_id, reservation_status, booking_at, mk_country, adults_num, children_num, cluster_id, guest_role
+FROM reservation_view WHERE booking_at >= DATE '1996-01-01' AND property_id IN ('P1', 'P2', 'P3', 'P6')""")
+
+
 FACT_SQL = """SELECT o_orderdate AS rev_date, o_orderpriority AS property_id, o_orderstatus AS market_channel, o_custkey % 5 AS segment_group,
   CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,4)) END AS revenue_total, CAST(o_totalprice / 2 AS DECIMAL(18,4)) AS revenue_room,
   CAST(o_orderkey % 3 AS INT) AS room_nights, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 2 END AS bed_nights FROM {orders} WHERE o_orderkey % 2 = """

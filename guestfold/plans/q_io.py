@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from ..functions.columns import utc_wall_clock
 from ..operators import batch as B
-from ..operators.report import object_counts
 from ..sources import files as IO
 from ..sources import objects as OBJ
 from .q_batch import OUTCOME_SQL, _outcomes
@@ -19,17 +18,38 @@ from .tables import dirty, oracle_with, table
 
 
 @register("backup_copy", """
-SELECT 'landed' AS object, count(*) AS n FROM customer
-UNION SELECT 'backup', count(*) FROM customer
-UNION SELECT 'insert_select', (SELECT count(*) FROM customer) + (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0)""")
+WITH c AS (SELECT c_custkey, c_name, c_nationkey FROM customer)
+SELECT 'landed' AS object, * FROM c UNION ALL SELECT 'backup', * FROM c
+UNION ALL SELECT 'insert_select', * FROM c UNION ALL SELECT 'insert_select', c_custkey, c_name, NULL FROM c WHERE c_custkey % 10 = 0""")
 def backup_copy(spark, sf):
+    """The rows of a landed table, of its backup, and of the backup after an insert of some columns, as they were written."""
     d = IO.scratch_dir(spark, "backup")
     cust = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     landed = IO.materialise(cust, f"{d}/landed")
     copy = IO.backup(landed, f"{d}/backup")
     extra = table(spark, sf, "customer").where(F.col("c_custkey") % 10 == 0).select("c_custkey", "c_name")
     ins = IO.insert_select(copy, extra, ["c_custkey", "c_name"])
-    return object_counts({"landed": landed, "backup": copy, "insert_select": ins})
+    tagged = [df.select(F.lit(n).alias("object"), "*") for n, df in (("landed", landed), ("backup", copy), ("insert_select", ins))]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
+@register("all_fields_extract", """
+SELECT CAST(c_custkey AS VARCHAR) AS "Id", c_name AS "Name", CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS "Added__c",
+  '{"city":"' || c_nationkey || '"}' AS "Address" FROM customer""")
+def all_fields_extract(spark, sf):
+    """Pages of 20 records, landed and audited; one field occurs in some records only, one is nested."""
+    d, k = IO.scratch_dir(spark, "all-fields"), F.col("c_custkey")
+    c = table(spark, sf, "customer")
+    rec = F.to_json(F.struct(F.struct(F.lit("Account").alias("type")).alias("attributes"), k.cast("string").alias("Id"), F.col("c_name").alias("Name"),
+                             F.when(k % 3 == 0, F.col("c_nationkey").cast("string")).alias("Added__c"),
+                             F.struct(F.col("c_nationkey").cast("string").alias("city")).alias("Address")))
+    total = c.select(F.count(F.lit(1)).alias("n"), F.max(F.floor(k / 20)).alias("last"))
+    # a page holds at most 20 records: the grouping key bounds every group
+    pages = c.groupBy(F.floor(k / 20).alias("page")).agg(F.collect_list(rec).alias("r")).join(total)
+    lines = pages.select(F.concat(F.lit('{"totalSize":'), F.col("n"), F.lit(',"done":'), (F.col("page") == F.col("last")).cast("string"),
+                                  F.lit(',"records":['), F.array_join("r", ","), F.lit("]}")).alias("value"))
+    lines.write.mode("overwrite").text(f"{d}/pages")
+    return OBJ.read_all_fields(spark, f"{d}/pages")
 
 
 @register("rejects_and_maps", OUTCOME_SQL + f"""
@@ -114,33 +134,22 @@ def object_extract(spark, sf):
 
 
 @register("save_modes", """
-SELECT count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null_value, count(props) AS n_props_json,
-  count(*) AS rows_first_write, 'error' AS second_fail_write, count(*) AS rows_append, count(*) AS rows_replace,
-  'error' AS empty_write
-FROM (SELECT CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value, props FROM events) t""")
+WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value FROM events)
+SELECT 'appended' AS after, event_id, value, 2 AS copies FROM e UNION ALL SELECT 'replaced', event_id, value, 1 FROM e""")
 def save_modes(spark, sf):
-    d = IO.scratch_dir(spark, "modes")
+    """The rows that stand in a table after a first write, a refused one and an append, and after a replacement."""
     ev = table(spark, sf, "events").select(
         "event_id", F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
         F.from_json("props", "k int").alias("props"))
-    norm = IO.normalise_values(ev)
-    path = f"{d}/events"
-    first = IO.write_table(norm, path, "fail")
+    norm, path = IO.normalise_values(ev), IO.scratch_dir(spark, "modes") + "/events"
+    IO.write_table(norm, path, "fail")
     try:
         IO.write_table(norm, path, "fail")
-        second = "written"
-    except Exception:  # noqa: BLE001 - the table exists: mode fail must refuse
-        second = "error"
-    appended = IO.write_table(norm, path, "append")
-    replaced = IO.write_table(norm, path, "replace")
-    try:
-        IO.write_table(norm.limit(0), f"{d}/empty", "replace")
-        empty = "written"
-    except ValueError:
-        empty = "error"
-    back = spark.read.parquet(path)
-    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value").isNull()).alias("n_null_value"),
-                    F.count("props").alias("n_props_json")).select(
-        "*", F.lit(first).cast("bigint").alias("rows_first_write"), F.lit(second).alias("second_fail_write"),
-        F.lit(appended).cast("bigint").alias("rows_append"), F.lit(replaced).cast("bigint").alias("rows_replace"),
-        F.lit(empty).alias("empty_write"))
+    except Exception:  # noqa: BLE001 - the table exists: mode fail refuses, so the copies below stay two
+        pass
+    IO.write_table(norm, path, "append")
+    back = lambda after: (spark.read.parquet(path).groupBy("event_id", "value").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+                          .select(F.lit(after).alias("after"), "event_id", "value", "copies"))
+    appended = IO.materialise(back("appended"), IO.scratch_dir(spark, "modes-seen") + "/appended")
+    IO.write_table(norm, path, "replace")
+    return appended.unionByName(back("replaced"))

@@ -400,28 +400,28 @@ RES_SQL = """SELECT o_orderkey AS reservation_id, CASE WHEN o_orderkey % 9 = 0 T
   CASE WHEN o_orderkey % 11 <> 0 THEN 'p' END AS sf_property_id, CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS _excluded,
   CAST(NULL AS STRING) AS sf_person_account_id FROM {orders}"""
 LIST_SQL = "SELECT l_orderkey AS pms_reservation_id, l_suppkey AS list_id, CASE WHEN l_linenumber > 2 THEN 1 ELSE 0 END AS is_duplicate FROM {lineitem}"
-PROFILE_SQL = """SELECT c_custkey % 60 AS list_id, concat('m', c_custkey % 40) AS email, CASE WHEN c_custkey % 5 <> 0 THEN concat('003', c_custkey) END AS sf_contact_id,
+LISTED_SQL = """SELECT c_custkey % 60 AS list_id, concat('m', c_custkey % 40) AS email, CASE WHEN c_custkey % 5 <> 0 THEN concat('003', c_custkey) END AS sf_contact_id,
   concat('001', c_custkey) AS sf_account_id FROM {customer}"""
 
 
 @register("match_by_list", f"""
-WITH r AS ({RES_SQL.format(orders='orders')}), l AS ({LIST_SQL.format(lineitem='lineitem')}), p AS ({PROFILE_SQL.format(customer='customer')}),
+WITH r AS ({RES_SQL.format(orders='orders')}), l AS ({LIST_SQL.format(lineitem='lineitem')}), p AS ({LISTED_SQL.format(customer='customer')}),
 h AS (SELECT reservation_id, sf_contact_id, sf_account_id FROM r JOIN l ON pms_reservation_id = reservation_id JOIN p ON p.list_id = l.list_id AND p.email = r.email
       WHERE sf_person_contact_id IS NULL AND sf_reservation_id IS NULL AND is_duplicate = 0 AND _excluded = 0 AND sf_property_id IS NOT NULL
         AND sf_contact_id IS NOT NULL AND data_quality_bucket = '2_has_lastname_and_email')
 SELECT reservation_id, min(sf_contact_id) AS sf_person_contact_id, arg_min(sf_account_id, sf_contact_id) AS sf_person_account_id FROM h GROUP BY reservation_id""")
 def match_by_list(spark, sf):
-    r, l_, p = (spark.sql(q, **{t: table(spark, sf, t)}) for q, t in ((RES_SQL, "orders"), (LIST_SQL, "lineitem"), (PROFILE_SQL, "customer")))
+    r, l_, p = (spark.sql(q, **{t: table(spark, sf, t)}) for q, t in ((RES_SQL, "orders"), (LIST_SQL, "lineitem"), (LISTED_SQL, "customer")))
     return I.match_by_list(r, l_, p).select("reservation_id", "sf_person_contact_id", "sf_person_account_id")
 
 
 @register("match_by_cluster", f"""
-WITH r AS ({RES_SQL.format(orders='orders')}), t AS ({PROFILE_SQL.format(customer='customer')}),
+WITH r AS ({RES_SQL.format(orders='orders')}), t AS ({LISTED_SQL.format(customer='customer')}),
 h AS (SELECT r.reservation_id, sf_contact_id, sf_account_id FROM r JOIN orders ON o_orderkey = r.reservation_id JOIN t ON t.list_id = o_custkey % 60
       WHERE sf_reservation_id IS NULL AND _excluded = 0 AND t.sf_contact_id IS NOT NULL)
 SELECT reservation_id, min(sf_contact_id) AS sf_person_contact_id, arg_min(sf_account_id, sf_contact_id) AS sf_person_account_id FROM h GROUP BY reservation_id""")
 def match_by_cluster(spark, sf):
-    r, t = spark.sql(RES_SQL, orders=table(spark, sf, "orders")), spark.sql(PROFILE_SQL, customer=table(spark, sf, "customer"))
+    r, t = spark.sql(RES_SQL, orders=table(spark, sf, "orders")), spark.sql(LISTED_SQL, customer=table(spark, sf, "customer"))
     acc = table(spark, sf, "orders").select(F.col("o_orderkey").alias("source_id"), (F.col("o_custkey") % 60).alias("cluster_id"))
     return I.match_by_cluster(r, acc, t.where("sf_contact_id IS NOT NULL").withColumnRenamed("list_id", "cluster_id")).select(
         "reservation_id", "sf_person_contact_id", "sf_person_account_id")

@@ -98,3 +98,36 @@ def select_spec(df: DataFrame, obj: str, columns: Sequence[str] | None = None,
         return df
     have = {c.lower() for c in df.columns}
     return df.select(*[F.col(c).alias(c) if c.lower() in have else F.lit(None).cast("string").alias(c) for c in cols])
+
+
+def audit_pages(pages: DataFrame) -> DataFrame:
+    """One row about the landed pages of an extract (S6): n_pages, n_records, total_size and whether they are complete, that is the
+    records are as many as the service reported, every page reported the same, and one page is marked as the last."""
+    return pages.agg(
+        F.count(F.lit(1)).alias("n_pages"), F.coalesce(F.sum(F.size("records")), F.lit(0)).alias("n_records"),
+        F.max("totalSize").alias("total_size"), F.min("totalSize").alias("__least"), F.count_if(F.col("done")).alias("__last")).select(
+        "n_pages", "n_records", "total_size",
+        F.coalesce((F.col("n_records") == F.col("total_size")) & (F.col("total_size") == F.col("__least")) & (F.col("__last") == 1), F.lit(False)).alias("complete"))
+
+
+def complete_pages(pages: DataFrame, what: str = "extract") -> DataFrame:
+    """``pages``, or an error when a page is missing or came twice."""
+    got = audit_pages(pages).first()
+    if not got["complete"]:
+        raise ValueError(f"{what}: {got['n_pages']} pages hold {got['n_records']} of {got['total_size']} records")
+    return pages
+
+
+def read_all_fields(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages of an all-fields extract (S7): one row per record, one text column per field that any record has.
+
+    The fields are found by one aggregation over the records' keys (as many rows as there are fields), so a field that
+    the service added since the last extract appears by itself; nested values are JSON text, ``attributes`` is dropped, and the
+    columns stand in the order of their names.  An incomplete extract is an error."""
+    page = T.StructType([T.StructField("totalSize", T.LongType()), T.StructField("done", T.BooleanType()),
+                         T.StructField("records", T.ArrayType(T.StringType()))])
+    pages = complete_pages(spark.read.schema(page).json(path), path)
+    records = pages.select(F.explode("records").alias("r"))
+    names = sorted(r[0] for r in records.select(F.explode(F.json_object_keys("r")).alias("k")).distinct().collect() if r[0] != "attributes")
+    fields = F.from_json("r", T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return records.select(fields.alias("f")).select("f.*") if names else records.select().limit(0)

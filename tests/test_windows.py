@@ -95,3 +95,42 @@ def test_target_property_ids(spark):
     ids = spark.createDataFrame([("FJE", "t1"), ("FSV", "t2")], "code string, sf_id string")
     got = {r["id"]: r["sf_property_id"] for r in S.target_property_ids(df, attrs, ids).collect()}
     assert got == {1: "t1", 2: "keep", 3: None, 4: "t2", 5: "old", 6: None, 7: "x"}
+
+
+def test_incomplete_pages_raise_and_new_fields_appear(spark, tmp_path):
+    import json
+
+    from guestfold.sources import objects as OBJ
+    page = lambda total, done, *records: json.dumps({"totalSize": total, "done": done, "records": list(records)})
+    a, b, c = {"attributes": {"type": "A"}, "Id": "1"}, {"Id": "2", "New__c": 5, "Deep": {"x": [1]}}, {"Id": "3", "New__c": None}
+    write = lambda name, *pages: ((tmp_path / name).write_text("\n".join(pages)), str(tmp_path / name))[1]
+    got = OBJ.read_all_fields(spark, write("whole.json", page(3, False, a, b), page(3, True, c)))
+    assert got.columns == ["Deep", "Id", "New__c"] and {t for _, t in got.dtypes} == {"string"}
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [(None, "1", None), ('{"x":[1]}', "2", "5"), (None, "3", None)]
+    for name, pages in {"missing": [page(3, False, a, b)], "twice": [page(3, True, c), page(3, False, a, b), page(3, True, c)], "grown": [page(3, False, a, b), page(4, True, c)],
+                        "no_end": [page(3, False, a, b), page(3, False, c)]}.items():
+        with pytest.raises(ValueError, match="records"):
+            OBJ.read_all_fields(spark, write(f"{name}.json", *pages))
+    assert OBJ.read_all_fields(spark, write("empty.json", page(0, True))).collect() == []
+
+
+def test_reservation_view(spark):
+    from guestfold.sources import views as V
+    day = lambda n: dt.date(2026, 1, n)
+    res = spark.createDataFrame([("r1", "d1", "P1", day(5), 2, " at "), ("r2", "d2", "P1", day(1), 2, None), ("r3", "d3", "P2", day(9), None, "DE"), ("r4", "d4", "P1", day(6), 1, "x"),
+                                 ("r5", "d5", "P1", day(7), 1, "x"), ("r6", "d6", None, day(7), 1, "x")],
+                                "id string, row_id string, property__id string, created date, adults int, primary_guest__address__country_code string")
+    props = spark.createDataFrame([("P1", "o1", day(3)), ("P2", "o2", None)], "code string, own_id string, switch_from date")
+    kids = spark.createDataFrame([("d1",), ("d1",)], "parent_id string")
+    cl = spark.createDataFrame([("r1", 1), ("r2", 1), ("r3", 2), ("r5", None), ("r6", 2)] + [("r4", 3)] * 5 + [("r1", 4)] * 10, "reservation_id string, cluster_id int")
+    got = V.reservation_view(res, props, kids, cl)
+    assert len(got.columns) == 49 and got.select("pg_email").distinct().collect()[0][0] is None
+    rows = sorted(tuple(r) for r in got.select("reservation_id", "property_own_id", "mk_country", "adults_num", "children_num", "cluster_id", "guest_role").collect())
+    # r2 came before the switch, r3's property never switched, r4's cluster has 5 members
+    assert rows == [("r1", "o1", "at", 2, 2, 1, "PRIMARY")] + [("r1", "o1", "at", 2, 2, 4, "PRIMARY")] * 10
+
+
+def test_filters_on_the_view_reach_the_scan(spark, sf_dir):
+    from guestfold.plans import QUERIES
+    plan = QUERIES["reservation_view"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan
