@@ -38,6 +38,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 GROUP_VALUES = 1 << 20
 #: Groups of a receiving task; fingerprints of a sending task (bytes say nothing of the work, so the counts are set).
 TASK_GROUPS, TASK_FPS = 4, 8192
+#: Most tasks on either side of that shuffle; beyond it a task takes more groups, one after the other, or more fingerprints.
+MAX_TASKS = 20_000
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -125,7 +127,7 @@ def links(fps: DataFrame, max_bits: int, n_fps: int) -> DataFrame:
         pairs = pairs[np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= max_bits].view(np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = fps.select("fp").mapInPandas(send, "g bigint, fps binary").repartition(max(1, (1 << k) // TASK_GROUPS), "g")
+    sent = fps.select("fp").mapInPandas(send, "g bigint, fps binary").repartition(min(MAX_TASKS, max(1, (1 << k) // TASK_GROUPS)), "g")
     return sent.groupBy("g").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
@@ -167,7 +169,7 @@ def components_of(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame
         raise ValueError("max_bits must be 0 to 6: the ball of half the radius grows as 64^k / k!")
     fps = scratch.table(rows.groupBy("fp").agg(F.min("id").alias("least_id")))
     n_fps = fps.count()
-    edges = links(fps.repartition(max(1, ceil(n_fps / TASK_FPS)), "fp"), max_bits, n_fps)
+    edges = links(fps.repartition(min(MAX_TASKS, max(1, ceil(n_fps / TASK_FPS))), "fp"), max_bits, n_fps)
     roots = connected_components(edges, scratch)
     named = (fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
