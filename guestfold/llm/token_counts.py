@@ -17,7 +17,7 @@ from math import inf
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns_as
@@ -207,3 +207,31 @@ def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     out = rows.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), counted.alias("c"))
     return out.select(F.col("id").alias(id_col), "n_bytes", "c.n_tokens", (F.col("c.n_tokens") > limit).alias("over_limit"),
                       "c.words_within", "c.tokens_within")
+
+
+def prefix_tables(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col``, counts: the token count of the text cut after its first, second, ... byte, an int a
+    byte.  Bytes are those of the text's words (pre-tokens) as the tokenizer normalises them, white space left out; a special string
+    is one step.  Store it once: :func:`tokens_of` and :func:`steps_within` then answer from it without encoding again.
+
+    Null and empty texts have an empty table.  Repeated rows: one each.  A null id passes through.  Empty table: no rows.
+    Other columns are neither read nor returned."""
+    rows = columns_as(df, id=id_col, text=text_col)
+
+    def tables(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        c = counter(path)
+        for s in series:
+            yield pd.Series([np.array([n for _, own in c.prefix_counts(t) for n in own] if t else [], np.int32) for t in s])
+
+    return rows.select(F.col("id").alias(id_col), F.pandas_udf(tables, "array<int>")(F.col("text")).alias("counts"))
+
+
+def tokens_of(counts: Column, n: Column) -> Column:
+    """Tokens of the first ``n`` steps of a prefix table (0: none; more than there are: of all)."""
+    return F.when((n <= 0) | (F.size(counts) == 0), 0).otherwise(F.element_at(counts, F.least(n, F.size(counts)).cast("int")))
+
+
+def steps_within(counts: Column, budget: Column) -> Column:
+    """The longest prefix, in steps, of at most ``budget`` tokens.  (A longer prefix may have fewer tokens, so the last fit counts.)"""
+    fits = F.transform(counts, lambda x, i: F.when(x <= budget, i + 1))
+    return F.coalesce(F.array_max(fits), F.lit(0))

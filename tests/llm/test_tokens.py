@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from guestfold.llm import rangecoder, token_blocks, token_counts
@@ -144,3 +145,21 @@ def test_long_ids_beside_a_null_keep_their_digits(spark):
             decontaminate.decontaminate(df, spark.createDataFrame([(1, "five six")], "item_id int, text string"))]
     for out in outs:
         assert {r["doc_id"] for r in out.collect()} == {big, big + 1, None}
+
+
+def test_stored_prefix_tables_answer_without_encoding(spark, odd, none, sf_dir, counter):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) < 3000").limit(30).unionByName(
+        odd.filter("doc_id in (3, 4, 8)").select("doc_id", "text"), allowMissingColumns=True).select("doc_id", "text")
+    stored = token_counts.prefix_tables(docs, path).withColumn("n", F.lit(40)).withColumn("budget", F.lit(25))
+    got = stored.select("doc_id", "counts", token_counts.tokens_of(F.col("counts"), F.col("n")).alias("head"),
+                        token_counts.steps_within(F.col("counts"), F.col("budget")).alias("fit")).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    totals = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, path).collect()}
+    assert len(got) >= 30
+    for r in got:
+        want = [n for _, own in counter.prefix_counts(texts[r["doc_id"]]) for n in own] if texts[r["doc_id"]] else []
+        assert r["counts"] == want and (want[-1] if want else 0) == totals[r["doc_id"]]
+        assert r["head"] == (want[min(40, len(want)) - 1] if want else 0)
+        assert r["fit"] == max([i + 1 for i, x in enumerate(want) if x <= 25], default=0)
+    assert token_counts.prefix_tables(none, path).collect() == []
