@@ -150,7 +150,7 @@ def test_long_ids_beside_a_null_keep_their_digits(spark):
 def test_stored_prefix_tables_answer_without_encoding(spark, odd, none, sf_dir, counter):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) < 3000").limit(30).unionByName(
-        odd.filter("doc_id in (3, 4, 8)").select("doc_id", "text"), allowMissingColumns=True).select("doc_id", "text")
+        odd.filter("doc_id in (3, 4, 8)").withColumn("doc_id", -F.col("doc_id")).select("doc_id", "text"), allowMissingColumns=True).select("doc_id", "text")
     stored = token_counts.prefix_tables(docs, path).withColumn("n", F.lit(40)).withColumn("budget", F.lit(25))
     got = stored.select("doc_id", "counts", token_counts.tokens_of(F.col("counts"), F.col("n")).alias("head"),
                         token_counts.steps_within(F.col("counts"), F.col("budget")).alias("fit")).collect()
