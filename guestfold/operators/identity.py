@@ -3,12 +3,12 @@ cluster ids, matching across systems, loyalty picks, target-id attachment."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, money_sum
+from ..functions.columns import col, key_col, money_sum
 from .keys import pick_one
 from .report import string_agg
 
@@ -261,3 +261,29 @@ def member_export(accounts: DataFrame) -> DataFrame:
     return accounts.where(F.col("member_tier").isNotNull() & F.col("sf_contact_id").isNotNull()).select(
         "cluster_id", F.col("clean_first_name").alias("givenName"), F.col("clean_last_name").alias("surname"),
         F.col("clean_email").alias("email"), F.col("member_number_new").alias("member_number"))
+
+
+def assemble_import(staging: DataFrame, points: DataFrame, accounts: DataFrame, members: DataFrame, fields: Mapping[str, Column],
+                    uid: str, batch_id: str, source: str, skip: Sequence[str] = (), operation: str = "update",
+                    id_prefix: str = "003", email: str = "email", fname: str = "fname", collation: str | None = None) -> DataFrame:
+    """Import rows for accounts that exist (D12): staging rows with the ids of their e-mail, account and member records.
+
+    ``points``: Id, EmailAddress, PartyID__c; ``accounts``: Id, PersonContactId, PersonEmail, FirstName; ``members``: Id, ContactId.
+    A staging row is taken with each contact point of its e-mail whose party id starts with ``id_prefix``, each account of that party
+    with the same e-mail and first name, and each of the party's members; equal results come once.  Ids in ``skip`` stay out, and
+    rows without an id with them where ``skip`` isn't empty (SQL ``NOT IN``).  ``fields`` names the target columns that come from
+    staging.  All rules on one side run before the joins; ``collation`` compares e-mails and names without letter case."""
+    if not (batch_id or "").strip():
+        raise ValueError("an import needs a batch id")
+    st = staging.where(~F.col(uid).isin(list(skip))) if skip else staging
+    st = st.select(key_col(st, email, collation).alias("__mail"), key_col(st, fname, collation).alias("__fname"), F.col(uid).alias("external_id"),
+                   *[c.alias(n) for n, c in fields.items()]).where("__mail is not null and __fname is not null")
+    cp = points.where(F.substring("PartyID__c", 1, len(id_prefix)) == id_prefix)
+    cp = cp.select(key_col(cp, "EmailAddress", collation).alias("__mail"), F.col("PartyID__c").alias("__party"), F.col("Id").alias("sf_cp_email_id"))
+    ac = accounts.select(key_col(accounts, "PersonEmail", collation).alias("__mail"), key_col(accounts, "FirstName", collation).alias("__fname"),
+                         F.col("PersonContactId").alias("__party"), F.col("Id").alias("sf_account_id"))
+    me = members.select(F.col("ContactId").alias("__party"), F.col("Id").alias("sf_loyalty_member_id")).distinct()
+    own = st.distinct().join(cp.distinct(), "__mail").join(ac.distinct(), ["__mail", "__fname", "__party"]).join(me, "__party")
+    return own.select(F.lit(operation).alias("_operation"), F.lit(batch_id).alias("_batch_id"), "sf_account_id",
+                      F.col("__party").alias("sf_person_contact_id"), "sf_loyalty_member_id", "sf_cp_email_id",
+                      F.lit(source).alias("source"), "external_id", *fields).distinct()

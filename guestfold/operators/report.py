@@ -89,27 +89,31 @@ def object_counts(parts: Mapping[str, DataFrame]) -> DataFrame:
     return out.distinct()
 
 
-def star_join(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Star join: one fact, six dimensions, ``nation`` under two roles.
+def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str, Mapping[str, str]]], how: str = "inner") -> DataFrame:
+    """Star join (J5): ``fact`` with columns of dimensions.  A dimension is (frame, column that refers to it, its key, {its column:
+    name in the result}); the referring column may come from a dimension before it, and a frame may stand under several roles.
+
+    AQE broadcasts dimensions whose measured size is below the threshold, the rest sort-merge.  A name that
+    is there already is an error."""
+    out = fact
+    for i, (dim, ref, key, names) in enumerate(dims):
+        if taken := set(names.values()) & set(out.columns):
+            raise ValueError(f"columns that are there already: {sorted(taken)}")
+        d = dim.select(F.col(key).alias(f"__d{i}"), *[F.col(c).alias(n) for c, n in names.items()])
+        out = out.join(d, F.col(ref) == F.col(f"__d{i}"), how).drop(f"__d{i}")
+    return out
+
 
-    Dimensions are joined by key; AQE broadcasts those whose measured size is
-    below the threshold (nation/region/supplier), the rest sort-merge."""
+def star_join(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Star join of the driver tables: one fact, six dimensions, ``nation`` under two roles."""
     li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    o = t["orders"].select("o_orderkey", "o_custkey")
-    c = t["customer"].select("c_custkey", "c_name", "c_nationkey")
-    cn = t["nation"].select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cust_nation"),
-                            F.col("n_regionkey").alias("cn_region"))
-    r = t["region"].select(F.col("r_regionkey").alias("cn_region"), F.col("r_name").alias("cust_region"))
-    p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    s = t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey")
-    sn = t["nation"].select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("supp_nation"))
-    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-         .join(c, F.col("o_custkey") == c["c_custkey"])
-         .join(cn, F.col("c_nationkey") == cn["cn_key"])
-         .join(r, "cn_region")
-         .join(p, "l_partkey")
-         .join(s, "l_suppkey")
-         .join(sn, "s_nationkey"))
+    j = star(li, [(t["orders"], "l_orderkey", "o_orderkey", {"o_custkey": "custkey"}),
+                  (t["customer"], "custkey", "c_custkey", {"c_name": "c_name", "c_nationkey": "cust_nationkey"}),
+                  (t["nation"], "cust_nationkey", "n_nationkey", {"n_name": "cust_nation", "n_regionkey": "cust_regionkey"}),
+                  (t["region"], "cust_regionkey", "r_regionkey", {"r_name": "cust_region"}),
+                  (t["part"], "l_partkey", "p_partkey", {"p_name": "p_name"}),
+                  (t["supplier"], "l_suppkey", "s_suppkey", {"s_name": "s_name", "s_nationkey": "supp_nationkey"}),
+                  (t["nation"], "supp_nationkey", "n_nationkey", {"n_name": "supp_nation"})])
     return j.select("l_orderkey", "l_linenumber", "c_name", "cust_nation", "cust_region", "p_name", "s_name",
                     "supp_nation")
 
@@ -139,6 +143,57 @@ def cleaning_report(df: DataFrame) -> DataFrame:
         F.count("current_opt_in").alias("opt_in_known"))
 
 
+#: Words that stand in place of a first or last name, and the shape of a usable e-mail address.
+NAME_PLACEHOLDERS = {"fname": ["test", "unknown", "n/a", "none", "na", "null", "xxx", "first"],
+                     "lname": ["test", "unknown", "n/a", "none", "na", "null", "xxx", "last"]}
+ODD_NAME = r"[^a-zA-ZÀ-ÖØ-öø-ÿ '\-.]"
+EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+
+
+def contact_findings(fname: str = "fname", lname: str = "lname", email: str = "email") -> dict[str, Column]:
+    """What the cleaning report looks for in a row (N23): finding -> condition, never NULL.
+
+    Letter case counts here, as it is what the case findings are about."""
+    names = {"fname": F.col(fname), "lname": F.col(lname)}
+    either = lambda test: F.coalesce(test("fname", names["fname"]), F.lit(False)) | F.coalesce(test("lname", names["lname"]), F.lit(False))
+    e = F.col(email)
+    found = {
+        "all_caps": either(lambda _, c: (c == F.upper(c)) & c.rlike("[A-Z]{2,}")),
+        "all_lower": either(lambda _, c: (c == F.lower(c)) & c.rlike("[a-z]{2,}")),
+        "digits": either(lambda _, c: c.rlike("[0-9]")),
+        "odd_characters": either(lambda _, c: c.rlike(ODD_NAME)),
+        "one_character": either(lambda _, c: F.octet_length(F.trim(c)) == 1),
+        "placeholder": either(lambda k, c: F.lower(F.trim(c)).isin(NAME_PLACEHOLDERS[k])),
+        "email_format": ~e.rlike(EMAIL_SHAPE) | e.contains(" ") | e.contains(".."),
+        "email_outer_blanks": e != F.trim(e),
+        "email_case": e != F.lower(e),
+    }
+    return {k: F.coalesce(c, F.lit(False)) for k, c in found.items()}
+
+
+def contact_report(df: DataFrame, fields: Sequence[str], findings: Mapping[str, Column], email: str = "email",
+                   scope: Column | None = None) -> DataFrame:
+    """Cleaning report (N23) in long form, one scan: ``check, n``.
+
+    Checks: total, a ``<field>_missing`` (NULL or blank) per field, null_email, blank_email and has_email, all over the rows in
+    ``scope`` (all, if not given), and every finding over all rows."""
+    inside = F.coalesce(scope, F.lit(False)) if scope is not None else F.lit(True)
+    blank = {f: F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == "") for f in dict.fromkeys([*fields, email])}
+    checks = {"total": F.count_if(inside), **{f"{f}_missing": F.count_if(inside & blank[f]) for f in fields},
+              "null_email": F.count_if(inside & F.col(email).isNull()),
+              "blank_email": F.count_if(inside & F.col(email).isNotNull() & blank[email]),
+              "has_email": F.count_if(inside & ~blank[email]),
+              **{k: F.count_if(c) for k, c in findings.items()}}
+    wide = df.agg(*[c.cast("bigint").alias(k) for k, c in checks.items()])
+    return wide.unpivot([], list(checks), "check", "n")
+
+
+def finding_rows(df: DataFrame, keep: Sequence[str], findings: Mapping[str, Column]) -> DataFrame:
+    """Rows behind the findings (N23): ``keep`` columns and ``finding``, one row per finding of a row."""
+    hits = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in findings.items()]))
+    return df.select(*keep, F.explode(hits).alias("finding"))
+
+
 def revenue_fact(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Daily revenue rows with their dimensions (the input of K4): exact decimal
     revenue per line, order date, customer nation and segment."""

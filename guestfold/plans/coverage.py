@@ -37,7 +37,7 @@ QUERY_IDS = {
     "join_kinds": "J2 J4 J15 J17 J19", "agg_kinds": "G2 G4 G8 G13 G14",
     "scalar_text": "F1 F3 F4 F5 F7 F9 F10 F29", "scalar_dates": "F13 F14 F18 F19 F20 F21", "offset_rows": "O3",
     "update_where": "M1 M13 R11", "delete_matching": "M6", "add_rename_cast": "M12",
-    "propagate_keys": "D2", "build_import": "D12", "optouts": "C4", "consent_records": "C5",
+    "propagate_keys": "D2", "build_import": "D12", "import_assembly": "D12", "contact_report": "N23", "contact_findings": "N23", "optouts": "C4", "consent_records": "C5",
     "missing_consents": "C3", "conditional_nights": "K5 R13", "parameterised_query": "S1 S15",
     "backup_copy": "S5 S11 S12", "rejects_and_maps": "S18 S19 B10", "csv_load": "S2 S3 S4",
     "object_pages": "S6", "object_extract": "S7", "identity_survivors": "D1 W1", "save_modes": "S8 S9 S10", "anti_events_users": "J7 J8",

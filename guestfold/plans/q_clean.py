@@ -324,6 +324,38 @@ def cleaning_report(spark, sf):
     return cr(dirty(spark, sf))
 
 
+_FINDINGS_SQL = {
+    "all_caps": "(fname = upper(fname) AND regexp_matches(fname, '[A-Z]{2,}')) OR (lname = upper(lname) AND regexp_matches(lname, '[A-Z]{2,}'))",
+    "all_lower": "(fname = lower(fname) AND regexp_matches(fname, '[a-z]{2,}')) OR (lname = lower(lname) AND regexp_matches(lname, '[a-z]{2,}'))",
+    "digits": "regexp_matches(fname, '[0-9]') OR regexp_matches(lname, '[0-9]')",
+    "odd_characters": "regexp_matches(fname, '[^a-zA-ZÀ-ÖØ-öø-ÿ ''\\-.]') OR regexp_matches(lname, '[^a-zA-ZÀ-ÖØ-öø-ÿ ''\\-.]')",
+    "one_character": "strlen(trim(fname)) = 1 OR strlen(trim(lname)) = 1",
+    "placeholder": "lower(trim(fname)) IN ('test', 'unknown', 'n/a', 'none', 'na', 'null', 'xxx', 'first')"
+                   " OR lower(trim(lname)) IN ('test', 'unknown', 'n/a', 'none', 'na', 'null', 'xxx', 'last')",
+    "email_format": "NOT regexp_matches(email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') OR email LIKE '% %' OR email LIKE '%..%'",
+    "email_outer_blanks": "email <> trim(email)",
+    "email_case": "email <> lower(email)",
+}
+_REPORT_FIELDS = ["fname", "lname", "email", "salutation", "cell_phone", "country", "birth_text", "member_id"]
+_REPORT_SQL = [("total", "true"), *[(f"{f}_missing", f"{f} IS NULL OR trim({f}) = ''") for f in _REPORT_FIELDS],
+               ("null_email", "email IS NULL"), ("blank_email", "trim(email) = ''"), ("has_email", "email IS NOT NULL AND trim(email) <> ''")]
+
+
+@register("contact_report", oracle_with("dirty") + "\nUNION ALL ".join(
+    [f"SELECT '{k}' AS \"check\", count(*) AS n FROM dirty WHERE current_opt_in = 'Yes' AND ({c})" for k, c in _REPORT_SQL]
+    + [f"SELECT '{k}' AS \"check\", count(*) AS n FROM dirty WHERE {c}" for k, c in _FINDINGS_SQL.items()]))
+def contact_report(spark, sf):
+    from ..operators import report as R
+    return R.contact_report(dirty(spark, sf), _REPORT_FIELDS, R.contact_findings(), scope=F.col("current_opt_in") == "Yes")
+
+
+@register("contact_findings", oracle_with("dirty") + "\nUNION ALL ".join(
+    f"SELECT c_custkey, fname, lname, email, '{k}' AS finding FROM dirty WHERE {c}" for k, c in _FINDINGS_SQL.items()))
+def contact_findings(spark, sf):
+    from ..operators import report as R
+    return R.finding_rows(dirty(spark, sf), ["c_custkey", "fname", "lname", "email"], R.contact_findings())
+
+
 # ----------------------------------------------------------------------------- N22
 
 @register("quality_bucket", oracle_with("dirty") + """

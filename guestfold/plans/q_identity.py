@@ -83,6 +83,32 @@ def build_import(spark, sf):
                     "c_mktsegment", F.lit("PersonAccount").alias("record_type"), F.lit("gms").alias("source"))
 
 
+@register("import_assembly", oracle_with("dirty") + """
+, cpe AS (SELECT concat('cpe-', c_custkey) AS id, concat('sample.', c_custkey, '@example.org') AS mail,
+            concat(CASE WHEN c_custkey % 5 = 0 THEN '001' ELSE '003' END, c_custkey) AS party FROM customer WHERE c_custkey % 7 <> 0)
+, acc AS (SELECT concat('acc-', c_custkey) AS id, concat('003', c_custkey) AS party, concat('sample.', c_custkey, '@example.org') AS mail,
+            CASE WHEN c_custkey % 2 = 0 THEN 'Anna' ELSE 'Jörg' END AS fname FROM customer)
+, loy AS (SELECT concat('loy-', o_orderkey) AS id, concat('003', o_custkey) AS party FROM orders WHERE o_orderstatus = 'F')
+SELECT DISTINCT 'update' AS _operation, 'invest-1' AS _batch_id, acc.id AS sf_account_id, acc.party AS sf_person_contact_id,
+  loy.id AS sf_loyalty_member_id, cpe.id AS sf_cp_email_id, 'invest' AS source, d.member_id AS external_id, d.fname AS first_name,
+  d.lname AS last_name, CAST(try_strptime(d.birth_text, '%d.%m.%Y') AS DATE) AS birth_date, 1 AS invest_customer
+FROM dirty d JOIN cpe ON cpe.mail = d.email JOIN acc ON acc.party = cpe.party AND acc.mail = d.email
+JOIN loy ON loy.party = cpe.party
+WHERE cpe.mail IS NOT NULL AND substr(cpe.party, 1, 3) = '003' AND d.fname = acc.fname AND d.member_id NOT IN ('59', '95')""")
+def import_assembly(spark, sf):
+    c, k = table(spark, sf, "customer"), F.col("c_custkey")
+    mail = F.concat(F.lit("sample."), k, F.lit("@example.org"))
+    cpe = c.where(k % 7 != 0).select(F.concat(F.lit("cpe-"), k).alias("Id"), mail.alias("EmailAddress"),
+                                     F.concat(F.when(k % 5 == 0, "001").otherwise("003"), k).alias("PartyID__c"))
+    acc = c.select(F.concat(F.lit("acc-"), k).alias("Id"), F.concat(F.lit("003"), k).alias("PersonContactId"), mail.alias("PersonEmail"),
+                   F.when(k % 2 == 0, "Anna").otherwise("Jörg").alias("FirstName"))
+    loy = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
+        F.concat(F.lit("loy-"), F.col("o_orderkey")).alias("Id"), F.concat(F.lit("003"), F.col("o_custkey")).alias("ContactId"))
+    fields = {"first_name": F.col("fname"), "last_name": F.col("lname"), "birth_date": X.parse_date("birth_text", "dd.MM.yyyy"),
+              "invest_customer": F.lit(1)}
+    return I.assemble_import(dirty(spark, sf), cpe, acc, loy, fields, "member_id", "invest-1", "invest", skip=["59", "95"])
+
+
 @register("optouts", oracle_with("dirty") + f"""
 , con AS (SELECT concat('C', c_custkey) AS consent_id, email, CASE WHEN c_custkey % 4 = 0 THEN 'sms' ELSE 'marketing_central' END AS name,
             CASE WHEN c_custkey % 5 = 0 THEN 'OptOut' WHEN c_custkey % 5 = 1 THEN NULL ELSE 'OptIn' END AS status FROM dirty)
