@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import key_col
 from ..session import checkpoint_dir
@@ -40,31 +41,45 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Order, rn_col: str | Non
     return out if rn_col else out.drop(rn)
 
 
+#: Copies of one row that one task gives back at a time.
+COPIES = 10_000
+
+
+def _comparable(df: DataFrame, c: str) -> Column:
+    """A column in a form that can be compared: maps as sorted entries."""
+    q = F.col(f"`{c}`")
+    return F.array_sort(F.map_entries(q)) if isinstance(df.schema[c].dataType, T.MapType) else q
+
+
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Order, flag_col: str = "is_duplicate") -> DataFrame:
     """Mark duplicates instead of removing them: the winner gets 0, the others 1.
 
     ``order`` must be total within a key but for rows that are equal in every column: of those one wins.  NULL keys form
-    their own group.  The winners come from ``pick_one`` (pre-reduced in every map task) and are joined back to
-    the rows, so no task ranks a whole group and AQE splits the rows of a hot key in that join.  Only
-    rows that equal a winner, of keys with fully repeated rows (one aggregation finds them), are numbered."""
+    their own group.  The first two rows of a key (every map task keeps no more) give the winner and whether it is
+    repeated; the winners are joined back to the rows, and AQE splits the rows of a hot key in that join.  Copies of a
+    repeated winner are equal, so they are counted, not ranked, and given back one with 0 and the rest with 1."""
     rest = [c for c in df.columns if c not in keys]
-    win = pick_one(df, keys, order)
-    win = win.select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.lit(True).alias("__won"),
-                     *[F.col(c).alias(f"__v{i}") for i, c in enumerate(rest)])
-    same = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"__r{i}") for i, c in enumerate(rest)])
-    tied = (same.agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*[f"__k{i}" for i in range(len(keys))])
-            .distinct().withColumn("__tied", F.lit(True)))
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_cols(order))
+    two = df.withColumn("__rn", F.row_number().over(w)).where("__rn <= 2")
+    row = F.struct(F.lit(1), *[_comparable(df, c) for c in rest])
+    win = two.withColumn("__tied", F.lead(row).over(w).eqNullSafe(row)).where("__rn = 1")
+    win = win.select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], "__tied",
+                     *[_comparable(df, c).alias(f"__v{i}") for i, c in enumerate(rest)])
     j = df.join(win, [F.col(k).eqNullSafe(F.col(f"__w{i}")) for i, k in enumerate(keys)], "left")
-    first = F.col("__won")
+    first = F.lit(True)
     for i, c in enumerate(rest):
-        first = first & F.col(c).eqNullSafe(F.col(f"__v{i}"))
-    j = j.select(*[F.col(c) for c in df.columns], F.coalesce(first, F.lit(False)).alias("__first"))
-    j = j.join(tied, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], "left")
-    among = F.col("__first") & F.col("__tied").isNotNull()
-    single = j.where(~among).withColumn(flag_col, F.when(F.col("__first"), 0).otherwise(1))
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_cols(order))
-    copies = j.where(among).withColumn(flag_col, F.when(F.row_number().over(w) == 1, 0).otherwise(1))
-    return single.select(*df.columns, flag_col).unionByName(copies.select(*df.columns, flag_col))
+        first = first & _comparable(df, c).eqNullSafe(F.col(f"__v{i}"))
+    j = j.select(*[df[f"`{c}`"] for c in df.columns], first.alias("__first"), (first & F.col("__tied")).alias("__copy"))
+    single = j.where("not __copy").select(*df.columns, F.when(F.col("__first"), 0).otherwise(1).alias(flag_col))
+    row = F.struct(*[F.col(c) for c in df.columns])
+    copies = j.where("__copy").groupBy(*keys).agg(F.first(row).alias("__row"), F.count(F.lit(1)).alias("__n")).select("__row", "__n")
+    # the copies of a hot row go out in shares, over several tasks
+    shares = copies.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(COPIES).cast("long"))))
+    shares = shares.repartition("__from", *[F.col(f"__row.{k}") for k in keys])
+    last = F.least(F.col("__n"), F.col("__from") + COPIES) - 1
+    copies = shares.select("__row", F.explode(F.sequence(F.col("__from"), last)).alias("__at"))
+    copies = copies.select("__row.*", F.when(F.col("__at") == 0, 0).otherwise(1).alias(flag_col))
+    return single.unionByName(copies)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n", collation: str | None = None) -> DataFrame:

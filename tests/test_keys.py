@@ -37,6 +37,16 @@ def test_flag_duplicates_has_one_winner_among_fully_repeated_rows(spark):
     assert got == [("1", 5, 0), ("1", 5, 1), ("1", 5, 1), ("1", 6, 1), ("2", 1, 0), ("3", 1, 0), ("3", 2, 1), ("3", 2, 1), ("None", 3, 0), ("None", 3, 1)]
 
 
+def test_flag_duplicates_gives_copies_back_in_shares_and_compares_maps(spark, monkeypatch):
+    monkeypatch.setattr(K, "COPIES", 7)
+    rows = [("k", 1, {"a": 1, "b": 2})] * 20 + [("k", 2, {"a": 1}), ("l", 1, {})]
+    df = spark.createDataFrame(rows, "k string, v int, m map<string,int>")
+    got = [(r.k, r.v, r.m, r.is_duplicate) for r in K.flag_duplicates(df, ["k"], ["v"]).collect()]
+    assert len(got) == 22 and [g for g in got if g[3] == 0 and g[0] == "k"] == [("k", 1, {"a": 1, "b": 2}, 0)]
+    assert sum(g[:2] == ("k", 1) and g[3] == 1 for g in got) == 19 and ("l", 1, {}, 0) in got and ("k", 2, {"a": 1}, 1) in got
+    assert K.flag_duplicates(df.where("false"), ["k"], ["v"]).collect() == []
+
+
 def test_flag_duplicates_splits_a_key_with_most_rows(spark):
     hot = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 10 < 9, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
                                               F.sha2(F.col("id").cast("string"), 512).alias("load"))
