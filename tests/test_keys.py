@@ -140,3 +140,31 @@ def test_collation_fidelity_mode(spark):
     assert got == {1: 1, 2: 0, 3: 1}
     j = J.join_on(a, b.withColumn("x", F.lit(1)), ["name"], "left", collation="UTF8_LCASE")
     assert sorted(j.columns) == ["id", "name", "x"] and j.count() == 3
+
+
+def test_numbering_leaves_no_checkpoint_behind(spark):
+    import gc
+    import os
+    import time
+
+    from guestfold.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+
+    def files():
+        return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if "rdd-" in d}
+
+    before = files()
+    out = K.assign_sequence(spark.range(100).toDF("v"), ["v"])
+    own = files() - before
+    gc.collect()
+    spark._jvm.System.gc()
+    assert own and out.agg(F.max("seq")).first()[0] == 100
+    del out
+    for _ in range(20):
+        gc.collect()
+        spark._jvm.System.gc()
+        if not own & files():
+            break
+        time.sleep(1)
+    assert not own & files()
