@@ -242,8 +242,12 @@ def key_col(df, name: str, collation: str | None = None) -> Column:
     string column, the column under a collation such as ``UTF8_LCASE`` or
     ``UNICODE_CI_AI`` (fidelity mode: case/accent-insensitive equality,
     grouping and joins, SURVEY §1.4)."""
+    return collated(df, name, df[name], collation)
+
+
+def collated(df, name: str, c: Column, collation: str | None) -> Column:
+    """``c``, which holds values of ``df``'s column ``name``, as a comparison key (see :func:`key_col`)."""
     from pyspark.sql.types import StringType
-    c = df[name]
     if collation and isinstance(df.schema[name].dataType, StringType):
         return F.collate(c, collation)
     return c

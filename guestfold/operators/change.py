@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.columns import eq_ns, not_true
+from ..functions.columns import collated, eq_ns, key_col, not_true
 from .keys import pick_one
 
 
@@ -24,11 +24,18 @@ def update_where(df: DataFrame, cond: Column, sets: Mapping[str, Column]) -> Dat
     return df.withColumns({k: F.when(c, v).otherwise(F.col(k)) for k, v in sets.items()})
 
 
-def unique_or_raise(src: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
+def unique_or_raise(src: DataFrame, keys: Sequence[str], what: str = "source", collation: str | None = None) -> DataFrame:
     """``src``, whose rows must be unique on ``keys``: equal rows collapse, two
     different rows of one key raise an error (instead of one being picked by
-    chance).  One aggregation, so nothing is gathered per key."""
+    chance).  One aggregation, so nothing is gathered per key.  Under a ``collation`` keys that it holds equal are
+    one key, which is written as the least of them."""
     rest = [c for c in src.columns if c not in keys]
+    if collation:
+        one = src.groupBy(*[key_col(src, k, collation).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
+            F.min(F.struct(*keys)).alias("__keys"), *([F.min(F.struct(*rest)).alias("__lo"), F.max(F.struct(*rest)).alias("__hi")] if rest else []))
+        lo, hi = (F.col("__lo"), F.col("__hi")) if rest else (F.lit(1), F.lit(1))
+        row = F.when(lo.eqNullSafe(hi), lo).otherwise(F.raise_error(F.lit(f"{what}: several rows for one key")))
+        return one.withColumn("__row", row).select(*[F.col(f"__keys.{c}" if c in keys else f"__row.{c}").alias(c) for c in src.columns])
     one = src.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__lo"), F.max(F.struct(*rest)).alias("__hi")) if rest \
         else src.select(*keys).distinct()
     if not rest:
@@ -38,27 +45,30 @@ def unique_or_raise(src: DataFrame, keys: Sequence[str], what: str = "source") -
     return one.withColumn("__row", row).select(*[F.col(k) if k in keys else F.col(f"__row.{k}").alias(k) for k in src.columns])
 
 
-def _one_per_key(src: DataFrame, keys: Sequence[str], order: Sequence[Column | str] | None) -> DataFrame:
+def _one_per_key(src: DataFrame, keys: Sequence[str], order: Sequence[Column | str] | None, collation: str | None = None) -> DataFrame:
     if order:
-        return pick_one(src, keys, order)
-    return unique_or_raise(src, keys)
+        return pick_one(src, keys, order, collation=collation)
+    return unique_or_raise(src, keys, collation=collation)
 
 
 def update_from(df: DataFrame, src: DataFrame, keys: Sequence[str], sets: Mapping[str, Column | str],
                 where: Column | None = None, order: Sequence[Column | str] | None = None,
-                prefix: str = "src_") -> DataFrame:
+                prefix: str = "src_", collation: str | None = None) -> DataFrame:
     """``UPDATE t JOIN s ON keys SET ...`` (M2).
 
     ``src`` is first reduced to one row per key (by ``order``; without it the
     source must already be unique), then left-joined, so the row count never
     changes.  In ``sets`` and ``where`` the source columns are named with
     ``prefix``; a row is changed only when it has a match and ``where`` holds.
+    ``collation`` compares string keys (see :func:`~guestfold.functions.columns.key_col`), in the reduction too.
     """
-    s = _one_per_key(src, keys, order)
-    s = s.select(*[F.col(k) for k in keys],
-                 *[F.col(c).alias(prefix + c) for c in s.columns if c not in keys],
-                 F.lit(True).alias("__matched"))
-    j = df.join(s, list(keys), "left")
+    s = _one_per_key(src, keys, order, collation)
+    values = [F.col(c).alias(prefix + c) for c in s.columns if c not in keys]
+    if collation:
+        s = s.select(*[key_col(s, k, collation).alias(f"__k{i}") for i, k in enumerate(keys)], *values, F.lit(True).alias("__matched"))
+        j = df.join(s, [key_col(df, k, collation) == s[f"__k{i}"] for i, k in enumerate(keys)], "left")
+    else:
+        j = df.join(s.select(*keys, *values, F.lit(True).alias("__matched")), list(keys), "left")
     hit = F.coalesce(F.col("__matched"), F.lit(False))
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))
@@ -67,11 +77,11 @@ def update_from(df: DataFrame, src: DataFrame, keys: Sequence[str], sets: Mappin
 
 
 def fill_from(df: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str] | Mapping[str, str],
-              order: Sequence[Column | str] | None = None, where: Column | None = None) -> DataFrame:
+              order: Sequence[Column | str] | None = None, where: Column | None = None, collation: str | None = None) -> DataFrame:
     """Fill only missing values from a source (M4): ``coalesce(target, source)``."""
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     sets = {t: F.coalesce(F.col(t), F.col("src_" + s)) for t, s in mapping.items()}
-    return update_from(df, src, keys, sets, where=where, order=order)
+    return update_from(df, src, keys, sets, where=where, order=order, collation=collation)
 
 
 def flag_exists(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
@@ -91,31 +101,42 @@ def replace_slice(target: DataFrame, new: DataFrame, cond: Column) -> DataFrame:
     return target.where(not_true(cond)).unionByName(new, allowMissingColumns=True)
 
 
-def delete_matching(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]]) -> DataFrame:
+def delete_matching(df: DataFrame, src: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
+                    collation: str | None = None) -> DataFrame:
     """``DELETE t FROM t JOIN s`` (M6): an anti join."""
     from .joins import keep_missing
-    return keep_missing(df, src, keys)
+    return keep_missing(df, src, keys, collation=collation)
 
 
-def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], collation: str | None = None) -> DataFrame:
     """``INSERT IGNORE`` (S14): new rows whose key is unseen are appended, one
-    per key (the least row by its other columns, so a retry picks the same)."""
+    per key (the least row by its other columns, so a retry picks the same; under a ``collation`` by its keys as
+    they are written after them)."""
+    from .joins import keep_missing
     rest = [c for c in new.columns if c not in keys]
-    fresh = pick_one(new, keys, [F.col(c) for c in rest]) if rest else new.distinct()
-    fresh = fresh.join(target.select(*keys), list(keys), "left_anti")
+    if collation:
+        fresh = pick_one(new, keys, [F.col(c) for c in (*rest, *keys)], collation=collation)
+    else:
+        fresh = pick_one(new, keys, [F.col(c) for c in rest]) if rest else new.distinct()
+    fresh = keep_missing(fresh, target.select(*keys), list(keys), collation=collation)
     return target.unionByName(fresh.select(*target.columns))
 
 
-def changed(cols: Sequence[str], old: str = "t", new: str = "s") -> Column:
-    """True when any column differs NULL-safely between two aliased sides."""
+def changed(cols: Sequence[str], old: str = "t", new: str = "s", like: DataFrame | None = None, collation: str | None = None) -> Column:
+    """True when any column differs NULL-safely between two aliased sides (P9).  Under a ``collation``, text
+    columns (by their type in ``like``) differ only where it tells them apart."""
     c = F.lit(False)
     for x in cols:
-        c = c | ~eq_ns(F.col(f"{old}.{x}"), F.col(f"{new}.{x}"))
+        a, b = F.col(f"{old}.{x}"), F.col(f"{new}.{x}")
+        if collation:
+            a, b = collated(like, x, a, collation), collated(like, x, b, collation)
+        c = c | ~eq_ns(a, b)
     return c
 
 
 def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str], as_of: str,
-           action_col: str = "action", stamp_col: str = "updated_at", changed_col: str = "is_changed") -> DataFrame:
+           action_col: str = "action", stamp_col: str = "updated_at", changed_col: str = "is_changed",
+           collation: str | None = None) -> DataFrame:
     """Null-safe upsert.
 
     * key only in ``new``  -> inserted, ``action = 'created'``
@@ -128,17 +149,18 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequenc
     where it has that column, in created rows).  The stamp and the changed flag of
     unchanged and kept rows stay what the target has (NULL and 0 without such
     columns).  One full outer join on the keys; two different ``new`` rows of one
-    key raise an error.
+    key raise an error.  ``collation`` compares string keys and the text of ``cols``; a matched row keeps its key
+    as the target writes it.
     """
     others = [c for c in target.columns if c not in {*keys, *cols, stamp_col, changed_col}]
     from_new = [c for c in others if c in new.columns]
-    new = unique_or_raise(new.select(*keys, *cols, *from_new), keys, "upsert")
+    new = unique_or_raise(new.select(*keys, *cols, *from_new), keys, "upsert", collation)
     s = new.withColumn("__in_new", F.lit(True)).alias("s")
     t2 = target.withColumn("__in_old", F.lit(True)).alias("t")
-    j = t2.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")
+    j = t2.join(s, [collated(target, k, F.col(f"t.{k}"), collation) == collated(new, k, F.col(f"s.{k}"), collation) for k in keys], "full")
     in_old = F.coalesce(F.col("t.__in_old"), F.lit(False))
     in_new = F.coalesce(F.col("s.__in_new"), F.lit(False))
-    diff = changed(cols)
+    diff = changed(cols, like=new, collation=collation)
     action = (F.when(in_old & in_new & diff, F.lit("updated"))
               .when(in_old & in_new, F.lit("unchanged"))
               .when(in_new, F.lit("created"))

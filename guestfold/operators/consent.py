@@ -8,9 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import iso_date, iso_utc
+from ..functions.columns import iso_date, iso_utc, key_col
 from .identity import party_type
-from .joins import left_merge
+from .joins import keep_matching, left_merge
 
 
 def build_consent(cpc: DataFrame, cpe: DataFrame, acc: DataFrame, date_cols: Sequence[str] = (),
@@ -75,16 +75,16 @@ def central_consents(optins: DataFrame, contact_points: DataFrame, consents: Dat
 
 
 def optouts(unsubscribed: DataFrame, consents: DataFrame, email: str, consent_email: str, consent_id: str,
-            consent_name: str, status: str, name: str, as_of: str) -> DataFrame:
+            consent_name: str, status: str, name: str, as_of: str, collation: str | None = None) -> DataFrame:
     """Opt-outs to send (C4): the distinct ids of the consents called ``name``
     whose *current* status is ``OptIn`` and whose address unsubscribed, with the end
     date ``as_of``.
 
     When somebody opted in again does not matter: the current status decides.
     The addresses act as a filter (semi join), so an address listed many times
-    multiplies nothing; NULL addresses never match."""
-    wanted = consents.where((F.col(consent_name) == name) & (F.col(status) == "OptIn"))
-    hit = wanted.join(unsubscribed.select(F.col(email).alias(consent_email)), consent_email, "left_semi")
+    multiplies nothing; NULL addresses never match.  ``collation`` compares addresses, names and status."""
+    wanted = consents.where((key_col(consents, consent_name, collation) == name) & (key_col(consents, status, collation) == "OptIn"))
+    hit = keep_matching(wanted, unsubscribed.select(F.col(email).alias(consent_email)), [consent_email], collation=collation)
     return hit.select(consent_id).distinct().select(
         consent_id, F.lit(as_of).cast("date").alias("effective_to"), F.lit("OptOut").alias("status"))
 

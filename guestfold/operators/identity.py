@@ -64,7 +64,7 @@ def party_type(c) -> Column:
 
 def match_rules(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
                 rules: Sequence[tuple[Sequence[str], Sequence[str]]], match_col: str = "match_key",
-                rule_col: str = "rule") -> DataFrame:
+                rule_col: str = "rule", collation: str | None = None) -> DataFrame:
     """Match rows of ``a`` to ``b`` by an ordered list of key rules.
 
     The first rule that finds a partner wins, and within a rule the smallest
@@ -73,12 +73,12 @@ def match_rules(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
     before the join, and the join is many-to-one; no key group ever emits all
     of its pairs.  Candidates of all rules are unioned and the lowest rule
     number is picked per ``a`` row.  Equal to running the rules in order on
-    the still unmatched rows."""
+    the still unmatched rows.  ``collation`` compares string keys of the rules."""
     cands = None
     for i, (ak, bk) in enumerate(rules, start=1):
-        bb = (b.groupBy(*[F.col(k).alias(f"__b{j}") for j, k in enumerate(bk)])
+        bb = (b.groupBy(*[key_col(b, k, collation).alias(f"__b{j}") for j, k in enumerate(bk)])
               .agg(F.min(b_id).alias(match_col)))
-        cond = [a[k] == bb[f"__b{j}"] for j, k in enumerate(ak)]
+        cond = [key_col(a, k, collation) == bb[f"__b{j}"] for j, k in enumerate(ak)]
         c = a.join(bb, cond, "inner").select(F.col(a_id), F.col(match_col), F.lit(i).alias(rule_col))
         cands = c if cands is None else cands.unionByName(c)
     return pick_one(cands, [a_id], [rule_col, match_col])
@@ -122,11 +122,21 @@ def _with_ids(res: DataFrame, found: DataFrame) -> DataFrame:
     return j.withColumns({k: F.col(f"__p.{v}") for k, v in ids.items()}).drop("__p")
 
 
-def backfill_unique(df: DataFrame, links: DataFrame, key: tuple[str, str] | str, val: str, out: str) -> DataFrame:
+def backfill_unique(df: DataFrame, links: DataFrame, key: tuple[str, str] | str, val: str, out: str,
+                    collation: str | None = None) -> DataFrame:
     """Fill ``out`` from the linked rows only when all of them agree on one
     value (D3): keep keys whose least and greatest value are equal (one partial
-    aggregation, no distinct count), then fill only where ``out`` is still NULL (M4)."""
+    aggregation, no distinct count), then fill only where ``out`` is still NULL (M4).
+
+    ``collation`` compares string keys, and text values that it holds equal agree: the greatest as written is filled in."""
     lk, rk = (key, key) if isinstance(key, str) else key
+    if collation:
+        known = links.where(F.col(val).isNotNull())
+        v = key_col(known, val, collation)
+        agg = (known.groupBy(key_col(known, rk, collation).alias("__k"))
+               .agg(F.max(val).alias("__v"), F.max(v).alias("__hi"), F.min(v).alias("__lo")).where(F.col("__hi") == F.col("__lo")).drop("__hi", "__lo"))
+        j = df.join(agg, key_col(df, lk, collation) == agg["__k"], "left")
+        return j.withColumn(out, F.coalesce(F.col(out), F.col("__v"))).drop("__v", "__k")
     agg = (links.where(F.col(val).isNotNull()).groupBy(F.col(rk).alias(lk))
            .agg(F.max(val).alias("__v"), F.min(val).alias("__lo"))
            .where(F.col("__v") == F.col("__lo")).drop("__lo"))
@@ -163,34 +173,36 @@ def high_value(df: DataFrame, active: DataFrame, key: str, currency: str, amount
 
 
 def classify_import(df: DataFrame, target: DataFrame, key: tuple[str, str], name: tuple[str, str],
-                    op_col: str = "operation", reason_col: str = "conflict_reason") -> DataFrame:
+                    op_col: str = "operation", reason_col: str = "conflict_reason", collation: str | None = None) -> DataFrame:
     """Import operation per row (D11): ``create`` without a target match, ``none``
     with a reason when the name of *any* matching target differs (J14), else
     ``update``.  A NULL name on either side differs from nothing (SQL ``<>``).
 
     The names of a key's targets reduce to their least and greatest, which
-    tells whether one of them differs, without a row per target."""
+    tells whether one of them differs, without a row per target.  ``collation`` compares string keys and names."""
     lk, rk = key
     ln, rn = name
-    t = (target.where(F.col(rk).isNotNull()).groupBy(F.col(rk).alias("__tk"))
-         .agg(F.min(rn).alias("__lo"), F.max(rn).alias("__hi")))
-    j = df.join(t, df[lk] == t["__tk"], "left")
-    differs = F.coalesce((F.col("__lo") != F.col(ln)) | (F.col("__hi") != F.col(ln)), F.lit(False))
+    theirs, own = key_col(target, rn, collation), key_col(df, ln, collation)
+    t = (target.where(F.col(rk).isNotNull()).groupBy(key_col(target, rk, collation).alias("__tk"))
+         .agg(F.min(theirs).alias("__lo"), F.max(theirs).alias("__hi")))
+    j = df.join(t, key_col(df, lk, collation) == t["__tk"], "left")
+    differs = F.coalesce((F.col("__lo") != own) | (F.col("__hi") != own), F.lit(False))
     op = F.when(F.col("__tk").isNull(), F.lit("create")).when(differs, F.lit("none")).otherwise(F.lit("update"))
     reason = F.when(F.col("__tk").isNotNull() & differs, F.lit("name_conflict"))
     return j.withColumn(op_col, op).withColumn(reason_col, reason).drop("__tk", "__lo", "__hi")
 
 
 def attach_ids(df: DataFrame, accounts: DataFrame, key: tuple[str, str], cols: Sequence[str],
-               id_col: str, person_only: bool = True, order: Sequence[Column | str] | None = None) -> DataFrame:
+               id_col: str, person_only: bool = True, order: Sequence[Column | str] | None = None,
+               collation: str | None = None) -> DataFrame:
     """Attach target ids by a matching key (D10, D20).  Accounts are reduced to
     one row per key (``order``, default the id) before the left join; with
     ``person_only`` ids are attached only when the id prefix marks a person
-    account (F27)."""
+    account (F27).  ``collation`` compares string keys."""
     lk, rk = key
-    acc = pick_one(accounts, [rk], order or [id_col])
-    acc = acc.select(F.col(rk).alias("__k"), *[F.col(c) for c in cols])
-    j = df.join(acc, df[lk] == acc["__k"], "left").drop("__k")
+    acc = pick_one(accounts, [rk], order or [id_col], collation=collation)
+    acc = acc.select(key_col(acc, rk, collation).alias("__k"), *[F.col(c) for c in cols])
+    j = df.join(acc, key_col(df, lk, collation) == acc["__k"], "left").drop("__k")
     if person_only:
         ok = party_type(F.col(id_col)) == "Account"
         j = j.withColumns({c: F.when(ok, F.col(c)) for c in cols})
