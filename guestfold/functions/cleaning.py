@@ -487,6 +487,29 @@ def infer_from_name(df: DataFrame, name: str, attr: str, min_n: int, min_ratio:
     return j.withColumn(out, F.when(empty, F.col("__dom")).otherwise(F.col(attr))).drop("__name", "__dom")
 
 
+def infer_gender(df: DataFrame, name: str = "fname", salutation: str = "salutation", gender: str = "gender",
+                 min_n: int = 10, min_ratio: float = 0.45) -> DataFrame:
+    """Canonical salutation (N4), gender from it (N5) and, where that is empty, from the first name (N6), in one go.
+
+    The answer depends on (name, salutation, gender) alone, so rows are first counted per such triple: all rules run on the
+    distinct triples, the dominant gender of a name is found from their counts, and one NULL-safe join gives the answers
+    back to the rows.  Equal to :func:`normalise_salutation`, :func:`gender_from_salutation` and :func:`infer_from_name` in a row."""
+    keys = [name, salutation, gender]
+    raw = df.groupBy(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
+    # the rules of a salutation read it many times; it is worked out here, below the exchange of the counts
+    seen = raw.select("*", _salutation_for(df.sparkSession, "__r1").alias("__s"), F.col("__r2").alias("__g"), F.lower(F.trim("__r0")).alias("__name"))
+    seen = gender_from_salutation(seen, "__s", "__g")
+    empty = F.col("__g").isNull() | (F.col("__g") == "")
+    per_val = seen.where(~empty & F.col("__name").isNotNull()).groupBy("__name", "__g").agg(F.sum("__n").alias("__n_val"))
+    # both the total and the most frequent value (ties: the least) of a name, by one aggregate
+    best = per_val.groupBy("__name").agg(F.sum("__n_val").alias("__n_key"), F.min(F.struct((-F.col("__n_val")).alias("n"), F.col("__g").alias("v"))).alias("__top"))
+    share = F.round(-F.col("__top.n") / F.col("__n_key"), 4)
+    best = best.where((F.col("__n_key") >= min_n) & (share >= min_ratio)).select("__name", F.col("__top.v").alias("__dom"))
+    known = seen.join(best, "__name", "left").select("__r0", "__r1", "__r2", "__s", F.when(empty, F.col("__dom")).otherwise(F.col("__g")).alias("__g"))
+    j = df.join(known, [df[c].eqNullSafe(known[f"__r{i}"]) for i, c in enumerate(keys)], "left")
+    return j.select(*[F.col("__s").alias(c) if c == salutation else F.col("__g").alias(c) if c == gender else df[c] for c in df.columns])
+
+
 #: Salutations that names may be learnt from, those that stay, and their gender.
 LEARNT_SALUTATIONS = ["Mr.", "Mrs.", "Ms."]
 KEPT_SALUTATIONS = ["Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Mx"]

@@ -474,8 +474,7 @@ SELECT g.c_custkey, g.fname, CASE WHEN g.gender IS NULL OR g.gender = '' THEN do
 FROM g LEFT JOIN dom ON dom.nm = lower(trim(g.fname))""")
 def infer_gender(spark, sf):
     d = dirty(spark, sf).select("c_custkey", "fname", "salutation").withColumn("gender", F.lit(None).cast("string"))
-    d = N.gender_from_salutation(N.normalise_salutation(d, "salutation"))
-    return N.infer_from_name(d, "fname", "gender", INFER_MIN_N, INFER_MIN_RATIO).select("c_custkey", "fname", "gender")
+    return N.infer_gender(d, min_n=INFER_MIN_N, min_ratio=INFER_MIN_RATIO).select("c_custkey", "fname", "gender")
 
 
 @register("infer_salutation", oracle_with("dirty") + """

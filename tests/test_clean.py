@@ -136,3 +136,17 @@ def test_infer_salutation_and_gender(spark):
 def test_has_script(spark):
     assert one(spark, N.has_script, "Иванов") is True
     assert one(spark, N.has_script, "Müller") is False
+
+
+def test_infer_gender_is_its_three_steps(spark):
+    names = [("Ann", "Frau", None), ("ann ", "Mrs", ""), ("ANN", "x", None), ("Bob", "Herr", None), ("Bob", None, "Female"), ("Bob", "Mr", "Male"),
+             (None, "Herr", None), ("Eve", None, None), ("", "Frau", ""), ("Kim", "Mr", None), ("Kim", "Ms", None), ("Kim", None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(names * 3)], "id int, fname string, salutation string, gender string")
+    for min_n, ratio in ((1, 0.5), (6, 0.5), (6, 0.6), (1, 1.0)):
+        want = N.infer_from_name(N.gender_from_salutation(N.normalise_salutation(df)), "fname", "gender", min_n, ratio)
+        got = N.infer_gender(df, min_n=min_n, min_ratio=ratio)
+        assert got.columns == df.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(df.columns).collect()))
+    shuffles = [x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")  # not run yet: one plan each
+                for x in (N.infer_gender(df), N.infer_from_name(N.gender_from_salutation(N.normalise_salutation(df)), "fname", "gender", 1, 1.0))]
+    assert shuffles[0] < shuffles[1]

@@ -173,3 +173,14 @@ def test_land_materialise_and_insert_select(spark):
     extra = spark.createDataFrame([(3, "c")], "k int, v string")
     ins = IO.insert_select(landed, extra, ["k", "v"])
     assert sorted(tuple(r) for r in ins.collect()) == [(1, "a", "x"), (2, "b", "y"), (3, "c", None)]
+
+
+def test_a_batch_of_rejects_is_one_file(spark):
+    import os
+
+    path = IO.scratch_dir(spark, "rejects-files").removeprefix("file:")
+    df = spark.range(2000).repartition(8).select((F.col("id") % 20).alias("batch_no"), F.col("id").alias("k"))
+    IO.write_rejects(df, path)
+    files = [n for d, _, names in os.walk(path) for n in names if n.startswith("part-")]
+    assert len(files) == 20
+    assert spark.read.schema("k long, batch_no long").json(path).agg(F.count("*"), F.sum("k")).first() == (2000, 1999 * 1000)
