@@ -4,8 +4,9 @@ Each block starts from nothing.  For every id, order 2 (the two ids before) and
 id before) predict one id each, with a confidence of 0 to 7; order 0 is the
 frequency table of the block so far.  The three are mixed: weights that adapt per pair of confidences
 give the shares of the code range for order 2's id, order 1's id and the table,
-which itself keeps a share for ids not seen yet (coded as 16 or 32 plain bits).
-The table is made anew whenever the block has doubled, from 128 ids on.
+which itself keeps a share for ids not seen yet: the part of the block that was seen once only, which is the Good-Turing
+estimate of that chance.  The table learns from the 8th id on, whenever the block has grown by an eighth; what is new is
+merged into it.  An id that it doesn't know is coded by its length in bits, by the counts of those lengths so far, and its plain bits.
 
 The coder has a 48-bit range and writes 16-bit words; a carry is added to the word before
 when a block is finished.  All lanes (blocks) take the same step at the same
@@ -20,9 +21,13 @@ import numpy as np
 
 #: Ids in a block; blocks coded together.
 BLOCK, LANES = 4096, 1024
-#: Entries of an order's prediction table; first size of the frequency table; its least share for new ids (of 2**16).
-SLOTS, FIRST, ESCAPE = 1024, 128, 4096
+#: Entries of an order's prediction table; ids before the frequency table learns first; its least and largest share for new ids (of 2**16).
+SLOTS, FIRST, ESCAPE = 1024, 8, (512, 49152)
 MAX_ID = (1 << 29) - 1
+#: First weights by confidence (of 2**16): order 2's id, and order 1's id in what is left.
+TWO, ONE = (256, 12288, 24576, 36864, 45056, 51200, 55296, 59392), (256, 8192, 16384, 24576, 32768, 38912, 45056, 51200)
+#: Longest block: every id of a block needs a share of its table.
+MOST = 1 << 15
 _U = np.uint64
 _RATE = 5
 
@@ -30,17 +35,36 @@ _RATE = 5
 class _Table:
     """Order-0 frequencies (of 2**16) of the lanes' histories, for all lanes in one sorted array."""
 
-    def __init__(self, history: np.ndarray):
-        t, lanes = history.shape
-        keys = (np.arange(lanes, dtype=np.int64) << 32) | history.astype(np.int64)
-        keys, counts = np.unique(keys.ravel(), return_counts=True)
-        lane = keys >> 32
-        distinct = np.bincount(lane, minlength=lanes)
-        freq = 1 + counts * (65536 - ESCAPE - distinct)[lane] // t if t else counts
+    def __init__(self, lanes: int):
+        self.lanes, self.t = lanes, 0
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._shares()
+
+    def add(self, more: np.ndarray) -> None:
+        """Learn the next ids (one row a step) of all lanes."""
+        seen = np.sort(more.T, axis=1) | (np.arange(self.lanes, dtype=np.int64) << 32)[:, None]
+        seen = seen.ravel()
+        first = np.flatnonzero(np.concatenate(([True], seen[1:] != seen[:-1])))
+        keys, counts = seen[first], np.diff(first, append=len(seen))
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys
+        self.counts[at[known]] += counts[known]
+        self.keys, self.counts = (np.insert(old, at[~known], new[~known]) for old, new in ((self.keys, keys), (self.counts, counts)))
+        self.t += len(more)
+        self._shares()
+
+    def _shares(self) -> None:
+        lane, lanes = self.keys >> 32, self.lanes
+        distinct, once = np.bincount(lane, minlength=lanes), np.bincount(lane[self.counts == 1], minlength=lanes)
+        fresh = np.clip(65536 * once // max(self.t, 1), *ESCAPE)
+        fresh = np.minimum(fresh, 65536 - 2 * distinct)  # leaves every known id a share
+        freq = 1 + self.counts * (65536 - fresh - distinct)[lane] // max(self.t, 1)
         total = np.cumsum(freq) - freq
         first = np.cumsum(distinct) - distinct
         base = np.concatenate((total, [0]))[first] * (distinct > 0)
-        self.keys, self.freq, self.start = keys, freq, total - base[lane]
+        self.freq, self.start = freq, total - base[lane]
         self.last = np.zeros(lanes, np.int64)  # where the share for new ids starts
         np.add.at(self.last, lane, freq)
         self.slots = (lane << 17) | self.start
@@ -65,12 +89,50 @@ class _Table:
                 self.keys[at] & 0xFFFFFFFF)
 
 
+class _Lengths:
+    """Adaptive counts of the lengths in bits of ids that no table knows, and the shares of their plain bits."""
+
+    def __init__(self, wide: np.ndarray):
+        self.counts = (np.arange(32) <= np.where(wide, 31, 16)[:, None]).astype(np.int64)
+
+    def _ends(self, lane: np.ndarray) -> np.ndarray:
+        total = np.cumsum(self.counts[lane], axis=1)
+        return (total << 16) // total[:, -1:]
+
+    def of_ids(self, lane: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, size) of lengths."""
+        ends, row = self._ends(lane), np.arange(len(lane))
+        start = np.where(length > 0, ends[row, length - 1], 0)
+        return start, ends[row, length] - start
+
+    def of_slots(self, lane: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size, length) of the entries that hold a slot."""
+        ends, row = self._ends(lane), np.arange(len(lane))
+        length = (ends <= slot[:, None]).sum(axis=1)
+        start = np.where(length > 0, ends[row, length - 1], 0)
+        return start, ends[row, length] - start, length
+
+    def learn(self, lane: np.ndarray, length: np.ndarray) -> None:
+        self.counts[lane, length] += 1
+
+    @staticmethod
+    def plain(length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits below the leading one, the low 16 and those above."""
+        rest = np.maximum(length - 1, 0)
+        return np.minimum(rest, 16), np.maximum(rest - 16, 0)
+
+
+def _bit_length(x: np.ndarray) -> np.ndarray:
+    return np.frexp(x.astype(np.float64))[1].astype(np.int64)
+
+
 class _Model:
     """Predictions and mixing weights of all lanes."""
 
     def __init__(self, lanes: int):
         self.one, self.two = (np.zeros(lanes * SLOTS, np.uint32) for _ in range(2))
-        self.first, self.second = (np.full(lanes * 128, 16384, np.int64) for _ in range(2))
+        ctx = np.arange(128)  # the confidences of order 2 and order 1, and whether their ids differ
+        self.first, self.second = (np.tile(np.array(w, np.int64)[at], lanes) for w, at in ((TWO, ctx >> 4), (ONE, ctx >> 1 & 7)))
         self.base, self.mix = np.arange(lanes) * SLOTS, np.arange(lanes) * 128
         self.a = self.b = np.zeros(lanes, np.int64)  # the last id, the one before
 
@@ -102,8 +164,9 @@ class _Model:
         self.b[:n], self.a[:n] = self.a[:n], ids
 
 
-def _refresh(t: int) -> bool:
-    return t >= FIRST and t & (t - 1) == 0
+def _due(t: int) -> int:
+    """When the table learns again that learnt at ``t`` ids."""
+    return t + max(FIRST, t >> 3)
 
 
 def _lanes(blocks: list[np.ndarray]) -> list[int]:
@@ -121,6 +184,8 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[int, bytes]]:
         ids[:sizes[k], k] = blocks[i]
     if steps and not 0 <= ids.min() <= ids.max() <= MAX_ID:
         raise ValueError(f"ids must be from 0 to {MAX_ID}")
+    if steps > MOST:
+        raise ValueError(f"a block holds at most {MOST} ids")
     wide = ids.max(axis=0, initial=0) > 65535
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64)
     words, owners = [], []
@@ -141,11 +206,12 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[int, bytes]]:
         words.append((x >> _U(32)).astype(np.uint32)), owners.append(lane)
         low[lane] = (x & _U(0xFFFFFFFF)) << _U(16)
 
-    model, table = _Model(lanes), _Table(ids[:0])
+    model, table, lengths, due = _Model(lanes), _Table(lanes), _Lengths(wide), FIRST
     for t in range(steps):
         n = int(np.searchsorted(-sizes, -t))  # lanes with more than t ids
-        if _refresh(t):
-            table = _Table(ids[:t])
+        if t == due:
+            table.add(ids[table.t:t])
+            due = _due(t)
         x = ids[t, :n]
         p2, p1, differ, end2, end1 = model.predict(n)
         hit2 = p2 == x
@@ -158,10 +224,15 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[int, bytes]]:
             put(lane, start, freq)
             lane = lane[~known]
             if len(lane):
-                put(lane, x[lane] & 0xFFFF, np.ones(len(lane), np.int64))
-                high = lane[wide[lane]]
-                if len(high):
-                    put(high, x[high] >> 16, np.ones(len(high), np.int64))
+                length = _bit_length(x[lane])
+                put(lane, *lengths.of_ids(lane, length))
+                lengths.learn(lane, length)
+                low_bits, high_bits = lengths.plain(length)
+                rest = x[lane] - (1 << length >> 1)
+                put(lane, (rest & 0xFFFF) << (16 - low_bits), 65536 >> low_bits)
+                far = np.flatnonzero(high_bits)
+                if len(far):
+                    put(lane[far], rest[far] >> 16 << (16 - high_bits[far]), 65536 >> high_bits[far])
         model.learn(x, hit2, differ)
     for _ in range(3):
         emit(every)
@@ -207,16 +278,18 @@ def decode(coded: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
             size[lane] <<= _U(16)
             at[lane] += 1
 
-    def plain(lane):
+    def plain(lane, bits):
         r, slot = slots(lane)
-        take(lane, r, slot, np.ones(len(lane), np.int64))
-        return slot
+        got = slot >> (16 - bits)
+        take(lane, r, got << (16 - bits), 65536 >> bits)
+        return got
 
-    model, table = _Model(lanes), _Table(ids[:0])
+    model, table, lengths, due = _Model(lanes), _Table(lanes), _Lengths(wide), FIRST
     for t in range(steps):
         n = int(np.searchsorted(-sizes, -t))
-        if _refresh(t):
-            table = _Table(ids[:t])
+        if t == due:
+            table.add(ids[table.t:t])
+            due = _due(t)
         x = ids[t, :n]
         p2, p1, differ, end2, end1 = model.predict(n)
         r, slot = slots(slice(0, n))
@@ -233,10 +306,15 @@ def decode(coded: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
             x[lane] = found
             lane = lane[~known]
             if len(lane):
-                x[lane] = plain(lane)
-                high = lane[wide[lane]]
-                if len(high):
-                    x[high] |= plain(high) << 16
+                r, slot = slots(lane)
+                start, freq, length = lengths.of_slots(lane, slot)
+                take(lane, r, start, freq)
+                lengths.learn(lane, length)
+                low_bits, high_bits = lengths.plain(length)
+                x[lane] = (1 << length >> 1) + plain(lane, low_bits)
+                far = np.flatnonzero(high_bits)
+                if len(far):
+                    x[lane[far]] += plain(lane[far], high_bits[far]) << 16
         model.learn(x, p2 == x, differ)
     out: list = [None] * lanes
     for k, i in enumerate(order):

@@ -93,6 +93,42 @@ def test_a_predictable_block_is_small():
     assert len(code) < 0.15 * 2 * 4000
 
 
+def test_code_size_of_documents(spark):
+    """Blocks beat deflate on the same blocks, and all orders together the entropy of single ids over all blocks."""
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").sort("doc_id").select("text").collect()]
+    encoded = Tokenizer.from_file(BYTE).encode_batch_fast([x or "" for x in docs], add_special_tokens=False)
+    ids = np.concatenate([[*e.ids, 2] for e in encoded])
+    blocks = [ids[i:i + rangecoder.BLOCK] for i in range(0, len(ids), rangecoder.BLOCK)]
+    coded = sum(len(code) for _, code in rangecoder.encode(blocks)) * 8 / len(ids)
+    deflated = sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks) * 8 / len(ids)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert coded < 0.85 * deflated and coded < -(share * np.log2(share)).sum()
+
+
+def test_a_table_learnt_in_steps_is_that_of_all_ids():
+    rng = np.random.default_rng(3)
+    ids = rng.zipf(1.3, (200, 5)) % 300
+    table = rangecoder._Table(5)
+    for a, b in ((0, 8), (8, 9), (9, 120), (120, 200)):
+        table.add(ids[a:b])
+    for lane in range(5):
+        own = table.keys >> 32 == lane
+        values, counts = np.unique(ids[:, lane], return_counts=True)
+        assert (table.keys[own] & 0xFFFFFFFF).tolist() == values.tolist() and table.counts[own].tolist() == counts.tolist()
+        ends = table.start[own] + table.freq[own]
+        assert table.start[own][0] == 0 and (table.start[own][1:] == ends[:-1]).all() and ends[-1] == table.last[lane] < 65536
+        once = (counts == 1).sum() / 200
+        assert abs((65536 - table.last[lane]) / 65536 - once) < 0.02
+
+
+def test_the_longest_block():
+    ids = np.random.default_rng(5).permutation(rangecoder.MOST)
+    [(bits, code)] = rangecoder.encode([ids])
+    assert (rangecoder.decode([(len(ids), bits, code)])[0] == ids).all()
+    with pytest.raises(ValueError):
+        rangecoder.encode([np.zeros(rangecoder.MOST + 1, int)])
+
+
 def test_crc32_join():
     a, b = b"first part" * 99, b"and the second"
     assert rangecoder.crc32_join(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
