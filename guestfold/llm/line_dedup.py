@@ -139,8 +139,7 @@ def passage_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pd.DataFrame([(xxhash.xxh3_128_digest(x), x) for x in seen], columns=["digest", "body"])
 
     known = rows.select("text").mapInPandas(bodies, "digest binary, body binary").distinct()
-    # 128 bits: none is expected
-    unproven = {bytes(r[0]) for r in known.groupBy("digest").count().filter("count > 1").select("digest").collect()}
+    unproven = scratch.table(known.groupBy("digest").count().filter("count > 1").select("digest"))  # 128 bits: none is expected
 
     def cut(frames):
         for f in text_batches(frames):
@@ -150,11 +149,14 @@ def passage_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 digests = [xxhash.xxh3_128_digest(x) for x in lines]
                 for a, b in units(lines):
                     ends = (digests[a],) if b - a == 1 else (digests[a], digests[b - 1])
-                    if not unproven.intersection(ends):
-                        out.append((i, k1, k2, a, b, b"".join(ends)))
+                    out.append((i, k1, k2, a, b, b"".join(ends)))
             yield pd.DataFrame(out, columns=["id", "k1", "k2", "a", "b", "digest"])
 
     listed = rows.mapInPandas(cut, "id string, k1 bigint, k2 bigint, a int, b int, digest binary").withColumn("id", F.col("id").cast(kind))
+    if not unproven.isEmpty():
+        for start in (1, 17):  # the digests of a unit's first and last line; a single line has the first only
+            bad = unproven.select(F.col("digest").alias("line"))
+            listed = listed.join(bad, F.substring("digest", start, 16) == bad["line"], "left_anti")
     listed = listed.withColumn("at", F.struct("id", "k1", "k2", "a"))
     groups = scratch.table(listed.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.min("at").alias("first")).filter("group_size > 1"))
     again = join_groups(listed, groups, ["digest"], F.xxhash64("k1", "a")).filter("first is not null and not (first <=> at)")

@@ -219,3 +219,13 @@ def test_passages_on_odd_rows(spark, odd, none):
     got = {(r["doc_id"], r["clean_text"]): r["n_lines"] for r in line_dedup.passage_dedup(odd).collect()}
     assert got[(7, LONG)] == 3 and got[(3, None)] == 0 and got[(4, "")] == 0 and got[(6, " \t\n ")] == 2
     assert line_dedup.passage_dedup(none).collect() == []
+
+
+def test_lines_of_one_digest_with_several_bodies_stay(spark, monkeypatch):
+    class Colliding:
+        xxh3_128_digest = staticmethod(lambda x: b"c" * 16 if x in (b"one", b"two") else xxhash.xxh3_128_digest(x))
+
+    monkeypatch.setattr(line_dedup, "xxhash", Colliding)
+    df = spark.createDataFrame([(1, "a\nb\none\nc"), (2, "a\nb\ntwo\nc"), (3, "a\nb\none\nc")], "doc_id int, text string")
+    got = [r["clean_text"] for r in line_dedup.passage_dedup(df).sort("doc_id").collect()]
+    assert got == ["a\nb\none\nc", "two\nc", "one\nc"]  # "one" and its neighbours are not proven to stand before
