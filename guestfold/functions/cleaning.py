@@ -472,16 +472,23 @@ ColumnOrName = Column | str
 
 
 def infer_from_name(df: DataFrame, name: str, attr: str, min_n: int, min_ratio: float,
-                    out: str | None = None) -> DataFrame:
+                    out: str | None = None, weight: str | None = None) -> DataFrame:
     """Infer an attribute (gender, salutation) from the first name (N6): per
     normalised name the dominant known value with at least ``min_n`` rows and
-    ``min_ratio`` share (W4), applied only where the attribute is empty (M2)."""
+    ``min_ratio`` share (W4), applied only where the attribute is empty (M2).
+    With ``weight`` a row stands for that many."""
     from ..operators.keys import dominant
     out = out or attr
     key = F.lower(F.trim(F.col(name)))
-    known = df.select(key.alias("__name"), F.col(attr).alias("__val")).where(F.col("__val").isNotNull()
-                                                                              & (F.col("__val") != ""))
-    dom = dominant(known, "__name", "__val", min_n, min_ratio).select("__name", F.col("__val").alias("__dom"))
+    known = df.select(key.alias("__name"), F.col(attr).alias("__val"), *([F.col(weight).alias("__w")] if weight else [])).where(
+        F.col("__val").isNotNull() & (F.col("__val") != ""))
+    if weight:
+        # both the total and the most frequent value (ties: the least) of a name, by one aggregate
+        per_val = known.where(F.col("__name").isNotNull()).groupBy("__name", "__val").agg(F.sum("__w").alias("n_val"))
+        best = per_val.groupBy("__name").agg(F.sum("n_val").alias("n_key"), F.min(F.struct((-F.col("n_val")).alias("n"), F.col("__val").alias("v"))).alias("top"))
+        dom = best.where((F.col("n_key") >= min_n) & (F.round(-F.col("top.n") / F.col("n_key"), 4) >= min_ratio)).select("__name", F.col("top.v").alias("__dom"))
+    else:
+        dom = dominant(known, "__name", "__val", min_n, min_ratio).select("__name", F.col("__val").alias("__dom"))
     j = df.join(dom, key == dom["__name"], "left")
     empty = F.col(attr).isNull() | (F.col(attr) == "")
     return j.withColumn(out, F.when(empty, F.col("__dom")).otherwise(F.col(attr))).drop("__name", "__dom")
@@ -497,15 +504,9 @@ def infer_gender(df: DataFrame, name: str = "fname", salutation: str = "salutati
     keys = [name, salutation, gender]
     raw = df.groupBy(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
     # the rules of a salutation read it many times; it is worked out here, below the exchange of the counts
-    seen = raw.select("*", _salutation_for(df.sparkSession, "__r1").alias("__s"), F.col("__r2").alias("__g"), F.lower(F.trim("__r0")).alias("__name"))
+    seen = raw.select("*", _salutation_for(df.sparkSession, "__r1").alias("__s"), F.col("__r2").alias("__g"))
     seen = gender_from_salutation(seen, "__s", "__g")
-    empty = F.col("__g").isNull() | (F.col("__g") == "")
-    per_val = seen.where(~empty & F.col("__name").isNotNull()).groupBy("__name", "__g").agg(F.sum("__n").alias("__n_val"))
-    # both the total and the most frequent value (ties: the least) of a name, by one aggregate
-    best = per_val.groupBy("__name").agg(F.sum("__n_val").alias("__n_key"), F.min(F.struct((-F.col("__n_val")).alias("n"), F.col("__g").alias("v"))).alias("__top"))
-    share = F.round(-F.col("__top.n") / F.col("__n_key"), 4)
-    best = best.where((F.col("__n_key") >= min_n) & (share >= min_ratio)).select("__name", F.col("__top.v").alias("__dom"))
-    known = seen.join(best, "__name", "left").select("__r0", "__r1", "__r2", "__s", F.when(empty, F.col("__dom")).otherwise(F.col("__g")).alias("__g"))
+    known = infer_from_name(seen, "__r0", "__g", min_n, min_ratio, weight="__n").drop("__n")
     j = df.join(known, [df[c].eqNullSafe(known[f"__r{i}"]) for i, c in enumerate(keys)], "left")
     return j.select(*[F.col("__s").alias(c) if c == salutation else F.col("__g").alias(c) if c == gender else df[c] for c in df.columns])
 
