@@ -6,11 +6,12 @@ frequency table of the block so far.  The three are mixed: weights that adapt pe
 give the shares of the code range for order 2's id, order 1's id and the table,
 which itself keeps a share for ids not seen yet: the part of the block that was seen once only, which is the Good-Turing
 estimate of that chance.  The table learns from the 8th id on, whenever the block has grown by an eighth; what is new is
-merged into it.  An id that it doesn't know is coded by its length in bits, by the counts of those lengths so far, and its plain bits.
+merged into it.  An id that it doesn't know is coded by its length in bits, by the counts of those lengths, which learn when the table does, and its plain bits.
 
 The coder has a 48-bit range and writes 16-bit words; a carry is added to the word before
 when a block is finished.  All lanes (blocks) take the same step at the same
-time as numpy vectors, so a step costs a few dozen vector operations for hundreds of ids.
+time as numpy vectors, so a step costs a few dozen vector operations for hundreds of ids.  The encoder, which has all ids,
+looks up what the table says of all steps up to its next change at once.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ TWO, ONE = (256, 12288, 24576, 36864, 45056, 51200, 55296, 59392), (256, 8192, 1
 MOST = 1 << 15
 _U = np.uint64
 _RATE = 5
+#: Multipliers of the hashes of contexts, and the shift to a slot.
+_HASH, _SHIFT = (np.uint32(2654435761), np.uint32(2246822519)), 33 - SLOTS.bit_length()
+#: Change of an entry by its confidence, without and with a hit: one more at most 7, or half (an entry of 0 or 1 goes).
+_KEPT = np.array([0, 0, *((c >> 1) - c for c in range(2, 8)), 1, 1, 1, 1, 1, 1, 1, 0], np.int64).astype(np.uint32)
 
 
 class _Table:
@@ -56,27 +61,15 @@ class _Table:
         self._shares()
 
     def _shares(self) -> None:
-        lane, lanes = self.keys >> 32, self.lanes
-        distinct, once = np.bincount(lane, minlength=lanes), np.bincount(lane[self.counts == 1], minlength=lanes)
-        fresh = np.clip(65536 * once // max(self.t, 1), *ESCAPE)
-        fresh = np.minimum(fresh, 65536 - 2 * distinct)  # leaves every known id a share
-        freq = 1 + self.counts * (65536 - fresh - distinct)[lane] // max(self.t, 1)
-        total = np.cumsum(freq) - freq
-        first = np.cumsum(distinct) - distinct
-        base = np.concatenate((total, [0]))[first] * (distinct > 0)
-        self.freq, self.start = freq, total - base[lane]
-        self.last = np.zeros(lanes, np.int64)  # where the share for new ids starts
-        np.add.at(self.last, lane, freq)
-        self.slots = (lane << 17) | self.start
-
-    def of_ids(self, lane: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, size, known) of ids; those of unknown ids are of the share for new ids."""
-        start, key = self.last[lane], (lane << 32) | ids
-        if not len(self.keys):
-            return start, 65536 - start, np.zeros(len(ids), bool)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        known = self.keys[at] == key
-        return np.where(known, self.start[at], start), np.where(known, self.freq[at], 65536 - start), known
+        lane, t = self.keys >> 32, self.t
+        once = np.bincount(lane[self.counts == 1], minlength=self.lanes)
+        self.last = _known_share(once, t)  # where the share for new ids starts
+        ends = np.cumsum(self.counts) - lane * t  # ids of a lane's history up to each entry's
+        last = self.last[lane]
+        self.start = (ends - self.counts) * last // max(t, 1)
+        self.freq = ends * last // max(t, 1) - self.start
+        #: Of every place in a lane's sorted history: its id, start and size.
+        self.places = np.repeat((self.keys & 0xFFFFFFFF) << 33 | self.start << 17 | self.freq, self.counts)
 
     def of_slots(self, lane: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, known, id) of the entries that hold a slot."""
@@ -84,36 +77,80 @@ class _Table:
         known = slot < last
         if not len(self.keys):
             return last, 65536 - last, known, slot
-        at = np.maximum(np.searchsorted(self.slots, (lane << 17) | slot, side="right") - 1, 0)
-        return (np.where(known, self.start[at], last), np.where(known, self.freq[at], 65536 - last), known,
-                self.keys[at] & 0xFFFFFFFF)
+        # the last place whose start isn't behind the slot; doubles are exact here
+        place = ((slot + 1) * self.t - 1) / np.maximum(last, 1)
+        e = self.places[lane * self.t + np.minimum(place.astype(np.int64), self.t - 1)]
+        return np.where(known, e >> 17 & 0xFFFF, last), np.where(known, e & 0x1FFFF, 65536 - last), known, e >> 33
+
+
+def _known_share(once: np.ndarray, t: int) -> np.ndarray:
+    """Share (of 2**16) of the ids that a lane's history of ``t`` ids holds, ``once`` of them just once."""
+    if not t:
+        return np.zeros(len(once), np.int64)
+    fresh = np.clip(65536 * once // t, *ESCAPE)
+    return 65536 - np.minimum(fresh, 65536 - t)  # leaves every known id a share
+
+
+class _Counts:
+    """The table of :class:`_Table` for the encoder, which knows a block's ids before: counts by their ranks."""
+
+    def __init__(self, ids: np.ndarray):
+        steps, lanes = ids.shape
+        key = ids.T.astype(np.int64) << 15 | np.arange(steps)
+        key.sort(axis=1)
+        rank = np.zeros((lanes, steps), np.int32)
+        np.cumsum(key[:, 1:] >> 15 != key[:, :-1] >> 15, axis=1, out=rank[:, 1:])
+        width = int(rank.max(initial=0)) + 1
+        rank += (np.arange(lanes, dtype=np.int32) * width)[:, None]
+        key &= 32767
+        at = np.empty((lanes, steps), np.int32)
+        np.put_along_axis(at, key, rank, axis=1)
+        #: Where each id of the block is counted, one row a step.
+        self.at = at.T.copy()
+        self.counts, self.t = np.zeros((lanes, width), np.int32), 0
+        self._shares()
+
+    def add(self, upto: int) -> None:
+        """Learn the ids of all lanes up to a step."""
+        self.counts += np.bincount(self.at[self.t:upto].ravel(), minlength=self.counts.size).reshape(self.counts.shape)
+        self.t = upto
+        self._shares()
+
+    def _shares(self) -> None:
+        self.last = _known_share(np.count_nonzero(self.counts == 1, axis=1), self.t)
+        self.ends = np.cumsum(self.counts, axis=1, dtype=np.int32)
+
+    def of_ids(self, lane: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size, known) of ids counted at ``at``; those of unknown ids are of the share for new ids."""
+        last, own, end = self.last[lane], self.counts.reshape(-1)[at], self.ends.reshape(-1)[at]
+        known = own > 0
+        start = (end - own) * last // max(self.t, 1)
+        size = end * last // max(self.t, 1) - start
+        return np.where(known, start, last), np.where(known, size, 65536 - last), known
 
 
 class _Lengths:
-    """Adaptive counts of the lengths in bits of ids that no table knows, and the shares of their plain bits."""
+    """Adaptive shares of the lengths in bits of ids that no table knows; they learn when the table does."""
 
     def __init__(self, wide: np.ndarray):
         self.counts = (np.arange(32) <= np.where(wide, 31, 16)[:, None]).astype(np.int64)
-
-    def _ends(self, lane: np.ndarray) -> np.ndarray:
-        total = np.cumsum(self.counts[lane], axis=1)
-        return (total << 16) // total[:, -1:]
+        self.learn(np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def of_ids(self, lane: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, size) of lengths."""
-        ends, row = self._ends(lane), np.arange(len(lane))
-        start = np.where(length > 0, ends[row, length - 1], 0)
-        return start, ends[row, length] - start
+        start = self.ends[lane, length]
+        return start, self.ends[lane, length + 1] - start
 
     def of_slots(self, lane: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, length) of the entries that hold a slot."""
-        ends, row = self._ends(lane), np.arange(len(lane))
-        length = (ends <= slot[:, None]).sum(axis=1)
-        start = np.where(length > 0, ends[row, length - 1], 0)
-        return start, ends[row, length] - start, length
+        length = (self.ends[lane, 1:] <= slot[:, None]).sum(axis=1)
+        return *self.of_ids(lane, length), length
 
     def learn(self, lane: np.ndarray, length: np.ndarray) -> None:
-        self.counts[lane, length] += 1
+        np.add.at(self.counts, (lane, length), 1)
+        total = np.cumsum(self.counts, axis=1)
+        self.ends = np.zeros((len(total), 33), np.int64)
+        self.ends[:, 1:] = (total << 16) // total[:, -1:]
 
     @staticmethod
     def plain(length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,41 +164,49 @@ def _bit_length(x: np.ndarray) -> np.ndarray:
 
 
 class _Model:
-    """Predictions and mixing weights of all lanes."""
+    """Predictions and mixing weights of all lanes: row 0 is order 2, row 1 is order 1."""
 
     def __init__(self, lanes: int):
-        self.one, self.two = (np.zeros(lanes * SLOTS, np.uint32) for _ in range(2))
+        rows = np.arange(2)[:, None]
+        self.entries = np.zeros(2 * lanes * SLOTS, np.uint32)  # id and confidence
         ctx = np.arange(128)  # the confidences of order 2 and order 1, and whether their ids differ
-        self.first, self.second = (np.tile(np.array(w, np.int64)[at], lanes) for w, at in ((TWO, ctx >> 4), (ONE, ctx >> 1 & 7)))
-        self.base, self.mix = np.arange(lanes) * SLOTS, np.arange(lanes) * 128
-        self.a = self.b = np.zeros(lanes, np.int64)  # the last id, the one before
+        self.weights = np.concatenate([np.tile(np.array(w, np.int64)[at], lanes) for w, at in ((TWO, ctx >> 4), (ONE, ctx >> 1 & 7))])
+        self.base, self.mix = ((np.arange(lanes) + rows * lanes) * k for k in (SLOTS, 128))
+        self.a, self.hash = (np.zeros(lanes, np.uint32) for _ in range(2))  # the last id, the hash of the one before
+        self.slots = np.zeros((2, lanes), np.uint32)
 
     def predict(self, n: int) -> tuple[np.ndarray, ...]:
-        """Of the first ``n`` lanes: order 2's id, order 1's id, whether they differ, and the ends of their shares."""
-        a, b = self.a[:n], self.b[:n]
-        self.at1 = self.base[:n] + ((a * 40503 >> 4) & (SLOTS - 1))
-        self.at2 = self.base[:n] + ((a * 60493 + b * 30011 >> 5) & (SLOTS - 1))
-        self.e1, self.e2 = self.one[self.at1].astype(np.int64), self.two[self.at2].astype(np.int64)
-        self.p1, self.p2 = self.e1 >> 3, self.e2 >> 3
-        differ = self.p1 != self.p2
-        self.ctx = self.mix[:n] + ((self.e2 & 7) << 4 | (self.e1 & 7) << 1 | differ)
-        q2 = self.first[self.ctx]
-        q1 = np.maximum((65536 - q2) * self.second[self.ctx] >> 16, 1) * differ
-        return self.p2, self.p1, differ, q2, q2 + q1
-
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, differ: np.ndarray) -> None:
+        """Of the first ``n`` lanes: both orders' ids, the end of order 2's share, the size of order 1's (none if their ids don't differ)."""
+        a, slots = self.a[:n], self.slots[:, :n]
+        np.add(a * _HASH[0], self.hash[:n], out=slots[0])
+        np.multiply(a, _HASH[1], out=slots[1])
+        self.hash[:n] = slots[1]
+        self.at = self.base[:, :n] + (slots >> _SHIFT)
+        self.e = self.entries[self.at]
+        self.ids, self.c = self.e >> 3, self.e & 7
+        self.differ = self.ids[0] != self.ids[1]
+        self.ctx = self.mix[:, :n] + ((self.c[0] << 3 | self.c[1]) << 1 | self.differ)
+        self.w = self.weights[self.ctx]
+        one = (65536 - self.w[0]) * self.w[1] >> 16
+        np.maximum(one, 1, out=one)
+        one *= self.differ
+        return self.ids, self.w[0], one
+
+    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
+        """Learn the next ids, given which orders had them."""
         n = len(ids)
-        w = self.first[self.ctx]
-        self.first[self.ctx] = w + ((hit2 * 65505 + 31 - w) >> _RATE)  # stays within 31 to 65505
-        own = np.flatnonzero(differ & ~hit2)
-        ctx, hit1 = self.ctx[own], self.p1[own] == ids[own]
-        w = self.second[ctx]
-        self.second[ctx] = w + ((hit1 * 65505 + 31 - w) >> _RATE)
-        for table, at, e, hit in ((self.two, self.at2, self.e2, hit2), (self.one, self.at1, self.e1, self.p1 == ids)):
-            c = e & 7
-            kept = np.where(hit, np.minimum(c + 1, 7), c >> 1)
-            table[at] = np.where(hit | (c > 1), (e & ~7) | kept, (ids << 3) | 1)
-        self.b[:n], self.a[:n] = self.a[:n], ids
+        step = hit * 65505
+        step += 31
+        step -= self.w
+        step >>= _RATE  # weights stay within 31 to 65505
+        step[1] *= self.differ & ~hit[0]
+        step += self.w
+        self.weights[self.ctx] = step
+        c = self.c | hit * np.uint32(8)
+        e = self.e + _KEPT[c]
+        np.copyto(e, ids << 3 | 1, where=c < 2)
+        self.entries[self.at] = e
+        self.a[:n] = ids
 
 
 def _due(t: int) -> int:
@@ -179,11 +224,11 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[int, bytes]]:
     order = _lanes(blocks)
     sizes = np.array([len(blocks[i]) for i in order])
     lanes, steps = len(blocks), int(sizes[0]) if len(blocks) else 0
-    ids = np.zeros((steps, lanes), np.int64)
+    if any(len(b) and not 0 <= b.min() <= b.max() <= MAX_ID for b in blocks):
+        raise ValueError(f"ids must be from 0 to {MAX_ID}")
+    ids = np.zeros((steps, lanes), np.uint32)
     for k, i in enumerate(order):
         ids[:sizes[k], k] = blocks[i]
-    if steps and not 0 <= ids.min() <= ids.max() <= MAX_ID:
-        raise ValueError(f"ids must be from 0 to {MAX_ID}")
     if steps > MOST:
         raise ValueError(f"a block holds at most {MOST} ids")
     wide = ids.max(axis=0, initial=0) > 65535
@@ -191,49 +236,75 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[int, bytes]]:
     words, owners = [], []
     every = np.arange(lanes)
 
-    def put(lane, start, freq):
-        r = size[lane] >> _U(16)
-        low[lane] += r * start.astype(np.uint64)
-        r *= freq.astype(np.uint64)
-        size[lane] = r
-        lane = lane[r < _U(1 << 32)] if not isinstance(lane, slice) else np.flatnonzero(r < _U(1 << 32))
-        if len(lane):
-            emit(lane)
-            size[lane] <<= _U(16)
-
     def emit(lane):
         x = low[lane]
-        words.append((x >> _U(32)).astype(np.uint32)), owners.append(lane)
+        words.append((x >> _U(32)).astype(np.uint32)), owners.append(lane.astype(np.uint16 if lanes <= 65536 else np.int32))
         low[lane] = (x & _U(0xFFFFFFFF)) << _U(16)
 
-    model, table, lengths, due = _Model(lanes), _Table(lanes), _Lengths(wide), FIRST
-    for t in range(steps):
-        n = int(np.searchsorted(-sizes, -t))  # lanes with more than t ids
-        if t == due:
-            table.add(ids[table.t:t])
-            due = _due(t)
-        x = ids[t, :n]
-        p2, p1, differ, end2, end1 = model.predict(n)
-        hit2 = p2 == x
-        hit1 = (p1 == x) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, end2, end1))
-        put(slice(0, n), start, np.where(hit2, end2, np.where(hit1, end1, 65536)) - start)
-        lane = np.flatnonzero(~(hit2 | hit1))
-        if len(lane):
-            start, freq, known = table.of_ids(lane, x[lane])
-            put(lane, start, freq)
-            lane = lane[~known]
-            if len(lane):
-                length = _bit_length(x[lane])
-                put(lane, *lengths.of_ids(lane, length))
-                lengths.learn(lane, length)
-                low_bits, high_bits = lengths.plain(length)
-                rest = x[lane] - (1 << length >> 1)
-                put(lane, (rest & 0xFFFF) << (16 - low_bits), 65536 >> low_bits)
-                far = np.flatnonzero(high_bits)
-                if len(far):
-                    put(lane[far], rest[far] >> 16 << (16 - high_bits[far]), 65536 >> high_bits[far])
-        model.learn(x, hit2, differ)
+    model, lengths = _Model(lanes), _Lengths(wide)
+    table = _Counts(ids) if lanes else None
+    t = 0
+    while t < steps:  # the ids up to where the table learns again
+        more = min(_due(t), steps) - t
+        start, freq = np.zeros((2, more, lanes), np.int64)
+        miss = np.zeros((more, lanes), bool)
+        running = np.searchsorted(-sizes, -np.arange(t, t + more))  # lanes with more ids
+        for k, n in enumerate(running.tolist()):
+            x = ids[t + k, :n]
+            p, two, one = model.predict(n)
+            hit = p == x
+            other = ~hit[0]
+            np.logical_and(other, ~hit[1], out=miss[k, :n])
+            own = start[k, :n]
+            np.multiply(two, other, out=own)
+            own += one * miss[k, :n]
+            freq[k, :n] = np.where(other, one, two)
+            np.subtract(65536, own, out=freq[k, :n], where=miss[k, :n])
+            model.learn(x, hit)
+        # up to five shares an id, in order: of the mix, the table, the length, and its plain bits
+        missed = np.flatnonzero(miss.ravel())
+        lane = missed % lanes
+        start2, freq2, known = table.of_ids(lane, table.at[t:t + more].reshape(-1)[missed])
+        new, lane = missed[~known], lane[~known]
+        x = ids[t:t + more].reshape(-1)[new].astype(np.int64)
+        length = _bit_length(x)
+        start3, freq3 = lengths.of_ids(lane, length)
+        low_bits, high_bits = lengths.plain(length)
+        rest = x - (1 << length >> 1)
+        far = high_bits > 0
+        count = (np.arange(lanes) < running[:, None]).astype(np.int16)
+        flat = count.reshape(-1)
+        flat[missed] += 1
+        flat[new] += 2 + far
+        place = np.cumsum(count, axis=0, dtype=np.int32)
+        events = int(place[-1].max(initial=0))
+        place -= count
+        place *= lanes
+        place += np.arange(lanes, dtype=np.int32)
+        place = place.reshape(-1)
+        starts, freqs = np.zeros(events * lanes, np.uint32), np.full(events * lanes, 65536, np.uint32)  # of none: the whole range
+        if running[-1] < lanes:
+            there = np.flatnonzero(count.reshape(-1))
+            starts[place[there]], freqs[place[there]] = start.reshape(-1)[there], freq.reshape(-1)[there]
+        else:
+            starts[place], freqs[place] = start.reshape(-1), freq.reshape(-1)
+        for own, k, s, f in ((missed, 1, start2, freq2), (new, 2, start3, freq3),
+                             (new, 3, (rest & 0xFFFF) << (16 - low_bits), 65536 >> low_bits),
+                             (new[far], 4, (rest >> 16 << (16 - high_bits))[far], (65536 >> high_bits)[far])):
+            at = place[own] + k * lanes
+            starts[at], freqs[at] = s, f
+        for s, f in zip(starts.reshape(events, lanes), freqs.reshape(events, lanes)):
+            size >>= _U(16)
+            low += size * s
+            size *= f
+            small = np.flatnonzero(size < _U(1 << 32))
+            if len(small):
+                emit(small)
+                size[small] <<= _U(16)
+        lengths.learn(lane, length)
+        t += more
+        if t < steps:
+            table.add(t)
     for _ in range(3):
         emit(every)
     owner = np.concatenate(owners).astype(np.int32) if lanes else np.zeros(0, np.int32)
@@ -256,27 +327,28 @@ def decode(coded: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
     sizes = np.array([coded[i][0] for i in order], np.int64)
     lanes, steps = len(coded), int(sizes[0]) if len(coded) else 0
     wide = np.array([coded[i][1] > 16 for i in order], bool)
-    words = np.frombuffer(b"".join(coded[i][2] for i in order), "<u2").astype(np.uint64)
+    words = np.frombuffer(b"".join(coded[i][2] for i in order), "<u2").astype(np.float64)
     at = np.cumsum([0] + [len(coded[i][2]) // 2 for i in order])[:-1].astype(np.int64)
-    words = np.concatenate((words, np.zeros(4, np.uint64)))
-    value = (words[at] << _U(32)) | (words[at + 1] << _U(16)) | words[at + 2] if lanes else np.zeros(0, np.uint64)
+    words = np.concatenate((words, np.zeros(4)))
+    # whole numbers below 2**53, which doubles hold and divide exactly
+    value = words[at] * 2.0 ** 32 + words[at + 1] * 65536 + words[at + 2] if lanes else np.zeros(0)
     at += 3
-    size = np.full(lanes, 1 << 48, np.uint64)
-    ids = np.zeros((steps, lanes), np.int64)
+    size = np.full(lanes, 2.0 ** 48)
+    ids = np.zeros((steps, lanes), np.uint32)
 
     def slots(lane):
-        r = size[lane] >> _U(16)
-        return r, np.minimum(value[lane] // r, _U(65535)).astype(np.int64)
+        r = np.floor(size[lane] * 2.0 ** -16)
+        return r, np.minimum(value[lane] / r, 65535).astype(np.int64)
 
     def take(lane, r, start, freq):
-        value[lane] -= r * start.astype(np.uint64)
-        r = r * freq.astype(np.uint64)
-        size[lane] = r
-        lane = lane[r < _U(1 << 32)] if not isinstance(lane, slice) else np.flatnonzero(r < _U(1 << 32))
-        if len(lane):
-            value[lane] = (value[lane] << _U(16)) | words[np.minimum(at[lane], len(words) - 1)]
-            size[lane] <<= _U(16)
-            at[lane] += 1
+        left, r = value[lane] - r * start, r * freq
+        small = np.flatnonzero(r < 2.0 ** 32)
+        if len(small):
+            own = small if isinstance(lane, slice) else lane[small]
+            left[small] = left[small] * 65536 + words[np.minimum(at[own], len(words) - 1)]
+            r[small] *= 65536
+            at[own] += 1
+        value[lane], size[lane] = left, r
 
     def plain(lane, bits):
         r, slot = slots(lane)
@@ -285,20 +357,24 @@ def decode(coded: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
         return got
 
     model, table, lengths, due = _Model(lanes), _Table(lanes), _Lengths(wide), FIRST
-    for t in range(steps):
-        n = int(np.searchsorted(-sizes, -t))
+    fresh: list = []
+    running = np.searchsorted(-sizes, -np.arange(steps)).tolist()  # lanes with more ids
+    for t, n in enumerate(running):
         if t == due:
             table.add(ids[table.t:t])
+            if fresh:
+                lengths.learn(*map(np.concatenate, zip(*fresh)))
+                fresh.clear()
             due = _due(t)
         x = ids[t, :n]
-        p2, p1, differ, end2, end1 = model.predict(n)
+        p, two, one = model.predict(n)
         r, slot = slots(slice(0, n))
-        hit2 = slot < end2
-        hit1 = (slot < end1) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, end2, end1))
-        take(slice(0, n), r, start, np.where(hit2, end2, np.where(hit1, end1, 65536)) - start)
-        x[:] = np.where(hit2, p2, p1)
-        lane = np.flatnonzero(~(hit2 | hit1))
+        other, rest = slot >= two, two + one
+        miss = slot >= rest
+        start = two * other + one * miss
+        take(slice(0, n), r, start, np.where(miss, 65536 - rest, np.where(other, one, two)))
+        x[:] = np.where(other, p[1], p[0])
+        lane = np.flatnonzero(miss)
         if len(lane):
             r, slot = slots(lane)
             start, freq, known, found = table.of_slots(lane, slot)
@@ -309,16 +385,17 @@ def decode(coded: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
                 r, slot = slots(lane)
                 start, freq, length = lengths.of_slots(lane, slot)
                 take(lane, r, start, freq)
-                lengths.learn(lane, length)
+                fresh.append((lane, length))
                 low_bits, high_bits = lengths.plain(length)
-                x[lane] = (1 << length >> 1) + plain(lane, low_bits)
+                got = (1 << length >> 1) + plain(lane, low_bits)
                 far = np.flatnonzero(high_bits)
                 if len(far):
-                    x[lane[far]] += plain(lane[far], high_bits[far]) << 16
-        model.learn(x, p2 == x, differ)
+                    got[far] += plain(lane[far], high_bits[far]) << 16
+                x[lane] = got
+        model.learn(x, p == x)
     out: list = [None] * lanes
     for k, i in enumerate(order):
-        out[i] = ids[:sizes[k], k].astype(np.uint32)
+        out[i] = ids[:sizes[k], k].copy()
     return out
 
 

@@ -16,6 +16,7 @@ of a document by its ordinal.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,30 @@ from .common import Scratch, columns_as, text_batches, text_ids
 from .pretokens import Splitter
 
 END_ID = 2
-#: Words whose ids a worker keeps; words given to the library at once.
-CACHE_WORDS, MISSES = 400_000, 50_000
+#: Words whose ids a worker keeps.
+CACHE_WORDS = 400_000
+
+
+class _Words(dict):
+    """Ids of words as little-endian 32-bit integers; those of a new word come from the library's model.
+
+    The words used since half of CACHE_WORDS had come up are kept, and the half before them."""
+
+    def __init__(self, model):
+        self.model, self.older = model, {}
+
+    def __missing__(self, word: str) -> bytes:
+        own = self.older.get(word)
+        if own is None:
+            ids = [t.id for t in self.model.tokenize(Splitter.chars(word))]
+            own = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = own
+        return own
+
+    def age(self) -> None:
+        if 2 * len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
 
 
 class WordEncoder:
@@ -41,7 +64,7 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.split = Splitter(path)
-        self.known: dict[str, bytes] = {}
+        self.known = _Words(self.split.tokenizer.model)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self.split.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -50,22 +73,18 @@ class WordEncoder:
     def encode(self, texts: list) -> list[bytes]:
         """Little-endian 32-bit ids of each text (null: none)."""
         out: list = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
         odd: list[int] = []
         for i, text in enumerate(texts):
             if text:
                 pieces = self.split.pieces(text)
                 words, raw = self.split.words(text) if len(pieces) == 1 and not pieces[0][1] else ([], False)
-                cut.append((i, words)) if raw else odd.append(i)
+                if raw:
+                    self.known.age()
+                    out[i] = b"".join(map(self.known.__getitem__, words))
+                else:
+                    odd.append(i)
         for i, ids in zip(odd, self._whole([texts[i] for i in odd])):
             out[i] = ids
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = sorted(set().union(*(words for _, words in cut)).difference(self.known))
-        for at in range(0, len(new), MISSES):
-            self.known.update(zip(new[at:at + MISSES], self._whole(new[at:at + MISSES])))
-        for i, words in cut:
-            out[i] = b"".join(map(self.known.__getitem__, words))
         return out
 
 

@@ -121,6 +121,42 @@ def test_a_table_learnt_in_steps_is_that_of_all_ids():
         assert abs((65536 - table.last[lane]) / 65536 - once) < 0.02
 
 
+def test_coder_and_decoder_share_their_tables():
+    """The coder's counts by rank give every id the share that the decoder's table finds it by."""
+    rng = np.random.default_rng(7)
+    ids = (rng.zipf(1.3, (300, 6)) % 400).astype(np.uint32)
+    counts, table = rangecoder._Counts(ids), rangecoder._Table(6)
+    for a, b in ((0, 0), (0, 8), (8, 9), (9, 120), (120, 200)):
+        if b:
+            counts.add(b)
+            table.add(ids[a:b])
+        assert (counts.last == table.last).all()
+        lane = np.tile(np.arange(6), 300 - b)
+        start, size, known = counts.of_ids(lane, counts.at[b:].ravel())
+        for slot in (start, start + size - 1):
+            got = table.of_slots(lane, slot)
+            assert (got[0] == start).all() and (got[1] == size).all() and (got[2] == known).all()
+            assert (got[3][known] == ids[b:].ravel()[known]).all()
+        assert (known == [x in ids[:b, k] for x, k in zip(ids[b:].ravel(), lane)]).all()
+
+
+def test_words_in_use_are_not_encoded_again(monkeypatch):
+    """A full cache of words lets go of those that no text used lately, not of all."""
+    monkeypatch.setattr(token_blocks, "CACHE_WORDS", 40)
+    e, t, asked = token_blocks.WordEncoder(BYTE), Tokenizer.from_file(BYTE), []
+
+    class Model:
+        def tokenize(self, word):
+            asked.append(word)
+            return t.model.tokenize(word)
+
+    e.known.model = Model()
+    texts = [f"common words here and word{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(300)]
+    for x, ids in zip(texts, (e.encode([x])[0] for x in texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+    assert len(asked) == 304 and len(e.known) + len(e.known.older) <= 50
+
+
 def test_the_longest_block():
     ids = np.random.default_rng(5).permutation(rangecoder.MOST)
     [(bits, code)] = rangecoder.encode([ids])
